@@ -86,7 +86,9 @@ def adj_skew_from_moments(n: Column, s1: Column, s2: Column, s3: Column) -> Colu
 
 
 def rnd(c, digits: int = 6) -> Column:
-    return F.round(col_(c), digits)
+    """Half-up rounding that is stable at exact ties: a tiny offset (1e-4 of the last
+    kept digit) moves decimal ties off the grid so float noise cannot flip them."""
+    return F.round(col_(c) + F.lit(10.0 ** -(digits + 4)), digits)
 
 
 # The five accepted input date layouts, tried in this order

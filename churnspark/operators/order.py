@@ -63,3 +63,20 @@ def with_position(df: DataFrame, keys: list[str], order: list, pos_col: str = "p
     out = r.join(pieces, on=[PID, *keys], how="inner")
     out = out.withColumn(pos_col, F.col(RID) - F.col("__first") + F.col("__off"))
     return out.drop(PID, RID, "__first", "__off")
+
+
+def with_cumsum(df: DataFrame, keys: list[str], order: list, weight: str, out_col: str = "cum_before",
+                n_parts: int | None = None) -> DataFrame:
+    """Add the sum of ``weight`` over rows *before* each row inside its key, in ``order``.
+
+    Same piece scheme as ``with_position``; the running sum inside a piece
+    is a window over ``(partition, key)``, which splits a hot key into as
+    many tasks as partitions it spans.
+    """
+    n_parts = n_parts or default_parts(df)
+    r = ranged(df, keys, order, n_parts)
+    pieces = piece_offsets(r.groupBy(PID, *keys).agg(F.sum(weight).alias("__n")), keys).drop("__n")
+    w = Window.partitionBy(PID, *keys).orderBy(RID).rowsBetween(Window.unboundedPreceding, -1)
+    local = r.withColumn("__loc", F.coalesce(F.sum(weight).over(w), F.lit(0)))
+    out = local.join(pieces, on=[PID, *keys], how="inner")
+    return out.withColumn(out_col, F.col("__loc") + F.col("__off")).drop(PID, RID, "__loc", "__off")

@@ -93,3 +93,125 @@ def q_series_features_multi(spark, sf_dir):
     four = [c for c in feats.columns if c.endswith("l_extendedprice") or c.endswith("l_quantity")
             or c.startswith("l_extendedprice") or c.startswith("l_quantity")]
     return round_doubles(feats, 6, {c: 4 for c in four})
+
+
+# ---------------------------------------------------------------- profiling
+from churnspark.operators import profile as P  # noqa: E402
+
+CUST_NULLS_CTE = """cn AS (
+  SELECT c_custkey, c_name, c_nationkey,
+         CASE WHEN c_custkey % 7 <> 0 THEN c_acctbal END AS c_acctbal,
+         CASE WHEN c_custkey % 11 <> 0 THEN c_mktsegment END AS c_mktsegment
+  FROM customer)"""
+
+
+def customer_with_nulls(spark, sf_dir):
+    """customer with missing values injected by key modulus (same rule as the SQL twin)."""
+    c = table(spark, sf_dir, "customer")
+    return c.select("c_custkey", "c_name", "c_nationkey",
+                    F.when(F.col("c_custkey") % 7 != 0, F.col("c_acctbal")).alias("c_acctbal"),
+                    F.when(F.col("c_custkey") % 11 != 0, F.col("c_mktsegment")).alias("c_mktsegment"))
+
+
+CUST_COLS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
+
+
+@query("null_counts", f"WITH {CUST_NULLS_CTE} " + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, CAST(count(*) - count({c}) AS BIGINT) AS missing FROM cn" for c in CUST_COLS))
+def q_null_counts(spark, sf_dir):
+    return P.null_counts(customer_with_nulls(spark, sf_dir))
+
+
+@query("distinct_counts", f"WITH {CUST_NULLS_CTE} " + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, CAST(count(DISTINCT {c}) AS BIGINT) AS unique FROM cn" for c in CUST_COLS))
+def q_distinct_counts(spark, sf_dir):
+    return P.distinct_counts(customer_with_nulls(spark, sf_dir))
+
+
+def _profile_sql(col, typ, numeric, integral=False, tbl="events"):
+    mode_val = f"CAST({col} AS VARCHAR)"
+    mode = f"(SELECT {mode_val} FROM {tbl} WHERE {col} IS NOT NULL GROUP BY {col} ORDER BY count(*) DESC, {col} ASC LIMIT 1)"
+    head = (f"SELECT '{col}' AS feature, '{typ}' AS type, count({col}) AS count, count(*) - count({col}) AS missing, "
+            f"count(DISTINCT {col}) AS unique, {mode} AS mode")
+    if not numeric:
+        nulls = ", ".join(f"CAST(NULL AS DOUBLE) AS {n}" for n in
+                          ["min_value", "q_1", "median", "q_3", "max_value", "mean", "std", "skew", "kurtosis"])
+        return f"{head}, {nulls} FROM {tbl}"
+    x = f"CAST({col} AS DOUBLE)"
+    return (f"{head}, round(round(min({x}), 3), 6) AS min_value, round(quantile_cont({x}, 0.25), 6) AS q_1, "
+            f"round(quantile_cont({x}, 0.5), 6) AS median, round(quantile_cont({x}, 0.75), 6) AS q_3, "
+            f"round(max({x}), 6) AS max_value, round(round(avg({x}), 3), 6) AS mean, "
+            f"round(round(stddev_samp({x}), 3), 6) AS std, "
+            f"round(round(CASE WHEN var_pop({x}) = 0 THEN 0 ELSE skewness({x}) END, 3), 6) AS skew, "
+            f"round(round(CASE WHEN var_pop({x}) = 0 THEN 0 ELSE kurtosis({x}) END, 3), 6) AS kurtosis FROM {tbl}")
+
+
+PROFILE_SQL = " UNION ALL ".join([
+    _profile_sql("event_id", "int64", True, True), _profile_sql("user_id", "int64", True, True),
+    _profile_sql("event_type", "object", False), _profile_sql("value", "float64", True)])
+
+
+@query("univariate_profile", PROFILE_SQL)
+def q_univariate_profile(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    return round_doubles(P.univariate_profile(ev, 3, columns=["event_id", "user_id", "event_type", "value"]), 6)
+
+
+HIST_SQL = """
+WITH r AS (SELECT min(value) AS lo, max(value) AS hi, count(value) AS n FROM events),
+b AS (SELECT CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor((value - lo) / ((hi - lo) / 10)), 9) END AS INTEGER) AS bin,
+             lo, hi, n FROM events, r WHERE value IS NOT NULL)
+SELECT 'value' AS feature, bin, round(lo + bin * ((hi - lo) / 10), 6) AS bin_start,
+       round(lo + (bin + 1) * ((hi - lo) / 10), 6) AS bin_end, count(*) AS count,
+       round(count(*) / (n * ((hi - lo) / 10)), 6) AS density
+FROM b GROUP BY bin, lo, hi, n
+"""
+
+
+@query("histogram", HIST_SQL)
+def q_histogram(spark, sf_dir):
+    return round_doubles(P.histogram(table(spark, sf_dir, "events"), "value", bins=10), 6)
+
+
+@query("category_counts", "SELECT 'event_type' AS feature, event_type AS category, count(*) AS count "
+                          "FROM events WHERE event_type IS NOT NULL GROUP BY event_type")
+def q_category_counts(spark, sf_dir):
+    return P.category_counts(table(spark, sf_dir, "events"), "event_type")
+
+
+GROUP_SUMMARY_SQL = """
+SELECT c_mktsegment AS category, round(avg(c_acctbal), 6) AS mean, round(stddev_samp(c_acctbal), 6) AS std,
+       count(*) AS count, round(quantile_cont(c_acctbal, 0.25), 6) AS q_1,
+       round(quantile_cont(c_acctbal, 0.5), 6) AS median, round(quantile_cont(c_acctbal, 0.75), 6) AS q_3
+FROM customer WHERE c_mktsegment IS NOT NULL AND c_acctbal IS NOT NULL GROUP BY c_mktsegment
+"""
+
+
+@query("group_summary", GROUP_SUMMARY_SQL)
+def q_group_summary(spark, sf_dir):
+    return round_doubles(P.group_summary(table(spark, sf_dir, "customer"), "c_acctbal", "c_mktsegment"), 6)
+
+
+CONT_SQL = ("SELECT o_orderstatus, o_orderpriority, count(*) AS count FROM orders "
+            "WHERE o_orderstatus IS NOT NULL AND o_orderpriority IS NOT NULL GROUP BY 1, 2")
+
+
+@query("contingency", CONT_SQL)
+def q_contingency(spark, sf_dir):
+    return P.contingency(table(spark, sf_dir, "orders"), "o_orderstatus", "o_orderpriority")
+
+
+def _shares_sql(over):
+    return (f"SELECT o_orderstatus, o_orderpriority, count, round(count / sum(count) OVER ({over}) * 100, 6) AS percent "
+            f"FROM ({CONT_SQL}) t")
+
+
+for _key, _axis, _over in (("contingency_shares_total", None, ""),
+                           ("contingency_shares_col", 0, "PARTITION BY o_orderpriority"),
+                           ("contingency_shares_row", 1, "PARTITION BY o_orderstatus")):
+    def _mk(axis):
+        def fn(spark, sf_dir):
+            return round_doubles(P.contingency_shares(table(spark, sf_dir, "orders"),
+                                                      "o_orderstatus", "o_orderpriority", axis), 6)
+        return fn
+    query(_key, _shares_sql(_over))(_mk(_axis))
