@@ -99,7 +99,7 @@ DATE_INPUT_PATTERNS = ["yyyy-M-d", "d-M-yyyy", "M/d/yyyy", "d MMM yyyy", "MMMM d
 def try_parse_date(c) -> Column:
     """First layout that parses wins; anything else (NULL, blanks, junk, 30 Feb) -> NULL."""
     c = col_(c).cast("string")
-    return F.coalesce(*[F.try_to_date(c, F.lit(p)) for p in DATE_INPUT_PATTERNS])
+    return F.coalesce(*[F.try_to_date(c, p) for p in DATE_INPUT_PATTERNS])
 
 
 def python_to_spark_date_format(fmt: str) -> str:

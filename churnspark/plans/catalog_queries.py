@@ -215,3 +215,275 @@ for _key, _axis, _over in (("contingency_shares_total", None, ""),
                                                       "o_orderstatus", "o_orderpriority", axis), 6)
         return fn
     query(_key, _shares_sql(_over))(_mk(_axis))
+
+
+# ---------------------------------------------------------------- dates
+from churnspark.functions import dates as D  # noqa: E402
+
+DATE_RENDER_SQL = """
+SELECT o_orderkey,
+  CASE WHEN o_orderkey % 50 = 7 THEN 'not a date'
+       WHEN o_orderkey % 50 = 11 THEN '2016-02-30'
+       WHEN o_orderkey % 50 = 13 THEN NULL
+       WHEN o_orderkey % 5 = 0 THEN strftime(o_orderdate, '%Y-%m-%d')
+       WHEN o_orderkey % 5 = 1 THEN strftime(o_orderdate, '%d-%m-%Y')
+       WHEN o_orderkey % 5 = 2 THEN strftime(o_orderdate, '%m/%d/%Y')
+       WHEN o_orderkey % 5 = 3 THEN strftime(o_orderdate, '%-d %b %Y')
+       ELSE strftime(o_orderdate, '%B %-d, %Y') END AS raw
+FROM orders"""
+
+
+def rendered_dates(spark, sf_dir):
+    """o_orderdate written in the five accepted layouts (chosen by key) plus invalid strings."""
+    o = table(spark, sf_dir, "orders")
+    k, d = F.col("o_orderkey"), F.col("o_orderdate")
+    raw = (F.when(k % 50 == 7, F.lit("not a date")).when(k % 50 == 11, F.lit("2016-02-30"))
+            .when(k % 50 == 13, F.lit(None).cast("string"))
+            .when(k % 5 == 0, F.date_format(d, "yyyy-MM-dd")).when(k % 5 == 1, F.date_format(d, "dd-MM-yyyy"))
+            .when(k % 5 == 2, F.date_format(d, "MM/dd/yyyy")).when(k % 5 == 3, F.date_format(d, "d MMM yyyy"))
+            .otherwise(F.date_format(d, "MMMM d, yyyy")))
+    return o.select("o_orderkey", raw.alias("raw"))
+
+
+@query("parse_dates", f"""
+SELECT o_orderkey, raw,
+  strftime(try_strptime(raw, ['%Y-%m-%d', '%d-%m-%Y', '%m/%d/%Y', '%d %b %Y', '%B %d, %Y']), '%Y-%m-%d') AS parsed
+FROM ({DATE_RENDER_SQL}) r""")
+def q_parse_dates(spark, sf_dir):
+    r = rendered_dates(spark, sf_dir)
+    return r.withColumn("parsed", D.parse_and_format(F.col("raw"), "%Y-%m-%d"))
+
+
+@query("date_features", """
+WITH d AS (SELECT o_custkey, min(o_orderdate) AS a, max(o_orderdate) + INTERVAL 365 DAY AS e,
+                  max(o_orderdate) AS r, min(o_orderdate) + INTERVAL 30 DAY AS m
+           FROM orders GROUP BY o_custkey)
+SELECT o_custkey AS c_custkey, date_diff('day', a, e) AS contract_length,
+       date_diff('day', e, TIMESTAMP '2002-01-01') AS days_until_end,
+       date_diff('day', r, TIMESTAMP '2002-01-01') AS days_until_renewal,
+       date_diff('day', m, TIMESTAMP '2002-01-01') AS days_since_modification
+FROM d""")
+def q_date_features(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    d = o.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.date_format(F.min("o_orderdate"), "dd-MM-yyyy").alias("date_activ"),
+        F.date_format(F.date_add(F.max("o_orderdate"), 365), "MM/dd/yyyy").alias("date_end"),
+        F.date_format(F.max("o_orderdate"), "d MMM yyyy").alias("date_renewal"),
+        F.date_format(F.date_add(F.min("o_orderdate"), 30), "yyyy-MM-dd").alias("date_modif_prod"))
+    cols = ["date_activ", "date_end", "date_modif_prod", "date_renewal"]
+    parsed = D.DateParser(dateColumns=cols).transform(d)
+    return D.ContractDateFeatures(dateColumns=cols, referenceDate="2002-01-01").transform(parsed)
+
+
+@query("date_parts", """
+SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS o_orderdate_year,
+       CAST(month(o_orderdate) AS INTEGER) AS o_orderdate_month, CAST(day(o_orderdate) AS INTEGER) AS o_orderdate_day,
+       dayname(o_orderdate) AS o_orderdate_weekday,
+       date_diff('day', o_orderdate, TIMESTAMP '2002-01-01') AS "actual_date - o_orderdate in days"
+FROM orders""")
+def q_date_parts(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    out = D.date_columns(o, ["o_orderdate", "not_a_column"], calculate_difference=True, reference_date="2002-01-01")
+    return out.select("o_orderkey", "o_orderdate_year", "o_orderdate_month", "o_orderdate_day",
+                      "o_orderdate_weekday", "`actual_date - o_orderdate in days`")
+
+
+# ---------------------------------------------------------------- pruning
+from churnspark.operators import prune as PR  # noqa: E402
+
+EV_NULLS_CTE = """en AS (
+  SELECT event_id, user_id,
+         CASE WHEN event_id % 17 <> 0 THEN event_type END AS event_type,
+         CASE WHEN event_id % 13 <> 0 THEN value END AS value
+  FROM events)"""
+
+
+def events_with_nulls(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    return e.select("event_id", "user_id",
+                    F.when(F.col("event_id") % 17 != 0, F.col("event_type")).alias("event_type"),
+                    F.when(F.col("event_id") % 13 != 0, F.col("value")).alias("value"))
+
+
+@query("drop_missing_rows", f"WITH {EV_NULLS_CTE} SELECT * FROM en WHERE event_type IS NOT NULL AND value IS NOT NULL")
+def q_drop_missing_rows(spark, sf_dir):
+    return PR.DropMissing(axis=0).transform(events_with_nulls(spark, sf_dir))
+
+
+@query("drop_missing_cols", f"WITH {EV_NULLS_CTE} SELECT event_id, user_id FROM en")
+def q_drop_missing_cols(spark, sf_dir):
+    return PR.drop_missing(events_with_nulls(spark, sf_dir), axis=1)
+
+
+@query("drop_empty_then_rows", f"WITH {EV_NULLS_CTE} SELECT event_id, user_id, event_type, value FROM en "
+                               "WHERE event_type IS NOT NULL AND value IS NOT NULL")
+def q_drop_empty_then_rows(spark, sf_dir):
+    e = events_with_nulls(spark, sf_dir).withColumn("empty", F.lit(None).cast("double"))
+    return PR.drop_empty_columns_then_rows(e)
+
+
+DOC_PRUNE_COLS = ["doc_id", "text", "lang", "source", "n_chars", "constant", "sparse"]
+
+
+def documents_for_pruning(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    return d.select("doc_id", "text", "lang", "source", "n_chars", F.lit(1).alias("constant"),
+                    F.when(F.col("doc_id") % 50 == 0, F.col("lang")).alias("sparse"))
+
+
+def _prune_sql():
+    parts = []
+    numeric = {"doc_id", "n_chars", "constant"}
+    for c in DOC_PRUNE_COLS:
+        num = "TRUE" if c in numeric else "FALSE"
+        parts.append(f"SELECT '{c}' AS feature, count(*) - count({c}) AS missing, count(DISTINCT {c}) AS uq, "
+                     f"count(*) AS n, {num} AS numeric FROM dp")
+    return f"""
+WITH dp AS (SELECT doc_id, text, lang, source, n_chars, 1 AS constant,
+                   CASE WHEN doc_id % 50 = 0 THEN lang END AS sparse FROM documents),
+s AS ({' UNION ALL '.join(parts)})
+SELECT feature, CASE WHEN missing / n > 0.95 THEN 'drop' WHEN uq = 1 THEN 'drop'
+                     WHEN uq / n > 0.95 AND NOT numeric THEN 'drop' ELSE 'keep' END AS decision
+FROM s"""
+
+
+@query("prune_columns", _prune_sql())
+def q_prune_columns(spark, sf_dir):
+    d = documents_for_pruning(spark, sf_dir)
+    model = PR.LowInformationPruner().fit(d)
+    dropped = set(model.getOrDefault(model.columns))
+    kept = set(model.transform(d).columns)
+    rows = [(c, "drop" if c in dropped else "keep") for c in DOC_PRUNE_COLS if c in dropped or c in kept]
+    return spark.createDataFrame(rows, "feature string, decision string")
+
+
+# ---------------------------------------------------------------- outliers
+from churnspark.operators import outliers as O  # noqa: E402
+
+LI_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def _threshold_sql(src: str, col: str) -> str:
+    return f"""SELECT '{col}' AS feature,
+  CASE WHEN var_pop({col}) = 0 THEN 0 ELSE skewness({col}) END AS skew, avg({col}) AS mean, stddev_samp({col}) AS std,
+  quantile_cont({col}, 0.25) AS q_1, quantile_cont({col}, 0.75) AS q_3 FROM {src} WHERE {col} IS NOT NULL"""
+
+
+def _threshold_cols(t: str = "t") -> str:
+    normal = f"({t}.skew > -1 AND {t}.skew < 1)"
+    return (f"CASE WHEN {normal} THEN 'empirical' ELSE 'tukey' END AS rule, "
+            f"CASE WHEN {normal} THEN {t}.mean - 3 * {t}.std ELSE {t}.q_1 - 1.5 * ({t}.q_3 - {t}.q_1) END AS min_thresh, "
+            f"CASE WHEN {normal} THEN {t}.mean + 3 * {t}.std ELSE {t}.q_3 + 1.5 * ({t}.q_3 - {t}.q_1) END AS max_thresh")
+
+
+@query("outlier_thresholds", f"""
+WITH t AS ({' UNION ALL '.join(_threshold_sql('lineitem', c) for c in LI_NUM)})
+SELECT feature, round(skew, 6) AS skew, round(mean, 6) AS mean, round(std, 6) AS std, round(q_1, 6) AS q_1,
+       round(q_3, 6) AS q_3, rule, round(min_thresh, 6) AS min_thresh, round(max_thresh, 6) AS max_thresh
+FROM (SELECT t.*, {_threshold_cols()} FROM t) x""")
+def q_outlier_thresholds(spark, sf_dir):
+    return round_doubles(O.outlier_thresholds(table(spark, sf_dir, "lineitem"), LI_NUM), 6)
+
+
+@query("cap_outliers", f"""
+WITH t AS ({_threshold_sql('events', 'value')}), th AS (SELECT {_threshold_cols()} FROM t)
+SELECT event_id, round(CASE WHEN value > max_thresh THEN max_thresh WHEN value < min_thresh THEN min_thresh
+                            ELSE value END, 6) AS value
+FROM events, th""")
+def q_cap_outliers(spark, sf_dir):
+    ev = table(spark, sf_dir, "events").select("event_id", "value")
+    model = O.ReplaceOutliers(exclude=["event_id"]).fit(ev)
+    return round_doubles(model.transform(ev), 6)
+
+
+@query("outlier_counts", f"""
+WITH t AS ({' UNION ALL '.join(_threshold_sql('lineitem', c) for c in LI_NUM)}),
+th AS (SELECT t.feature, {_threshold_cols()} FROM t)
+""" + " UNION ALL ".join(
+    f"""SELECT '{c}' AS feature, count_if({c} > max_thresh) AS above, count_if({c} < min_thresh) AS below,
+        count_if({c} > max_thresh) + count_if({c} < min_thresh) AS outliers
+        FROM lineitem, (SELECT * FROM th WHERE feature = '{c}') q""" for c in LI_NUM))
+def q_outlier_counts(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    return O.outlier_counts(li, O.thresholds_dict(li, LI_NUM))
+
+
+def _remove_sql() -> str:
+    ctes, src = [], "lineitem"
+    for i, c in enumerate(LI_NUM):
+        ctes.append(f"th{i} AS (SELECT {_threshold_cols()} FROM ({_threshold_sql(src, c)}) t)")
+        ctes.append(f"f{i} AS (SELECT {src}.* FROM {src}, th{i} WHERE {c} >= min_thresh AND {c} <= max_thresh)")
+        src = f"f{i}"
+    return "WITH " + ",\n".join(ctes) + f"\nSELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, {', '.join(LI_NUM)} FROM {src}"
+
+
+@query("remove_outliers", _remove_sql())
+def q_remove_outliers(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", *LI_NUM)
+    return O.clean_outliers(li, LI_NUM, "remove", sequential=True)
+
+
+@query("replace_outliers", f"""
+WITH t AS ({' UNION ALL '.join(_threshold_sql('lineitem', c) for c in LI_NUM)}),
+th AS (SELECT t.feature, {_threshold_cols()} FROM t)
+SELECT l_orderkey, l_linenumber, l_partkey, """ + ", ".join(
+    f"""round(CASE WHEN {c} > (SELECT max_thresh FROM th WHERE feature = '{c}') THEN (SELECT max_thresh FROM th WHERE feature = '{c}')
+              WHEN {c} < (SELECT min_thresh FROM th WHERE feature = '{c}') THEN (SELECT min_thresh FROM th WHERE feature = '{c}')
+              ELSE {c} END, 6) AS {c}""" for c in LI_NUM) + " FROM lineitem")
+def q_replace_outliers(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", *LI_NUM)
+    return round_doubles(O.clean_outliers(li, LI_NUM, "replace"), 6)
+
+
+# ---------------------------------------------------------------- encoding
+from churnspark.operators import encode as G  # noqa: E402
+
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
+
+@query("dummies", "SELECT c_custkey, " + ", ".join(
+    f"CAST(c_mktsegment = '{s}' AS INTEGER) AS c_mktsegment_{s}" for s in SEGMENTS[1:]) + " FROM customer")
+def q_dummies(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    return G.dummies(c, ["c_mktsegment"], drop_first=True)
+
+
+@query("minmax", """
+SELECT s_suppkey,
+  round((s_acctbal - (SELECT min(s_acctbal) FROM supplier)) / ((SELECT max(s_acctbal) FROM supplier) - (SELECT min(s_acctbal) FROM supplier)), 6) AS s_acctbal,
+  round((s_nationkey - (SELECT min(s_nationkey) FROM supplier)) / CAST((SELECT max(s_nationkey) FROM supplier) - (SELECT min(s_nationkey) FROM supplier) AS DOUBLE), 6) AS s_nationkey
+FROM supplier""")
+def q_minmax(spark, sf_dir):
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal", "s_nationkey")
+    return round_doubles(G.minmax_scale(s, ["s_acctbal", "s_nationkey"]), 6)
+
+
+@query("standard_scale", """
+SELECT c_custkey,
+  round((c_acctbal - (SELECT avg(c_acctbal) FROM customer)) / (SELECT stddev_pop(c_acctbal) FROM customer), 6) AS c_acctbal,
+  round((c_nationkey - (SELECT avg(c_nationkey) FROM customer)) / (SELECT stddev_pop(c_nationkey) FROM customer), 6) AS c_nationkey
+FROM customer""")
+def q_standard_scale(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_nationkey")
+    return round_doubles(G.standard_scale(c, ["c_acctbal", "c_nationkey"]), 6)
+
+
+PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+STATUSES = ["F", "O", "P"]
+
+
+@query("one_hot", "SELECT o_orderkey, " + ", ".join(
+    [f"CAST(o_orderstatus = '{s}' AS DOUBLE) AS \"o_orderstatus_{s}\"" for s in STATUSES]
+    + [f"CAST(o_orderpriority = '{p}' AS DOUBLE) AS \"o_orderpriority_{p}\"" for p in PRIORITIES]) + " FROM orders")
+def q_one_hot(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    return G.one_hot(o, ["o_orderstatus", "o_orderpriority"])
+
+
+@query("scale_encode", "SELECT " + ", ".join(
+    [f"round((CAST({c} AS DOUBLE) - (SELECT avg({c}) FROM customer)) / (SELECT stddev_pop({c}) FROM customer), 6) AS {c}"
+     for c in ["c_custkey", "c_nationkey", "c_acctbal"]]
+    + [f"CAST(c_mktsegment = '{s}' AS DOUBLE) AS c_mktsegment_{s}" for s in SEGMENTS]) + " FROM customer")
+def q_scale_encode(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
+    return round_doubles(G.ScaleEncode().fit(c).transform(c), 6)
