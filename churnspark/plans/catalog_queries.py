@@ -487,3 +487,160 @@ def q_one_hot(spark, sf_dir):
 def q_scale_encode(spark, sf_dir):
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
     return round_doubles(G.ScaleEncode().fit(c).transform(c), 6)
+
+
+# ---------------------------------------------------------------- association
+from churnspark.operators import assoc as V  # noqa: E402
+from churnspark.operators.kendall import kendall_tau  # noqa: E402
+
+
+@query("pearson_regression", """
+SELECT 'o_custkey' AS feature, regr_count(o_totalprice, o_custkey) AS n,
+       round(regr_slope(o_totalprice, o_custkey), 6) AS slope, round(regr_intercept(o_totalprice, o_custkey), 4) AS intercept,
+       round(corr(o_custkey, o_totalprice), 9) AS r FROM orders
+UNION ALL
+SELECT 'o_orderkey', regr_count(o_totalprice, o_orderkey), round(regr_slope(o_totalprice, o_orderkey), 6),
+       round(regr_intercept(o_totalprice, o_orderkey), 4), round(corr(o_orderkey, o_totalprice), 9) FROM orders""")
+def q_pearson_regression(spark, sf_dir):
+    t = V.pearson_table(table(spark, sf_dir, "orders"), "o_totalprice", ["o_custkey", "o_orderkey"])
+    return round_doubles(t.select("feature", "n", "slope", "intercept", "r"), 6, {"intercept": 4, "r": 9})
+
+
+@query("spearman", """
+WITH p AS (SELECT l_quantity AS x, l_extendedprice AS y FROM lineitem WHERE l_quantity IS NOT NULL AND l_extendedprice IS NOT NULL),
+r AS (SELECT (2 * rank() OVER (ORDER BY x) + count(*) OVER (PARTITION BY x) - 1) / 2.0 AS rx,
+             (2 * rank() OVER (ORDER BY y) + count(*) OVER (PARTITION BY y) - 1) / 2.0 AS ry FROM p)
+SELECT count(*) AS n, round(corr(rx, ry), 9) AS spearman FROM r""")
+def q_spearman(spark, sf_dir):
+    s = V.spearman(table(spark, sf_dir, "lineitem"), "l_quantity", "l_extendedprice")
+    return round_doubles(s.select("n", "spearman"), 9)
+
+
+def _kendall_sql(tbl, x, y):
+    return f"""
+WITH p AS (SELECT row_number() OVER () AS i, CAST({x} AS DOUBLE) AS x, CAST({y} AS DOUBLE) AS y FROM {tbl}
+           WHERE {x} IS NOT NULL AND {y} IS NOT NULL),
+s AS (SELECT sum(sign(b.x - a.x) * sign(b.y - a.y)) AS s FROM p a JOIN p b ON a.i < b.i),
+n AS (SELECT count(*) AS n FROM p),
+tx AS (SELECT sum(c * (c - 1) / 2) AS t FROM (SELECT count(*) AS c FROM p GROUP BY x)),
+ty AS (SELECT sum(c * (c - 1) / 2) AS t FROM (SELECT count(*) AS c FROM p GROUP BY y))
+SELECT n.n AS n, round(s.s / sqrt((n.n * (n.n - 1) / 2 - tx.t) * (n.n * (n.n - 1) / 2 - ty.t)), 9) AS kendalltau
+FROM s, n, tx, ty"""
+
+
+@query("kendall", _kendall_sql("supplier", "s_acctbal", "s_nationkey"))
+def q_kendall(spark, sf_dir):
+    k = kendall_tau(table(spark, sf_dir, "supplier"), "s_acctbal", "s_nationkey")
+    return round_doubles(k.select("n", "kendalltau"), 9)
+
+
+@query("kendall_orders", _kendall_sql("orders", "o_custkey", "o_totalprice"))
+def q_kendall_orders(spark, sf_dir):
+    k = kendall_tau(table(spark, sf_dir, "orders"), "o_custkey", "o_totalprice")
+    return round_doubles(k.select("n", "kendalltau"), 9)
+
+
+CHI2_SQL = """
+WITH t AS (SELECT o_orderstatus AS a, o_orderpriority AS b, CAST(count(*) AS DOUBLE) AS o FROM orders
+           WHERE o_orderstatus IS NOT NULL AND o_orderpriority IS NOT NULL GROUP BY 1, 2),
+m AS (SELECT o, sum(o) OVER (PARTITION BY a) AS ra, sum(o) OVER (PARTITION BY b) AS cb, a, b FROM t)
+SELECT round(sum(o) * sum(o * o / (ra * cb)) - sum(o), 6) AS chi2,
+       CAST((count(DISTINCT a) - 1) * (count(DISTINCT b) - 1) AS DOUBLE) AS dof FROM m"""
+
+
+@query("chi2", CHI2_SQL)
+def q_chi2(spark, sf_dir):
+    c = V.chi2_test(table(spark, sf_dir, "orders"), "o_orderstatus", "o_orderpriority")
+    return round_doubles(c.select("chi2", "dof"), 6)
+
+
+CHI2_YATES_SQL = """
+WITH d AS (SELECT CASE WHEN l_returnflag = 'R' THEN 'returned' ELSE 'kept' END AS a, l_linestatus AS b FROM lineitem
+           WHERE l_returnflag IS NOT NULL AND l_linestatus IS NOT NULL),
+t AS (SELECT a, b, CAST(count(*) AS DOUBLE) AS o FROM d GROUP BY 1, 2),
+ra AS (SELECT a, sum(o) AS r FROM t GROUP BY a), cb AS (SELECT b, sum(o) AS c FROM t GROUP BY b),
+n AS (SELECT sum(o) AS n FROM t),
+cells AS (SELECT ra.a, cb.b, ra.r * cb.c / n.n AS e, coalesce(t.o, 0) AS o
+          FROM ra CROSS JOIN cb CROSS JOIN n LEFT JOIN t ON t.a = ra.a AND t.b = cb.b)
+SELECT round(sum(power(abs(o - e) - least(0.5, abs(o - e)), 2) / e), 6) AS chi2, 1.0 AS dof FROM cells"""
+
+
+@query("chi2_yates", CHI2_YATES_SQL)
+def q_chi2_yates(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select(
+        F.when(F.col("l_returnflag") == "R", "returned").when(F.col("l_returnflag").isNotNull(), "kept").alias("a"),
+        "l_linestatus")
+    c = V.chi2_test(li, "a", "l_linestatus")
+    return round_doubles(c.select("chi2", "dof"), 6)
+
+
+def _tt_sql(welch: bool):
+    if welch:
+        t = "(m1 - m2) / sqrt(v1 / n1 + v2 / n2)"
+        dof = "power(v1 / n1 + v2 / n2, 2) / (power(v1 / n1, 2) / (n1 - 1) + power(v2 / n2, 2) / (n2 - 1))"
+    else:
+        t = "(m1 - m2) / sqrt(((n1 - 1) * v1 + (n2 - 1) * v2) / (n1 + n2 - 2) * (1.0 / n1 + 1.0 / n2))"
+        dof = "CAST(n1 + n2 - 2 AS DOUBLE)"
+    return f"""
+WITH g AS (SELECT l_linestatus AS c, count(*) AS n, avg(l_extendedprice) AS m, var_samp(l_extendedprice) AS v
+           FROM lineitem WHERE l_linestatus IS NOT NULL AND l_extendedprice IS NOT NULL GROUP BY 1),
+a AS (SELECT c AS g1, n AS n1, m AS m1, v AS v1 FROM g ORDER BY c LIMIT 1),
+b AS (SELECT c AS g2, n AS n2, m AS m2, v AS v2 FROM g ORDER BY c DESC LIMIT 1)
+SELECT g1 AS group_1, g2 AS group_2, round({t}, 6) AS ttest, round({dof}, 4) AS df FROM a, b"""
+
+
+@query("ttest_pooled", _tt_sql(False))
+def q_ttest_pooled(spark, sf_dir):
+    t = V.ttest(table(spark, sf_dir, "lineitem"), "l_extendedprice", "l_linestatus", equal_var=True)
+    return round_doubles(t.select("group_1", "group_2", "ttest", "df"), 6, {"df": 4})
+
+
+@query("ttest_welch", _tt_sql(True))
+def q_ttest_welch(spark, sf_dir):
+    t = V.ttest(table(spark, sf_dir, "lineitem"), "l_extendedprice", "l_linestatus", equal_var=False)
+    return round_doubles(t.select("group_1", "group_2", "ttest", "df"), 6, {"df": 4})
+
+
+ANOVA_SQL = """
+WITH g AS (SELECT c_mktsegment AS c, count(*) AS n, avg(c_acctbal) AS m, var_samp(c_acctbal) AS v
+           FROM customer WHERE c_mktsegment IS NOT NULL AND c_acctbal IS NOT NULL GROUP BY 1),
+t AS (SELECT sum(n) AS nn, count(*) AS k, sum(n * m) / sum(n) AS gm FROM g)
+SELECT round((sum(n * power(m - gm, 2)) / (k - 1)) / (sum(coalesce((n - 1) * v, 0)) / (nn - k)), 6) AS F,
+       CAST(k - 1 AS DOUBLE) AS df_between, CAST(nn - k AS DOUBLE) AS df_within
+FROM g, t GROUP BY k, nn"""
+
+
+@query("anova", ANOVA_SQL)
+def q_anova(spark, sf_dir):
+    a = V.anova(table(spark, sf_dir, "customer"), "c_acctbal", "c_mktsegment")
+    return round_doubles(a.select("F", "df_between", "df_within"), 6)
+
+
+@query("anova_valid_groups", ANOVA_SQL.replace("GROUP BY 1),", "GROUP BY 1 HAVING count(*) >= 2),"))
+def q_anova_valid(spark, sf_dir):
+    a = V.anova(table(spark, sf_dir, "customer"), "c_acctbal", "c_mktsegment", valid_only=True)
+    return round_doubles(a.select("F", "df_between", "df_within"), 6)
+
+
+@query("pairwise_welch", """
+WITH g AS (SELECT c_mktsegment AS c, count(*) AS n, avg(c_acctbal) AS m, var_samp(c_acctbal) AS v
+           FROM customer WHERE c_mktsegment IS NOT NULL AND c_acctbal IS NOT NULL GROUP BY 1 HAVING count(*) >= 2)
+SELECT a.c AS group_a, b.c AS group_b, round((a.m - b.m) / sqrt(a.v / a.n + b.v / b.n), 6) AS ttest,
+       round(power(a.v / a.n + b.v / b.n, 2) / (power(a.v / a.n, 2) / (a.n - 1) + power(b.v / b.n, 2) / (b.n - 1)), 4) AS df,
+       round(0.05 / ((SELECT count(*) FROM g) * ((SELECT count(*) FROM g) - 1) / 2), 3) AS bonferroni_alpha
+FROM g a JOIN g b ON a.c < b.c""")
+def q_pairwise_welch(spark, sf_dir):
+    p = V.pairwise_welch(table(spark, sf_dir, "customer"), "c_acctbal", "c_mktsegment")
+    return round_doubles(p.select("group_a", "group_b", "ttest", "df", "bonferroni_alpha"), 6, {"df": 4, "bonferroni_alpha": 3})
+
+
+@query("bivariate_table")
+def q_bivariate_table(spark, sf_dir):
+    """V13 over customer with a churn-style binary target (negative balance) and the order features."""
+    from churnspark.plans.domain import customer_table
+    return V.bivariate_table(customer_table(spark, sf_dir).drop("c_custkey"), "churn")
+
+
+@query("regression_summary")
+def q_regression_summary(spark, sf_dir):
+    return V.regression_summary(table(spark, sf_dir, "supplier"), "s_acctbal", "s_nationkey")
