@@ -102,20 +102,22 @@ class ScaleEncode(Estimator, DefaultParamsReadable, DefaultParamsWritable):
     one-hot encode string columns; fit on train, reuse anywhere."""
 
     maxCategories = Param(Params._dummy(), "maxCategories", "", TypeConverters.toInt)
+    exclude = Param(Params._dummy(), "exclude", "columns passed through (keys, labels)", TypeConverters.toListString)
 
     @keyword_only
-    def __init__(self, maxCategories=MAX_CATEGORIES):
+    def __init__(self, maxCategories=MAX_CATEGORIES, exclude=None):
         super().__init__()
-        self._setDefault(maxCategories=MAX_CATEGORIES)
+        self._setDefault(maxCategories=MAX_CATEGORIES, exclude=[])
         self._set(**self._input_kwargs)
 
     def _fit(self, df):
         from churnspark.operators.profile import distinct_counts
         dt = dict((f.name, f.dataType) for f in df.schema.fields)
-        numeric = [c for c in df.columns if is_numeric(dt[c]) or is_boolean(dt[c])]
+        ex = set(self.getOrDefault(self.exclude))
+        numeric = [c for c in df.columns if (is_numeric(dt[c]) or is_boolean(dt[c])) and c not in ex]
         uniq = {r["feature"]: r["unique"] for r in distinct_counts(df, numeric).collect()} if numeric else {}
         scaled = [c for c in numeric if uniq.get(c, 0) > 2]
-        cat_cols = [c for c in df.columns if isinstance(dt[c], T.StringType)]
+        cat_cols = [c for c in df.columns if isinstance(dt[c], T.StringType) and c not in ex]
         fit = _standard_fit(df, scaled, dt)
         cats = categories(df, cat_cols, self.getOrDefault(self.maxCategories))
         return ScaleEncodeModel(state={"scaled": scaled, "fit": {c: list(v) for c, v in fit.items()},

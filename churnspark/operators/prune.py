@@ -113,15 +113,18 @@ class LowInformationPruner(Estimator, DefaultParamsReadable, DefaultParamsWritab
 
     nanThreshold = Param(Params._dummy(), "nanThreshold", "", TypeConverters.toFloat)
     uniqueThreshold = Param(Params._dummy(), "uniqueThreshold", "", TypeConverters.toFloat)
+    exclude = Param(Params._dummy(), "exclude", "columns never dropped (keys, labels)", TypeConverters.toListString)
 
     @keyword_only
-    def __init__(self, nanThreshold=0.95, uniqueThreshold=0.95):
+    def __init__(self, nanThreshold=0.95, uniqueThreshold=0.95, exclude=None):
         super().__init__()
-        self._setDefault(nanThreshold=0.95, uniqueThreshold=0.95)
+        self._setDefault(nanThreshold=0.95, uniqueThreshold=0.95, exclude=[])
         self._set(**self._input_kwargs)
 
     def _fit(self, df):
-        drop = low_information_columns(df, None, self.getOrDefault(self.nanThreshold),
+        ex = set(self.getOrDefault(self.exclude))
+        cols = [c for c in df.columns if c not in ex]
+        drop = low_information_columns(df, cols, self.getOrDefault(self.nanThreshold),
                                        self.getOrDefault(self.uniqueThreshold))
         return DropColumnsModel(columns=drop)
 

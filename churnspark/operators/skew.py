@@ -1,12 +1,13 @@
 """Skew correction.
 
 Candidate transforms are scored by the bias-adjusted skew of the
-transformed column.  All candidates of all columns are evaluated as
-aggregates of one scan per pass (means first, then central moments around
-them, so the third moment does not cancel), in batches of at most
-``BATCH`` expressions.  Yeo-Johnson's lambda is the maximum-likelihood
-value found by a grid search refined tenfold per round, each round one
-aggregate over all columns.
+transformed column.  Candidates are rows of a small table
+``(feature, candidate, kind, parameters)`` joined to the long
+``(feature, x)`` values, so all candidates of all columns are evaluated by
+one grouped aggregate per pass (means first, then central moments around
+them, so the third moment does not cancel) with one compact expression.
+Yeo-Johnson's lambda is the maximum-likelihood value found by a grid search
+refined tenfold per round, each round one grouped pass over all columns.
 """
 from __future__ import annotations
 
@@ -26,7 +27,6 @@ from churnspark.operators.stage import JsonStateModel
 
 log = logging.getLogger(__name__)
 
-BATCH = 240
 EPS = 1e-7
 
 
@@ -62,68 +62,97 @@ def yeo_expr(x: Column, lam: float) -> Column:
     return F.when(x >= 0, pos).otherwise(neg)
 
 
-# ------------------------------------------------------------------ batched moments
+# ------------------------------------------------------------------ candidate moments (long form)
+
+MAX_CANDIDATES = 1_000_000
+
+
+def _long_x(df: DataFrame, features: list[str]) -> DataFrame:
+    parts = [F.struct(F.lit(f).alias("feature"), _x(df, f).alias("x")) for f in features]
+    return df.select(F.explode(F.array(*parts)).alias("s")).select("s.*").where(F.col("x").isNotNull())
+
+
+def _candidates(df: DataFrame, rows: list[tuple]) -> DataFrame:
+    """Candidate table ``(feature, cand, kind, a, b)``: features x candidates, size checked."""
+    if len(rows) > MAX_CANDIDATES:
+        raise ValueError("too many candidate transforms")
+    return F.broadcast(df.sparkSession.createDataFrame(rows, "feature string, cand string, kind string, a double, b double"))
+
+
+def _apply_kind(x: Column) -> Column:
+    """Value of candidate ``kind`` with parameters ``a``, ``b`` (missing where undefined)."""
+    k, a, b = F.col("kind"), F.col("a"), F.col("b")
+    pos = F.when(F.abs(a) < 1e-12, F.log1p(x)).otherwise((F.pow(x + 1, a) - 1) / a)
+    neg = F.when(F.abs(a - 2) < 1e-12, -F.log1p(-x)).otherwise(-(F.pow(1 - x, 2 - a) - 1) / (2 - a))
+    arg = x + b + F.lit(EPS)
+    rarg = b + 1.0 - x + F.lit(EPS)
+    return (F.when(k == "pow", nan_to_null(F.pow(x, a)))
+             .when(k == "log", F.when(arg > 0, F.log(arg)))
+             .when(k == "rlog", F.when(rarg > 0, F.log(rarg)))
+             .when(k == "yeo", F.when(x >= 0, pos).otherwise(neg)))
+
+
+def candidate_skews(df: DataFrame, rows: list[tuple]) -> dict[tuple[str, str], float | None]:
+    """Adjusted skew of every candidate: pass 1 means and counts, pass 2 central moments."""
+    if not rows:
+        return {}
+    feats = sorted({r[0] for r in rows})
+    cand = _candidates(df, rows)
+    vals = _long_x(df, feats).join(cand, "feature").withColumn("v", _apply_kind(F.col("x")))
+    first = {(r["feature"], r["cand"]): (r["m"], r["n"]) for r in
+             vals.groupBy("feature", "cand").agg(F.avg("v").alias("m"), F.count("v").alias("n")).collect()}
+    means = df.sparkSession.createDataFrame([(f, c, m) for (f, c), (m, n) in first.items() if m is not None],
+                                            "feature string, cand string, m double")
+    d = F.col("v") - F.col("m")
+    second = (vals.join(F.broadcast(means), ["feature", "cand"])
+                  .groupBy("feature", "cand").agg(F.sum(d * d).alias("a2"), F.sum(d * d * d).alias("a3")).collect())
+    out = {key: None for key in first}
+    for r in second:
+        m, n = first[(r["feature"], r["cand"])]
+        if n is None or n < 3:
+            continue
+        k = float(n)
+        m2, m3 = r["a2"] / k, r["a3"] / k
+        out[(r["feature"], r["cand"])] = 0.0 if m2 <= 0 else math.sqrt(k * (k - 1)) / (k - 2) * m3 / m2 ** 1.5
+    return out
+
 
 def batched_skews(df: DataFrame, exprs: dict[str, Column]) -> dict[str, float | None]:
-    """Adjusted skew of many expressions: one pass for means and counts, one for central moments."""
+    """Adjusted skew of a few arbitrary expressions (wide form; for small expression sets)."""
     names = list(exprs)
-    means, counts = {}, {}
-    for i in range(0, len(names), BATCH // 2):
-        part = names[i:i + BATCH // 2]
-        row = df.agg(*[F.avg(exprs[n]).alias(f"m{j}") for j, n in enumerate(part)],
-                     *[F.count(exprs[n]).alias(f"c{j}") for j, n in enumerate(part)]).first()
-        for j, n in enumerate(part):
-            means[n], counts[n] = row[f"m{j}"], row[f"c{j}"]
-    out = {}
-    live = [n for n in names if means[n] is not None and counts[n] >= 3]
-    for n in names:
-        if n not in live:
-            out[n] = None
-    for i in range(0, len(live), BATCH // 2):
-        part = live[i:i + BATCH // 2]
-        aggs = []
-        for j, n in enumerate(part):
-            d = exprs[n] - F.lit(means[n])
-            aggs += [F.sum(d * d).alias(f"a{j}"), F.sum(d * d * d).alias(f"b{j}")]
-        row = df.agg(*aggs).first()
-        for j, n in enumerate(part):
-            k = float(counts[n])
-            m2, m3 = row[f"a{j}"] / k, row[f"b{j}"] / k
-            if m2 <= 0 or not math.isfinite(m2):
-                out[n] = 0.0 if m2 == 0 else None
-            else:
-                out[n] = math.sqrt(k * (k - 1)) / (k - 2) * m3 / m2 ** 1.5
-    return out
+    row = df.agg(*[adj_skew(exprs[n]).alias(f"s{j}") for j, n in enumerate(names)]).first()
+    return {n: row[f"s{j}"] for j, n in enumerate(names)}
 
 
 # ------------------------------------------------------------------ Yeo-Johnson fit
 
 def fit_yeo_lambdas(df: DataFrame, columns: list[str], rounds: int = 7, grid: int = 21) -> dict[str, float]:
-    """K4: lambda maximising -n/2 log(var_pop(yj(x))) + (lambda - 1) * sum(sign(x) log1p|x|)."""
+    """K4: lambda maximising -n/2 log(var_pop(yj(x))) + (lambda - 1) * sum(sign(x) log1p|x|).
+
+    Each round evaluates ``grid`` lambdas per column in one grouped pass over
+    the long ``(feature, x)`` table, then narrows around the best one."""
     if not columns:
         return {}
-    xs = {c: _x(df, c) for c in columns}
-    row = df.agg(*[F.count(xs[c]).alias(f"n{i}") for i, c in enumerate(columns)],
-                 *[F.sum(F.signum(xs[c]) * F.log1p(F.abs(xs[c]))).alias(f"s{i}") for i, c in enumerate(columns)]).first()
-    n = {c: row[f"n{i}"] for i, c in enumerate(columns)}
-    sl = {c: row[f"s{i}"] or 0.0 for i, c in enumerate(columns)}
+    long = _long_x(df, columns)
+    base = {r["feature"]: (r["n"], r["sl"] or 0.0) for r in long.groupBy("feature").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.signum("x") * F.log1p(F.abs("x"))).alias("sl")).collect()}
     lo = {c: -2.0 for c in columns}
     hi = {c: 2.0 for c in columns}
     best = {c: 1.0 for c in columns}
     for r in range(rounds):
-        cand = {c: list(np.linspace(lo[c], hi[c], grid)) for c in columns}
-        exprs = {}
-        for i, c in enumerate(columns):
-            for j, lam in enumerate(cand[c]):
-                exprs[f"{i}_{j}"] = yeo_expr(xs[c], float(lam))
-        vals = _batched_var_pop(df, exprs)
-        for i, c in enumerate(columns):
+        cand = {c: [float(v) for v in np.linspace(lo[c], hi[c], grid)] for c in columns}
+        rows = [(c, str(j), "yeo", lam, 0.0) for c in columns for j, lam in enumerate(cand[c])]
+        var = {(q["feature"], q["cand"]): q["v"] for q in
+               long.join(_candidates(df, rows), "feature").withColumn("y", _apply_kind(F.col("x")))
+                   .groupBy("feature", "cand").agg(F.var_pop("y").alias("v")).collect()}
+        for c in columns:
+            n, sl = base.get(c, (0, 0.0))
             ll = []
             for j, lam in enumerate(cand[c]):
-                v = vals.get(f"{i}_{j}")
-                ll.append(-n[c] / 2 * math.log(v) + (lam - 1) * sl[c] if v and v > 0 else -math.inf)
+                v = var.get((c, str(j)))
+                ll.append(-n / 2 * math.log(v) + (lam - 1) * sl if v and v > 0 else -math.inf)
             k = int(np.argmax(ll))
-            best[c] = float(cand[c][k])
+            best[c] = cand[c][k]
             step = (hi[c] - lo[c]) / (grid - 1)
             if k == 0 and r == 0:          # optimum at the left edge: widen
                 lo[c], hi[c] = lo[c] - 4.0, lo[c] + step
@@ -134,15 +163,6 @@ def fit_yeo_lambdas(df: DataFrame, columns: list[str], rounds: int = 7, grid: in
     return best
 
 
-def _batched_var_pop(df, exprs):
-    names, out = list(exprs), {}
-    for i in range(0, len(names), BATCH):
-        part = names[i:i + BATCH]
-        row = df.agg(*[F.var_pop(exprs[n]).alias(f"v{j}") for j, n in enumerate(part)]).first()
-        out.update({n: row[f"v{j}"] for j, n in enumerate(part)})
-    return out
-
-
 class YeoJohnson(Estimator, DefaultParamsReadable, DefaultParamsWritable):
     """K4 as a stage: per-column lambda, then standardised to mean 0 and population std 1."""
 
@@ -154,10 +174,17 @@ class YeoJohnson(Estimator, DefaultParamsReadable, DefaultParamsWritable):
         super().__init__()
         self._setDefault(inputCols=[], standardize=True)
         self._set(**self._input_kwargs)
+        self._known_lambdas = None
+
+    def with_lambdas(self, lambdas: dict) -> "YeoJohnson":
+        self._known_lambdas = dict(lambdas)
+        return self
 
     def _fit(self, df):
         cols = self.getOrDefault(self.inputCols)
-        lams = fit_yeo_lambdas(df, cols)
+        known = self._known_lambdas or {}
+        lams = {c: known[c] for c in cols if c in known}
+        lams.update(fit_yeo_lambdas(df, [c for c in cols if c not in lams]))
         scale = {}
         if cols and self.getOrDefault(self.standardize):
             row = df.agg(*[F.avg(yeo_expr(_x(df, c), lams[c])).alias(f"m{i}") for i, c in enumerate(cols)],
@@ -189,8 +216,11 @@ def power_grid(max_power: float = 50, num: int = 100) -> list[float]:
 
 
 def evaluate_candidates(df: DataFrame, features: list[str], skews: dict[str, float], skew_threshold: float = 0.5,
-                        max_power: float = 50, round_to: int = 4) -> dict[str, dict[str, float]]:
-    """K5-K6 for many features: ``{feature: {candidate name: skew}}`` (insertion order as the reference)."""
+                        max_power: float = 50, round_to: int = 4, lambdas: dict | None = None
+                        ) -> dict[str, dict[str, float]]:
+    """K5-K6 for many features: ``{feature: {candidate name: skew}}`` (insertion order as the reference).
+
+    ``lambdas`` receives the fitted Yeo-Johnson lambdas (to reuse them)."""
     feats = [f for f in features if skews.get(f) is not None and abs(skews[f]) > skew_threshold]
     if not feats:
         return {}
@@ -199,41 +229,33 @@ def evaluate_candidates(df: DataFrame, features: list[str], skews: dict[str, flo
     lo = {f: mm[f"lo{i}"] for i, f in enumerate(feats)}
     hi = {f: mm[f"hi{i}"] for i, f in enumerate(feats)}
     grid = power_grid(max_power)
-    exprs, meta = {}, {}
-    for i, f in enumerate(feats):
-        x = _x(df, f)
-        if skews[f] > 0:
-            for j, p in enumerate(grid):
-                exprs[f"p{i}_{j}"] = power_expr(x, 1.0 / p)
-            shift = abs(lo[f]) + 1 if lo[f] is not None and lo[f] < 0 else 0.0
-            exprs[f"log{i}"] = log_expr(x, shift)
-        else:
-            exprs[f"sq{i}"] = power_expr(x, 2.0)
-            exprs[f"cu{i}"] = power_expr(x, 3.0)
-            exprs[f"log{i}"] = reflect_log_expr(x, hi[f])
-        meta[f] = i
-    sk = batched_skews(df, exprs)
     yeo = fit_yeo_lambdas(df, feats)
-    yexprs = {}
+    if lambdas is not None:
+        lambdas.update(yeo)
+    rows = []
     for f in feats:
-        yexprs[f] = yeo_expr(_x(df, f), yeo[f])
-    ysk = batched_skews(df, yexprs)  # standardising does not change skew
+        if skews[f] > 0:
+            rows += [(f, f"p{j}", "pow", 1.0 / p, 0.0) for j, p in enumerate(grid)]
+            rows.append((f, "log", "log", 0.0, abs(lo[f]) + 1 if lo[f] is not None and lo[f] < 0 else 0.0))
+        else:
+            rows += [(f, "2", "pow", 2.0, 0.0), (f, "3", "pow", 3.0, 0.0), (f, "log", "rlog", 0.0, float(hi[f]))]
+        rows.append((f, "yeo", "yeo", yeo[f], 0.0))  # standardising does not change skew
+    sk = candidate_skews(df, rows)
     results = {}
     for f in feats:
-        i = meta[f]
         res = {}
         if skews[f] > 0:
-            cand = {p: sk.get(f"p{i}_{j}") for j, p in enumerate(grid)}
+            cand = {p: sk.get((f, f"p{j}")) for j, p in enumerate(grid)}
             valid = {p: s for p, s in cand.items() if s is not None}
             if valid:
                 p_best = min(valid, key=lambda p: abs(valid[p]))
                 res[f"{round(1 / p_best, round_to)}"] = round(valid[p_best], round_to)
-            res["log"] = sk.get(f"log{i}")
+            res["log"] = sk.get((f, "log"))
         else:
-            res["2"] = sk.get(f"sq{i}")
-            res["3"] = sk.get(f"cu{i}")
-            res["log"] = sk.get(f"log{i}")
-        res["yeo"] = ysk.get(f)
+            res["2"] = sk.get((f, "2"))
+            res["3"] = sk.get((f, "3"))
+            res["log"] = sk.get((f, "log"))
+        res["yeo"] = sk.get((f, "yeo"))
         results[f] = {k: v for k, v in res.items() if v is not None}
     return results
 
@@ -370,7 +392,8 @@ class ReduceSkew(Estimator, DefaultParamsReadable, DefaultParamsWritable):
             return ReduceSkewModel(state={"choices": {}, "yeo": None})
         sk, lo, hi = _column_stats(df, feats)
         skewed = [f for f in feats if sk[f] is not None and abs(sk[f]) > thr]
-        results = evaluate_candidates(df, skewed, sk, thr)
+        lambdas = {}
+        results = evaluate_candidates(df, skewed, sk, thr, lambdas=lambdas)
         choices = {}
         for f in skewed:
             if not results.get(f):
@@ -381,7 +404,7 @@ class ReduceSkew(Estimator, DefaultParamsReadable, DefaultParamsWritable):
                 kind = "yeo"
             choices[f] = {"kind": kind, "min": lo[f], "max": hi[f], "positive": (sk[f] or 0) > 0}
         yeo_cols = [f for f, c in choices.items() if c["kind"] == "yeo"]
-        yeo = YeoJohnson(inputCols=yeo_cols).fit(df).fitted if yeo_cols else None
+        yeo = YeoJohnson(inputCols=yeo_cols).with_lambdas(lambdas).fit(df).fitted if yeo_cols else None
         return ReduceSkewModel(state={"choices": choices, "yeo": yeo, "direction": self.getOrDefault(self.direction)})
 
 

@@ -44,7 +44,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    df.persist()  # the eager checkpoint would otherwise compute the plan twice
+    out = df.checkpoint(eager=True)
+    df.unpersist()
+    return out
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
