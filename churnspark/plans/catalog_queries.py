@@ -644,3 +644,179 @@ def q_bivariate_table(spark, sf_dir):
 @query("regression_summary")
 def q_regression_summary(spark, sf_dir):
     return V.regression_summary(table(spark, sf_dir, "supplier"), "s_acctbal", "s_nationkey")
+
+
+# ---------------------------------------------------------------- sampling (M1-M3, M5, L3)
+from churnspark.operators import sampling as M  # noqa: E402
+from churnspark.operators.models import class_weights  # noqa: E402
+
+
+@query("stratified_split", """
+WITH c AS (SELECT quality, count(*) AS cnt FROM labels GROUP BY quality),
+t AS (SELECT sum(cnt) AS n, CAST(ceil(0.2 * sum(cnt)) AS BIGINT) AS n_test FROM c),
+a AS (SELECT quality, cnt, cnt * n_test / n AS cont, floor(cnt * n_test / n) AS fl, n_test FROM c, t),
+r AS (SELECT *, n_test - sum(fl) OVER () AS need,
+             row_number() OVER (ORDER BY cont - fl DESC, quality ASC) AS rk FROM a),
+k AS (SELECT quality, cnt, CAST(fl + CASE WHEN rk <= need THEN 1 ELSE 0 END AS BIGINT) AS n_te FROM r)
+SELECT 'test' AS split, quality, n_te AS count FROM k
+UNION ALL SELECT 'train', quality, cnt - n_te FROM k""")
+def q_stratified_split(spark, sf_dir):
+    t = M.split_labels(table(spark, sf_dir, "labels"), "quality", "doc_id", test_size=0.2, seed=42)
+    return t.groupBy("split", "quality").agg(F.count(F.lit(1)).alias("count"))
+
+
+@query("under_sample", """
+SELECT quality, (SELECT min(c) FROM (SELECT count(*) AS c FROM labels GROUP BY quality)) AS count
+FROM labels GROUP BY quality""")
+def q_under_sample(spark, sf_dir):
+    u = M.under_sample(table(spark, sf_dir, "labels"), "quality", "doc_id", seed=42)
+    return u.groupBy("quality").agg(F.count(F.lit(1)).alias("count"))
+
+
+@query("kfold_sizes", """
+WITH c AS (SELECT quality, count(*) AS cnt FROM labels GROUP BY quality),
+s AS (SELECT quality, cnt, sum(cnt) OVER (ORDER BY quality) - cnt AS a FROM c),
+f AS (SELECT CAST(i AS INTEGER) AS fold, quality,
+             CAST(floor((a + cnt - 1 - i) / 5.0) - floor((a - 1 - i) / 5.0) AS BIGINT) AS count
+      FROM s, range(5) t(i))
+SELECT fold, quality, count FROM f WHERE count > 0""")
+def q_kfold_sizes(spark, sf_dir):
+    k = M.stratified_kfold(table(spark, sf_dir, "labels"), "quality", "doc_id", n_splits=5)
+    return k.groupBy("fold", "quality").agg(F.count(F.lit(1)).alias("count"))
+
+
+@query("class_weights", """
+SELECT quality, round(n / (k * cnt) * CASE WHEN quality = 1 THEN 9.0 ELSE 1.0 END, 9) AS weight
+FROM (SELECT quality, count(*) AS cnt FROM labels GROUP BY quality),
+     (SELECT count(*) AS n, count(DISTINCT quality) AS k FROM labels)""")
+def q_class_weights(spark, sf_dir):
+    w = class_weights(table(spark, sf_dir, "labels"), "quality", positive_weight=9.0)
+    return spark.createDataFrame([(int(k), round(float(v) + 1e-13, 9)) for k, v in w.items()], "quality int, weight double")
+
+
+# ---------------------------------------------------------------- metrics
+from churnspark.operators import metrics as L  # noqa: E402
+
+SCORED_CTE = """sc AS (
+  SELECT l.doc_id, l.quality AS label, (d.n_chars % 1000) / 1000.0 AS score,
+         CASE WHEN (d.n_chars % 1000) / 1000.0 > 0.5 THEN 1.0 ELSE 0.0 END AS prediction
+  FROM labels l JOIN documents d ON l.doc_id = d.doc_id)"""
+
+
+def scored_labels(spark, sf_dir, variant: int = 0):
+    """A deterministic score per labelled document (the metric operators' input)."""
+    lab = table(spark, sf_dir, "labels")
+    doc = table(spark, sf_dir, "documents")
+    base = (F.col("n_chars") % 1000) / 1000.0 if variant == 0 else (F.col("doc_id") % 997) / 997.0
+    return (lab.join(doc, "doc_id").select("doc_id", F.col("quality").alias("label"), base.alias("score"))
+               .withColumn("prediction", (F.col("score") > 0.5).cast("double")))
+
+
+@query("confusion_metrics", f"""WITH {SCORED_CTE},
+c AS (SELECT CAST(count_if(label = 1 AND prediction = 1) AS DOUBLE) AS tp, CAST(count_if(label = 0 AND prediction = 1) AS DOUBLE) AS fp,
+             CAST(count_if(label = 0 AND prediction = 0) AS DOUBLE) AS tn, CAST(count_if(label = 1 AND prediction = 0) AS DOUBLE) AS fn FROM sc)
+SELECT round((tp + tn) / (tp + fp + tn + fn), 9) AS accuracy,
+       round(CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END, 9) AS precision,
+       round(CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END, 9) AS recall,
+       round(CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0 END, 9) AS f1,
+       CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, CAST(tn AS BIGINT) AS tn, CAST(fn AS BIGINT) AS fn FROM c""")
+def q_confusion_metrics(spark, sf_dir):
+    return round_doubles(L.confusion_metrics(scored_labels(spark, sf_dir), "label", "prediction"), 9)
+
+
+@query("roc_auc", f"""WITH {SCORED_CTE},
+r AS (SELECT label, (2 * rank() OVER (ORDER BY score) + count(*) OVER (PARTITION BY score) - 1) / 2.0 AS rk FROM sc),
+a AS (SELECT sum(CASE WHEN label = 1 THEN rk ELSE 0 END) AS rs, CAST(count_if(label = 1) AS DOUBLE) AS n1,
+             CAST(count_if(label = 0) AS DOUBLE) AS n0 FROM r)
+SELECT round((rs - n1 * (n1 + 1) / 2) / (n1 * n0), 9) AS roc_auc FROM a""")
+def q_roc_auc(spark, sf_dir):
+    return round_doubles(L.roc_auc(scored_labels(spark, sf_dir), "label", "score"), 9)
+
+
+PR_SQL = f"""WITH {SCORED_CTE},
+s AS (SELECT score AS s, count(*) AS c, count_if(label = 1) AS p FROM sc GROUP BY score),
+w AS (SELECT s, p, sum(c) OVER (ORDER BY s DESC) AS allc, sum(p) OVER (ORDER BY s DESC) AS tp,
+             sum(p) OVER () AS npos FROM s)"""
+
+
+@query("pr_curve", PR_SQL + """
+SELECT round(s, 9) AS threshold, round(tp / allc, 9) AS precision, round(tp / npos, 9) AS recall FROM w""")
+def q_pr_curve(spark, sf_dir):
+    c = L.pr_curve(scored_labels(spark, sf_dir), "label", "score").drop("__dp")
+    return round_doubles(c, 9)
+
+
+@query("average_precision", PR_SQL + """
+SELECT round(sum(p * (tp / allc)) / sum(p), 9) AS average_precision FROM w""")
+def q_average_precision(spark, sf_dir):
+    return round_doubles(L.average_precision(scored_labels(spark, sf_dir), "label", "score"), 9)
+
+
+@query("class_report", f"""WITH {SCORED_CTE},
+e AS (SELECT CAST(label AS VARCHAR) AS y, CAST(CAST(prediction AS INTEGER) AS VARCHAR) AS p FROM sc),
+k AS (SELECT cls, sum(sup) AS support, sum(pred) AS predicted, sum(tp) AS tp FROM (
+        SELECT y AS cls, 1 AS sup, 0 AS pred, CASE WHEN y = p THEN 1 ELSE 0 END AS tp FROM e
+        UNION ALL SELECT p, 0, 1, 0 FROM e) GROUP BY cls),
+m AS (SELECT cls AS class, CASE WHEN predicted > 0 THEN tp / predicted ELSE 0 END AS precision,
+             CASE WHEN support > 0 THEN tp / support ELSE 0 END AS recall, support FROM k),
+f AS (SELECT class, precision, recall,
+             CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0 END AS f1,
+             CAST(support AS BIGINT) AS support FROM m)
+SELECT class, round(precision, 9) AS precision, round(recall, 9) AS recall, round(f1, 9) AS f1, support FROM f
+UNION ALL SELECT 'macro avg', round(avg(precision), 9), round(avg(recall), 9), round(avg(f1), 9), CAST(sum(support) AS BIGINT) FROM f
+UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support), 9), round(sum(recall * support) / sum(support), 9),
+                 round(sum(f1 * support) / sum(support), 9), CAST(sum(support) AS BIGINT) FROM f""")
+def q_class_report(spark, sf_dir):
+    s = scored_labels(spark, sf_dir).withColumn("prediction", F.col("prediction").cast("int"))
+    return round_doubles(L.classification_report(s, "label", "prediction"), 9)
+
+
+# ---------------------------------------------------------------- skew (K2-K5, K9)
+from churnspark.operators import skew as K  # noqa: E402
+
+
+@query("power_search", """
+WITH g AS (SELECT i AS j, 1.01 + i * ((50 - 1.01) / 99) AS p FROM range(100) t(i)),
+v AS (SELECT j, p, skewness(power(value, 1 / p)) AS sk FROM g, events WHERE value IS NOT NULL GROUP BY j, p)
+SELECT CAST(j AS INTEGER) AS j, round(1 / p, 6) AS exponent, round(sk, 6) AS skew FROM v""")
+def q_power_search(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    grid = K.power_grid(50)
+    sk = K.candidate_skews(ev, [("value", str(j), "pow", 1.0 / p, 0.0) for j, p in enumerate(grid)])
+    rows = [(j, 1.0 / p, sk[("value", str(j))]) for j, p in enumerate(grid)]
+    return round_doubles(spark.createDataFrame(rows, "j int, exponent double, skew double"), 6)
+
+
+@query("log_transform", "SELECT event_id, round(ln(value + 1e-7), 6) AS value_log FROM events")
+def q_log_transform(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    return round_doubles(ev.select("event_id", K.log_expr(F.col("value")).alias("value_log")), 6)
+
+
+@query("binary_fallback", """
+SELECT event_id, CASE WHEN value IS NULL OR value <> (SELECT min(value) FROM events) THEN 1 ELSE 0 END AS value_binary
+FROM events""")
+def q_binary_fallback(spark, sf_dir):
+    ev = table(spark, sf_dir, "events").select("event_id", "value")
+    lo = ev.agg(F.min("value")).first()[0]
+    return K.fallback_to_binary(ev, "value", True, lo, None).select("event_id", "value_binary")
+
+
+@query("yeo_johnson")
+def q_yeo_johnson(spark, sf_dir):
+    ev = table(spark, sf_dir, "events").select("event_id", "value")
+    m = K.YeoJohnson(inputCols=["value"]).fit(ev)
+    return m.transform(ev)
+
+
+@query("reduce_skew")
+def q_reduce_skew(spark, sf_dir):
+    ev = table(spark, sf_dir, "events").select("event_id", "user_id", "value")
+    m = K.ReduceSkew(exclude=["event_id"]).fit(ev)
+    return m.transform(ev)
+
+
+@query("correct_skew")
+def q_correct_skew(spark, sf_dir):
+    out, results, name = K.correct_skew(table(spark, sf_dir, "events").select("event_id", "value"), "value")
+    return out
