@@ -37,7 +37,7 @@ def tree_weights(model) -> list[float]:
 def _pack(model):
     nodes = tree_nodes(model).select("treeID", "id", "prediction", "rawCount", "leftChild", "rightChild",
                                      F.col("split.featureIndex").alias("feature"),
-                                     F.col("split.leftCategoriesOrThreshold").getItem(0).alias("threshold"))
+                                     F.try_element_at(F.col("split.leftCategoriesOrThreshold"), F.lit(1)).alias("threshold"))
     n = nodes.count()
     if n > MAX_NODES:
         raise ValueError(f"model has {n} nodes; more than the broadcast bound {MAX_NODES}")

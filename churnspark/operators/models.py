@@ -28,15 +28,19 @@ class FeatureAssembler(Transformer, DefaultParamsReadable, DefaultParamsWritable
     """Assemble every numeric column except keys/labels into ``features``.
 
     The width of the preprocessed table is data dependent (pruning, one-hot),
-    so the column list is read from the frame's schema at transform time."""
+    so the column list is read from the frame's schema at transform time.
+    Spark's trees do not accept missing values (the reference's booster
+    does), so missing entries become ``fillValue`` — 0, which is the training
+    mean of every standard-scaled column."""
 
     exclude = Param(Params._dummy(), "exclude", "", TypeConverters.toListString)
     outputCol = Param(Params._dummy(), "outputCol", "", TypeConverters.toString)
+    fillValue = Param(Params._dummy(), "fillValue", "value for missing entries", TypeConverters.toFloat)
 
     @keyword_only
-    def __init__(self, exclude=None, outputCol="features"):
+    def __init__(self, exclude=None, outputCol="features", fillValue=0.0):
         super().__init__()
-        self._setDefault(exclude=[], outputCol="features")
+        self._setDefault(exclude=[], outputCol="features", fillValue=0.0)
         self._set(**self._input_kwargs)
 
     def feature_columns(self, df: DataFrame) -> list[str]:
@@ -46,7 +50,9 @@ class FeatureAssembler(Transformer, DefaultParamsReadable, DefaultParamsWritable
 
     def _transform(self, df):
         cols = self.feature_columns(df)
-        cast = df.withColumns({c: F.col(f"`{c}`").cast("double") for c in cols})
+        fill = F.lit(float(self.getOrDefault(self.fillValue)))
+        cast = df.withColumns({c: F.coalesce(F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double")), fill)
+                               for c in cols})
         return VectorAssembler(inputCols=cols, outputCol=self.getOrDefault(self.outputCol),
                                handleInvalid="keep").transform(cast)
 

@@ -820,3 +820,167 @@ def q_reduce_skew(spark, sf_dir):
 def q_correct_skew(spark, sf_dir):
     out, results, name = K.correct_skew(table(spark, sf_dir, "events").select("event_id", "value"), "value")
     return out
+
+
+# ---------------------------------------------------------------- sources and sinks
+from churnspark.session import scratch_path  # noqa: E402
+from churnspark.sources import io as IO  # noqa: E402
+
+
+@query("csv_roundtrip", "SELECT * FROM customer")
+def q_csv_roundtrip(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    path = scratch_path(spark, "csv")
+    IO.write_csv(c, path)
+    return IO.read_csv(spark, path, c.schema)
+
+
+@query("load_with_fallback", "SELECT * FROM orders")
+def q_load_with_fallback(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    path = scratch_path(spark, "fallback")
+    IO.write_csv(o, path)
+    return IO.load_table(spark, scratch_path(spark, "missing"), fallback=path, schema=o.schema)
+
+
+@query("dataset_manifest", """
+SELECT 'customer' AS name, 'training' AS context, count(*) AS num_rows, count(*) * 5 AS num_elements FROM customer""")
+def q_dataset_manifest(spark, sf_dir):
+    root = scratch_path(spark, "store")
+    m = IO.log_dataset(table(spark, sf_dir, "customer"), root, "customer", f"{sf_dir}/customer.parquet", "training")
+    return m.select("name", "context", "num_rows", "num_elements")
+
+
+# ---------------------------------------------------------------- models
+from churnspark.operators import explain as X  # noqa: E402
+from churnspark.operators import models as ML  # noqa: E402
+from churnspark.operators.encode import ScaleEncode  # noqa: E402
+
+
+def document_matrix(spark, sf_dir):
+    """labels joined to documents: size, language and source as features, ``quality`` as target."""
+    lab = table(spark, sf_dir, "labels")
+    doc = table(spark, sf_dir, "documents").select("doc_id", "n_chars", "lang", "source")
+    d = lab.select("doc_id", "quality").join(doc, "doc_id")
+    enc = ScaleEncode(exclude=["doc_id", "quality"]).fit(d).transform(d)
+    return ML.FeatureAssembler(exclude=["doc_id", "quality", "weight"]).transform(enc)
+
+
+def _weighted_split(spark, sf_dir):
+    m = document_matrix(spark, sf_dir)
+    tagged = M.split_labels(m, "quality", "doc_id", 0.2, 42)
+    train = tagged.where(F.col("split") == "train")
+    train = ML.with_weights(train, "quality", ML.class_weights(train, "quality", positive_weight=9.0))
+    return train, tagged.where(F.col("split") == "test"), m
+
+
+@query("gbt_score")
+def q_gbt_score(spark, sf_dir):
+    train, val, _ = _weighted_split(spark, sf_dir)
+    model = ML.boosted_trees("quality").fit(train)
+    return ML.predict(model, val).select("doc_id", "quality", "score", "prediction")
+
+
+@query("logistic_score")
+def q_logistic_score(spark, sf_dir):
+    train, val, _ = _weighted_split(spark, sf_dir)
+    wsum = train.agg(F.sum("weight")).first()[0]
+    model = ML.logistic("quality", weight_sum=wsum).fit(train)
+    return ML.predict(model, val).select("doc_id", "quality", "score", "prediction")
+
+
+@query("cross_validate")
+def q_cross_validate(spark, sf_dir):
+    m = document_matrix(spark, sf_dir)
+    folds = M.stratified_kfold(m, "quality", "doc_id", 5)
+    folds = ML.with_weights(folds, "quality", ML.class_weights(folds, "quality", positive_weight=9.0))
+    return ML.cross_validate(ML.boosted_trees("quality"), folds, "quality", "fold", 5)
+
+
+def _doc_model(spark, sf_dir):
+    train, val, m = _weighted_split(spark, sf_dir)
+    model = ML.boosted_trees("quality").fit(train)
+    names = ML.FeatureAssembler(exclude=["doc_id", "quality", "weight", "split"]).feature_columns(
+        train.drop("features"))
+    return model, names, val
+
+
+@query("feature_importance")
+def q_feature_importance(spark, sf_dir):
+    model, names, _ = _doc_model(spark, sf_dir)
+    return ML.top_k(ML.tree_importance(model, names), "gain_importance", 10)
+
+
+@query("select_features")
+def q_select_features(spark, sf_dir):
+    model, names, _ = _doc_model(spark, sf_dir)
+    kept = ML.select_by_importance(ML.tree_importance(model, names))
+    return spark.createDataFrame([(f,) for f in kept], "feature string")
+
+
+@query("tree_shap")
+def q_tree_shap(spark, sf_dir):
+    model, names, val = _doc_model(spark, sf_dir)
+    return X.tree_shap(model, val, "doc_id", names)
+
+
+@query("model_comparison", f"""WITH {SCORED_CTE.replace('sc AS', 'sa AS')},
+{SCORED_CTE.replace('sc AS', 'sb AS').replace('(d.n_chars % 1000) / 1000.0', '(l.doc_id % 997) / 997.0')},
+m AS (
+  SELECT 'a' AS model, label, prediction FROM sa UNION ALL SELECT 'b', label, prediction FROM sb),
+c AS (SELECT model, CAST(count_if(label = 1 AND prediction = 1) AS DOUBLE) AS tp, CAST(count_if(label = 0 AND prediction = 1) AS DOUBLE) AS fp,
+             CAST(count_if(label = 0 AND prediction = 0) AS DOUBLE) AS tn, CAST(count_if(label = 1 AND prediction = 0) AS DOUBLE) AS fn
+      FROM m GROUP BY model),
+v AS (SELECT model, 'accuracy' AS metric, (tp + tn) / (tp + fp + tn + fn) AS value FROM c
+      UNION ALL SELECT model, 'precision', CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END FROM c
+      UNION ALL SELECT model, 'recall', CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END FROM c
+      UNION ALL SELECT model, 'f1', CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0 END FROM c)
+SELECT metric, round(max(CASE WHEN model = 'a' THEN value END), 9) AS a, round(max(CASE WHEN model = 'b' THEN value END), 9) AS b
+FROM v GROUP BY metric""")
+def q_model_comparison(spark, sf_dir):
+    tabs = []
+    for name, variant in (("a", 0), ("b", 1)):
+        t = L.metrics_table(scored_labels(spark, sf_dir, variant), name, "label", "prediction", "score")
+        tabs.append(t.where(F.col("metric") != "roc_auc"))
+    return round_doubles(L.compare_models(tabs), 9)
+
+
+# ---------------------------------------------------------------- composed plans
+from churnspark.plans import scenario as SC  # noqa: E402
+
+
+@query("preprocessed_matrix")
+def q_preprocessed_matrix(spark, sf_dir):
+    """Merged client + price features, fitted preprocessing applied to all clients."""
+    from churnspark.plans import domain as dm
+    from churnspark.plans.preprocess import preprocess_estimator
+    from churnspark.session import cut_lineage
+    merged = cut_lineage(SC.merged_with_labels(dm.client_table(spark, sf_dir), dm.price_table(spark, sf_dir),
+                                               dm.churn_labels(spark, sf_dir)))
+    return preprocess_estimator([dm.ID, "churn"]).fit(merged).transform(merged)
+
+
+@query("scenario_effect")
+def q_scenario_effect(spark, sf_dir):
+    return SC.scenario_effect(spark, sf_dir)
+
+
+@query("scenario_summary")
+def q_scenario_summary(spark, sf_dir):
+    return SC.scenario_summary(SC.scenario_comparison(SC.fit_churn_model(spark, sf_dir)))
+
+
+@query("batch_inference")
+def q_batch_inference(spark, sf_dir):
+    """C6 + S6 + S7: fit, store, reload the full pipeline and score the validation clients."""
+    from churnspark.plans import domain as dm
+    fitted = SC.fit_churn_model(spark, sf_dir)
+    path = scratch_path(spark, "pipeline")
+    IO.save_pipeline(fitted.model, path)
+    model = IO.load_pipeline(path)
+    ids = fitted.validation_ids
+    out = SC.batch_inference(model, M.aligned_split(fitted.client, ids, dm.ID), M.aligned_split(fitted.prices, ids, dm.ID),
+                             fitted.labels)
+    IO.log_run(spark, scratch_path(spark, "runs"), "inference", {"n_estimators": 100, "scale_pos_weight": 9.0},
+               out.first().asDict())
+    return out
