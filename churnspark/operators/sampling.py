@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnspark.operators.order import with_position
@@ -107,3 +107,69 @@ def stratified_kfold(df: DataFrame, label: str, key, n_splits: int = 5, out_col:
             e = F.when(F.col("__pos") < cuts[i], F.lit(i)) if e is None else F.when(F.col("__pos") < cuts[i], F.lit(i)).otherwise(e)
         fold = F.when(F.col(label).eqNullSafe(F.lit(k)), e) if fold is None else fold.when(F.col(label).eqNullSafe(F.lit(k)), e)
     return pos.withColumn(out_col, fold.cast("int")).drop("__pos")
+
+
+def nearest_neighbours(points: DataFrame, names: list[str], k: int = 5, metric: str = "euclidean",
+                       start_radius: float | None = None, max_rounds: int = 40) -> DataFrame:
+    """The k nearest other points of every point: ``(p, rank, q, d)``, ties by key.
+
+    Radius per point: start small and double only for the points that still
+    have fewer than k neighbours, so each point's candidate set stays near
+    its own k-neighbourhood (bounded distance joins, no all-pairs)."""
+    from churnspark.operators.density import pairs_within
+    from churnspark.session import cut_lineage
+    spread = points.agg(*[(F.max(n) - F.min(n)).alias(n) for n in names]).first()
+    diam = sum(abs(spread[n] or 0.0) for n in names) or 1.0
+    n = points.count()
+    radius = start_radius or diam / max(n, 1) ** (1.0 / max(len(names), 1))
+    todo = points
+    found = []
+    for _ in range(max_rounds):
+        pr = pairs_within(points, names, radius, metric, left=todo).where(F.col("p") != F.col("q"))
+        w = Window.partitionBy("p").orderBy("d", "q")
+        top = cut_lineage(pr.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k))
+        done = top.groupBy("p").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= k).select("p")
+        found.append(top.join(done, "p"))
+        todo = todo.join(done.withColumnRenamed("p", "__id"), "__id", "left_anti")
+        if todo.isEmpty() or radius > 2 * diam:
+            if not todo.isEmpty():      # fewer than k other points exist: keep what there is
+                found.append(top.join(todo.select(F.col("__id").alias("p")), "p"))
+            break
+        radius *= 2
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def smote(df: DataFrame, label: str, key: str, features: list[str], k: int = 5, seed: int = 42) -> DataFrame:
+    """M4: synthetic minority rows ``x + u * (neighbour - x)`` until both classes have equal size.
+
+    Base row, neighbour rank and ``u`` come from seeded hashes of the new
+    row's index (a different random stream than other libraries: check
+    counts and convexity, not values).  Synthetic rows get ``key`` NULL."""
+    counts = class_counts(df, label)
+    minority = min(counts, key=lambda c: counts[c])
+    n_new = max(counts.values()) - counts[minority]
+    minor = df.where(F.col(label) == F.lit(minority))
+    pts = minor.select(F.col(key).alias("__id"), *[F.col(f).cast("double").alias(f"f{i}") for i, f in enumerate(features)])
+    names = [f"f{i}" for i in range(len(features))]
+    nn = nearest_neighbours(pts, names, k)
+    m = counts[minority]
+    indexed = with_position(pts.withColumn("__g", F.lit(0)), ["__g"], ["__id"], pos_col="__pos", max_keys=1).drop("__g")
+    spark = df.sparkSession
+    j = F.col("id")
+    new = (spark.range(n_new)
+           .withColumn("__pos", F.pmod(F.xxhash64(j, F.lit(seed)), F.lit(m)))
+           .withColumn("rank", F.pmod(F.xxhash64(j, F.lit(seed + 1)), F.lit(k)) + 1)
+           .withColumn("u", F.pmod(F.xxhash64(j, F.lit(seed + 2)), F.lit(1 << 53)) / float(1 << 53)))
+    base = new.join(indexed, "__pos").withColumnRenamed("__id", "p")
+    kn = nn.groupBy("p").agg(F.count(F.lit(1)).alias("__kp"))
+    base = base.join(kn, "p").withColumn("rank", F.pmod(F.col("rank") - 1, F.col("__kp")) + 1)
+    nbr = pts.select(F.col("__id").alias("q"), *[F.col(n).alias(f"n_{n}") for n in names])
+    syn = base.join(nn.select("p", "rank", "q"), ["p", "rank"]).join(nbr, "q")
+    out_cols = {f: F.col(f"f{i}") + F.col("u") * (F.col(f"n_f{i}") - F.col(f"f{i}")) for i, f in enumerate(features)}
+    synthetic = syn.select(F.lit(None).cast(dict(df.dtypes)[key]).alias(key), F.lit(minority).alias(label),
+                           *[e.alias(f) for f, e in out_cols.items()])
+    original = df.select(key, label, *[F.col(f).cast("double") for f in features])
+    return original.unionByName(synthetic)

@@ -984,3 +984,74 @@ def q_batch_inference(spark, sf_dir):
     IO.log_run(spark, scratch_path(spark, "runs"), "inference", {"n_estimators": 100, "scale_pos_weight": 9.0},
                out.first().asDict())
     return out
+
+
+# ---------------------------------------------------------------- density outliers
+from churnspark.operators import density as DB  # noqa: E402
+
+DB_POINTS_CTE = """s AS (
+  SELECT s_suppkey AS k, (s_acctbal - mn1) / (mx1 - mn1) AS f0, (CAST(s_nationkey AS DOUBLE) - mn2) / (mx2 - mn2) AS f1
+  FROM supplier, (SELECT min(s_acctbal) AS mn1, max(s_acctbal) AS mx1, CAST(min(s_nationkey) AS DOUBLE) AS mn2,
+                         CAST(max(s_nationkey) AS DOUBLE) AS mx2 FROM supplier)),
+pr AS (SELECT a.k AS p, b.k AS q, abs(a.f0 - b.f0) + abs(a.f1 - b.f1) AS d FROM s a, s b)"""
+
+_STEP = "CAST(0.01 AS DOUBLE)"
+_I0 = f"CAST(greatest(ceil(d / {_STEP}) - 1, 0) AS BIGINT)"
+
+DBSCAN_TABLE_SQL = f"""WITH {DB_POINTS_CTE},
+g AS (SELECT p, q, CASE WHEN d > {_STEP} + {_I0} * {_STEP} THEN {_I0} + 1
+                        WHEN {_I0} > 0 AND d <= {_STEP} + ({_I0} - 1) * {_STEP} THEN {_I0} - 1 ELSE {_I0} END AS gi FROM pr),
+core AS (SELECT q, gi AS cg FROM (SELECT q, gi, row_number() OVER (PARTITION BY q ORDER BY gi) AS rn FROM g) WHERE rn = 5),
+reach AS (SELECT g.p, min(greatest(g.gi, core.cg)) AS r FROM g JOIN core ON g.q = core.q GROUP BY g.p),
+pts AS (SELECT s.k, reach.r FROM s LEFT JOIN reach ON s.k = reach.p),
+noise AS (SELECT i, count_if(r IS NULL OR r > i) AS nz, count(*) AS n FROM range(500) t(i), pts GROUP BY i),
+stp AS (SELECT coalesce(min(i), 499) AS si FROM noise WHERE nz = 0)
+SELECT round({_STEP} + i * {_STEP}, 6) AS eps, round_even(100.0 * nz / n, 2) AS "percentage_outliers(%)",
+       round(abs(round_even(100.0 * nz / n, 2) - 2.0), 6) AS diff
+FROM noise, stp WHERE i <= si"""
+
+
+@query("dbscan_eps_table", DBSCAN_TABLE_SQL)
+def q_dbscan_eps_table(spark, sf_dir):
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal", "s_nationkey")
+    t, _ = DB.search_eps(s, "s_suppkey", "manhattan", min_samples=5, eps_step=0.01, desired_percentage_outliers=0.02)
+    return round_doubles(t, 6)
+
+
+@query("dbscan_clean", f"""WITH {DB_POINTS_CTE},
+w AS (SELECT * FROM pr WHERE d <= 0.05),
+core AS (SELECT q FROM w GROUP BY q HAVING count(*) >= 5),
+reached AS (SELECT DISTINCT p FROM w JOIN core USING (q))
+SELECT s_suppkey, s_acctbal, s_nationkey FROM supplier WHERE s_suppkey IN (SELECT p FROM reached)""")
+def q_dbscan_clean(spark, sf_dir):
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal", "s_nationkey")
+    return DB.clean_outliers_dbscan(s, "s_suppkey", 0.05, "manhattan", 5)
+
+
+# ---------------------------------------------------------------- imputation
+
+
+@query("impute_outliers")
+def q_impute_outliers(spark, sf_dir):
+    """Lineitem outliers (by the threshold rule) set missing and re-estimated from the other columns."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                                                  "l_discount", "l_tax", "l_returnflag")
+    return O.clean_outliers(li, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], "impute",
+                            output_column="l_returnflag")
+
+
+@query("iterative_impute")
+def q_iterative_impute(spark, sf_dir):
+    """Customer balances missing by key rule, estimated from nation and segment."""
+    c = customer_with_nulls(spark, sf_dir).select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
+    from churnspark.operators.impute import iterative_impute
+    return iterative_impute(c, targets=["c_acctbal"], predictors=["c_nationkey", "c_acctbal", "c_mktsegment"])
+
+
+@query("smote")
+def q_smote(spark, sf_dir):
+    """Minority documents (by quality) oversampled in (n_chars, doc length in words) space."""
+    d = table(spark, sf_dir, "labels").join(table(spark, sf_dir, "documents"), "doc_id").select(
+        "doc_id", "quality", F.col("n_chars").cast("double").alias("n_chars"),
+        F.size(F.split(F.col("text"), r"\s+")).cast("double").alias("n_words"))
+    return M.smote(d, "quality", "doc_id", ["n_chars", "n_words"], k=5, seed=42)
