@@ -1055,3 +1055,131 @@ def q_smote(spark, sf_dir):
         "doc_id", "quality", F.col("n_chars").cast("double").alias("n_chars"),
         F.size(F.split(F.col("text"), r"\s+")).cast("double").alias("n_words"))
     return M.smote(d, "quality", "doc_id", ["n_chars", "n_words"], k=5, seed=42)
+
+
+# ---------------------------------------------------------------- composed branches (C1-C3) with twins
+from churnspark.plans import domain as DM  # noqa: E402
+from churnspark.plans import preprocess as PP  # noqa: E402
+
+CLIENT_SQL = """
+WITH f AS (SELECT o_custkey, min(o_orderdate) AS d FROM orders GROUP BY o_custkey)
+SELECT c.c_custkey, c.c_nationkey, c.c_acctbal, c.c_mktsegment,
+       date_diff('day', f.d, f.d + INTERVAL 3650 DAY) AS contract_length,
+       date_diff('day', f.d + INTERVAL 3650 DAY, TIMESTAMP '2020-01-01') AS days_until_end,
+       date_diff('day', f.d + INTERVAL 365 DAY, TIMESTAMP '2020-01-01') AS days_until_renewal,
+       date_diff('day', f.d + INTERVAL 30 DAY, TIMESTAMP '2020-01-01') AS days_since_modification
+FROM customer c JOIN f ON c.c_custkey = f.o_custkey"""
+
+
+@query("client_features", CLIENT_SQL)
+def q_client_features(spark, sf_dir):
+    """Parse the contract dates (five layouts), drop incomplete clients, derive day counts."""
+    return PP.client_branch(DM.client_table(spark, sf_dir), DM.DATE_COLUMNS)
+
+
+PRICE_SQL = """
+WITH o AS (SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice,
+                  row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) - 1 AS pos FROM orders),
+g AS (SELECT o_custkey, count(*) AS n, avg(o_totalprice) AS m, stddev_samp(o_totalprice) AS s,
+             first(o_totalprice ORDER BY o_orderdate DESC, o_orderkey ASC) AS lst,
+             first(o_totalprice ORDER BY o_orderdate ASC, o_orderkey ASC) AS fst,
+             regr_slope(o_totalprice, pos) AS slope FROM o GROUP BY o_custkey)
+SELECT o_custkey AS c_custkey, round(m, 4) AS mean_o_totalprice, round(lst, 4) AS last_o_totalprice,
+       round(lst - fst, 4) AS difference_o_totalprice, round(CASE WHEN n >= 2 THEN slope END, 4) AS o_totalprice_slope,
+       round(s, 4) AS std_o_totalprice FROM g"""
+
+
+@query("price_features", PRICE_SQL)
+def q_price_features(spark, sf_dir):
+    """Drop incomplete price rows, one aggregation of series features per client."""
+    p = PP.price_branch(DM.price_table(spark, sf_dir), DM.PRICE_COLUMNS, DM.ID, "price_date", ["price_seq"])
+    return round_doubles(p, 4)
+
+
+@query("merged_features", f"""WITH cl AS ({CLIENT_SQL}), pr AS ({PRICE_SQL})
+SELECT cl.*, pr.mean_o_totalprice, pr.last_o_totalprice, pr.difference_o_totalprice, pr.o_totalprice_slope,
+       pr.std_o_totalprice FROM cl JOIN pr ON cl.c_custkey = pr.c_custkey""")
+def q_merged_features(spark, sf_dir):
+    """Client and price branches joined on the key."""
+    m = PP.merge_inputs(DM.client_table(spark, sf_dir), DM.price_table(spark, sf_dir), DM.ID, DM.DATE_COLUMNS,
+                        DM.PRICE_COLUMNS, "price_date", ["price_seq"])
+    return round_doubles(m, 4, {"c_acctbal": 6})
+
+
+@query("discount_projection", """
+SELECT l_orderkey, l_linenumber, round(l_extendedprice * 0.85, 6) AS l_extendedprice, round(l_tax * 0.85, 6) AS l_tax
+FROM lineitem""")
+def q_discount_projection(spark, sf_dir):
+    """Prices x (1 - 0.15)."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_tax")
+    return round_doubles(PP.discount_prices(li, ["l_extendedprice", "l_tax"], 0.15), 6)
+
+
+# ---------------------------------------------------------------- summaries
+
+@query("regression_stats", """
+WITH p AS (SELECT CAST(s_acctbal AS DOUBLE) AS x, CAST(s_nationkey AS DOUBLE) AS y FROM supplier
+           WHERE s_acctbal IS NOT NULL AND s_nationkey IS NOT NULL),
+r AS (SELECT x, y, (2 * rank() OVER (ORDER BY x) + count(*) OVER (PARTITION BY x) - 1) / 2.0 AS rx,
+             (2 * rank() OVER (ORDER BY y) + count(*) OVER (PARTITION BY y) - 1) / 2.0 AS ry FROM p)
+SELECT round(regr_slope(y, x), 3) AS slope, round(regr_intercept(y, x), 3) AS intercept, round(corr(x, y), 3) AS pearson_r,
+       round(corr(rx, ry), 3) AS spearman, round(skewness(x), 3) AS skew_1, round(skewness(y), 3) AS skew_2 FROM r""")
+def q_regression_stats(spark, sf_dir):
+    """V10 without tail probabilities (those are unit-tested)."""
+    s = V.regression_summary(table(spark, sf_dir, "supplier"), "s_acctbal", "s_nationkey", 3, with_kendall=False)
+    return s.select("slope", "intercept", "pearson_r", "spearman", "skew_1", "skew_2")
+
+
+@query("bar_summary", ANOVA_SQL.replace("GROUP BY 1),", "GROUP BY 1 HAVING count(*) >= 2),"))
+def q_bar_summary(spark, sf_dir):
+    """More than two valid groups -> ANOVA over the valid groups (pairwise Welch separately)."""
+    _, test, _ = V.bar_summary(table(spark, sf_dir, "customer"), "c_acctbal", "c_mktsegment")
+    return round_doubles(test.select("F", "df_between", "df_within"), 6)
+
+
+@query("heatmap_summary", _shares_sql("PARTITION BY o_orderpriority"))
+def q_heatmap_summary(spark, sf_dir):
+    """Counts with column shares (the chi-squared part is the ``chi2`` query)."""
+    shares, _ = V.heatmap_summary(table(spark, sf_dir, "orders"), "o_orderstatus", "o_orderpriority", axis_sum=0)
+    return round_doubles(shares, 6)
+
+
+# ---------------------------------------------------------------- skew helpers
+
+@query("binary_conversion", "SELECT l_orderkey, l_linenumber, " + ", ".join(
+    f"""CASE WHEN (SELECT skewness({c}) FROM lineitem) > 0
+             THEN CAST({c} IS NULL OR {c} <> (SELECT min({c}) FROM lineitem) AS INTEGER)
+             ELSE CAST({c} IS NULL OR {c} <> (SELECT max({c}) FROM lineitem) AS INTEGER) END AS {c}"""
+    for c in ["l_quantity", "l_discount"]) + " FROM lineitem")
+def q_binary_conversion(spark, sf_dir):
+    """Direction from the skew of the frame being converted."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount")
+    mm = li.agg(F.min("l_quantity"), F.max("l_quantity"), F.min("l_discount"), F.max("l_discount")).first()
+    return K.convert_to_binary(li, ["l_quantity", "l_discount"], {"l_quantity": mm[0], "l_discount": mm[2]},
+                               {"l_quantity": mm[1], "l_discount": mm[3]})
+
+
+@query("subsample_counts", """
+SELECT least(count(value), 5000) AS sampled, count(value) AS available FROM events""")
+def q_subsample_counts(spark, sf_dir):
+    """K1: rows without a missing value, at most 5000 chosen by a seeded hash."""
+    ev = table(spark, sf_dir, "events")
+    s = K.subsample(ev, "value", 5000, 42)
+    return s.agg(F.count(F.lit(1)).alias("sampled")).withColumn(
+        "available", ev.where(F.col("value").isNotNull()).agg(F.count(F.lit(1))).scalar())
+
+
+@query("skew_candidates")
+def q_skew_candidates(spark, sf_dir):
+    """K5-K7: every candidate's skew and the chosen transformation for the events value."""
+    ev = table(spark, sf_dir, "events")
+    sk = {"value": ev.agg(adj_skew_col("value")).first()[0]}
+    res = K.evaluate_candidates(ev, ["value"], sk)["value"]
+    best, ok = K.select_best_transformation(res)
+    return spark.createDataFrame([(k, float(v), k == best, ok) for k, v in res.items()],
+                                 "candidate string, skew double, chosen boolean, within_threshold boolean")
+
+
+def adj_skew_col(c):
+    from churnspark.functions.exprs import adj_skew
+    return adj_skew(F.col(c))
