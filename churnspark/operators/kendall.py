@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from churnspark.operators.order import with_cumsum
 
 MAX_CHUNKS = 1024
-MIN_CHUNK_ROWS = 50_000
+MIN_CHUNK_ROWS = 200_000
 
 
 def _dominance_s(key: np.ndarray, y: np.ndarray, w: np.ndarray) -> float:
@@ -66,10 +66,58 @@ def _dominance_s(key: np.ndarray, y: np.ndarray, w: np.ndarray) -> float:
     return s
 
 
+def weighted_inversions(y: np.ndarray, w: np.ndarray) -> float:
+    """sum of w_i w_j over i < j with y_i > y_j (bottom-up merge, vectorised per level)."""
+    n = len(y)
+    if n < 2:
+        return 0.0
+    ys = np.unique(y, return_inverse=True)[1].astype(np.int64)
+    ws = w.astype(np.float64)
+    big = int(ys.max()) + 1
+    idx = np.arange(n)
+    total, b = 0.0, 1
+    while b < n:
+        block = idx // (2 * b)
+        right = (idx % (2 * b)) >= b
+        key = block * big + ys
+        lk, lw = key[~right], ws[~right]
+        cum = np.concatenate([[0.0], np.cumsum(lw)])
+        end = np.searchsorted(lk, (block[right] + 1) * big, side="left")
+        le = np.searchsorted(lk, key[right], side="right")
+        total += float((ws[right] * (cum[end] - cum[le])).sum())
+        order = np.lexsort((ys, block))
+        ys, ws = ys[order], ws[order]
+        b *= 2
+    return total
+
+
+def _pair_sum(groups: np.ndarray, w: np.ndarray) -> float:
+    """sum of w_p w_q over unordered pairs in the same group."""
+    _, inv = np.unique(groups, return_inverse=True)
+    g = np.bincount(inv, weights=w)
+    return float((g * g).sum() - (w * w).sum()) / 2.0
+
+
+def _dominance_fast(key: np.ndarray, y: np.ndarray, w: np.ndarray) -> float:
+    """Same as ``_dominance_s``: S = A - 2B - E on the (key, y)-sorted sequence.
+
+    A: weight of pairs with different keys; B: weighted inversions of y;
+    E: pairs with equal y and different keys."""
+    if len(key) < 2 or key[0] == key[-1]:
+        return 0.0
+    w = w.astype(np.float64)
+    tot = float(w.sum())
+    a = (tot * tot - (w * w).sum()) / 2.0 - _pair_sum(key, w)
+    kinv = np.unique(key, return_inverse=True)[1]
+    yinv = np.unique(y, return_inverse=True)[1]
+    e = _pair_sum(yinv, w) - _pair_sum(kinv * (int(yinv.max()) + 1) + yinv, w)
+    return a - 2.0 * weighted_inversions(y, w) - e
+
+
 def _group_s(order_col: str):
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values([order_col, "y"], kind="mergesort")
-        s = _dominance_s(pdf[order_col].to_numpy(), pdf["y"].to_numpy(), pdf["w"].to_numpy(dtype=np.float64))
+        s = _dominance_fast(pdf[order_col].to_numpy(), pdf["y"].to_numpy(), pdf["w"].to_numpy(dtype=np.float64))
         return pd.DataFrame({"s": [s]})
     return fn
 
@@ -84,7 +132,7 @@ def _tie_sums(v: pd.Series, w: pd.Series):
 
 def _small_kendall(pdf: pd.DataFrame) -> pd.DataFrame:
     pdf = pdf.sort_values(["x", "y"], kind="mergesort")
-    s = _dominance_s(pdf["x"].to_numpy(), pdf["y"].to_numpy(), pdf["w"].to_numpy(dtype=np.float64))
+    s = _dominance_fast(pdf["x"].to_numpy(), pdf["y"].to_numpy(), pdf["w"].to_numpy(dtype=np.float64))
     xt = _tie_sums(pdf["x"], pdf["w"])
     yt = _tie_sums(pdf["y"], pdf["w"])
     return pd.DataFrame([[s, *xt, *yt]], columns=["s", "xt1", "xt0", "xt2", "yt1", "yt0", "yt2"])

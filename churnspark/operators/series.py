@@ -91,12 +91,14 @@ def _row_mean(cols: list[Column]) -> Column:
 def _one_level(base, id_column, date_column, tiebreak, vals):
     w = Window.partitionBy(id_column).orderBy(F.col(date_column).asc_nulls_last(), *tiebreak)
     b = base.withColumn("__pos", (F.row_number().over(w) - 1).cast("double"))
-    aggs = [F.count(F.lit(1)).alias("__n")]
+    allv = F.struct(*[F.col(v).alias(c) for c, v in vals.items()])
+    aggs = [F.count(F.lit(1)).alias("__n"), F.max_by(allv, "__lk").alias("__last"), F.min_by(allv, "__fk").alias("__first")]
     for c, v in vals.items():
         aggs += [F.avg(v).alias(f"mean_{c}"), F.stddev_samp(v).alias(f"std_{c}"),
-                 F.max_by(v, "__lk").alias(f"last_{c}"), F.min_by(v, "__fk").alias(f"__first_{c}"),
                  F.regr_slope(v, "__pos").alias(f"__slope_{c}"), F.count(v).alias(f"__cnt_{c}")]
     g = b.groupBy(id_column).agg(*aggs)
+    g = g.withColumns({**{f"last_{c}": F.col(f"__last.{c}") for c in vals},
+                       **{f"__first_{c}": F.col(f"__first.{c}") for c in vals}})
     cols = {}
     for c in vals:
         cols[f"difference_{c}"] = F.col(f"last_{c}") - F.col(f"__first_{c}")
@@ -109,13 +111,14 @@ def _two_level(base, id_column, date_column, tiebreak, vals, n_parts):
     order = [F.col(date_column).asc_nulls_last(), *[F.col(t) for t in tiebreak]]
     r = ranged(base, [id_column], order, n_parts).withColumn(RID, F.col(RID).cast("double"))
     # piece level: one (partition, id) run of consecutive row ids
-    aggs = [F.count(F.lit(1)).alias("__n"), F.min(RID).alias("__first_rid"), F.avg(RID).alias("__mrid")]
+    allv = F.struct(*[F.col(v).alias(c) for c, v in vals.items()])
+    aggs = [F.count(F.lit(1)).alias("__n"), F.min(RID).alias("__first_rid"), F.avg(RID).alias("__mrid"),
+            F.max("__lk").alias("__lk"), F.max_by(allv, "__lk").alias("__last"),
+            F.min("__fk").alias("__fk"), F.min_by(allv, "__fk").alias("__fst")]
     for c, v in vals.items():
         aggs += [F.count(v).alias(f"__cnt_{c}"), F.avg(v).alias(f"__m_{c}"),
                  (F.var_pop(v) * F.count(v)).alias(f"__m2_{c}"),
-                 (F.covar_pop(RID, v) * F.count(v)).alias(f"__sxy_{c}"),
-                 F.max("__lk").alias(f"__lk_{c}"), F.max_by(v, "__lk").alias(f"__last_{c}"),
-                 F.min("__fk").alias(f"__fk_{c}"), F.min_by(v, "__fk").alias(f"__fst_{c}")]
+                 (F.covar_pop(RID, v) * F.count(v)).alias(f"__sxy_{c}")]
     pieces = r.groupBy(PID, id_column).agg(*aggs)
     pieces = piece_offsets(pieces, [id_column])
     # grand means per id through a window on the (small) piece table, for stable combination
@@ -125,16 +128,17 @@ def _two_level(base, id_column, date_column, tiebreak, vals, n_parts):
         add[f"__gm_{c}"] = F.sum(F.col(f"__cnt_{c}") * F.col(f"__m_{c}")).over(wid) / F.sum(f"__cnt_{c}").over(wid)
     pieces = pieces.withColumns(add)
     pieces = pieces.withColumn("__gpos", F.sum(F.col("__n") * F.col("__pos_m")).over(wid) / F.sum("__n").over(wid))
-    aggs2 = [F.sum("__n").alias("__n")]
+    aggs2 = [F.sum("__n").alias("__n"), F.max_by("__last", "__lk").alias("__last"),
+             F.min_by("__fst", "__fk").alias("__fst")]
     for c in vals:
         dm = F.col(f"__m_{c}") - F.col(f"__gm_{c}")
         aggs2 += [F.sum(f"__cnt_{c}").alias(f"__cnt_{c}"),
                   F.first(f"__gm_{c}", ignorenulls=True).alias(f"mean_{c}"),
                   F.sum(F.col(f"__m2_{c}") + F.col(f"__cnt_{c}") * dm * dm).alias(f"__M2_{c}"),
-                  F.sum(F.col(f"__sxy_{c}") + F.col("__n") * (F.col("__pos_m") - F.col("__gpos")) * dm).alias(f"__Sxy_{c}"),
-                  F.max_by(f"__last_{c}", f"__lk_{c}").alias(f"last_{c}"),
-                  F.min_by(f"__fst_{c}", f"__fk_{c}").alias(f"__first_{c}")]
+                  F.sum(F.col(f"__sxy_{c}") + F.col("__n") * (F.col("__pos_m") - F.col("__gpos")) * dm).alias(f"__Sxy_{c}")]
     g = pieces.groupBy(id_column).agg(*aggs2)
+    g = g.withColumns({**{f"last_{c}": F.col(f"__last.{c}") for c in vals},
+                       **{f"__first_{c}": F.col(f"__fst.{c}") for c in vals}})
     cols = {}
     n = F.col("__n").cast("double")
     for c in vals:
