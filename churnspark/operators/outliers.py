@@ -30,12 +30,18 @@ def _long_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(F.explode(F.array(*parts)).alias("s")).select("s.*").where(F.col("x").isNotNull())
 
 
-def outlier_thresholds(df: DataFrame, columns: list[str], skew_threshold: float = 1.0) -> DataFrame:
-    """O1 for many columns: ``(feature, skew, mean, std, q_1, q_3, rule, min_thresh, max_thresh)``."""
+def outlier_thresholds(df: DataFrame, columns: list[str], skew_threshold: float = 1.0, exact: bool = True) -> DataFrame:
+    """O1 for many columns: ``(feature, skew, mean, std, q_1, q_3, rule, min_thresh, max_thresh)``.
+
+    ``exact=False`` takes the quartiles from a bounded-memory sketch."""
     long = _long_numeric(df, columns)
     mom = long.groupBy("feature").agg(adj_skew("x").alias("skew"), F.avg("x").alias("mean"),
                                       F.stddev_samp("x").alias("std"))
-    qs = exact_quantiles(long, ["feature"], "x", [0.25, 0.75])
+    if exact:
+        qs = exact_quantiles(long, ["feature"], "x", [0.25, 0.75], max_keys=len(columns))
+    else:
+        from churnspark.operators.quantiles import approx_quantiles
+        qs = approx_quantiles(long, ["feature"], "x", [0.25, 0.75])
     qw = qs.groupBy("feature").agg(F.max(F.when(F.col("q") == 0.25, F.col("quantile"))).alias("q_1"),
                                    F.max(F.when(F.col("q") == 0.75, F.col("quantile"))).alias("q_3"))
     t = mom.join(qw, "feature", "left")

@@ -90,14 +90,16 @@ def _modes(vc: DataFrame, fields) -> DataFrame:
     return best.select("feature", F.coalesce(as_text, F.col("__mstr")).alias("mode"))
 
 
-def univariate_profile(df: DataFrame, round_to: int = 3, columns=None, sort_by_skew: bool = False) -> DataFrame:
+def univariate_profile(df: DataFrame, round_to: int = 3, columns=None, sort_by_skew: bool = False,
+                       exact: bool = True) -> DataFrame:
     """One row per column.
 
     ``feature, type, count, missing, unique, mode, min_value, q_1, median,
     q_3, max_value, mean, std, skew, kurtosis``; numeric statistics are NULL
     for non-numeric columns (the reference prints "-").  ``min_value``,
     ``mean``, ``std``, ``skew`` and ``kurtosis`` are rounded to ``round_to``;
-    quartiles and max are not, as in the reference.
+    quartiles and max are not, as in the reference.  ``exact=False`` takes
+    quartiles from a bounded-memory sketch instead of the exact value counts.
     """
     fields = _fields(df, columns)
     numeric = [f for f in fields if is_numeric(f.dataType) or is_boolean(f.dataType)]
@@ -133,7 +135,12 @@ def univariate_profile(df: DataFrame, round_to: int = 3, columns=None, sort_by_s
     if numeric:
         numeric_names = [f.name for f in numeric]
         nvc = vc.where(F.col("feature").isin(numeric_names)).select("feature", F.col("vnum").alias("v"), "__cnt")
-        qs = exact_quantiles(nvc, ["feature"], "v", [0.25, 0.5, 0.75], counts=nvc)
+        if exact:
+            qs = exact_quantiles(nvc, ["feature"], "v", [0.25, 0.5, 0.75], counts=nvc, max_keys=len(numeric_names))
+        else:
+            from churnspark.operators.quantiles import approx_quantiles
+            qs = approx_quantiles(long_values(df, numeric).select("feature", F.col("vnum").alias("v")), ["feature"],
+                                  "v", [0.25, 0.5, 0.75])
         qw = qs.groupBy("feature").agg(*[F.max(F.when(F.col("q") == q, F.col("quantile"))).alias(n)
                                          for q, n in ((0.25, "q_1"), (0.5, "median"), (0.75, "q_3"))])
         out = out.join(qw, "feature", "left")

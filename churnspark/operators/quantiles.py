@@ -24,8 +24,13 @@ def value_counts(long_df: DataFrame, keys: list[str], value: str) -> DataFrame:
 
 
 def exact_quantiles(long_df: DataFrame, keys: list[str], value: str, qs: list[float],
-                    counts: DataFrame | None = None) -> DataFrame:
-    """Return ``(keys..., q, quantile)`` for each key and each q in ``qs``."""
+                    counts: DataFrame | None = None, max_keys: int | None = None) -> DataFrame:
+    """Return ``(keys..., q, quantile)`` for each key and each q in ``qs``.
+
+    ``max_keys``: a proven bound on the number of keys (e.g. the columns of a
+    table).  The target table then has at most ``max_keys * len(qs)`` rows
+    and is broadcast, so the range join never groups one key's values into
+    one task; without a bound the join strategy is left to AQE."""
     vc = counts if counts is not None else value_counts(long_df, keys, value)
     cum = with_cumsum(vc, keys, [value], "__cnt", "__c0")
     n = vc.groupBy(*keys).agg(F.sum("__cnt").alias("__nn"))
@@ -37,9 +42,20 @@ def exact_quantiles(long_df: DataFrame, keys: list[str], value: str, qs: list[fl
     hi_hit = (F.col("__c0") <= F.col("__hi")) & (F.col("__hi") < F.col("__c0") + F.col("__cnt"))
     cond = [F.col(k).eqNullSafe(F.col(f"__t{i}")) for i, k in enumerate(keys)]
     cond = reduce(lambda a, b: a & b, cond) & (lo_hit | hi_hit)
+    if max_keys is not None and max_keys * len(qs) <= 1_000_000:
+        targets = F.broadcast(targets)
     hits = cum.join(targets, on=cond, how="inner").select(
         *keys, "q", "__h", "__lo",
         F.when(lo_hit, F.col(value)).alias("__xlo"), F.when(hi_hit, F.col(value)).alias("__xhi"))
     g = hits.groupBy(*keys, "q").agg(F.first("__h").alias("__h"), F.first("__lo").alias("__lo"),
                                      F.max("__xlo").alias("__xlo"), F.max("__xhi").alias("__xhi"))
     return g.select(*keys, "q", (F.col("__xlo") + (F.col("__h") - F.col("__lo")) * (F.col("__xhi") - F.col("__xlo"))).alias("quantile"))
+
+
+def approx_quantiles(long_df: DataFrame, keys: list[str], value: str, qs: list[float],
+                     accuracy: int = 10_000) -> DataFrame:
+    """Approximate quantiles (bounded-memory sketch per key, one aggregate), same output shape."""
+    g = long_df.where(F.col(value).isNotNull()).groupBy(*keys).agg(
+        F.percentile_approx(value, [float(q) for q in qs], accuracy).alias("__qv"))
+    return g.select(*keys, F.posexplode("__qv").alias("__i", "quantile")).select(
+        *keys, F.element_at(F.array(*[F.lit(float(q)) for q in qs]), F.col("__i") + 1).alias("q"), "quantile")

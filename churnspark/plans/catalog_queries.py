@@ -1183,3 +1183,21 @@ def q_skew_candidates(spark, sf_dir):
 def adj_skew_col(c):
     from churnspark.functions.exprs import adj_skew
     return adj_skew(F.col(c))
+
+
+# ---------------------------------------------------------------- top-k reports
+
+
+@query("top_scores", f"""WITH {SCORED_CTE}
+SELECT doc_id, label, round(score, 9) AS score FROM sc ORDER BY score DESC, doc_id ASC LIMIT 20""")
+def q_top_scores(spark, sf_dir):
+    """L16 + L11: the 20 highest scores (a top-k report: the limit is the feature; ties by key)."""
+    s = scored_labels(spark, sf_dir).select("doc_id", "label", "score")
+    return round_doubles(s.orderBy(F.col("score").desc(), F.col("doc_id").asc()).limit(20), 9)
+
+
+@query("univariate_profile_approx")
+def q_univariate_profile_approx(spark, sf_dir):
+    """U1-U9 with sketch quartiles (the option for very large tables)."""
+    ev = table(spark, sf_dir, "events")
+    return P.univariate_profile(ev, 3, columns=["event_id", "user_id", "event_type", "value"], exact=False)
