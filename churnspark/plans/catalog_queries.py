@@ -844,11 +844,15 @@ def q_load_with_fallback(spark, sf_dir):
 
 
 @query("dataset_manifest", """
-SELECT 'customer' AS name, 'training' AS context, count(*) AS num_rows, count(*) * 5 AS num_elements FROM customer""")
+SELECT 'customer' AS name, 'training' AS context, count(*) AS num_rows, count(*) * 5 AS num_elements,
+       TRUE AS signature_ok FROM customer""")
 def q_dataset_manifest(spark, sf_dir):
+    """S5 + S8: stored dataset, manifest row, and the stored signature checked against a fresh read."""
     root = scratch_path(spark, "store")
-    m = IO.log_dataset(table(spark, sf_dir, "customer"), root, "customer", f"{sf_dir}/customer.parquet", "training")
-    return m.select("name", "context", "num_rows", "num_elements")
+    c = table(spark, sf_dir, "customer")
+    m = IO.log_dataset(c, root, "customer", f"{sf_dir}/customer.parquet", "training")
+    ok = IO.check_signature(IO.load_logged_dataset(spark, root, "customer"), m.first()["schema_json"])
+    return m.select("name", "context", "num_rows", "num_elements", F.lit(ok).alias("signature_ok"))
 
 
 # ---------------------------------------------------------------- models
@@ -1201,3 +1205,24 @@ def q_univariate_profile_approx(spark, sf_dir):
     """U1-U9 with sketch quartiles (the option for very large tables)."""
     ev = table(spark, sf_dir, "events")
     return P.univariate_profile(ev, 3, columns=["event_id", "user_id", "event_type", "value"], exact=False)
+
+
+@query("compose_transforms", """
+SELECT l_orderkey, l_linenumber,
+       CAST(l_discount IS NULL OR l_discount <> (SELECT min(l_discount) FROM lineitem) AS INTEGER) AS l_discount,
+       round(power(l_quantity, 0.5), 6) AS l_quantity, round(l_tax, 6) AS l_tax FROM lineitem""")
+def q_compose_transforms(spark, sf_dir):
+    """Binary / power column sets in one projection, other columns passed through."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_discount", "l_quantity", "l_tax")
+    lo = li.agg(F.min("l_discount")).first()[0]
+    out = K.compose_transforms(li, binary={"l_discount": (lo, None, True)}, power={"l_quantity": 0.5})
+    return round_doubles(out, 6)
+
+
+@query("aligned_split")
+def q_aligned_split(spark, sf_dir):
+    """The orders of the clients drawn into the validation split follow them."""
+    from churnspark.plans import domain as dm
+    tagged = M.split_labels(dm.churn_labels(spark, sf_dir), "churn", dm.ID, 0.2, 42)
+    ids = tagged.where(F.col("split") == "test").select(dm.ID)
+    return M.aligned_split(dm.price_table(spark, sf_dir), ids, dm.ID)
