@@ -17,3 +17,16 @@ on the cluster.  Sub-packages:
 """
 
 __version__ = "0.1.0"
+
+# Functions of this package used inside pandas UDFs / applyInPandas / mapInPandas
+# are shipped with the task (pickled by value), so Python workers do not need
+# the package on their path (on a cluster it is still normally shipped with
+# --py-files or installed as a wheel).
+try:  # pragma: no cover - depends on the PySpark build
+    import sys as _sys
+
+    from pyspark import cloudpickle as _cp
+
+    _cp.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # noqa: BLE001
+    pass

@@ -91,6 +91,33 @@ def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
     return _with_r_test(out, "spearman", "n", "spearman_pvalue")
 
 
+def spearman_many(df: DataFrame, target: str, features: list[str]) -> DataFrame:
+    """V2 for many features against one target in one pipeline: ``feature, n, spearman, spearman_pvalue``.
+
+    Long ``(feature, x, y)`` pairs (pairwise deletion), average ranks per
+    feature for both sides from value counts and skew-safe running counts."""
+    parts = [F.struct(F.lit(f).alias("feature"), _num(df, f).alias("x")) for f in features]
+    long = (df.select(_num(df, target).alias("y"), F.explode(F.array(*parts)).alias("s"))
+              .select("s.feature", "s.x", "y").where(F.col("x").isNotNull() & F.col("y").isNotNull()))
+    pairs = long.groupBy("feature", "x", "y").agg(F.count(F.lit(1)).alias("__w"))
+
+    def ranks(col):
+        vc = pairs.groupBy("feature", col).agg(F.sum("__w").alias("__cnt"))
+        cum = with_cumsum(vc, ["feature"], [col], "__cnt", "__c0")
+        return cum.select("feature", col, (F.col("__c0") + (F.col("__cnt") + 1) / 2.0).alias(f"rank_{col}"))
+
+    r = pairs.join(ranks("x"), ["feature", "x"]).join(ranks("y"), ["feature", "y"])
+    w, a, b = F.col("__w"), F.col("rank_x"), F.col("rank_y")
+    s = r.groupBy("feature").agg(F.sum(w).alias("n"), F.sum(w * a).alias("sa"), F.sum(w * b).alias("sb"),
+                                 F.sum(w * a * a).alias("saa"), F.sum(w * b * b).alias("sbb"), F.sum(w * a * b).alias("sab"))
+    n = F.col("n").cast("double")
+    cov = F.col("sab") / n - (F.col("sa") / n) * (F.col("sb") / n)
+    va = F.col("saa") / n - (F.col("sa") / n) ** 2
+    vb = F.col("sbb") / n - (F.col("sb") / n) ** 2
+    out = s.select("feature", "n", F.when((va > 0) & (vb > 0), cov / F.sqrt(va * vb)).alias("spearman"))
+    return _with_r_test(out, "spearman", "n", "spearman_pvalue")
+
+
 # ------------------------------------------------------------------ V4 chi-squared
 
 def chi2_test(df: DataFrame, a: str, b: str, correction: bool = True) -> DataFrame:
@@ -313,11 +340,42 @@ def bivariate_table(df: DataFrame, target: str, round_to: int = 3, with_kendall:
     return _assemble_bivariate(spark, df, target, results, round_to, with_kendall)
 
 
+def _numeric_block(df, target, feats, round_to, with_kendall):
+    """All numeric-numeric features at once: Pearson/regression and skew in one aggregate,
+    Spearman in one pipeline, Kendall in one grouped job (bounded samples)."""
+    from churnspark.operators.kendall import kendall_many
+    y = _num(df, target)
+    pe = pearson_table(df, target, feats)
+    sk_row = df.agg(*[adj_skew(F.when(y.isNotNull(), _num(df, f))).alias(f"k{i}") for i, f in enumerate(feats)])
+    sk = sk_row.select(F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f"k{i}").alias("skew"))
+                                          for i, f in enumerate(feats)])).alias("s")).select("s.*")
+    out = pe.join(sk, "feature").join(spearman_many(df, target, feats).drop("n"), "feature")
+    if with_kendall:
+        out = out.join(kendall_many(df, target, feats).drop("n"), "feature")
+    else:
+        out = out.withColumns({"kendalltau": F.lit(None).cast("double"), "kendalltau_pvalue": F.lit(None).cast("double")})
+    r = lambda c: F.round(c, round_to)
+    return out.select("feature", r("skew").alias("skew"), r("pearson_pvalue").alias("pearson_pvalue"), r("r").alias("r"),
+                      F.concat(F.lit("y = "), r("slope").cast("string"), F.lit("x + "), r("intercept").cast("string")).alias("y = mx + b"),
+                      r("spearman").alias("spearman"), r("spearman_pvalue").alias("spearman_pvalue"),
+                      r("kendalltau").alias("kendalltau"), r("kendalltau_pvalue").alias("kendalltau_pvalue"))
+
+
 def _assemble_bivariate(spark, df, target, results, round_to, with_kendall):
     stat_cols = ["skew", "pearson_pvalue", "r", "y = mx + b", "spearman", "spearman_pvalue", "kendalltau",
                  "kendalltau_pvalue", "chi2", "chi2_pvalue", "ttest", "ttest_pvalue", "F", "F_pvalue"]
     frames = []
+    numeric = [(base, kind) for base, kind in results if kind == "numeric"]
+    if numeric:
+        meta = spark.createDataFrame([(b["feature"], b["missing"], b["type"], b["unique_values"]) for b, _ in numeric],
+                                     "feature string, missing double, type string, unique_values bigint")
+        block = _numeric_block(df, target, [b["feature"] for b, _ in numeric], round_to, with_kendall)
+        nulls = {k: F.lit(None).cast("double") for k in ("chi2", "chi2_pvalue", "ttest", "ttest_pvalue", "F", "F_pvalue")}
+        frames.append(meta.join(block, "feature").withColumns(nulls)
+                          .select("feature", "missing", "type", "unique_values", *stat_cols))
     for base, kind in results:
+        if kind == "numeric":
+            continue
         c = base["feature"]
         lit_base = [F.lit(base["feature"]).alias("feature"), F.lit(base["missing"]).cast("double").alias("missing"),
                     F.lit(base["type"]).alias("type"), F.lit(base["unique_values"]).cast("bigint").alias("unique_values")]

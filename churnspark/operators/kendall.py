@@ -237,3 +237,43 @@ def kendall_tau(df: DataFrame, x: str, y: str, max_chunks: int = MAX_CHUNKS,
     st = kendall_s_and_ties(df, x, y, max_chunks, min_chunk_rows)
     tau, p = tau_b_from_stats(st) if st["n"] >= 2 else (None, None)
     return df.sparkSession.createDataFrame([(st["n"], tau, p)], "n long, kendalltau double, kendalltau_pvalue double")
+
+
+def kendall_many(df: DataFrame, target: str, features: list[str], max_chunks: int = MAX_CHUNKS,
+                 min_chunk_rows: int = MIN_CHUNK_ROWS) -> DataFrame:
+    """V3 for many features against one target: ``feature, n, kendalltau, kendalltau_pvalue``.
+
+    Features whose complete pairs fit one bounded task are done together by
+    one grouped job (one task per feature); larger ones take the chunked path."""
+    parts = [F.struct(F.lit(f).alias("feature"), F.col(f"`{f}`").cast("double").alias("x")) for f in features]
+    long = (df.select(F.col(f"`{target}`").cast("double").alias("y"), F.explode(F.array(*parts)).alias("s"))
+              .select("s.feature", "s.x", "y")
+              .where(F.col("x").isNotNull() & F.col("y").isNotNull() & ~F.isnan("x") & ~F.isnan("y")))
+    pts = long.groupBy("feature", "x", "y").agg(F.count(F.lit(1)).cast("double").alias("w"))
+    sizes = {r["feature"]: r["n"] for r in pts.groupBy("feature").agg(F.sum("w").alias("n")).collect()}
+    small = [f for f, n in sizes.items() if n <= min_chunk_rows]
+    rows = []
+    if small:
+        got = (pts.where(F.col("feature").isin(small)).groupBy("feature")
+                  .applyInPandas(_small_kendall_keyed, "feature string, " + _SMALL_SCHEMA).collect())
+        for r in got:
+            st = {"n": int(sizes[r["feature"]]), "s": r["s"], "xtie": (r["xt1"], r["xt0"], r["xt2"]),
+                  "ytie": (r["yt1"], r["yt0"], r["yt2"])}
+            rows.append((r["feature"], st["n"], *tau_b_from_stats(st)))
+    for f in features:
+        if f in sizes and f not in small:
+            one = pts.where(F.col("feature") == f).select("x", "y", "w")
+            st = kendall_s_and_ties(_expand_weights(one), "x", "y", max_chunks, min_chunk_rows)
+            rows.append((f, st["n"], *tau_b_from_stats(st)))
+    return df.sparkSession.createDataFrame(rows, "feature string, n long, kendalltau double, kendalltau_pvalue double")
+
+
+def _small_kendall_keyed(pdf: pd.DataFrame) -> pd.DataFrame:
+    out = _small_kendall(pdf)
+    out.insert(0, "feature", pdf["feature"].iloc[0])
+    return out
+
+
+def _expand_weights(points: DataFrame) -> DataFrame:
+    """Back to one row per observation (the chunked path compresses again)."""
+    return points.select("x", "y", F.explode(F.array_repeat(F.lit(1), F.col("w").cast("int"))).alias("__one")).drop("__one")
