@@ -57,6 +57,13 @@ class FeatureAssembler(Transformer, DefaultParamsReadable, DefaultParamsWritable
                                handleInvalid="keep").transform(cast)
 
 
+def right_size(df: DataFrame, n_rows: int, rows_per_partition: int = 100_000) -> DataFrame:
+    """Iterative learners run one job per iteration over every partition: give the training
+    frame about ``rows_per_partition`` rows per partition (never more partitions than it has)."""
+    want = max(1, -(-int(n_rows) // rows_per_partition))
+    return df.coalesce(want) if want < df.rdd.getNumPartitions() else df
+
+
 def class_weights(df: DataFrame, label: str, positive_weight: float = 1.0, balanced: bool = True) -> dict:
     """L3: ``n / (k * n_class)`` per class (balanced), times ``positive_weight`` for class 1."""
     counts = class_counts(df, label)

@@ -27,10 +27,14 @@ def default_parts(df: DataFrame) -> int:
 
 
 def ranged(df: DataFrame, keys: list[str], order: list, n_parts: int | None = None) -> DataFrame:
-    """Range-partition on keys+order, sort inside partitions, tag partition and row id."""
-    n_parts = n_parts or default_parts(df)
+    """Range-partition on keys+order, sort inside partitions, tag partition and row id.
+
+    Without ``n_parts`` the range exchange uses the session's shuffle
+    partitions and AQE may coalesce neighbouring ranges (still contiguous
+    ranges, so the piece scheme holds) — small inputs do not fan out."""
     sort_cols = [F.col(k) for k in keys] + [F.col(o) if isinstance(o, str) else o for o in order]
-    return (df.repartitionByRange(n_parts, *sort_cols)
+    parted = df.repartitionByRange(n_parts, *sort_cols) if n_parts else df.repartitionByRange(*sort_cols)
+    return (parted
               .sortWithinPartitions(*sort_cols)
               .withColumns({PID: F.spark_partition_id(), RID: F.monotonically_increasing_id()}))
 
@@ -51,14 +55,13 @@ def with_position(df: DataFrame, keys: list[str], order: list, pos_col: str = "p
     ``max_keys + partitions`` rows and is broadcast; otherwise it is joined
     back on ``(partition, key)``, which spreads a hot key over its partitions.
     """
-    n_parts = n_parts or default_parts(df)
     r = ranged(df, keys, order, n_parts)
     pieces = r.groupBy(PID, *keys).agg(F.count(F.lit(1)).alias("__n"), F.min(RID).alias("__first"))
     pieces = piece_offsets(pieces, keys)
     if size_col:
         pieces = pieces.withColumn(size_col, F.sum("__n").over(Window.partitionBy(*keys)))
     pieces = pieces.drop("__n")
-    if max_keys is not None and max_keys + n_parts <= 1_000_000:
+    if max_keys is not None and max_keys + (n_parts or default_parts(df)) <= 1_000_000:
         pieces = F.broadcast(pieces)
     out = r.join(pieces, on=[PID, *keys], how="inner")
     out = out.withColumn(pos_col, F.col(RID) - F.col("__first") + F.col("__off"))
@@ -73,7 +76,6 @@ def with_cumsum(df: DataFrame, keys: list[str], order: list, weight: str, out_co
     is a window over ``(partition, key)``, which splits a hot key into as
     many tasks as partitions it spans.
     """
-    n_parts = n_parts or default_parts(df)
     r = ranged(df, keys, order, n_parts)
     pieces = piece_offsets(r.groupBy(PID, *keys).agg(F.sum(weight).alias("__n")), keys).drop("__n")
     w = Window.partitionBy(PID, *keys).orderBy(RID).rowsBetween(Window.unboundedPreceding, -1)

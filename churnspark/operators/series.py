@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnspark.functions.exprs import null_nan
-from churnspark.operators.order import PID, RID, default_parts, piece_offsets, ranged
+from churnspark.operators.order import PID, RID, piece_offsets, ranged
 
 
 def _neg(c: str) -> Column:
@@ -107,7 +107,6 @@ def _one_level(base, id_column, date_column, tiebreak, vals):
 
 
 def _two_level(base, id_column, date_column, tiebreak, vals, n_parts):
-    n_parts = n_parts or default_parts(base)
     order = [F.col(date_column).asc_nulls_last(), *[F.col(t) for t in tiebreak]]
     r = ranged(base, [id_column], order, n_parts).withColumn(RID, F.col(RID).cast("double"))
     # piece level: one (partition, id) run of consecutive row ids

@@ -856,6 +856,7 @@ def q_dataset_manifest(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- models
+from churnspark.session import cut_lineage  # noqa: E402
 from churnspark.operators import explain as X  # noqa: E402
 from churnspark.operators import models as ML  # noqa: E402
 from churnspark.operators.encode import ScaleEncode  # noqa: E402
@@ -874,8 +875,9 @@ def _weighted_split(spark, sf_dir):
     m = document_matrix(spark, sf_dir)
     tagged = M.split_labels(m, "quality", "doc_id", 0.2, 42)
     train = tagged.where(F.col("split") == "train")
+    n = sum(M.class_counts(train, "quality").values())
     train = ML.with_weights(train, "quality", ML.class_weights(train, "quality", positive_weight=9.0))
-    return train, tagged.where(F.col("split") == "test"), m
+    return cut_lineage(ML.right_size(train, n)), tagged.where(F.col("split") == "test"), m
 
 
 @query("gbt_score")
@@ -898,6 +900,7 @@ def q_cross_validate(spark, sf_dir):
     m = document_matrix(spark, sf_dir)
     folds = M.stratified_kfold(m, "quality", "doc_id", 5)
     folds = ML.with_weights(folds, "quality", ML.class_weights(folds, "quality", positive_weight=9.0))
+    folds = ML.right_size(folds, sum(M.class_counts(folds, "quality").values()))
     return ML.cross_validate(ML.boosted_trees("quality"), folds, "quality", "fold", 5)
 
 

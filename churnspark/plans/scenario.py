@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnspark.operators.metrics import confusion_metrics
-from churnspark.operators.models import boosted_trees, class_weights, predict, with_weights
-from churnspark.operators.sampling import aligned_split, split_labels
+from churnspark.operators.models import boosted_trees, class_weights, predict, right_size, with_weights
+from churnspark.operators.sampling import aligned_split, class_counts, split_labels
 from churnspark.plans import domain as dm
 from churnspark.plans.preprocess import discount_prices, full_estimator, merge_inputs
 from churnspark.session import cut_lineage
@@ -47,8 +47,9 @@ def fit_churn_model(spark: SparkSession, sf_dir: str, seed: int = 42, n_estimato
     val_ids = tagged.where(F.col("split") == "test").select(dm.ID)
     train = merged_with_labels(aligned_split(client, train_ids, dm.ID), aligned_split(prices, train_ids, dm.ID), labels)
     train = cut_lineage(train)  # entity-level table, read by every fitting job below
+    counts = class_counts(train, LABEL)
     weights = class_weights(train, LABEL, positive_weight=positive_weight)
-    train = with_weights(train, LABEL, weights)
+    train = cut_lineage(right_size(with_weights(train, LABEL, weights), sum(counts.values())))
     est = full_estimator([dm.ID, LABEL, "weight"], boosted_trees(LABEL, n_estimators=n_estimators, seed=seed))
     return Fitted(est.fit(train), train, val_ids, client, prices, labels)
 
