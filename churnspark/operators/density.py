@@ -52,6 +52,14 @@ def prepare_points(df: DataFrame, key: str) -> tuple[DataFrame, list[str]]:
     return enc.select(F.col(key).alias("__id"), *cols), [f"f{i}" for i in range(len(feats))]
 
 
+def compress(points: DataFrame, names: list[str]) -> DataFrame:
+    """Identical points become one weighted point ``(__id = smallest key, __w = copies)``.
+
+    A group of copies (even a third of all rows) then costs one point in the
+    distance join; counts below are weighted by ``__w``."""
+    return points.groupBy(*names).agg(F.min("__id").alias("__id"), F.count(F.lit(1)).alias("__w"))
+
+
 def _distance(names: list[str], metric: str, a: str = "a_", b: str = "b_") -> Column:
     diffs = [F.abs(F.col(f"{a}{n}") - F.col(f"{b}{n}")) for n in names]
     if metric == "manhattan":
@@ -90,10 +98,11 @@ def pairs_within(points: DataFrame, names: list[str], radius: float, metric: str
         raise ValueError(f"distance join at radius {radius} would compare {budget} pairs (budget {pair_budget})")
     a = lpts.select(F.col("__id").alias("p"), *[F.col(n).alias(f"a_{n}") for n in names], shifted).select(
         "p", *[f"a_{n}" for n in names], "nb.*")
-    b = pts.select(F.col("__id").alias("q"), *[F.col(n).alias(f"b_{n}") for n in names],
-                   *[F.col(f"c{i}") for i in range(len(dims))])
+    wq = F.col("__w") if "__w" in points.columns else F.lit(1).cast("long")
+    b = points.select(F.col("__id").alias("q"), *[F.col(n).alias(f"b_{n}") for n in names], wq.alias("wq"),
+                      *[F.floor(F.col(n) / F.lit(radius)).cast("long").alias(f"c{i}") for i, n in enumerate(dims)])
     j = a.join(b, [f"c{i}" for i in range(len(dims))]).withColumn("d", _distance(names, metric))
-    return j.where(F.col("d") <= F.lit(radius)).select("p", "q", "d")
+    return j.where(F.col("d") <= F.lit(radius)).select("p", "q", "d", "wq")
 
 
 def _grid_index(d: Column, step: float) -> Column:
@@ -108,7 +117,9 @@ def reach_indices(points: DataFrame, names: list[str], radius: float, step: floa
                   metric: str, pair_budget: int) -> DataFrame:
     """``(__id, reach)``: reach index per point, exact when its eps is <= radius (else NULL)."""
     pr = pairs_within(points, names, radius, metric, pair_budget).withColumn("g", _grid_index(F.col("d"), step))
-    hist = pr.groupBy("q", "g").agg(F.count(F.lit(1)).alias("n"))
+    # neighbours of q counted with their copies: pairs are symmetric, so weight by the p side
+    wp = points.select(F.col("__id").alias("p"), F.col("__w").alias("wp"))
+    hist = pr.join(wp, "p").groupBy("q", "g").agg(F.sum("wp").alias("n"))
     w = Window.partitionBy("q").orderBy("g").rowsBetween(Window.unboundedPreceding, 0)
     core = (hist.withColumn("cum", F.sum("n").over(w)).where(F.col("cum") >= min_samples)
                 .groupBy("q").agg(F.min("g").alias("cg")))
@@ -116,7 +127,7 @@ def reach_indices(points: DataFrame, names: list[str], radius: float, step: floa
                .agg(F.min(F.greatest(F.col("g"), F.col("cg"))).alias("reach")))
     max_index = _grid_index(F.lit(radius), step)
     reach = reach.where(F.col("reach") <= max_index)  # beyond the radius the value is not certain
-    return points.select("__id").join(reach.withColumnRenamed("p", "__id"), "__id", "left")
+    return points.select("__id", "__w").join(reach.withColumnRenamed("p", "__id"), "__id", "left")
 
 
 def search_eps(df: DataFrame, key: str, distance_metric: str = "manhattan", min_samples: int = 5,
@@ -129,11 +140,12 @@ def search_eps(df: DataFrame, key: str, distance_metric: str = "manhattan", min_
     if not names or points.isEmpty():
         raise ValueError("DataFrame became empty after encoding.")
     n = points.count()
+    points = compress(points, names)
     last = len([1 for _ in _arange(eps_step, max_eps)]) - 1
     radius = start_radius or min(max_eps, eps_step * 8)
     while True:
         reach = reach_indices(points, names, radius, eps_step, min_samples, distance_metric, pair_budget)
-        hist = {r["reach"]: r["n"] for r in reach.groupBy("reach").agg(F.count(F.lit(1)).alias("n")).collect()}
+        hist = {r["reach"]: r["n"] for r in reach.groupBy("reach").agg(F.sum("__w").alias("n")).collect()}
         unresolved = hist.get(None, 0)
         rmax = min(_index_of(radius, eps_step), last)
         noise_at_r = unresolved + sum(v for k, v in hist.items() if k is not None and k > rmax)
@@ -174,11 +186,15 @@ def _index_of(radius: float, step: float) -> int:
 def noise_points(df: DataFrame, key: str, eps: float, distance_metric: str = "manhattan", min_samples: int = 5,
                  pair_budget: int = DEFAULT_PAIR_BUDGET) -> DataFrame:
     """Keys of the rows DBSCAN labels noise at ``eps`` (rows with missing values are not clustered)."""
-    points, names = prepare_points(df, key)
+    rows, names = prepare_points(df, key)
+    points = compress(rows, names)
     pr = pairs_within(points, names, eps, distance_metric, pair_budget)
-    core = pr.groupBy("q").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_samples).select("q")
+    wp = points.select(F.col("__id").alias("p"), F.col("__w").alias("wp"))
+    core = (pr.join(wp, "p").groupBy("q").agg(F.sum("wp").alias("n"))
+              .where(F.col("n") >= min_samples).select("q"))
     reached = pr.join(core, "q").select(F.col("p").alias("__id")).distinct()
-    return points.select("__id").join(reached, "__id", "left_anti").select(F.col("__id").alias(key))
+    noise_vectors = points.join(reached, "__id", "left_anti").select(*names)
+    return rows.join(noise_vectors, names, "left_semi").select(F.col("__id").alias(key))
 
 
 def clean_outliers_dbscan(df: DataFrame, key: str, eps: float, distance_metric: str = "manhattan",

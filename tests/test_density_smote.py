@@ -51,3 +51,16 @@ def test_smote_balances_and_interpolates(spark):
     syn = out.where(F.col("k").isNull()).collect()
     assert len(syn) == 68
     assert all(0 <= r["a"] <= 0.3 + 1e-12 and 0 <= r["b"] <= 0.3 + 1e-12 for r in syn)   # inside the minority hull box
+
+
+def test_dbscan_with_a_third_of_rows_identical(spark):
+    rng = np.random.default_rng(3)
+    pts = np.vstack([rng.random((100, 2)), np.tile([[0.2, 0.7]], (50, 1))])   # 50 of 150 rows are one point
+    df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(pts)], "k long, a double, b double")
+    scaled = (pts - pts.min(0)) / (pts.max(0) - pts.min(0))
+    got = {r["k"] for r in DB.noise_points(df, "k", 0.06, "manhattan", 5).collect()}
+    assert got == _brute_noise(scaled, 0.06, 5, "manhattan")
+    table, _ = DB.search_eps(df, "k", "manhattan", 5, 0.02, 0.02, 1.0)
+    for r in table.collect()[:5]:
+        exp = len(_brute_noise(scaled, r["eps"], 5, "manhattan"))
+        assert abs(r["percentage_outliers(%)"] - round(100 * exp / 150, 2)) < 1e-9
