@@ -142,33 +142,57 @@ def nearest_neighbours(points: DataFrame, names: list[str], k: int = 5, metric:
     return out
 
 
+def _rank_table(comp: DataFrame, names: list[str], k: int) -> DataFrame:
+    """``(p, rank, n_f...)``: features of the rank-th nearest other row (1..k) of any copy of p.
+
+    Copies of p come first (distance 0); then the distinct neighbours, each
+    covering as many ranks as it has copies."""
+    nn = nearest_neighbours(comp, names, k)
+    w = Window.partitionBy("p").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
+    nn = nn.withColumn("__cum", F.sum("wq").over(w))
+    feats = comp.select(F.col("__id").alias("q"), *[F.col(n).alias(f"n_{n}") for n in names])
+    nbr = nn.join(feats, "q").select("p", "__cum", (F.col("__cum") - F.col("wq")).alias("__lo"), *[f"n_{n}" for n in names])
+    ranks = comp.select(F.col("__id").alias("p"), "__w", *names,
+                        F.explode(F.sequence(F.lit(1), F.lit(k))).alias("rank"))
+    shift = F.col("rank") - (F.col("__w") - 1)
+    own = ranks.where(shift <= 0).select("p", "rank", *[F.col(n).alias(f"n_{n}") for n in names])
+    other = (ranks.where(shift > 0).withColumn("__s", shift).join(nbr, "p")
+                  .where((F.col("__lo") < F.col("__s")) & (F.col("__s") <= F.col("__cum")))
+                  .select("p", "rank", *[f"n_{n}" for n in names]))
+    return own.unionByName(other)
+
+
 def smote(df: DataFrame, label: str, key: str, features: list[str], k: int = 5, seed: int = 42) -> DataFrame:
     """M4: synthetic minority rows ``x + u * (neighbour - x)`` until both classes have equal size.
 
     Base row, neighbour rank and ``u`` come from seeded hashes of the new
     row's index (a different random stream than other libraries: check
-    counts and convexity, not values).  Synthetic rows get ``key`` NULL."""
+    counts and convexity, not values).  Identical minority rows are collapsed
+    before the neighbour search (a group of copies costs one point).
+    Synthetic rows get ``key`` NULL."""
+    from churnspark.operators.density import compress
     counts = class_counts(df, label)
     minority = min(counts, key=lambda c: counts[c])
     n_new = max(counts.values()) - counts[minority]
     minor = df.where(F.col(label) == F.lit(minority))
-    pts = minor.select(F.col(key).alias("__id"), *[F.col(f).cast("double").alias(f"f{i}") for i, f in enumerate(features)])
     names = [f"f{i}" for i in range(len(features))]
-    nn = nearest_neighbours(pts, names, k)
+    pts = minor.select(F.col(key).alias("__id"), *[F.col(f).cast("double").alias(n) for f, n in zip(features, names)])
+    comp = compress(pts, names)
+    table = _rank_table(comp, names, k)
+    avail = table.groupBy("p").agg(F.max("rank").alias("__kp"))
     m = counts[minority]
-    indexed = with_position(pts.withColumn("__g", F.lit(0)), ["__g"], ["__id"], pos_col="__pos", max_keys=1).drop("__g")
+    rows = pts.join(comp.select(*names, F.col("__id").alias("p")), names)   # each row -> its distinct point
+    indexed = with_position(rows.withColumn("__g", F.lit(0)), ["__g"], ["__id"], pos_col="__pos", max_keys=1).drop("__g")
     spark = df.sparkSession
     j = F.col("id")
     new = (spark.range(n_new)
            .withColumn("__pos", F.pmod(F.xxhash64(j, F.lit(seed)), F.lit(m)))
-           .withColumn("rank", F.pmod(F.xxhash64(j, F.lit(seed + 1)), F.lit(k)) + 1)
+           .withColumn("__r", F.pmod(F.xxhash64(j, F.lit(seed + 1)), F.lit(k)))
            .withColumn("u", F.pmod(F.xxhash64(j, F.lit(seed + 2)), F.lit(1 << 53)) / float(1 << 53)))
-    base = new.join(indexed, "__pos").withColumnRenamed("__id", "p")
-    kn = nn.groupBy("p").agg(F.count(F.lit(1)).alias("__kp"))
-    base = base.join(kn, "p").withColumn("rank", F.pmod(F.col("rank") - 1, F.col("__kp")) + 1)
-    nbr = pts.select(F.col("__id").alias("q"), *[F.col(n).alias(f"n_{n}") for n in names])
-    syn = base.join(nn.select("p", "rank", "q"), ["p", "rank"]).join(nbr, "q")
-    out_cols = {f: F.col(f"f{i}") + F.col("u") * (F.col(f"n_f{i}") - F.col(f"f{i}")) for i, f in enumerate(features)}
+    base = (new.join(indexed, "__pos").join(avail, "p")
+               .withColumn("rank", F.pmod(F.col("__r"), F.col("__kp")) + 1))
+    syn = base.join(table, ["p", "rank"])
+    out_cols = {f: F.col(n) + F.col("u") * (F.col(f"n_{n}") - F.col(n)) for f, n in zip(features, names)}
     synthetic = syn.select(F.lit(None).cast(dict(df.dtypes)[key]).alias(key), F.lit(minority).alias(label),
                            *[e.alias(f) for f, e in out_cols.items()])
     original = df.select(key, label, *[F.col(f).cast("double") for f in features])

@@ -64,3 +64,16 @@ def test_dbscan_with_a_third_of_rows_identical(spark):
     for r in table.collect()[:5]:
         exp = len(_brute_noise(scaled, r["eps"], 5, "manhattan"))
         assert abs(r["percentage_outliers(%)"] - round(100 * exp / 150, 2)) < 1e-9
+
+
+def test_smote_with_a_hot_copy_group(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, 0, float(a), float(b)) for i, (a, b) in enumerate(rng.random((90, 2)))]
+    rows += [(100 + i, 1, 0.1, 0.1) for i in range(10)]                       # ten identical minority rows
+    rows += [(200 + i, 1, float(a), float(b)) for i, (a, b) in enumerate(rng.random((5, 2)) * 0.2)]
+    df = spark.createDataFrame(rows, "k long, y int, a double, b double")
+    out = M.smote(df, "y", "k", ["a", "b"], k=5, seed=7)
+    counts = {r["y"]: r["n"] for r in out.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    assert counts == {0: 90, 1: 90}
+    syn = out.where(F.col("k").isNull()).collect()
+    assert all(0 <= r["a"] <= 0.2 + 1e-12 and 0 <= r["b"] <= 0.2 + 1e-12 for r in syn)
