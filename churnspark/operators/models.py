@@ -82,7 +82,7 @@ def boosted_trees(label: str = "churn", n_estimators: int = 100, seed: int = 42,
                   max_depth: int = 5, step_size: float = 0.1) -> GBTClassifier:
     """L1: boosted trees; pair with ``class_weights(..., positive_weight=9)`` for the reference setup."""
     gbt = GBTClassifier(labelCol=label, featuresCol="features", maxIter=n_estimators, seed=seed,
-                        maxDepth=max_depth, stepSize=step_size)
+                        maxDepth=max_depth, stepSize=step_size, cacheNodeIds=True, checkpointInterval=10)
     if weight_col:
         gbt.setWeightCol(weight_col)
     return gbt
