@@ -155,10 +155,29 @@ def univariate_profile(df: DataFrame, round_to: int = 3, columns=None, sort_by_s
 
 # ------------------------------------------------------------------ charts' data
 
-def histogram(df: DataFrame, feature: str, bins: int = 10) -> DataFrame:
+def auto_bins(df: DataFrame, feature: str) -> int:
+    """numpy's ``bins="auto"``: the larger of the Sturges and Freedman-Diaconis bin counts."""
+    import math
+    x = as_double(F.col(feature), dict((f.name, f.dataType) for f in df.schema.fields)[feature])
+    vals = df.select(F.lit("f").alias("k"), x.alias("x")).where(F.col("x").isNotNull())
+    st = vals.agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).first()
+    n, lo, hi = st["n"], st["lo"], st["hi"]
+    if not n or hi == lo:
+        return 1
+    q = {r["q"]: r["quantile"] for r in exact_quantiles(vals, ["k"], "x", [0.25, 0.75], max_keys=1).collect()}
+    sturges = math.ceil(math.log2(n)) + 1
+    iqr = q[0.75] - q[0.25]
+    fd = math.ceil((hi - lo) / (2.0 * iqr * n ** (-1.0 / 3.0))) if iqr > 0 else 0
+    return max(sturges, fd, 1)
+
+
+def histogram(df: DataFrame, feature: str, bins: int | str = 10) -> DataFrame:
     """A11 numeric: equal-width bins over [min, max]; density = count / (n * width).
 
-    The last bin is closed on the right, as numpy's histogram."""
+    ``bins="auto"`` picks the bin count as numpy does.  The last bin is
+    closed on the right, as numpy's histogram."""
+    if bins == "auto":
+        bins = auto_bins(df, feature)
     x = as_double(F.col(feature), dict((f.name, f.dataType) for f in df.schema.fields)[feature])
     vals = df.select(x.alias("x")).where(F.col("x").isNotNull())
     lo, hi = vals.agg(F.min("x")).scalar(), vals.agg(F.max("x")).scalar()

@@ -1229,3 +1229,23 @@ def q_aligned_split(spark, sf_dir):
     tagged = M.split_labels(dm.churn_labels(spark, sf_dir), "churn", dm.ID, 0.2, 42)
     ids = tagged.where(F.col("split") == "test").select(dm.ID)
     return M.aligned_split(dm.price_table(spark, sf_dir), ids, dm.ID)
+
+
+HIST_AUTO_SQL = """
+WITH r AS (SELECT min(value) AS lo, max(value) AS hi, count(value) AS n,
+                  quantile_cont(value, 0.75) - quantile_cont(value, 0.25) AS iqr FROM events),
+k AS (SELECT lo, hi, n, CAST(greatest(ceil(log2(n)) + 1,
+                 CASE WHEN iqr > 0 THEN ceil((hi - lo) / (2.0 * iqr * power(n, -1.0 / 3.0))) ELSE 0 END, 1) AS INTEGER) AS nb FROM r),
+b AS (SELECT CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor((value - lo) / ((hi - lo) / nb)), nb - 1) END AS INTEGER) AS bin,
+             lo, hi, n, nb FROM events, k WHERE value IS NOT NULL)
+SELECT 'value' AS feature, bin, round(lo + bin * ((hi - lo) / nb), 6) AS bin_start,
+       round(lo + (bin + 1) * ((hi - lo) / nb), 6) AS bin_end, count(*) AS count,
+       round(count(*) / (n * ((hi - lo) / nb)), 6) AS density
+FROM b GROUP BY bin, lo, hi, n, nb
+"""
+
+
+@query("histogram_auto", HIST_AUTO_SQL)
+def q_histogram_auto(spark, sf_dir):
+    """A11 with the automatic bin count (Sturges / Freedman-Diaconis, whichever gives more bins)."""
+    return round_doubles(P.histogram(table(spark, sf_dir, "events"), "value", bins="auto"), 6)

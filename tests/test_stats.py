@@ -108,3 +108,14 @@ def test_chi2_yates_and_anova(spark):
     ssw = sum(((x - x.mean()) ** 2).sum() for x in groups)
     f = (ssb / 2) / (ssw / (len(allv) - 3))
     assert abs(V.anova(g, "v", "c").first()["F"] - f) < 1e-9
+
+
+def test_histogram_auto_bins_like_numpy(spark):
+    rng = np.random.default_rng(9)
+    x = rng.lognormal(size=700)
+    df = spark.createDataFrame([(float(v),) for v in x], "x double")
+    edges = np.histogram_bin_edges(x, bins="auto")
+    counts, _ = np.histogram(x, bins=edges)
+    got = {r["bin"]: r["count"] for r in P.histogram(df, "x", bins="auto").collect()}
+    assert P.auto_bins(df, "x") == len(edges) - 1
+    assert [got.get(i, 0) for i in range(len(counts))] == list(counts)
