@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from churnspark.functions.exprs import (adj_kurt, adj_skew, as_double, is_boolean, is_numeric,
                                         null_nan, rnd)
 from churnspark.operators.quantiles import exact_quantiles
+from churnspark.session import cut_lineage
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
@@ -128,7 +129,8 @@ def univariate_profile(df: DataFrame, round_to: int = 3, columns=None, sort_by_s
             (rnd(F.col(f"ku{i}"), round_to) if num else dnull).alias("kurtosis")))
     stats = wide.select(F.explode(F.array(*rows)).alias("s")).select("s.*")
 
-    vc = value_count_table(df, fields)  # reused subtree: Spark reuses the exchange
+    # unique counts, modes and quantiles all read the value counts: aggregate the input once
+    vc = cut_lineage(value_count_table(df, fields))
     uniq = vc.groupBy("feature").agg(F.count(F.lit(1)).alias("unique"))
     modes = _modes(vc, fields)
     out = stats.join(uniq, "feature", "left").join(modes, "feature", "left")

@@ -31,7 +31,10 @@ def exact_quantiles(long_df: DataFrame, keys: list[str], value: str, qs: list[fl
     table).  The target table then has at most ``max_keys * len(qs)`` rows
     and is broadcast, so the range join never groups one key's values into
     one task; without a bound the join strategy is left to AQE."""
-    vc = counts if counts is not None else value_counts(long_df, keys, value)
+    if counts is None:   # the running counts and the sizes both read it: aggregate the input once
+        from churnspark.session import cut_lineage
+        counts = cut_lineage(value_counts(long_df, keys, value))
+    vc = counts
     cum = with_cumsum(vc, keys, [value], "__cnt", "__c0")
     n = vc.groupBy(*keys).agg(F.sum("__cnt").alias("__nn"))
     targets = (n.withColumn("q", F.explode(F.array(*[F.lit(float(q)) for q in qs])))
