@@ -77,7 +77,8 @@ def average_ranks(values: DataFrame, col: str, weight: str = "__w") -> DataFrame
 
 def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
     """V2: ``n, spearman, spearman_pvalue`` for one pair (missing pairs dropped)."""
-    pairs = _pair(df, x, y).groupBy("x", "y").agg(F.count(F.lit(1)).alias("__w"))
+    from churnspark.session import cut_lineage
+    pairs = cut_lineage(_pair(df, x, y).groupBy("x", "y").agg(F.count(F.lit(1)).alias("__w")))  # read 3 times
     rx, ry = average_ranks(pairs, "x"), average_ranks(pairs, "y")
     r = pairs.join(rx, "x").join(ry, "y")
     w, a, b = F.col("__w"), F.col("rank_x"), F.col("rank_y")
@@ -99,7 +100,8 @@ def spearman_many(df: DataFrame, target: str, features: list[str]) -> DataFrame:
     parts = [F.struct(F.lit(f).alias("feature"), _num(df, f).alias("x")) for f in features]
     long = (df.select(_num(df, target).alias("y"), F.explode(F.array(*parts)).alias("s"))
               .select("s.feature", "s.x", "y").where(F.col("x").isNotNull() & F.col("y").isNotNull()))
-    pairs = long.groupBy("feature", "x", "y").agg(F.count(F.lit(1)).alias("__w"))
+    from churnspark.session import cut_lineage
+    pairs = cut_lineage(long.groupBy("feature", "x", "y").agg(F.count(F.lit(1)).alias("__w")))  # read 3 times
 
     def ranks(col):
         vc = pairs.groupBy("feature", col).agg(F.sum("__w").alias("__cnt"))

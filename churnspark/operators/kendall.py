@@ -153,6 +153,8 @@ def kendall_s_and_ties(df: DataFrame, x: str, y: str, max_chunks: int = MAX_CHUN
     pts = (df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
              .where(F.col("x").isNotNull() & F.col("y").isNotNull() & ~F.isnan("x") & ~F.isnan("y"))
              .groupBy("x", "y").agg(F.count(F.lit(1)).cast("double").alias("w")))
+    from churnspark.session import cut_lineage
+    pts = cut_lineage(pts)  # compressed points are read by every step below
     n = pts.agg(F.sum("w")).first()[0] or 0
     if n < 2:
         return {"n": int(n), "s": 0.0}
@@ -249,7 +251,8 @@ def kendall_many(df: DataFrame, target: str, features: list[str], max_chunks: in
     long = (df.select(F.col(f"`{target}`").cast("double").alias("y"), F.explode(F.array(*parts)).alias("s"))
               .select("s.feature", "s.x", "y")
               .where(F.col("x").isNotNull() & F.col("y").isNotNull() & ~F.isnan("x") & ~F.isnan("y")))
-    pts = long.groupBy("feature", "x", "y").agg(F.count(F.lit(1)).cast("double").alias("w"))
+    from churnspark.session import cut_lineage
+    pts = cut_lineage(long.groupBy("feature", "x", "y").agg(F.count(F.lit(1)).cast("double").alias("w")))
     sizes = {r["feature"]: r["n"] for r in pts.groupBy("feature").agg(F.sum("w").alias("n")).collect()}
     small = [f for f, n in sizes.items() if n <= min_chunk_rows]
     rows = []

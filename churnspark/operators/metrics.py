@@ -30,7 +30,9 @@ def confusion_metrics(df: DataFrame, label: str = "label", prediction: str = "pr
 
 
 def _score_table(df: DataFrame, label: str, score: str) -> DataFrame:
-    return (df.select(F.col(score).cast("double").alias("s"), F.col(label).cast("int").alias("y"))
+    """One row per distinct score (read by the running counts and the totals: aggregated once)."""
+    from churnspark.session import cut_lineage
+    return cut_lineage(df.select(F.col(score).cast("double").alias("s"), F.col(label).cast("int").alias("y"))
               .where(F.col("s").isNotNull() & F.col("y").isNotNull())
               .groupBy("s").agg(F.count(F.lit(1)).alias("c"), F.count_if(F.col("y") == 1).alias("p"))
               .withColumn("__k", F.lit(0)))
