@@ -139,8 +139,9 @@ def search_eps(df: DataFrame, key: str, distance_metric: str = "manhattan", min_
     points, names = prepare_points(df, key)
     if not names or points.isEmpty():
         raise ValueError("DataFrame became empty after encoding.")
+    from churnspark.session import cut_lineage
     n = points.count()
-    points = compress(points, names)
+    points = cut_lineage(compress(points, names))
     last = len([1 for _ in _arange(eps_step, max_eps)]) - 1
     radius = start_radius or min(max_eps, eps_step * 8)
     while True:
@@ -186,8 +187,9 @@ def _index_of(radius: float, step: float) -> int:
 def noise_points(df: DataFrame, key: str, eps: float, distance_metric: str = "manhattan", min_samples: int = 5,
                  pair_budget: int = DEFAULT_PAIR_BUDGET) -> DataFrame:
     """Keys of the rows DBSCAN labels noise at ``eps`` (rows with missing values are not clustered)."""
+    from churnspark.session import cut_lineage
     rows, names = prepare_points(df, key)
-    points = compress(rows, names)
+    points = cut_lineage(compress(rows, names))   # read by the budget, the join and the core counts
     pr = pairs_within(points, names, eps, distance_metric, pair_budget)
     wp = points.select(F.col("__id").alias("p"), F.col("__w").alias("wp"))
     core = (pr.join(wp, "p").groupBy("q").agg(F.sum("wp").alias("n"))
