@@ -119,3 +119,24 @@ def test_histogram_auto_bins_like_numpy(spark):
     got = {r["bin"]: r["count"] for r in P.histogram(df, "x", bins="auto").collect()}
     assert P.auto_bins(df, "x") == len(edges) - 1
     assert [got.get(i, 0) for i in range(len(counts))] == list(counts)
+
+
+def test_bivariate_table_rows(spark):
+    rng = np.random.default_rng(11)
+    n = 60
+    x = rng.normal(size=n)
+    y = 0.4 * x + rng.normal(size=n)
+    cat = np.where(rng.random(n) > 0.5, "u", "v")
+    tgt = np.where(y > 0, "hi", "lo")
+    df = spark.createDataFrame([(float(a), float(b), str(c), str(t)) for a, b, c, t in zip(x, y, cat, tgt)],
+                               "x double, y double, c string, t string")
+    rows = {r["feature"]: r for r in V.bivariate_table(df.select("x", "y"), "y").collect()}
+    r = np.corrcoef(x, y)[0, 1]
+    t = r * math.sqrt((n - 2) / (1 - r * r))
+    assert rows["x"]["r"] == round(r, 3)
+    assert abs(rows["x"]["pearson_pvalue"] - round(_t_sf_numeric(t, n - 2), 3)) <= 1e-3
+    cc = {r["feature"]: r for r in V.bivariate_table(df.select("c", "t"), "t").collect()}
+    obs = np.array([[((cat == a) & (tgt == b)).sum() for b in ("hi", "lo")] for a in ("u", "v")], dtype=float)
+    e = obs.sum(1, keepdims=True) * obs.sum(0, keepdims=True) / obs.sum()
+    d = np.abs(obs - e)
+    assert abs(cc["c"]["chi2"] - round((((d - np.minimum(0.5, d)) ** 2) / e).sum(), 3)) <= 1e-3
