@@ -51,13 +51,14 @@ def training_row(remainder: int, id_col: str = "doc_id"):
     return F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))), F.lit(5)) != remainder
 
 
-def pieces(batches: Iterable[pa.RecordBatch], text: str = "text", limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut record batches into slices of about ``limit`` bytes of text (one row at least)."""
+def pieces(batches: Iterable[pa.RecordBatch], text: str = "text", limit: int = CHUNK_BYTES,
+           rows: int = 1 << 30) -> Iterator[pa.RecordBatch]:
+    """Cut record batches into slices of about ``limit`` bytes of text and at most ``rows`` rows (one row at least)."""
     for b in batches:
         sizes = pc.fill_null(pc.binary_length(b.column(b.schema.get_field_index(text))), 0).to_pylist()
         start = held = 0
         for i, n in enumerate(sizes):
-            if held and held + n > limit:
+            if i > start and (held + n > limit or i - start >= rows):
                 yield b.slice(start, i - start)
                 start, held = i, 0
             held += n

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality_rules, sharding, url_filter
+from . import decontaminate, piece_encoding, quality_rules, sharding, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -43,3 +43,16 @@ def op7_byte_shards(spark, sf_dir):
 @query("op8_url_rules")
 def op8_url_rules(spark, sf_dir):
     return url_filter.filter_urls(table(spark, sf_dir, "pages"), ALLOW, BLOCK)
+
+
+@query("op9_piece_encoding")
+def op9_piece_encoding(spark, sf_dir):
+    import public_tokenizers
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as f:  # the tokenizer's path is this query's parameter
+        model = f.read()
+    return piece_encoding.digest_documents(table(spark, sf_dir, "documents"), model)
+
+
+@query("op10_decontamination")
+def op10_decontamination(spark, sf_dir):
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
