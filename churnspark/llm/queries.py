@@ -6,7 +6,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, piece_encoding, quality_rules, sharding, url_filter
+from . import decontaminate, language_id, piece_encoding, quality_model, quality_rules, sharding, url_filter
+from .common import training_row
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -56,3 +57,19 @@ def op9_piece_encoding(spark, sf_dir):
 @query("op10_decontamination")
 def op10_decontamination(spark, sf_dir):
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op5_language_id")
+def op5_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.learn(docs, training_row(0))
+    return language_id.predict(docs, model).withColumn("held_out", ~training_row(0)).select(
+        "doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
+@query("op6_quality_model")
+def op6_quality_model(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = quality_model.learn(docs, table(spark, sf_dir, "labels"), training_row(0))
+    return quality_model.predict(docs, model).withColumn("held_out", ~training_row(0)).select(
+        "doc_id", "held_out", "score", "predicted")
