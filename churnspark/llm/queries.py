@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language_id, piece_encoding, quality_model, quality_rules, sharding, url_filter
+from . import decontaminate, language_id, near_dedup, piece_encoding, quality_model, quality_rules, sharding, url_filter
 from .common import training_row
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +73,8 @@ def op6_quality_model(spark, sf_dir):
     model = quality_model.learn(docs, table(spark, sf_dir, "labels"), training_row(0))
     return quality_model.predict(docs, model).withColumn("held_out", ~training_row(0)).select(
         "doc_id", "held_out", "score", "predicted")
+
+
+@query("op1_near_dedup")
+def op1_near_dedup(spark, sf_dir):
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), k=2)  # the contract's shingles: two words
