@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language_id, near_dedup, piece_encoding, quality_model, quality_rules, sharding, url_filter
+from . import decontaminate, language_id, near_dedup, piece_encoding, quality_model, quality_rules, sharding, substring_dedup, url_filter
 from .common import training_row
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,8 @@ def op6_quality_model(spark, sf_dir):
 @query("op1_near_dedup")
 def op1_near_dedup(spark, sf_dir):
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), k=2)  # the contract's shingles: two words
+
+
+@query("op4_substring_dedup")
+def op4_substring_dedup(spark, sf_dir):
+    return substring_dedup.digest_documents(table(spark, sf_dir, "documents"))
