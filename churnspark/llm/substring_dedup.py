@@ -52,30 +52,34 @@ def power(factor: np.uint64, n: int) -> np.uint64:
     return np.uint64(pow(int(factor), n, 1 << 64))
 
 
-def sliding(x: np.ndarray, n: int, least: bool) -> np.ndarray:
-    """Minimum (maximum) of every ``n`` neighbours, from running extremes of blocks in both directions."""
-    best = np.minimum if least else np.maximum
-    fill = np.uint64(0xFFFFFFFFFFFFFFFF if least else 0)
-    blocks = np.concatenate([x, np.full(-len(x) % n, fill, np.uint64)]).reshape(-1, n)
-    ahead = best.accumulate(blocks, axis=1).ravel()
-    behind = best.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
-    return best(behind[:len(x) - n + 1], ahead[n - 1:len(x)])
-
-
-def anchors(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(places, hashes) of the 16-word runs that are the least of some 50-word window."""
+def sliding_least(x: np.ndarray, n: int) -> np.ndarray:
+    """Minimum of every ``n`` neighbours, from running minima of blocks in both directions."""
+    blocks = np.concatenate([x, np.full(-len(x) % n, 0xFFFFFFFFFFFFFFFF, np.uint64)]).reshape(-1, n)
+    ahead = np.minimum.accumulate(blocks, axis=1).ravel()
+    behind = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
+    return np.minimum(behind[:len(x) - n + 1], ahead[n - 1:len(x)])
+
+
+def edges_of(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, place, lo, hi) of the least 16-word run of every 50-word window, neighbours with the same one together.
+
+    The windows inside words [lo, hi) have this run as their least.  It depends on the window's words
+    alone, so equal windows have equal edges; a window can only repeat if its edge does."""
     e = runs(h, EDGE, M1)
-    least = sliding(e, REACH, True)
-    pad = np.zeros(REACH - 1, np.uint64)
-    most = sliding(np.concatenate([pad, least, pad]), REACH, False)
-    at = np.flatnonzero(most == e)
-    return at, e[at]
+    low = np.uint64(63)  # the place's last bits ride along; equal runs may tie, their hash is the same
+    least = sliding_least((e & ~low) | (np.arange(len(e), dtype=np.uint64) & low), REACH)
+    start = np.arange(len(least))
+    place = start + (((least & low).astype(np.int64) - start) & 63)
+    first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+    last = np.concatenate([first[1:], [len(place)]]) - 1
+    at = place[first]
+    return e[at], at, first, last + WINDOW
 
 
 def scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """id, n_words, sha (of all words), print, and the edges: key, pos, lo, hi.
 
-    [lo, hi): words whose windows can hold this edge but neither neighbour only."""
+    [lo, hi): words whose windows have this edge."""
     def run(batches):
         memory = WordHashes()
         for b in pieces(batches, text_col):
@@ -86,9 +90,8 @@ def scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 row = [len(words), hashlib.sha256(whole).hexdigest(), xxhash.xxh3_128_digest(whole), [], [], [], []]
                 if len(words) >= WINDOW:
                     h = np.fromiter(map(memory.__getitem__, words), np.uint64, len(words))
-                    at, key = anchors(h)
-                    row[3:] = [key.astype(np.int64), at.astype(np.int32), np.concatenate([[0], at[:-1] + 1]).astype(np.int32),
-                               np.concatenate([at[1:] + EDGE - 1, [len(words)]]).astype(np.int32)]
+                    key, *places = edges_of(h)
+                    row[3:] = [key.astype(np.int64), *[x.astype(np.int32) for x in places]]
                 out.append(row)
                 memory.trim()
             c = list(zip(*out))
