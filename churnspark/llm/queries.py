@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language_id, near_dedup, piece_encoding, quality_model, quality_rules, sharding, substring_dedup, url_filter
+from . import decontaminate, language_id, language_model, near_dedup, piece_encoding, quality_model, quality_rules, sharding, substring_dedup, url_filter
 from .common import training_row
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,13 @@ def op1_near_dedup(spark, sf_dir):
 @query("op4_substring_dedup")
 def op4_substring_dedup(spark, sf_dir):
     return substring_dedup.digest_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op2_attention_lm")
+def op2_attention_lm(spark, sf_dir):
+    import public_tokenizers
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
+        ranks = f.read()
+    docs = table(spark, sf_dir, "documents")
+    model, counts = language_model.learn(docs, training_row(1), ranks, public_tokenizers.PATTERN)
+    return language_model.score(docs, model, counts).withColumn("held_out", ~training_row(1))
