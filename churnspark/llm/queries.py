@@ -93,3 +93,9 @@ def op2_attention_lm(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     model, counts = language_model.learn(docs, training_row(1), ranks, public_tokenizers.PATTERN)
     return language_model.score(docs, model, counts).withColumn("held_out", ~training_row(1))
+
+
+@query("pipeline")
+def pipeline(spark, sf_dir):
+    import corpus_pipeline  # at the repository's top, beside the entry module
+    return corpus_pipeline.run(spark, sf_dir)
