@@ -24,9 +24,11 @@ CHUNK_BYTES = 1 << 20
 def save(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back.
 
-    A written table cuts the lineage and outlives any executor."""
+    A written table cuts the lineage and outlives any executor.  Collecting
+    the driver's garbage lets Spark delete the shuffle files behind it."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    df.sparkSession.sparkContext._jvm.System.gc()
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.__dict__["scratch"] = path
     return out

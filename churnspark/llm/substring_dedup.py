@@ -152,7 +152,10 @@ def repeats(docs: DataFrame, id_col: str, text_col: str):
     spans = (found.join(paths, "key").groupBy("id", "head", (F.col("pos") - F.col("offset")).alias("diagonal"))
              .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
              .groupBy("id").agg(F.collect_list(F.struct("lo", "hi")).alias("spans")))  # a document's spans: fewer than its words
+    spans = save(spans, "substring-spans")
+    discard(shared, found, paths)
     texts = save(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(spans, "id"), "substring-texts")
+    discard(spans)
 
     def windows(batches):
         memory = WordHashes()
@@ -173,9 +176,11 @@ def repeats(docs: DataFrame, id_col: str, text_col: str):
                 yield pa.record_batch([pa.array(a.astype(np.int64)), pa.array((c >> np.uint64(32)).astype(np.uint32).view(np.int32)),
                                        pa.array(np.full(len(at), i, np.int64)), pa.array(at.astype(np.int32))], ["h", "g", "id", "at"])
     exact = save(texts.mapInArrow(windows, "h long, g int, id long, at int"), "substring-windows")
-    least = exact.groupBy("h", "g").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("h", "g", "first")
+    # Written first, so that the join below reads two plain exchanges and a hot window's rows can be split.
+    least = save(exact.groupBy("h", "g").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
+                 .select("h", "g", "first"), "substring-least")
     remove = save(exact.join(least, ["h", "g"]).where("id > first").groupBy("id").agg(F.collect_set("at").alias("starts")), "substring-starts")
-    discard(shared, found, paths, exact)
+    discard(exact, least)
     return every, texts, remove, copies
 
 
