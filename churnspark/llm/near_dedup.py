@@ -9,7 +9,8 @@ confirm the rest.
 Copies are never expanded into all pairs.  Equal sets are one class.  Every
 band group first links its members to its least one; then only groups that
 still hold several components compare members of different components, in
-blocks that read sketches and return what the estimate cannot rule out.
+blocks of bounded size that return no more links than join the block's
+components.
 """
 from __future__ import annotations
 
@@ -27,7 +28,7 @@ from .components import components
 REGISTERS, MANTISSA, VALUE_BITS = 256, 10, 56
 BANDS, ROWS = 40, 5  # 200 of the registers: a pair of similarity 0.8 shares no band once in 7 million
 MARGIN = 4.0  # standard deviations that an estimate may lie below the threshold
-BLOCK = 2048
+BLOCK = 1_500_000  # shingles of a block of a band group, 12 MB
 A, B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -165,46 +166,71 @@ def confirmed(pairs: DataFrame, docs: DataFrame, k: int, threshold: float, id_co
     return out
 
 
-def block_pairs(rows: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
-    """Members of mixed groups, sorted by (key, i, j): compare the two blocks of each (key, i, j).
-
-    Holds the rows of one block pair.  Returns pairs of different components
-    that the estimate cannot rule out, each in the first band they share."""
-    held: list[tuple] = []
-
-    def compare():
-        side, x = np.array([r[1] for r in held]), registers_of([r[5] for r in held])
-        own, comp, n = (np.array([r[c] for r in held], np.int64) for c in (2, 3, 4))
-        _, i, j, band = held[0][0]
-        out = []
-        left = np.flatnonzero(side == i)
-        right = left if i == j else np.flatnonzero(side == j)
-        for p in left:
-            q = right[right > p] if i == j else right
-            q = q[comp[q] != comp[p]]
-            if len(q):
-                same = x[q] == x[p]
-                ok = hopeful(same.mean(1), np.full(len(q), n[p]), n[q], threshold)
-                if band:
-                    earlier = same[:, :band * ROWS].reshape(len(q), band, ROWS).all(2).any(1)
-                    ok &= ~earlier
-                out += [(min(own[p], z), max(own[p], z)) for z in own[q[ok]].tolist()]
-        return out
-    done: list[tuple[int, int]] = []
-    key = None
-    for b in rows:
-        columns = [b.column(b.schema.get_field_index(c)).to_pylist() for c in ("key", "i", "j", "band", "side", "id", "component", "n", "registers")]
-        for at, i, j, band, *rest in zip(*columns):
-            if (at, i, j, band) != key:
-                if len(held) > 1:
-                    done += compare()
-                key, held = (at, i, j, band), []
-                if len(done) > 10_000:
-                    yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*done)], ["a", "b"])
-                    done = []
-            held.append((key, *rest))
+def with_sets(docs: DataFrame, wanted: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
+    """id, shingles (the whole set) of the wanted ids."""
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(wanted, "id").dropDuplicates(["id"])
+
+    def run(batches):
+        memory = WordHashes()
+        for b in pieces(batches):
+            sets = [shingle_set(t, k, memory).tobytes() for t in raw(b)]
+            memory.trim()
+            yield pa.record_batch([b.column(b.schema.get_field_index("id")), pa.array(sets, pa.binary())], ["id", "shingles"])
+    return texts.mapInArrow(run, "id long, shingles binary")
+
+
+def linked_in_block(held: list[tuple], i: int, j: int, band: int, percent: int) -> list[tuple[int, int]]:
+    """Links between members of different components in blocks i and j of one band group.
+
+    Estimates first, then whole sets.  A pair counts in the first band that
+    it shares; once a link joins two components they count as one here, so
+    at most one link fewer than members is returned."""
+    side = np.array([r[0] for r in held])
+    own, comp, n = (np.array([r[c] for r in held], np.int64) for c in (1, 2, 3))
+    x = registers_of([r[4] for r in held])
+    flat, codes = np.unique(np.frombuffer(b"".join([r[5] for r in held]), np.uint64), return_inverse=True)
+    starts = np.concatenate([[0], np.cumsum(n)])
+    has = np.zeros(len(flat), bool)
+    right_of = np.flatnonzero(side == j)
+    out = []
+    for p in np.flatnonzero(side == i):
+        q = right_of[right_of > p] if i == j else right_of
+        q = q[comp[q] != comp[p]]
+        if not len(q):
+            continue
+        same = x[q] == x[p]
+        ok = hopeful(same.mean(1), np.full(len(q), n[p]), n[q], percent / 100)
+        if band:
+            ok &= ~same[:, :band * ROWS].reshape(len(q), band, ROWS).all(2).any(1)
+        q = q[ok]
+        if not len(q):
+            continue
+        mine = codes[starts[p]:starts[p + 1]]
+        has[mine] = True
+        common = np.array([np.count_nonzero(has[codes[starts[z]:starts[z + 1]]]) for z in q])
+        has[mine] = False
+        for z in q[100 * common >= percent * (n[p] + n[q] - common)]:
+            if comp[z] != comp[p]:
+                out.append((int(min(own[p], own[z])), int(max(own[p], own[z]))))
+                comp[comp == comp[z]] = comp[p]
+    return out
+
+
+def block_links(rows: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Members of mixed groups, sorted by (band, key, i, j): the links of each (band, key, i, j), whose rows alone are held."""
+    at, held, done = None, [], []
+    for big in rows:
+        for b in pieces([big], "shingles", limit=4 << 20):
+            columns = [b.column(b.schema.get_field_index(c)).to_pylist()
+                       for c in ("band", "key", "i", "j", "side", "id", "component", "n", "registers", "shingles")]
+            for band, key, i, j, *rest in zip(*columns):
+                if (band, key, i, j) != at:
+                    if len(held) > 1:
+                        done += linked_in_block(held, at[2], at[3], at[0], percent)
+                    at, held = (band, key, i, j), []
+                held.append(rest)
     if len(held) > 1:
-        done += compare()
+        done += linked_in_block(held, at[2], at[3], at[0], percent)
     if done:
         yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*done)], ["a", "b"])
 
@@ -222,8 +248,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8, id_col:
     classed = every.where("n > 0 and id is not null")
     heads = save(classed.groupBy("print").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("copies")), "near-classes")
     sig = classed.select("id", "n", "registers", "bands").join(heads.select(F.col("head").alias("id")), "id", "left_semi")
-    banded = sig.select("id", F.posexplode("bands").alias("band", "key"))
-    groups = save(banded.groupBy("band", "key").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("size")).where("size > 1"), "near-groups")
+    banded = sig.select("id", "n", F.posexplode("bands").alias("band", "key"))
+    groups = save(banded.groupBy("band", "key").agg(
+        F.min("id").alias("least"), F.count(F.lit(1)).alias("size"), F.sum("n").alias("mass")).where("size > 1"), "near-groups")
     members = save(banded.join(groups, ["band", "key"]), "near-members")
     stars = members.where("id > least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
     grouped = save(sig.select("id", "n", "registers").join(members.select("id").distinct(), "id", "left_semi"), "near-grouped")
@@ -231,23 +258,26 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8, id_col:
 
     # Second pass: groups whose members are not all connected yet.
     labels = save(components(links), "near-labels")
-    tagged = members.where("size > 2").select("band", "key", "id", "size").join(labels, "id", "left").withColumn(
+    tagged = members.where("size > 2").select("band", "key", "id", "mass").join(labels, "id", "left").withColumn(
         "component", F.coalesce("component", "id"))
     tagged = save(tagged, "near-tagged")
     discard(members, groups, labels)
     mixed_groups = tagged.groupBy("band", "key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("band", "key")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    side = tagged.join(mixed_groups, ["band", "key"]).withColumn("blocks", blocks).withColumn(
-        "side", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    side = save(tagged.join(mixed_groups, ["band", "key"]).withColumn("blocks", F.ceil(F.col("mass") / BLOCK).cast("int")).withColumn(
+        "side", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")), "near-mixed")
+    discard(tagged)
+    sets = save(with_sets(docs, side.select("id").distinct(), k, id_col, text_col).join(grouped, "id"), "near-sets")
     spread = side.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "band", "key", "id", "component", "side", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"))
-    wide = spread.join(grouped, "id").select("key", "i", "j", "band", "side", "id", "component", "n", "registers")
-    wide = wide.repartition("key", "i", "j", "band").sortWithinPartitions("key", "i", "j", "band", "id")
-    more = save(wide.mapInArrow(lambda rows: block_pairs(rows, threshold), "a long, b long").distinct(), "near-more")
-    links = links.unionByName(confirmed(more, docs, k, threshold, id_col, text_col))
+    wide = spread.join(sets, "id").select("band", "key", "i", "j", "side", "id", "component", "n", "registers", "shingles")
+    wide = wide.repartition("band", "key", "i", "j").sortWithinPartitions("band", "key", "i", "j", "id")
+    percent = round(100 * threshold)
+    more = save(wide.mapInArrow(lambda rows: block_links(rows, percent), "a long, b long"), "near-more")
+    discard(side, sets)
+    links = links.unionByName(more)
 
     found = save(components(links), "near-components")
-    discard(tagged, grouped, more)
+    discard(grouped, more)
     head = heads.where("copies > 1").select("print", "head")
     placed = every.select("id", "n", "print").join(head, "print", "left").withColumn("head", F.coalesce("head", "id"))
     placed = placed.join(found.withColumnRenamed("id", "head"), "head", "left")
