@@ -91,9 +91,11 @@ def iterative_impute(df: DataFrame, targets: list[str] | None = None, predictors
     dcols = {f"__d_{c}_{v}": F.coalesce((F.col(f"`{c}`") == F.lit(v)).cast("double"), F.lit(0.0))
              for c in strings for v in cats[c][1:]}          # dummies, first category dropped
     numeric = [c for c in predictors if is_numeric(dt[c]) or is_boolean(dt[c])]
-    work = df.withColumns({**{c: F.col(f"`{c}`").cast("double") for c in numeric}, **dcols})
+    # NaN is missing like NULL from here on
+    number = {c: F.col(f"`{c}`").cast("double") for c in numeric}
+    work = df.withColumns({**{c: F.when(~F.isnan(v), v) for c, v in number.items()}, **dcols})
     cols = numeric + list(dcols)
-    miss = work.agg(*[F.count_if(F.col(c).isNull() | F.isnan(c)).alias(c) for c in cols]).first()
+    miss = work.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
     targets = [c for c in (targets or cols) if c in cols and miss[c] > 0]
     if not targets:
         return df

@@ -225,7 +225,10 @@ def tau_b_from_stats(st: dict) -> tuple[float | None, float | None]:
     if xt1 == 0 and yt1 == 0 and (n <= 33 or min((tot - s) / 2, (tot + s) / 2) <= 1):
         dis = int(round((tot - s) / 2))
         c = min(dis, int(tot) - dis)
-        p = min(1.0, 2.0 * _mahonian_cdf(n, c)) if n > 1 else 1.0
+        if c <= 1:  # 1 of n! orders, or n of them; in logarithms, as n! overflows
+            p = min(1.0, math.exp(math.log(2.0) - math.lgamma(n + 1 - c)))
+        else:
+            p = min(1.0, 2.0 * _mahonian_cdf(n, c))
     else:
         m = n * (n - 1.0)
         var = ((m * (2 * n + 5) - xt2 - yt2) / 18 + (2 * xt1 * yt1) / m + xt0 * yt0 / (9 * m * (n - 2)))

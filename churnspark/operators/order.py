@@ -13,12 +13,18 @@ and at most ``#partitions`` rows per key.
 
 ``position = id - first_id(piece) + offset(piece)`` is the 0-based position of
 a row inside its key, in the requested order.
+
+The tagged rows are written once before both uses: a second evaluation of
+the range exchange may sample other bounds (column pruning alone keeps Spark
+from reusing it), and the two numberings would not fit together.
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from churnspark.session import cut_lineage
+
 PID, RID = "__pid", "__rid"
 
 
@@ -55,7 +61,7 @@ def with_position(df: DataFrame, keys: list[str], order: list, pos_col: str = "p
     ``max_keys + partitions`` rows and is broadcast; otherwise it is joined
     back on ``(partition, key)``, which spreads a hot key over its partitions.
     """
-    r = ranged(df, keys, order, n_parts)
+    r = cut_lineage(ranged(df, keys, order, n_parts))
     pieces = r.groupBy(PID, *keys).agg(F.count(F.lit(1)).alias("__n"), F.min(RID).alias("__first"))
     pieces = piece_offsets(pieces, keys)
     if size_col:
@@ -76,7 +82,7 @@ def with_cumsum(df: DataFrame, keys: list[str], order: list, weight: str, out_co
     is a window over ``(partition, key)``, which splits a hot key into as
     many tasks as partitions it spans.
     """
-    r = ranged(df, keys, order, n_parts)
+    r = cut_lineage(ranged(df, keys, order, n_parts))
     pieces = piece_offsets(r.groupBy(PID, *keys).agg(F.sum(weight).alias("__n")), keys).drop("__n")
     w = Window.partitionBy(PID, *keys).orderBy(RID).rowsBetween(Window.unboundedPreceding, -1)
     local = r.withColumn("__loc", F.coalesce(F.sum(weight).over(w), F.lit(0)))

@@ -51,21 +51,23 @@ def _to_long(row: DataFrame, names: list[str], value: str, vtype: str) -> DataFr
 
 
 def long_values(df: DataFrame, fields) -> DataFrame:
-    """``(feature, vnum, vstr)``: every non-missing cell once; numeric cells in ``vnum``."""
+    """``(feature, vnum, vstr, vint)``: every non-missing cell once; numeric cells in ``vnum``, whole
+    numbers also in ``vint``, as doubles merge those above 2^53."""
     parts = []
     for f in fields:
         if is_numeric(f.dataType) or is_boolean(f.dataType):
             parts.append(F.struct(F.lit(f.name).alias("feature"), as_double(F.col(f.name), f.dataType).alias("vnum"),
-                                  F.lit(None).cast("string").alias("vstr")))
+                                  F.lit(None).cast("string").alias("vstr"),
+                                  (F.col(f"`{f.name}`") if isinstance(f.dataType, _INTEGRAL) else F.lit(None)).cast("bigint").alias("vint")))
         else:
             parts.append(F.struct(F.lit(f.name).alias("feature"), F.lit(None).cast("double").alias("vnum"),
-                                  F.col(f.name).cast("string").alias("vstr")))
+                                  F.col(f.name).cast("string").alias("vstr"), F.lit(None).cast("bigint").alias("vint")))
     return (df.select(F.explode(F.array(*parts)).alias("s")).select("s.*")
               .where(F.col("vnum").isNotNull() | F.col("vstr").isNotNull()))
 
 
 def value_count_table(df: DataFrame, fields) -> DataFrame:
-    return long_values(df, fields).groupBy("feature", "vnum", "vstr").agg(F.count(F.lit(1)).alias("__cnt"))
+    return long_values(df, fields).groupBy("feature", "vnum", "vstr", "vint").agg(F.count(F.lit(1)).alias("__cnt"))
 
 
 def distinct_counts(df: DataFrame, columns=None, approx: bool = False) -> DataFrame:
@@ -84,10 +86,11 @@ def _modes(vc: DataFrame, fields) -> DataFrame:
     """Most frequent value per feature; ties go to the smallest value."""
     top = vc.groupBy("feature").agg(F.max("__cnt").alias("__top"))
     best = (vc.join(top, "feature").where(F.col("__cnt") == F.col("__top"))
-              .groupBy("feature").agg(F.min("vnum").alias("__mnum"), F.min("vstr").alias("__mstr")))
+              .groupBy("feature").agg(F.min("vnum").alias("__mnum"), F.min("vstr").alias("__mstr"),
+                                     F.min("vint").alias("__mint")))
     integral = [f.name for f in fields if isinstance(f.dataType, _INTEGRAL) or is_boolean(f.dataType)]
     as_text = F.when(F.col("feature").isin(integral) if integral else F.lit(False),
-                     F.col("__mnum").cast("bigint").cast("string")).otherwise(F.col("__mnum").cast("string"))
+                     F.coalesce("__mint", F.col("__mnum").cast("bigint")).cast("string")).otherwise(F.col("__mnum").cast("string"))
     return best.select("feature", F.coalesce(as_text, F.col("__mstr")).alias("mode"))
 
 

@@ -110,7 +110,7 @@ def stratified_kfold(df: DataFrame, label: str, key, n_splits: int = 5, out_col:
 
 
 def nearest_neighbours(points: DataFrame, names: list[str], k: int = 5, metric: str = "euclidean",
-                       start_radius: float | None = None, max_rounds: int = 40) -> DataFrame:
+                       start_radius: float | None = None) -> DataFrame:
     """The k nearest other points of every point: ``(p, rank, q, d)``, ties by key.
 
     Radius per point: start small and double only for the points that still
@@ -124,7 +124,7 @@ def nearest_neighbours(points: DataFrame, names: list[str], k: int = 5, metric:
     radius = start_radius or diam / max(n, 1) ** (1.0 / max(len(names), 1))
     todo = points
     found = []
-    for _ in range(max_rounds):
+    while True:  # ends at a radius that holds all points, at the latest
         pr = pairs_within(points, names, radius, metric, left=todo).where(F.col("p") != F.col("q"))
         w = Window.partitionBy("p").orderBy("d", "q")
         top = cut_lineage(pr.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k))

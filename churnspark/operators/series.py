@@ -108,7 +108,9 @@ def _one_level(base, id_column, date_column, tiebreak, vals):
 
 def _two_level(base, id_column, date_column, tiebreak, vals, n_parts):
     order = [F.col(date_column).asc_nulls_last(), *[F.col(t) for t in tiebreak]]
-    r = ranged(base, [id_column], order, n_parts).withColumn(RID, F.col(RID).cast("double"))
+    # Row ids without their partition's base (the upper bits) stay exact as doubles.
+    inside = F.col(RID).bitwiseAND(F.lit((1 << 33) - 1)).cast("double")
+    r = ranged(base, [id_column], order, n_parts).withColumn(RID, inside)
     # piece level: one (partition, id) run of consecutive row ids
     allv = F.struct(*[F.col(v).alias(c) for c, v in vals.items()])
     aggs = [F.count(F.lit(1)).alias("__n"), F.min(RID).alias("__first_rid"), F.avg(RID).alias("__mrid"),

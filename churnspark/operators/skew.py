@@ -139,25 +139,28 @@ def fit_yeo_lambdas(df: DataFrame, columns: list[str], rounds: int = 7, grid: in
     lo = {c: -2.0 for c in columns}
     hi = {c: 2.0 for c in columns}
     best = {c: 1.0 for c in columns}
-    for r in range(rounds):
-        cand = {c: [float(v) for v in np.linspace(lo[c], hi[c], grid)] for c in columns}
-        rows = [(c, str(j), "yeo", lam, 0.0) for c in columns for j, lam in enumerate(cand[c])]
+    open_ = set(columns)  # an optimum at an edge widens the range, one inside narrows it
+    while open_:
+        cand = {c: [float(v) for v in np.linspace(lo[c], hi[c], grid)] for c in sorted(open_)}
+        rows = [(c, str(j), "yeo", lam, 0.0) for c in cand for j, lam in enumerate(cand[c])]
         var = {(q["feature"], q["cand"]): q["v"] for q in
                long.join(_candidates(df, rows), "feature").withColumn("y", _apply_kind(F.col("x")))
                    .groupBy("feature", "cand").agg(F.var_pop("y").alias("v")).collect()}
-        for c in columns:
+        for c in cand:
             n, sl = base.get(c, (0, 0.0))
             ll = []
             for j, lam in enumerate(cand[c]):
                 v = var.get((c, str(j)))
-                ll.append(-n / 2 * math.log(v) + (lam - 1) * sl if v and v > 0 else -math.inf)
+                ll.append(-n / 2 * math.log(v) + (lam - 1) * sl if v and 0 < v < math.inf else -math.inf)
             k = int(np.argmax(ll))
-            best[c] = cand[c][k]
-            step = (hi[c] - lo[c]) / (grid - 1)
-            if k == 0 and r == 0:          # optimum at the left edge: widen
-                lo[c], hi[c] = lo[c] - 4.0, lo[c] + step
-            elif k == grid - 1 and r == 0:
-                lo[c], hi[c] = hi[c] - step, hi[c] + 4.0
+            best[c] = cand[c][k] if ll[k] > -math.inf else 1.0
+            width, step = hi[c] - lo[c], (hi[c] - lo[c]) / (grid - 1)
+            if ll[k] == -math.inf or width <= 4.0 * 10.0 ** -rounds:
+                open_.discard(c)
+            elif k == 0 and width >= 4.0:
+                lo[c], hi[c] = lo[c] - 2 * width, lo[c] + step
+            elif k == grid - 1 and width >= 4.0:
+                lo[c], hi[c] = hi[c] - step, hi[c] + 2 * width
             else:
                 lo[c], hi[c] = best[c] - step, best[c] + step
     return best

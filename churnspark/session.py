@@ -30,13 +30,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; set one only when unset."""
+    """Use the cluster's shared ``spark.checkpoint.dir``.
+
+    Only a local master, whose tasks share the driver's disk, gets a default;
+    on a cluster a missing setting is an error."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = os.path.join("/tmp", "churnspark-checkpoints")
     sc.setCheckpointDir(configured)
     return configured
@@ -45,10 +50,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
-    df.persist()  # the eager checkpoint would otherwise compute the plan twice
-    out = df.checkpoint(eager=True)
-    df.unpersist()
-    return out
+    return df.checkpoint(eager=True)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -45,15 +45,17 @@ def load_table(spark: SparkSession, primary: str, fallback: str | None = None,
     """S3: the stored dataset, else the CSV fallback, else ``FileNotFoundError``."""
     try:
         return spark.read.parquet(primary)
-    except AnalysisException:
-        pass
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":  # a broken dataset is an error, not a reason to read another
+            raise
     if fallback is not None:
         try:
             df = read_csv(spark, fallback, schema)
             df.schema  # noqa: B018  (resolves the path now)
             return df
-        except AnalysisException:
-            pass
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
     raise FileNotFoundError(f"Could not find {primary} nor {fallback}")
 
 
