@@ -383,7 +383,7 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, id_col: str = "doc_i
             known = model.head[at] == h if len(model.head) and len(words) else np.zeros(len(words), bool)
             value = np.where(known, head_log[at], 0.0) if len(words) and len(model.head) else np.zeros(len(words))
             owner = np.repeat(np.arange(n_docs), lengths)
-            common = np.bincount(owner, value[flat], n_docs) + np.log10(end_n + 0.5)
+            common = np.bincount(owner, value[flat], n_docs).astype(float) + np.log10(end_n + 0.5)
             n_known = np.bincount(owner, known[flat], n_docs).astype(np.int64) + (1 if end_n else 0)
             rare = ~known[flat]
             spot, times = np.unique(owner[rare] * max(1, len(words)) + flat[rare], return_counts=True)
@@ -408,7 +408,7 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, id_col: str = "doc_i
                 memory.clear()
             where, n_ids = spread(own_sizes, flat)
             length = np.bincount(owner, n_ids, n_docs).astype(np.int64)
-            logs = np.bincount(owner, smooth[flat], n_docs)
+            logs = np.bincount(owner, smooth[flat], n_docs).astype(float)
             first = np.concatenate([[0], np.cumsum(length)])
             lo = 0
             while lo < n_docs:  # about 64,000 ids at a time
