@@ -1,7 +1,7 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
 
 Each test item gives word n-grams.  Their document frequencies over the whole
-corpus pick every item's rarer half as seeds; a training passage around a
+corpus tell its rare ones, the seeds; a training passage around a
 seed's hit is aligned with the item, and the alignment's score tells copies,
 also edited ones, from chance.
 """
@@ -68,14 +68,19 @@ class Items:
                 self.places.setdefault(g, []).append((k, at, size))
 
     def keep(self, frequency: dict[int, int]) -> "Items":
-        """Only the seeds of each item that are no commoner than its median n-gram (ties stay)."""
+        """Only the rare seeds of each item: not those far commoner than its other n-grams that occur at all.
+
+        Copies raise all n-grams that they leave whole, an everyday phrase only
+        its own; an n-gram goes when its frequency is over four times (and ten
+        more than) that at the 90th percentile of its item."""
         limit = {}
         of_item: dict[int, list[int]] = {}
         for g, places in self.places.items():
-            for k, _, _ in places:
+            for k in {p[0] for p in places}:
                 of_item.setdefault(k, []).append(frequency.get(g, 0))
         for k, all_of_it in of_item.items():
-            limit[k] = sorted(all_of_it)[len(all_of_it) // 2]
+            found = sorted(f for f in all_of_it if f)
+            limit[k] = 4 * found[9 * (len(found) - 1) // 10] + 10 if found else 0
         kept = {g: [p for p in places if frequency.get(g, 0) <= limit[p[0]]] for g, places in self.places.items()}
         self.places = {g: p for g, p in kept.items() if p}
         return self
