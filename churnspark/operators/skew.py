@@ -113,7 +113,7 @@ def candidate_skews(df: DataFrame, rows: list[tuple]) -> dict[tuple[str, str], f
             continue
         k = float(n)
         m2, m3 = r["a2"] / k, r["a3"] / k
-        out[(r["feature"], r["cand"])] = 0.0 if m2 <= 0 else math.sqrt(k * (k - 1)) / (k - 2) * m3 / m2 ** 1.5
+        out[(r["feature"], r["cand"])] = 0.0 if m2 <= 0 else math.sqrt(k * (k - 1)) / (k - 2) * m3 / m2 / math.sqrt(m2)
     return out
 
 
@@ -151,7 +151,7 @@ def fit_yeo_lambdas(df: DataFrame, columns: list[str], rounds: int = 7, grid: in
             ll = []
             for j, lam in enumerate(cand[c]):
                 v = var.get((c, str(j)))
-                ll.append(-n / 2 * math.log(v) + (lam - 1) * sl if v and 0 < v < math.inf else -math.inf)
+                ll.append(-n / 2 * math.log(v) + (lam - 1) * sl if v and 1e-100 < v < 1e100 else -math.inf)  # cubes must stay within doubles
             k = int(np.argmax(ll))
             best[c] = cand[c][k] if ll[k] > -math.inf else 1.0
             width, step = hi[c] - lo[c], (hi[c] - lo[c]) / (grid - 1)
