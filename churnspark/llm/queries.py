@@ -6,11 +6,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language_id, language_model, near_dedup, piece_encoding, quality_model, quality_rules, sharding, substring_dedup, url_filter
+from . import decontaminate, language_id, language_model, near_dedup, oracles, piece_encoding, quality_model, quality_rules, sharding, substring_dedup, url_filter
 from .common import training_row
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = dict(oracles.ORACLE)
 
 #: Fixed values of the contract.
 ALLOW = ["org/", "com/fr/"]
