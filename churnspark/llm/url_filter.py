@@ -120,7 +120,8 @@ def filter_urls(pages: DataFrame, allow: list[str], block: list[str], default: s
     keyed = pages.select(F.col(id_col), host.alias("host"), path.alias("path"))
     keyed = keyed.withColumn("keys", candidate_keys([*allow, *block])(F.col("host"), F.col("path")))
     universe = save(keyed.select(F.explode("keys").alias("key")).distinct(), "url-keys")
-    as_keys = lambda rules: spark.createDataFrame([("".join(split_rule(r)),) for r in rules], "key string")
+    as_keys = lambda rules: spark.range(1).select(F.explode(
+        F.array(*[F.lit("".join(split_rule(r))) for r in rules]).cast("array<string>")).alias("key"))
     blocked, allowed = build_cascade(as_keys(block), universe), build_cascade(as_keys(allow), universe)
     discard(universe)
     member = F.filter("keys", lambda k: blocked.contains(k) | allowed.contains(k))
