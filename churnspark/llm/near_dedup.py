@@ -9,7 +9,8 @@ confirm the rest.
 Copies are never expanded into all pairs.  Equal sets are one class.  Every
 band group first links its members to its least one; then only groups that
 still hold several components compare members of different components, in
-blocks of bounded size that return no more links than join the block's
+blocks of bounded size: first by their sketches alone, then, for members that
+may have a link, by whole sets, returning no more links than join the block's
 components.
 """
 from __future__ import annotations
@@ -141,11 +142,15 @@ def estimated(pairs: DataFrame, sig: DataFrame, threshold: float) -> DataFrame:
     return both.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(run, "a long, b long")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, k: int, threshold: float, id_col: str, text_col: str) -> DataFrame:
+def texts_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id, text of the wanted ids.  They have no size bound, so they are never broadcast: one plan at every size."""
+    every = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).hint("merge")
+    return every.join(wanted, "id", "left_semi").dropDuplicates(["id"])
+
+
+def confirmed(pairs: DataFrame, texts: DataFrame, k: int, threshold: float) -> DataFrame:
     """The pairs whose whole sets reach the threshold: 100 * intersection >= 100 * threshold * union."""
     percent = round(100 * threshold)
-    named = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = save(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(named, "id").dropDuplicates(["id"]), "near-texts")
     both = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").join(
         texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
 
@@ -161,14 +166,11 @@ def confirmed(pairs: DataFrame, docs: DataFrame, k: int, threshold: float, id_co
                 good.append(100 * common >= percent * (len(last["set"]) + len(other) - common))
             memory.trim()
             yield b.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
-    out = save(both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long"), "near-links")
-    discard(texts)
-    return out
+    return save(both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long"), "near-links")
 
 
-def with_sets(docs: DataFrame, wanted: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
-    """id, shingles (the whole set) of the wanted ids."""
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(wanted, "id").dropDuplicates(["id"])
+def with_sets(texts: DataFrame, k: int) -> DataFrame:
+    """id, shingles (the whole set) of every text."""
 
     def run(batches):
         memory = WordHashes()
@@ -216,23 +218,62 @@ def linked_in_block(held: list[tuple], i: int, j: int, band: int, percent: int)
     return out
 
 
-def block_links(rows: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Members of mixed groups, sorted by (band, key, i, j): the links of each (band, key, i, j), whose rows alone are held."""
-    at, held, done = None, [], []
+def hopeful_in_block(held: list[tuple], i: int, j: int, band: int, percent: int) -> list[int]:
+    """Places of the members that some member of another component and of the other side may be near to, by their sketches."""
+    side = np.array([r[0] for r in held])
+    comp, n = (np.array([r[c] for r in held], np.int64) for c in (2, 3))
+    x = registers_of([r[4] for r in held])
+    right_of = np.flatnonzero(side == j)
+    found = np.zeros(len(held), bool)
+    for p in np.flatnonzero(side == i):
+        q = right_of[right_of > p] if i == j else right_of
+        q = q[comp[q] != comp[p]]
+        if not len(q):
+            continue
+        same = x[q] == x[p]
+        ok = hopeful(same.mean(1), np.full(len(q), n[p]), n[q], percent / 100)
+        if band:
+            ok &= ~same[:, :band * ROWS].reshape(len(q), band, ROWS).all(2).any(1)
+        if ok.any():
+            found[p] = True
+            found[q[ok]] = True
+    return np.flatnonzero(found).tolist()
+
+
+def blocks_of(rows: Iterator[pa.RecordBatch], payload: list[str], by_size: str) -> Iterator[tuple[tuple, list]]:
+    """((band, key, i, j), its rows) of rows sorted by these four; the rows of one block alone are held."""
+    at, held = None, []
     for big in rows:
-        for b in pieces([big], "shingles", limit=4 << 20):
-            columns = [b.column(b.schema.get_field_index(c)).to_pylist()
-                       for c in ("band", "key", "i", "j", "side", "id", "component", "n", "registers", "shingles")]
+        for b in pieces([big], by_size, limit=4 << 20):
+            columns = [b.column(b.schema.get_field_index(c)).to_pylist() for c in ("band", "key", "i", "j", *payload)]
             for band, key, i, j, *rest in zip(*columns):
                 if (band, key, i, j) != at:
                     if len(held) > 1:
-                        done += linked_in_block(held, at[2], at[3], at[0], percent)
+                        yield at, held
                     at, held = (band, key, i, j), []
                 held.append(rest)
     if len(held) > 1:
-        done += linked_in_block(held, at[2], at[3], at[0], percent)
-    if done:
-        yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*done)], ["a", "b"])
+        yield at, held
+
+
+def block_hopes(rows: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """The rows of ``blocks_of`` that may have a link in their block; no more than come in."""
+    for at, held in blocks_of(rows, ["side", "id", "component", "n", "registers"], "registers"):
+        found = hopeful_in_block(held, at[2], at[3], at[0], percent)
+        if found:
+            out = [(*at, *held[p][:3]) for p in found]
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), HOPES.values())], list(HOPES))
+
+
+HOPES = {"band": pa.int32(), "key": pa.int64(), "i": pa.int32(), "j": pa.int32(), "side": pa.int32(), "id": pa.int64(), "component": pa.int64()}
+
+
+def block_links(rows: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """The links of each block, at most one fewer than its members."""
+    for at, held in blocks_of(rows, ["side", "id", "component", "n", "registers", "shingles"], "shingles"):
+        done = linked_in_block(held, at[2], at[3], at[0], percent)
+        if done:
+            yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*done)], ["a", "b"])
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -254,7 +295,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8, id_col:
     members = save(banded.join(groups, ["band", "key"]), "near-members")
     stars = members.where("id > least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
     grouped = save(sig.select("id", "n", "registers").join(members.select("id").distinct(), "id", "left_semi"), "near-grouped")
-    links = confirmed(save(estimated(stars, grouped, threshold), "near-pairs"), docs, k, threshold, id_col, text_col)
+    texts = save(texts_of(docs, grouped.select("id"), id_col, text_col), "near-texts")  # whole texts are shuffled this once
+    links = confirmed(save(estimated(stars, grouped, threshold), "near-pairs"), texts, k, threshold)
 
     # Second pass: groups whose members are not all connected yet.
     labels = save(components(links), "near-labels")
@@ -266,14 +308,20 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8, id_col:
     side = save(tagged.join(mixed_groups, ["band", "key"]).withColumn("blocks", F.ceil(F.col("mass") / BLOCK).cast("int")).withColumn(
         "side", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")), "near-mixed")
     discard(tagged)
-    sets = save(with_sets(docs, side.select("id").distinct(), k, id_col, text_col).join(grouped, "id"), "near-sets")
     spread = side.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "band", "key", "id", "component", "side", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"))
-    wide = spread.join(sets, "id").select("band", "key", "i", "j", "side", "id", "component", "n", "registers", "shingles")
-    wide = wide.repartition("band", "key", "i", "j").sortWithinPartitions("band", "key", "i", "j", "id")
     percent = round(100 * threshold)
+
+    def in_blocks(rows: DataFrame) -> DataFrame:
+        return rows.repartition("band", "key", "i", "j").sortWithinPartitions("band", "key", "i", "j", "id")
+    # Sketches go to the blocks first; whole sets, many times their size, only for members that they leave some hope.
+    thin = in_blocks(spread.join(grouped, "id"))
+    hopes = save(thin.mapInArrow(lambda rows: block_hopes(rows, percent), "band int, key long, i int, j int, side int, id long, component long"),
+                 "near-hopes")
+    sets = save(with_sets(texts.join(hopes.select("id").distinct(), "id", "left_semi"), k).join(grouped, "id"), "near-sets")
+    wide = in_blocks(hopes.join(sets, "id"))
     more = save(wide.mapInArrow(lambda rows: block_links(rows, percent), "a long, b long"), "near-more")
-    discard(side, sets)
+    discard(side, hopes, sets, texts)
     links = links.unionByName(more)
 
     found = save(components(links), "near-components")
