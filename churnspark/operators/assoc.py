@@ -344,7 +344,7 @@ def bivariate_table(df: DataFrame, target: str, round_to: int = 3, with_kendall:
 
 def _numeric_block(df, target, feats, round_to, with_kendall):
     """All numeric-numeric features at once: Pearson/regression and skew in one aggregate,
-    Spearman in one pipeline, Kendall in one grouped job (bounded samples)."""
+    Spearman in one pipeline, Kendall in one keyed set of running sums."""
     from churnspark.operators.kendall import kendall_many
     y = _num(df, target)
     pe = pearson_table(df, target, feats)
@@ -383,15 +383,7 @@ def _assemble_bivariate(spark, df, target, results, round_to, with_kendall):
                     F.lit(base["type"]).alias("type"), F.lit(base["unique_values"]).cast("bigint").alias("unique_values")]
         vals = {k: F.lit(None).cast("string" if k == "y = mx + b" else "double") for k in stat_cols}
         src = None
-        if kind == "numeric":
-            src = regression_summary(df, c, target, round_to, with_kendall)
-            vals.update({"skew": F.col("skew_1"), "pearson_pvalue": F.col("pearson_p"), "r": F.col("pearson_r"),
-                         "y = mx + b": F.concat(F.lit("y = "), F.col("slope").cast("string"), F.lit("x + "),
-                                                 F.col("intercept").cast("string")),
-                         "spearman": F.col("spearman"), "spearman_pvalue": F.col("spearman_p")})
-            if with_kendall:
-                vals.update({"kendalltau": F.col("kendall"), "kendalltau_pvalue": F.col("kendall_p")})
-        elif kind == "chi2":
+        if kind == "chi2":
             src = chi2_test(df, c, target)
             vals.update({"chi2": F.round("chi2", round_to), "chi2_pvalue": F.round("chi2_pvalue", round_to)})
         elif isinstance(kind, tuple) and kind[0] == "ttest":

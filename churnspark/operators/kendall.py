@@ -1,16 +1,17 @@
 """Kendall tau-b with tie correction, exact, without an n^2 pair join (V3).
 
-Let S = sum over pairs of sign(dx) * sign(dy).  Pairs are split by value
-chunks of x (X) and of y (Y), cut from running counts so every chunk holds
-about ``t`` rows; a value holding ``t`` rows or more gets a chunk of its own:
-
-* same X chunk                 -> exact per X chunk (grouped pandas task);
-* different X and different Y  -> from the small X-by-Y chunk count matrix;
-* different X, same Y chunk    -> exact per Y chunk, X chunk id as the order.
-
-A chunk is either one value (its internal pairs are ties: S = 0, skipped)
-or bounded by about ``2t`` distinct points, so no task holds a hot value's
-rows and nothing is quadratic.  Tie terms come from value counts.  The
+S is the sum over pairs of sign(dx) * sign(dy).  The target's values get dense
+ranks.  Two ranks that differ agree above one bit and differ in it, so every
+pair is counted at exactly one (bit, prefix above it): there, a row with the
+bit set is greater than a row without it.  Along x, a running sum of either
+kind of row inside each (bit, prefix) gives
+
+    S = sum of ones(x) * zeros(before x) - zeros(x) * ones(before x).
+
+Rows of equal (bit, prefix, x) are added up before the running sum, so ties in
+x never meet.  The running sums cut hot groups into pieces
+(``order.with_cumsum``); the data grows by the number of bits of the rank,
+and there is one path for all sizes.  Tie terms come from value counts.  The
 p-value follows the usual rule: exact permutation distribution for small
 untied samples, otherwise the tie-corrected normal approximation.
 """
@@ -19,181 +20,64 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnspark.operators.order import with_cumsum
-
-MAX_CHUNKS = 1024
-MIN_CHUNK_ROWS = 200_000
-
-
-def _dominance_s(key: np.ndarray, y: np.ndarray, w: np.ndarray) -> float:
-    """sum over pairs with key_p < key_q of w_p w_q sign(y_q - y_p); input sorted by key."""
-    if len(key) < 2 or key[0] == key[-1]:
-        return 0.0
-    ranks = np.unique(y, return_inverse=True)[1] + 1
-    m = int(ranks.max())
-    tree = np.zeros(m + 1, dtype=np.float64)
-    total = 0.0
-    s = 0.0
-    i, n = 0, len(key)
-    while i < n:
-        j = i
-        while j < n and key[j] == key[i]:
-            j += 1
-        for q in range(i, j):            # query against strictly smaller keys
-            r = ranks[q]
-            less = 0.0
-            k = r - 1
-            while k > 0:
-                less += tree[k]
-                k -= k & -k
-            le = 0.0
-            k = r
-            while k > 0:
-                le += tree[k]
-                k -= k & -k
-            s += w[q] * (less - (total - le))
-        for q in range(i, j):            # then insert the key group
-            k = ranks[q]
-            while k <= m:
-                tree[k] += w[q]
-                k += k & -k
-            total += w[q]
-        i = j
-    return s
-
-
-def weighted_inversions(y: np.ndarray, w: np.ndarray) -> float:
-    """sum of w_i w_j over i < j with y_i > y_j (bottom-up merge, vectorised per level)."""
-    n = len(y)
-    if n < 2:
-        return 0.0
-    ys = np.unique(y, return_inverse=True)[1].astype(np.int64)
-    ws = w.astype(np.float64)
-    big = int(ys.max()) + 1
-    idx = np.arange(n)
-    total, b = 0.0, 1
-    while b < n:
-        block = idx // (2 * b)
-        right = (idx % (2 * b)) >= b
-        key = block * big + ys
-        lk, lw = key[~right], ws[~right]
-        cum = np.concatenate([[0.0], np.cumsum(lw)])
-        end = np.searchsorted(lk, (block[right] + 1) * big, side="left")
-        le = np.searchsorted(lk, key[right], side="right")
-        total += float((ws[right] * (cum[end] - cum[le])).sum())
-        order = np.lexsort((ys, block))
-        ys, ws = ys[order], ws[order]
-        b *= 2
-    return total
-
-
-def _pair_sum(groups: np.ndarray, w: np.ndarray) -> float:
-    """sum of w_p w_q over unordered pairs in the same group."""
-    _, inv = np.unique(groups, return_inverse=True)
-    g = np.bincount(inv, weights=w)
-    return float((g * g).sum() - (w * w).sum()) / 2.0
-
-
-def _dominance_fast(key: np.ndarray, y: np.ndarray, w: np.ndarray) -> float:
-    """Same as ``_dominance_s``: S = A - 2B - E on the (key, y)-sorted sequence.
-
-    A: weight of pairs with different keys; B: weighted inversions of y;
-    E: pairs with equal y and different keys."""
-    if len(key) < 2 or key[0] == key[-1]:
-        return 0.0
-    w = w.astype(np.float64)
-    tot = float(w.sum())
-    a = (tot * tot - (w * w).sum()) / 2.0 - _pair_sum(key, w)
-    kinv = np.unique(key, return_inverse=True)[1]
-    yinv = np.unique(y, return_inverse=True)[1]
-    e = _pair_sum(yinv, w) - _pair_sum(kinv * (int(yinv.max()) + 1) + yinv, w)
-    return a - 2.0 * weighted_inversions(y, w) - e
+from churnspark.operators.order import with_cumsum, with_position
+from churnspark.session import cut_lineage
 
 
-def _group_s(order_col: str):
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([order_col, "y"], kind="mergesort")
-        s = _dominance_fast(pdf[order_col].to_numpy(), pdf["y"].to_numpy(), pdf["w"].to_numpy(dtype=np.float64))
-        return pd.DataFrame({"s": [s]})
-    return fn
-
-
-_SMALL_SCHEMA = "s double, xt1 double, xt0 double, xt2 double, yt1 double, yt0 double, yt2 double"
-
+def _points(df: DataFrame, target: Column, features: dict[str, Column]) -> DataFrame:
+    """``feature, x, y, w``: distinct complete pairs with their number of rows."""
+    parts = [F.struct(F.lit(name).alias("feature"), c.cast("double").alias("x")) for name, c in features.items()]
+    long = (df.select(target.cast("double").alias("y"), F.explode(F.array(*parts)).alias("s"))
+              .select("s.feature", "s.x", "y")
+              .where(F.col("x").isNotNull() & F.col("y").isNotNull() & ~F.isnan("x") & ~F.isnan("y")))
+    return cut_lineage(long.groupBy("feature", "x", "y").agg(F.count(F.lit(1)).alias("w")))
 
-def _tie_sums(v: pd.Series, w: pd.Series):
-    c = w.groupby(v).sum().to_numpy(dtype=np.float64)
-    return (c * (c - 1) / 2).sum(), (c * (c - 1) * (c - 2)).sum(), (c * (c - 1) * (2 * c + 5)).sum()
 
+def _tie_sums(points: DataFrame, side: str) -> DataFrame:
+    """Per feature: sums over tie groups of c(c-1)/2, c(c-1)(c-2) and c(c-1)(2c+5)."""
+    c = F.col("c")
+    return (points.groupBy("feature", side).agg(F.sum("w").cast("double").alias("c"))
+                  .groupBy("feature").agg(F.sum("c").alias("n"), F.sum(c * (c - 1) / 2).alias(f"{side}1"),
+                                          F.sum(c * (c - 1) * (c - 2)).alias(f"{side}0"),
+                                          F.sum(c * (c - 1) * (2 * c + 5)).alias(f"{side}2")))
 
-def _small_kendall(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values(["x", "y"], kind="mergesort")
-    s = _dominance_fast(pdf["x"].to_numpy(), pdf["y"].to_numpy(), pdf["w"].to_numpy(dtype=np.float64))
-    xt = _tie_sums(pdf["x"], pdf["w"])
-    yt = _tie_sums(pdf["y"], pdf["w"])
-    return pd.DataFrame([[s, *xt, *yt]], columns=["s", "xt1", "xt0", "xt2", "yt1", "yt0", "yt2"])
 
+def _dominance(points: DataFrame) -> DataFrame:
+    """``feature, s`` from the running sums of every (bit, prefix) of the ranks of y."""
+    values = points.select("y").distinct().withColumn("__one", F.lit(0))
+    ranks = cut_lineage(with_position(values, ["__one"], ["y"], pos_col="r", max_keys=1).select("y", "r"))
+    bits = max(1, (ranks.count() - 1).bit_length())
+    one = F.expr("shiftright(r, b) & 1 = 1")
+    rows = (points.join(ranks, "y").withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(bits - 1))))
+                  .groupBy("feature", "b", F.expr("shiftright(r, b + 1)").alias("prefix"), "x")
+                  .agg(F.sum(F.when(one, F.col("w")).otherwise(0)).alias("ones"),
+                       F.sum(F.when(one, F.lit(0)).otherwise(F.col("w"))).alias("zeros")))
+    run = with_cumsum(rows, ["feature", "b", "prefix"], ["x"], ["ones", "zeros"], ["ones_before", "zeros_before"])
+    product = lambda a, b: F.col(a).cast("double") * F.col(b)
+    return run.groupBy("feature").agg(F.sum(product("ones", "zeros_before") - product("zeros", "ones_before")).alias("s"))
 
-def _chunks(points: DataFrame, col: str, n_total: int, out: str, max_chunks: int, min_rows: int) -> DataFrame:
-    """Chunk id per distinct value of ``col``: running count // t, heavy values isolated."""
-    t = max(math.ceil(n_total / max_chunks), min_rows)
-    vc = points.groupBy(col).agg(F.sum("w").alias("__cnt")).withColumn("__k", F.lit(0))
-    cum = with_cumsum(vc, ["__k"], [col], "__cnt", "__c0")
-    heavy = (F.col("__cnt") >= t).cast("long")
-    return cum.select(col, (F.floor(F.col("__c0") / t) * 2 + heavy).alias(out), F.col("__cnt"))
 
+def _statistics(points: DataFrame) -> dict[str, dict]:
+    """feature -> n, S and tie sums (one row per feature reaches the driver)."""
+    rows = _tie_sums(points, "x").join(_tie_sums(points, "y").drop("n"), "feature").join(_dominance(points), "feature").collect()
+    return {r["feature"]: {"n": int(r["n"]), "s": r["s"], "xtie": (r["x1"], r["x0"], r["x2"]),
+                           "ytie": (r["y1"], r["y0"], r["y2"])} for r in rows}
 
-def kendall_s_and_ties(df: DataFrame, x: str, y: str, max_chunks: int = MAX_CHUNKS,
-                       min_chunk_rows: int = MIN_CHUNK_ROWS) -> dict:
-    """S and the tie sums needed for tau-b and its variance."""
-    pts = (df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
-             .where(F.col("x").isNotNull() & F.col("y").isNotNull() & ~F.isnan("x") & ~F.isnan("y"))
-             .groupBy("x", "y").agg(F.count(F.lit(1)).cast("double").alias("w")))
-    from churnspark.session import cut_lineage
-    pts = cut_lineage(pts)  # compressed points are read by every step below
-    n = pts.agg(F.sum("w")).first()[0] or 0
-    if n < 2:
-        return {"n": int(n), "s": 0.0}
-    if n <= min_chunk_rows:
-        # bounded sample (at most one chunk of rows): one grouped task does everything
-        r = pts.groupBy(F.lit(0).alias("g")).applyInPandas(_small_kendall, _SMALL_SCHEMA).first()
-        return {"n": int(n), "s": r["s"], "xtie": (r["xt1"], r["xt0"], r["xt2"]), "ytie": (r["yt1"], r["yt0"], r["yt2"])}
-    cx = _chunks(pts, "x", n, "xc", max_chunks, min_chunk_rows)
-    cy = _chunks(pts, "y", n, "yc", max_chunks, min_chunk_rows)
-    tagged = pts.join(cx.select("x", "xc"), "x").join(cy.select("y", "yc"), "y")
-    s1 = (tagged.groupBy("xc").applyInPandas(_group_s("x"), "s double").agg(F.sum("s")).first()[0] or 0.0)
-    s3 = (tagged.select("yc", F.col("xc").cast("double").alias("key"), "y", "w")
-                .groupBy("yc").applyInPandas(_group_s("key"), "s double").agg(F.sum("s")).first()[0] or 0.0)
-    # chunk count matrix: at most MAX_CHUNKS^2 cells (heavy chunks at most double it)
-    cells = tagged.groupBy("xc", "yc").agg(F.sum("w").alias("c")).collect()
-    s2 = _matrix_s([(r["xc"], r["yc"], r["c"]) for r in cells])
-    ties = {}
-    for side, tab in (("x", cx), ("y", cy)):
-        r = tab.agg(F.sum(F.col("__cnt") * (F.col("__cnt") - 1) / 2).alias("t1"),
-                    F.sum(F.col("__cnt") * (F.col("__cnt") - 1) * (F.col("__cnt") - 2)).alias("t0"),
-                    F.sum(F.col("__cnt") * (F.col("__cnt") - 1) * (2 * F.col("__cnt") + 5)).alias("t2")).first()
-        ties[side] = (r["t1"] or 0.0, r["t0"] or 0.0, r["t2"] or 0.0)
-    return {"n": int(n), "s": s1 + s2 + s3, "xtie": ties["x"], "ytie": ties["y"]}
 
+def kendall_s_and_ties(df: DataFrame, x: str, y: str) -> dict:
+    """n, S and the tie sums needed for tau-b and its variance.
 
-def _matrix_s(cells) -> float:
-    if not cells:
-        return 0.0
-    xs = sorted({c[0] for c in cells})
-    ys = sorted({c[1] for c in cells})
-    xi = {v: i for i, v in enumerate(xs)}
-    yi = {v: i for i, v in enumerate(ys)}
-    m = np.zeros((len(xs), len(ys)))
-    for a, b, c in cells:
-        m[xi[a], yi[b]] += c
-    before = np.cumsum(m, axis=0) - m            # rows of earlier X chunks, per Y chunk
-    below = np.cumsum(before, axis=1) - before   # earlier X, smaller Y
-    above = before.sum(axis=1, keepdims=True) - np.cumsum(before, axis=1)  # earlier X, larger Y
-    return float((m * (below - above)).sum())
+    S is symmetric: the column of fewer values is ranked, which takes fewer bits."""
+    few = df.agg(F.approx_count_distinct(f"`{x}`").alias("x"), F.approx_count_distinct(f"`{y}`").alias("y")).first()
+    swap = few["x"] < few["y"]
+    other, ranked = (y, x) if swap else (x, y)
+    st = _statistics(_points(df, F.col(f"`{ranked}`"), {"x": F.col(f"`{other}`")})).get("x")
+    if st is None:
+        return {"n": 0, "s": 0.0, "xtie": (0.0, 0.0, 0.0), "ytie": (0.0, 0.0, 0.0)}
+    return {**st, "xtie": st["ytie"], "ytie": st["xtie"]} if swap else st
 
 
 def _mahonian_cdf(n: int, k: int) -> float:
@@ -236,50 +120,16 @@ def tau_b_from_stats(st: dict) -> tuple[float | None, float | None]:
     return tau, p
 
 
-def kendall_tau(df: DataFrame, x: str, y: str, max_chunks: int = MAX_CHUNKS,
-                min_chunk_rows: int = MIN_CHUNK_ROWS) -> DataFrame:
+def kendall_tau(df: DataFrame, x: str, y: str) -> DataFrame:
     """V3: one-row ``n, kendalltau, kendalltau_pvalue``."""
-    st = kendall_s_and_ties(df, x, y, max_chunks, min_chunk_rows)
-    tau, p = tau_b_from_stats(st) if st["n"] >= 2 else (None, None)
-    return df.sparkSession.createDataFrame([(st["n"], tau, p)], "n long, kendalltau double, kendalltau_pvalue double")
+    st = kendall_s_and_ties(df, x, y)
+    return df.sparkSession.createDataFrame([(st["n"], *tau_b_from_stats(st))], "n long, kendalltau double, kendalltau_pvalue double")
 
 
-def kendall_many(df: DataFrame, target: str, features: list[str], max_chunks: int = MAX_CHUNKS,
-                 min_chunk_rows: int = MIN_CHUNK_ROWS) -> DataFrame:
+def kendall_many(df: DataFrame, target: str, features: list[str]) -> DataFrame:
     """V3 for many features against one target: ``feature, n, kendalltau, kendalltau_pvalue``.
 
-    Features whose complete pairs fit one bounded task are done together by
-    one grouped job (one task per feature); larger ones take the chunked path."""
-    parts = [F.struct(F.lit(f).alias("feature"), F.col(f"`{f}`").cast("double").alias("x")) for f in features]
-    long = (df.select(F.col(f"`{target}`").cast("double").alias("y"), F.explode(F.array(*parts)).alias("s"))
-              .select("s.feature", "s.x", "y")
-              .where(F.col("x").isNotNull() & F.col("y").isNotNull() & ~F.isnan("x") & ~F.isnan("y")))
-    from churnspark.session import cut_lineage
-    pts = cut_lineage(long.groupBy("feature", "x", "y").agg(F.count(F.lit(1)).cast("double").alias("w")))
-    sizes = {r["feature"]: r["n"] for r in pts.groupBy("feature").agg(F.sum("w").alias("n")).collect()}
-    small = [f for f, n in sizes.items() if n <= min_chunk_rows]
-    rows = []
-    if small:
-        got = (pts.where(F.col("feature").isin(small)).groupBy("feature")
-                  .applyInPandas(_small_kendall_keyed, "feature string, " + _SMALL_SCHEMA).collect())
-        for r in got:
-            st = {"n": int(sizes[r["feature"]]), "s": r["s"], "xtie": (r["xt1"], r["xt0"], r["xt2"]),
-                  "ytie": (r["yt1"], r["yt0"], r["yt2"])}
-            rows.append((r["feature"], st["n"], *tau_b_from_stats(st)))
-    for f in features:
-        if f in sizes and f not in small:
-            one = pts.where(F.col("feature") == f).select("x", "y", "w")
-            st = kendall_s_and_ties(_expand_weights(one), "x", "y", max_chunks, min_chunk_rows)
-            rows.append((f, st["n"], *tau_b_from_stats(st)))
+    All features run in the same jobs, keyed by feature; the target is ranked once."""
+    found = _statistics(_points(df, F.col(f"`{target}`"), {f: F.col(f"`{f}`") for f in features}))
+    rows = [(f, found[f]["n"], *tau_b_from_stats(found[f])) for f in features if f in found]
     return df.sparkSession.createDataFrame(rows, "feature string, n long, kendalltau double, kendalltau_pvalue double")
-
-
-def _small_kendall_keyed(pdf: pd.DataFrame) -> pd.DataFrame:
-    out = _small_kendall(pdf)
-    out.insert(0, "feature", pdf["feature"].iloc[0])
-    return out
-
-
-def _expand_weights(points: DataFrame) -> DataFrame:
-    """Back to one row per observation (the chunked path compresses again)."""
-    return points.select("x", "y", F.explode(F.array_repeat(F.lit(1), F.col("w").cast("int"))).alias("__one")).drop("__one")

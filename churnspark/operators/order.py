@@ -74,17 +74,22 @@ def with_position(df: DataFrame, keys: list[str], order: list, pos_col: str = "p
     return out.drop(PID, RID, "__first", "__off")
 
 
-def with_cumsum(df: DataFrame, keys: list[str], order: list, weight: str, out_col: str = "cum_before",
+def with_cumsum(df: DataFrame, keys: list[str], order: list, weight: str | list[str], out_col: str | list[str] = "cum_before",
                 n_parts: int | None = None) -> DataFrame:
     """Add the sum of ``weight`` over rows *before* each row inside its key, in ``order``.
 
+    Several weights (with as many output names) share one range exchange.
     Same piece scheme as ``with_position``; the running sum inside a piece
     is a window over ``(partition, key)``, which splits a hot key into as
     many tasks as partitions it spans.
     """
+    weights, outs = ([weight], [out_col]) if isinstance(weight, str) else (list(weight), list(out_col))
     r = cut_lineage(ranged(df, keys, order, n_parts))
-    pieces = piece_offsets(r.groupBy(PID, *keys).agg(F.sum(weight).alias("__n")), keys).drop("__n")
+    sums = r.groupBy(PID, *keys).agg(*[F.sum(c).alias(f"__n{i}") for i, c in enumerate(weights)])
+    earlier = Window.partitionBy(*keys).orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
+    pieces = sums.select(PID, *keys, *[F.coalesce(F.sum(f"__n{i}").over(earlier), F.lit(0)).alias(f"__off{i}") for i in range(len(weights))])
     w = Window.partitionBy(PID, *keys).orderBy(RID).rowsBetween(Window.unboundedPreceding, -1)
-    local = r.withColumn("__loc", F.coalesce(F.sum(weight).over(w), F.lit(0)))
+    local = r.withColumns({f"__loc{i}": F.coalesce(F.sum(c).over(w), F.lit(0)) for i, c in enumerate(weights)})
     out = local.join(pieces, on=[PID, *keys], how="inner")
-    return out.withColumn(out_col, F.col("__loc") + F.col("__off")).drop(PID, RID, "__loc", "__off")
+    out = out.withColumns({o: F.col(f"__loc{i}") + F.col(f"__off{i}") for i, o in enumerate(outs)})
+    return out.drop(PID, RID, *[f"__{k}{i}" for k in ("loc", "off") for i in range(len(weights))])

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from churnspark.functions import dist
 from churnspark.operators import assoc as V
 from churnspark.operators import profile as P
-from churnspark.operators.kendall import kendall_s_and_ties, kendall_tau, tau_b_from_stats
+from churnspark.operators.kendall import kendall_many, kendall_s_and_ties, kendall_tau, tau_b_from_stats
 from churnspark.operators.quantiles import exact_quantiles
 
 
@@ -71,17 +71,36 @@ def _brute_s(x, y):
     return s
 
 
-def test_kendall_chunked_equals_brute_force(spark):
+def test_kendall_equals_brute_force(spark):
     rng = np.random.default_rng(7)
     x = np.concatenate([rng.integers(0, 30, 250), np.full(150, 12)]).astype(float)   # heavy tie
     y = (x * 0.3 + rng.integers(0, 10, len(x))).astype(float)
     df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(x, y)], "x double, y double")
-    st = kendall_s_and_ties(df, "x", "y", max_chunks=8, min_chunk_rows=20)
+    st = kendall_s_and_ties(df, "x", "y")
     assert abs(st["s"] - _brute_s(x, y)) < 1e-6
+    ties = lambda v: sum(c * (c - 1) / 2 for c in np.unique(v, return_counts=True)[1])
+    assert st["n"] == len(x) and st["xtie"][0] == ties(x) and st["ytie"][0] == ties(y)
     tau, p = tau_b_from_stats(st)
-    small = kendall_s_and_ties(df, "x", "y")   # single-task path
-    assert abs(small["s"] - st["s"]) < 1e-6 and small["xtie"] == pytest.approx(st["xtie"])
     assert -1 <= tau <= 1 and 0 <= p <= 1
+    back = kendall_s_and_ties(df, "y", "x")   # the other column's ranks give the same sum
+    assert back["s"] == st["s"] and back["xtie"] == pytest.approx(st["ytie"])
+
+
+def test_kendall_many_has_one_path_for_all_features(spark):
+    rng = np.random.default_rng(8)
+    a, b, y = rng.normal(size=300), rng.integers(0, 4, 300).astype(float), rng.normal(size=300)
+    a[:9], b[20:25] = np.nan, np.nan
+    df = spark.createDataFrame([(float(p), float(q), float(r), None) for p, q, r in zip(a, b, y)],
+                               "a double, `b.c` double, y double, empty double")
+    got = {r["feature"]: r for r in kendall_many(df, "y", ["a", "b.c", "empty"]).collect()}
+    assert set(got) == {"a", "b.c"}
+    for name, v in (("a", a), ("b.c", b)):
+        ok = ~np.isnan(v)
+        n = int(ok.sum())
+        ties = sum(c * (c - 1) / 2 for c in np.unique(v[ok], return_counts=True)[1])
+        tot = n * (n - 1) / 2
+        assert got[name]["n"] == n
+        assert abs(got[name]["kendalltau"] - _brute_s(v[ok], y[ok]) / math.sqrt((tot - ties) * tot)) < 1e-12
 
 
 def test_kendall_exact_p_small(spark):
