@@ -1,9 +1,9 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
+"""Benchmark decontamination: seeds of word pairs, then Smith-Waterman alignment of words.
 
-Each test item gives word n-grams.  Their document frequencies over the whole
-corpus tell its rare ones, the seeds; a training passage around a
-seed's hit is aligned with the item, and the alignment's score tells copies,
-also edited ones, from chance.
+Seeds are pairs of words at most two places apart.  Every alignment that
+reaches the threshold holds a certain number of them within a bounded passage
+(see ``Items``); passages with that many are aligned with the item, and the
+alignment's score tells copies, also edited ones, from chance.
 """
 from __future__ import annotations
 
@@ -17,23 +17,26 @@ from .common import WordHashes, ids, pieces, raw
 PUNCTUATION = b".,;:!?\"'()[]{}"
 MATCH, MISMATCH, GAP = 2, -1, -1
 STEP = np.uint64(0x9E3779B97F4A7C15)
+MOST = 2_000_000  # (position, item) hits that are held at a time
 
 
 def words_of(text: bytes | None) -> list[bytes]:
     return (text or b"").lower().translate(None, PUNCTUATION).split()
 
 
-def grams(h: np.ndarray, n: int) -> np.ndarray:
-    """64-bit hashes of all runs of ``n`` word hashes."""
-    if len(h) < n:
-        return h[:0]
-    out = h[:len(h) - n + 1].copy()
-    for k in range(1, n):
-        out *= STEP
-        out += h[k:len(h) - n + 1 + k]
+def seeds(h: np.ndarray, gap: int) -> np.ndarray:
+    """64-bit hashes of each word hash with the one ``gap`` places on; gap 0: of single words."""
+    out = h[:max(0, len(h) - gap)] * STEP
+    out += h[gap:] if gap else np.uint64(1)
     return out ^ (out >> np.uint64(31))
 
 
+def flat(hs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word hashes of all documents, document of each, first place of each document and the end)."""
+    sizes = np.array([len(h) for h in hs], np.int64)
+    return np.concatenate([*hs, np.zeros(0, np.uint64)]), np.repeat(np.arange(len(hs)), sizes), np.concatenate([[0], np.cumsum(sizes)])
+
+
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
     """Best local alignment score, and where it ends in the passage (Smith-Waterman, linear gaps).
 
@@ -54,78 +57,105 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
 
 
 class Items:
-    """The test items of one slice: words, n-grams and where each n-gram stands."""
+    """The test items of one slice: words, seeds and how many seeds an accepted passage holds at least.
 
-    def __init__(self, rows: list[tuple[int, bytes]], n: int):
+    Let an alignment of ``n`` words score ``least = threshold * 2n`` with ``m``
+    matches.  Its edits cost one each, so the m - 1 gaps between following
+    matches hold at most 2m - least edits, and at least least / 2 - 1 of the
+    gaps hold one edit or none: there the two matched words stand one or two
+    places apart in the item as well as in the passage.  Such word pairs are
+    the seeds; each starts at its own word of the item and of the passage.
+    Items that one matched word already lets pass have their words as seeds."""
+
+    def __init__(self, rows: list[tuple[int, bytes]], threshold: float):
         memory = WordHashes()
+        rows = [(i, words) for i, words in ((i, words_of(t)) for i, t in rows) if words]
         self.ids = [i for i, _ in rows]
-        self.words = [np.fromiter(map(memory.__getitem__, words_of(t)), np.uint64) for _, t in rows]
-        self.places: dict[int, list[tuple[int, int, int]]] = {}
-        self.sizes = sorted({min(n, len(w)) for w in self.words if len(w)})
+        self.words = [np.fromiter(map(memory.__getitem__, words), np.uint64) for _, words in rows]
+        self.size = np.array([len(w) for w in self.words], np.int64)
+        least = np.maximum(1, np.ceil(threshold * MATCH * self.size - 1e-9).astype(np.int64))
+        self.need = np.maximum(1, (least + 1) // 2 - 1)
+        self.drift = np.maximum(0, MATCH * self.size - least)  # gaps of an accepted alignment, at most
+        single = least <= MATCH
+        self.gaps = [g for g, some in ((0, single.any()), (1, (~single).any()), (2, (~single).any())) if some]
+        parts = []  # (seed, item, its first word in the item)
         for k, w in enumerate(self.words):
-            size = min(n, len(w))  # an item shorter than n words is one seed
-            for at, g in enumerate(grams(w, size).tolist() if size else []):
-                self.places.setdefault(g, []).append((k, at, size))
-
-    def keep(self, frequency: dict[int, int]) -> "Items":
-        """Only the rare seeds of each item: not those far commoner than its other n-grams that occur at all.
-
-        Copies raise all n-grams that they leave whole, an everyday phrase only
-        its own; an n-gram goes when its frequency is over four times (and ten
-        more than) that at the 90th percentile of its item."""
-        limit = {}
-        of_item: dict[int, list[int]] = {}
-        for g, places in self.places.items():
-            for k in {p[0] for p in places}:
-                of_item.setdefault(k, []).append(frequency.get(g, 0))
-        for k, all_of_it in of_item.items():
-            found = sorted(f for f in all_of_it if f)
-            limit[k] = 4 * found[9 * (len(found) - 1) // 10] + 10 if found else 0
-        kept = {g: [p for p in places if frequency.get(g, 0) <= limit[p[0]]] for g, places in self.places.items()}
-        self.places = {g: p for g, p in kept.items() if p}
-        return self
+            for gap in (0,) if single[k] else (1, 2):
+                found = seeds(w, gap)
+                parts.append((found, np.full(len(found), k), np.arange(len(found))))
+        self.seed, self.item, self.start = (np.concatenate([p[c] for p in parts] or [np.zeros(0, kind)])
+                                            for c, kind in enumerate((np.uint64, np.int64, np.int64)))
 
     def ready(self) -> None:
-        self.known = np.array(sorted(self.places), np.uint64)
-        self.maybe = np.zeros(1 << 16, bool)
-        self.maybe[(self.known & np.uint64(0xFFFF)).astype(np.int64)] = True
-
-    def hits(self, h: np.ndarray):
-        """(position, gram) of every known n-gram in a document's word hashes."""
-        for size in self.sizes:
-            g = grams(h, size)
-            at = np.flatnonzero(self.maybe[(g & np.uint64(0xFFFF)).astype(np.int64)])
-            if len(at) and len(self.known):
-                near = np.minimum(np.searchsorted(self.known, g[at]), len(self.known) - 1)
-                for p in at[self.known[near] == g[at]].tolist():
-                    if any(s == size for _, _, s in self.places[int(g[p])]):
-                        yield p, int(g[p])
-
-    def matches(self, h: np.ndarray, threshold: float) -> list[tuple[int, float, int, int]]:
-        """(item, score, first word, end word) of the best passage of each item that reaches the threshold."""
-        diagonals: dict[int, set[int]] = {}
-        for p, g in self.hits(h):
-            for k, at, _ in self.places[g]:
-                diagonals.setdefault(k, set()).add(p - at)
+        """The seeds as a sorted table, each with its distinct items."""
+        order = np.lexsort((self.item, self.seed))
+        seed, item = self.seed[order], self.item[order]
+        new = np.concatenate([[True], (seed[1:] != seed[:-1]) | (item[1:] != item[:-1])])[:len(seed)]
+        self.known, first = np.unique(seed[new], return_index=True)
+        self.owner, self.first = item[new], np.append(first, int(new.sum()))
+        self.bits = np.uint64((1 << max(16, (16 * len(self.known)).bit_length())) - 1)
+        self.maybe = np.zeros(int(self.bits) + 1, bool)
+        self.maybe[(self.known & self.bits).astype(np.int64)] = True
+
+    def hits(self, h: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(position, number of the seed) of every known seed in the word hashes of documents, one after another."""
+        at, slot = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for gap in self.gaps:
+            found = seeds(h, gap)
+            p = np.flatnonzero(self.maybe[(found & self.bits).astype(np.int64)])
+            p = p[doc[p] == doc[p + gap]]
+            near = np.minimum(np.searchsorted(self.known, found[p]), len(self.known) - 1)
+            same = self.known[near] == found[p]
+            at.append(p[same])
+            slot.append(near[same])
+        return np.concatenate(at), np.concatenate(slot)
+
+    def passages(self, h: np.ndarray, doc: np.ndarray):
+        """(item, position) of every hit from which on an accepted passage may hold all its seeds, in order."""
+        at, slot = self.hits(h, doc)
+        load = np.cumsum(np.bincount(self.owner, np.repeat(np.bincount(slot, minlength=len(self.known)), np.diff(self.first)), len(self.ids)))
+        total = int(load[-1]) if len(load) else 0
+        cuts = np.unique([0, *(np.searchsorted(load, np.arange(MOST, total, MOST)) + 1).tolist(), len(self.ids)])
+        for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()) if total else ():  # items in parts of bounded numbers of hits
+            mine = (self.owner >= lo) & (self.owner < hi)
+            owner, first = self.owner[mine], np.concatenate([[0], np.cumsum(mine)])[self.first]
+            n = (first[1:] - first[:-1])[slot]
+            inside = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+            key = np.unique(owner[np.repeat(first[slot], n) + inside] * len(h) + np.repeat(at, n))
+            item, place = key // len(h), key % len(h)
+            i = np.arange(len(key))
+            last = i + self.need[item] - 1
+            i, last = i[last < len(key)], last[last < len(key)]
+            good = (item[i] == item[last]) & (doc[place[i]] == doc[place[last]])
+            good &= place[last] - place[i] <= (self.size + self.drift)[item[i]]
+            yield from zip(item[i[good]].tolist(), place[i[good]].tolist())
+
+    def matches(self, hs: list[np.ndarray], threshold: float) -> list[tuple[int, int, float, int, int]]:
+        """(document, item, score, first word, end word) of the best passage of each item that reaches the threshold."""
+        h, doc, first = flat(hs)
+        best: dict[tuple[int, int], tuple[float, int, int]] = {}
+
+        def look(k, d, lo, hi):
+            score, end = align(self.words[k], h[lo:hi])
+            score /= MATCH * len(self.words[k])
+            if score >= threshold and score > best.get((d, k), (0.0, 0, 0))[0]:
+                best[d, k] = (score, lo, lo + end)
+        held = None
+        for k, p in self.passages(h, doc):
+            d, reach = int(doc[p]), int(self.size[k] + self.drift[k])
+            lo, hi = max(int(first[d]), p - reach), min(int(first[d + 1]), p + reach)
+            if held and held[:2] == (k, d) and lo <= held[3]:  # overlapping passages are one
+                held = (k, d, held[2], hi)
+                continue
+            if held:
+                look(*held)
+            held = (k, d, lo, hi)
+        if held:
+            look(*held)
         out = []
-        for k, starts in diagonals.items():
-            item = self.words[k]
-            room = 4 + len(item) // 2
-            best = (0.0, 0, 0)
-            lo = hi = None
-            for d in [*sorted(starts), None]:  # overlapping passages are one
-                if lo is not None and (d is None or d - room > hi):
-                    passage = h[lo:hi]
-                    score, end = align(item, passage)
-                    if score / (MATCH * len(item)) > best[0]:
-                        best = (score / (MATCH * len(item)), lo, lo + end)
-                    lo = None
-                if d is not None:
-                    lo = max(0, d - room) if lo is None else lo
-                    hi = min(len(h), d + len(item) + room)
-            if best[0] >= threshold:
-                _, back = align(item[::-1], h[best[1]:best[2]][::-1])
-                out.append((k, best[0], best[2] - back, best[2]))
+        for (d, k), (score, lo, end) in best.items():
+            _, back = align(self.words[k][::-1], h[lo:end][::-1])
+            out.append((d, k, score, end - back - int(first[d]), end - int(first[d])))
         return out
 
 
@@ -138,52 +168,42 @@ def slices(items: DataFrame, item_id: str, text_col: str, most_bytes: int) -> li
     return [clean.where(F.pmod(F.xxhash64("item", "words"), F.lit(parts)) == k) for k in range(parts)]
 
 
-def prepared(docs: DataFrame, part: DataFrame, text_col: str, n: int) -> Items:
-    """Items with their rare seeds; frequencies are counted over every document."""
-    found = Items(sorted((r["item"], r["words"].encode()) for r in part.collect()), n)
-    found.ready()
-
-    def count(batches):
-        memory, total = WordHashes(), {}
-        for b in pieces(batches, text_col):
-            for t in raw(b, text_col):
-                for g in {g for _, g in found.hits(np.fromiter(map(memory.__getitem__, words_of(t)), np.uint64))}:
-                    total[g] = total.get(g, 0) + 1
-            memory.trim()
-        yield pa.record_batch([pa.array(np.array(list(total), np.uint64).astype(np.int64)), pa.array(list(total.values()), pa.int64())],
-                              ["gram", "n"])
-    rows = docs.select(text_col).mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()
-    found.keep({r["gram"] % (1 << 64): r["n"] for r in rows})  # at most one row for each n-gram of the part
+def prepared(part: DataFrame, threshold: float) -> Items:
+    """The items with all their seeds."""
+    found = Items(sorted((r["item"], r["words"].encode()) for r in part.collect()), threshold)
     found.ready()
     return found
 
 
-def contaminated(docs: DataFrame, items: DataFrame, n: int = 4, threshold: float = 0.5, id_col: str = "doc_id",
+def hashes(b: pa.RecordBatch, text_col: str, memory: WordHashes) -> list[np.ndarray]:
+    out = [np.fromiter(map(memory.__getitem__, words_of(t)), np.uint64) for t in raw(b, text_col)]
+    memory.trim()
+    return out
+
+
+def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.5, id_col: str = "doc_id",
                  text_col: str = "text", item_id: str = "item_id", item_text: str = "text",
                  most_bytes: int = 4 << 20) -> DataFrame:
     """One row per (document, item) whose best passage scores at least ``threshold``.
 
     Columns: id, item_id, score (alignment score over that of a full copy),
     first_word, end_word (the passage, counted in words of the document
-    without punctuation marks).  Null or empty texts and items match nothing;
+    without punctuation marks).  The rows are those of a Smith-Waterman alignment of
+    every item with every document: at 0.5, one word of an item of two is
+    enough.  Null or empty texts and items match nothing;
     repeated documents give a row each, repeated items are taken once.  The
-    items are sent to the tasks in parts of bounded size, with one counting
-    and one matching pass over the documents for each part; documents are
-    never shuffled.  Without items there are no rows.
+    items are sent to the tasks in parts of bounded size, with one pass over the documents for each part; documents are never shuffled.  Without items there are no rows.
     """
     schema = "id long, item long, score double, first_word long, end_word long"
     parts = []
     for part in slices(items, item_id, item_text, most_bytes):
-        found = prepared(docs, part, text_col, n)
+        found = prepared(part, threshold)
 
         def run(batches, found=found):
             memory = WordHashes()
             for b in pieces(batches, text_col):
-                out = []
-                for i, t in zip(ids(b, id_col), raw(b, text_col)):
-                    h = np.fromiter(map(memory.__getitem__, words_of(t)), np.uint64)
-                    out += [(i, found.ids[k], s, x, y) for k, s, x, y in found.matches(h, threshold)]
-                memory.trim()
+                own = ids(b, id_col)
+                out = [(own[d], found.ids[k], s, x, y) for d, k, s, x, y in found.matches(hashes(b, text_col, memory), threshold)]
                 if out:
                     yield pa.record_batch([pa.array(c) for c in zip(*out)], ["id", "item", "score", "first_word", "end_word"])
         parts.append(docs.select(id_col, text_col).mapInArrow(run, schema))
@@ -195,18 +215,17 @@ def contaminated(docs: DataFrame, items: DataFrame, n: int = 4, threshold: float
     return out.withColumnsRenamed({"id": id_col, "item": item_id})
 
 
-def without_contaminated(docs: DataFrame, items: DataFrame, n: int = 4, threshold: float = 0.5, text_col: str = "text",
+def without_contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.5, text_col: str = "text",
                          item_id: str = "item_id", item_text: str = "text", most_bytes: int = 4 << 20) -> DataFrame:
     """The documents that hold no passage of any item, all columns as they are; one task decides on its own rows."""
     for part in slices(items, item_id, item_text, most_bytes):
-        found = prepared(docs, part, text_col, n)
+        found = prepared(part, threshold)
 
         def run(batches, found=found):
             memory = WordHashes()
             for b in pieces(batches, text_col):
-                clean = [not found.matches(np.fromiter(map(memory.__getitem__, words_of(t)), np.uint64), threshold)
-                         for t in raw(b, text_col)]
-                memory.trim()
+                gone = {m[0] for m in found.matches(hashes(b, text_col, memory), threshold)}
+                clean = [d not in gone for d in range(b.num_rows)]
                 yield b.filter(pa.array(clean, pa.bool_()))
         docs = docs.mapInArrow(run, docs.schema)
     return docs

@@ -202,3 +202,34 @@ def test_alignment_scores():
     assert decontaminate.align(a, a) == (20, 10)
     assert decontaminate.align(a, np.delete(a, 5))[0] == 17  # one gap
     assert decontaminate.align(a, np.array([], np.uint64)) == (0, 0)
+
+
+def test_every_passage_that_reaches_the_score_is_found(spark, make):
+    """Against the alignment of every item with every document; edits at every 2nd to 6th word."""
+    import random
+    r = random.Random(3)
+    common = [f"c{i}" for i in range(40)]  # words that all texts share
+    lines = [[r.choice(common) if r.random() < 0.5 else f"w{r.randrange(4000)}" for _ in range(n)] for n in (15, 15, 20, 38, 59, 8, 5, 3)]
+    edits = {"replace": lambda w, j: [f"new{j}"], "drop": lambda w, j: [], "insert": lambda w, j: [w, f"new{j}"], "common": lambda w, j: [common[j % 40]]}
+    texts = []
+    for line in lines:
+        for step in range(2, 7):
+            for edit in edits.values():
+                copy = [x for j, w in enumerate(line) for x in (edit(w, j) if j % step == step - 1 else [w])]
+                texts.append([r.choice(common) for _ in range(30)] + copy + [r.choice(common) for _ in range(30)])
+        for _ in range(15):  # words replaced at random
+            texts.append([w if r.random() > 0.3 else f"new{r.randrange(99)}" for w in line])
+        texts.append([x for j, w in enumerate(line) for x in (w, f"new{j}")])  # a word after every word
+    docs = make([(i, " ".join(t), "en") for i, t in enumerate(texts)])
+    items = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(lines)], "item_id long, text string")
+    code = decontaminate.WordHashes()
+    hashed = lambda t: decontaminate.np.array([code[w.encode()] for w in t], decontaminate.np.uint64)
+    want = {}
+    for i, t in enumerate(texts):
+        for k, line in enumerate(lines):
+            score = decontaminate.align(hashed(line), hashed(t))[0] / (2 * len(line))
+            if score >= 0.5:
+                want[i, k] = score
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in decontaminate.contaminated(docs, items).collect()}
+    assert len(want) > 150 and got == want
+    assert {r["doc_id"] for r in decontaminate.without_contaminated(docs, items).collect()} == set(range(len(texts))) - {i for i, _ in want}
