@@ -233,3 +233,12 @@ def test_every_passage_that_reaches_the_score_is_found(spark, make):
     got = {(r["doc_id"], r["item_id"]): r["score"] for r in decontaminate.contaminated(docs, items).collect()}
     assert len(want) > 150 and got == want
     assert {r["doc_id"] for r in decontaminate.without_contaminated(docs, items).collect()} == set(range(len(texts))) - {i for i, _ in want}
+
+
+def test_a_hot_edited_copy_beside_an_exact_one(spark, make):
+    words = [f"w{i}" for i in range(15)]
+    edited = ["new" if i in (5, 8, 11, 14) else w for i, w in enumerate(words)]  # two runs of four words are left
+    docs = make([(0, " ".join(words), "en")] + [(1 + i, f"start {' '.join(edited)} n{i}", "en") for i in range(1000)])
+    items = spark.createDataFrame([(7, " ".join(words))], "item_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in decontaminate.contaminated(docs, items).collect()}
+    assert got == {0: 1.0, **{1 + i: 19 / 30 for i in range(1000)}}
