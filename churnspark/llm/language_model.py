@@ -4,8 +4,8 @@ A text's probability is that of its ids' classes, times that of every word
 given the classes of its ids.  The first factor is a one-layer causal
 self-attention model trained in numpy on a bounded sample; it reads windows
 of 32 ids that overlap by 16 and scores every id once.  The second comes
-from all training words with their counts over the corpus: counts of the
-commonest words, smoothed towards P(id | class, class before it in the word).
+from all training words with their counts over the corpus, smoothed towards
+P(id | class, class before it in the word).
 """
 from __future__ import annotations
 
@@ -23,7 +23,7 @@ from .common import discard, ids, pieces, raw, save
 STEP, WIDTH = 16, 32  # ids scored by a window, ids it reads
 CLASSES, UNITS, DIM = 48, 1024, 16
 START, LONE = UNITS + CLASSES, CLASSES  # the unit before a text's first id; the "class" before a word's first id
-HEAD = 1 << 18  # commonest words whose counts and subwords every task holds
+HEAD = 1 << 18  # commonest words that every task holds; the others are joined, with the same scores
 END_WORD = b" "  # no word: words hold no space
 CHUNK = 4 << 20
 
@@ -262,11 +262,15 @@ def word_counts(docs: DataFrame, learning: Column, text_col: str) -> DataFrame:
 
 
 class Model:
-    """Everything that scoring needs; its size is bounded by the vocabulary and by HEAD, not by the corpus."""
+    """Everything that scoring needs.  What the tasks hold is bounded by the vocabulary and by HEAD; ``totals``,
+    the counts of all class sequences, is a table and stays behind when the model goes to a task."""
 
     def __init__(self, **parts):
         self.__dict__.update(parts)
 
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k != "totals"}
+
 
 def learn(docs: DataFrame, learning: Column, ranks: bytes, pattern: str, id_col: str = "doc_id", text_col: str = "text",
           sample: int = 1500) -> tuple[Model, DataFrame]:
@@ -323,6 +327,17 @@ def learn(docs: DataFrame, learning: Column, ranks: bytes, pattern: str, id_col:
     pair[table.column("slot").to_numpy()] = table.column("n").to_numpy()
     inner = inner_table(pair.reshape(CLASSES + 1, size), class_of, size)
 
+    def sequence_sums(batches):
+        sub = Subwords(ranks, pattern)
+        for b in batches:
+            words, n = raw(b, "word"), np.array(ids(b, "n"), np.int64)
+            keep = [i for i, x in enumerate(words) if x != END_WORD]
+            found, which = np.unique(by_word(*sub.many([words[i] for i in keep]), inner, class_of)[1], return_inverse=True)
+            yield pa.record_batch([pa.array(found.view(np.int64)), pa.array(np.bincount(which, n[keep], len(found)).astype(np.int64)),
+                                   pa.array(np.bincount(which, minlength=len(found)))], ["sequence", "seen", "kinds"])
+    totals = save(counts.select("word", "n").mapInArrow(sequence_sums, "sequence long, seen long, kinds long").groupBy("sequence").agg(
+        F.sum("seen").alias("seen"), F.sum("kinds").alias("kinds")), "lm-sequences")
+
     head = counts.orderBy(F.desc("n"), "h", "word").limit(HEAD).toArrow()
     h = head.column("h").to_numpy().astype(np.int64).view(np.uint64)
     order = np.argsort(h)
@@ -331,12 +346,17 @@ def learn(docs: DataFrame, learning: Column, ranks: bytes, pattern: str, id_col:
     smooth, sequence = by_word(*Subwords(ranks, pattern).many([x if x != END_WORD else b"." for x in words]), inner, class_of)
     real = np.array([x != END_WORD for x in words], bool)
     sequences, which = np.unique(sequence[real], return_inverse=True)
-    seen, kinds = np.bincount(which, n[real]), np.bincount(which)
+    seen, kinds = np.zeros(len(sequences)), np.zeros(len(sequences))
+    if len(sequences):
+        wanted = docs.sparkSession.createDataFrame(pa.table({"sequence": sequences.view(np.int64)}))
+        found = totals.join(F.broadcast(wanted), "sequence").toArrow()
+        at = np.searchsorted(sequences, found.column("sequence").to_numpy().astype(np.int64).view(np.uint64))
+        seen[at], kinds[at] = found.column("seen").to_numpy(), found.column("kinds").to_numpy()
     given = np.zeros(len(words))
     given[real] = np.log((n[real] + (kinds[which] + 1) * np.exp(smooth[real])) / (seen[which] + kinds[which] + 1))
     every = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
     return Model(w=w, inner=inner, class_of=class_of, unit_of=unit_of, ranks=ranks, pattern=pattern, head=h[order], head_n=n,
-                 given=given, sequences=sequences, seen=seen, kinds=kinds, total=every["n"] or 0, distinct=every["v"] or 0), counts
+                 given=given, sequences=sequences, seen=seen, kinds=kinds, total=every["n"] or 0, distinct=every["v"] or 0, totals=totals), counts
 
 
 def inner_table(pair: np.ndarray, class_of: np.ndarray, size: int, own: float = 0.1, strength: float = 20.0) -> np.ndarray:
@@ -358,9 +378,10 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, id_col: str = "doc_i
     Tokens: lower-cased words, then one end.  base_score: add-half unigram
     log10 probability with counts over the learning documents; score: the
     model's log10 probability of the same words (as subword ids) and the end.
-    Null and empty texts are an end only.  Common words are counted from the
-    model's head, the others are joined with the count table, added up per
-    document; rows that repeat an id are scored apart.
+    Null and empty texts are an end only.  Common words are scored from the
+    model's head, the others are joined with the tables of word counts and of
+    class sequences and added up per document; rows that repeat an id are
+    scored apart.
     """
     def run(batches):
         sub = Subwords(model.ranks, model.pattern)
@@ -399,16 +420,17 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, id_col: str = "doc_i
             own_sizes = np.fromiter(map(len, each), np.int64, len(each))
             pool = np.concatenate([*each, np.zeros(0, np.int32)])
             smooth, sequence = by_word(pool, own_sizes, model.inner, model.class_of)
+            kinds, seen = np.full(len(words), -1, np.int64), np.full(len(words), -1, np.int64)  # -1: to be joined
             if len(model.sequences) and len(words):
                 k = np.minimum(np.searchsorted(model.sequences, sequence), len(model.sequences) - 1)
                 met = model.sequences[k] == sequence
-                kinds, seen = np.where(met, model.kinds[k] + 1, 1), np.where(met, model.seen[k], 0)
-                smooth = np.where(known, model.given[at], np.log(kinds / (seen + kinds)) + smooth)
+                kinds, seen = np.where(met, model.kinds[k], -1).astype(np.int64), np.where(met, model.seen[k], -1).astype(np.int64)
+            here = np.where(known, model.given[at], 0.0) if len(words) and len(model.head) else np.zeros(len(words))
             if len(memory) > 200_000:
                 memory.clear()
             where, n_ids = spread(own_sizes, flat)
             length = np.bincount(owner, n_ids, n_docs).astype(np.int64)
-            logs = np.bincount(owner, smooth[flat], n_docs).astype(float)
+            logs = np.bincount(owner, here[flat], n_docs).astype(float)
             first = np.concatenate([[0], np.cumsum(length)])
             lo = 0
             while lo < n_docs:  # about 64,000 ids at a time
@@ -418,18 +440,25 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, id_col: str = "doc_i
                 lo = hi
             yield pa.record_batch([pa.array(ids(b, "row"), pa.int64()), pa.array(ids(b, id_col), pa.int64()), pa.array(lengths + 1),
                                    pa.array(n_known), pa.array(common), pa.array(logs / np.log(10)),
-                                   lists(h[word].astype(np.int64), pa.int64()), lists(times, pa.int64())],
-                                  ["row", "id", "n_tokens", "n_known", "common", "score", "rare", "times"])
+                                   lists(h[word].astype(np.int64), pa.int64()), lists(times, pa.int64()), lists(smooth[word], pa.float64()),
+                                   lists(sequence[word].view(np.int64), pa.int64()), lists(seen[word], pa.int64()), lists(kinds[word], pa.int64())],
+                                  ["row", "id", "n_tokens", "n_known", "common", "score", "h", "times", "smooth", "sequence", "seen", "kinds"])
     rows = docs.select(F.monotonically_increasing_id().alias("row"), id_col, text_col)
     scored = save(rows.mapInArrow(run, "row long, id long, n_tokens long, n_known long, common double, score double, "
-                                       "rare array<long>, times array<long>"), "lm-scores")
-    tail = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("e")).select("row", F.col("e.rare").alias("h"), "e.times")
-    n = F.coalesce("n", F.lit(0))
+                                       "h array<long>, times array<long>, smooth array<double>, sequence array<long>, seen array<long>, "
+                                       "kinds array<long>"), "lm-scores")
+    rare = ["h", "times", "smooth", "sequence", "seen", "kinds"]
+    tail = scored.select("row", F.inline(F.arrays_zip(*rare)))
+    far = tail.where("seen < 0").drop("seen", "kinds").join(model.totals, "sequence", "left").fillna(0, ["seen", "kinds"])
+    tail = tail.where("seen >= 0").unionByName(far)
+    n, seen, kinds = F.coalesce("n", F.lit(0)), F.col("seen"), F.col("kinds") + 1
+    given = F.when(n > 0, F.log((n + kinds * F.exp("smooth")) / (seen + kinds))).otherwise(F.log(kinds / (seen + kinds)) + F.col("smooth"))
     sums = tail.join(counts.select("h", "n"), "h", "left").groupBy("row").agg(
-        F.sum(F.col("times") * F.log10(n + 0.5)).alias("rare_sum"), F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("rare_known"))
+        F.sum(F.col("times") * F.log10(n + 0.5)).alias("rare_sum"), F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("rare_known"),
+        F.sum(F.col("times") * given).alias("rare_given"))
     spread_over = float(np.log10(model.total + 0.5 * (model.distinct + 1)))
-    out = scored.drop("rare", "times").join(sums, "row", "left")
+    out = scored.drop(*rare).join(sums, "row", "left")
     return out.select(F.col("id").alias(id_col), "n_tokens", (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
                       F.lit(model.total).cast("long").alias("train_tokens"),
                       (F.col("common") + F.coalesce("rare_sum", F.lit(0.0)) - F.col("n_tokens") * F.lit(spread_over)).alias("base_score"),
-                      "score")
+                      (F.col("score") + F.coalesce("rare_given", F.lit(0.0)) / F.lit(float(np.log(10)))).alias("score"))

@@ -165,3 +165,17 @@ def test_pipeline_stages(spark, make, odd_rows):
     kept = corpus_pipeline.near_duplicates(spark, docs, "").select(F.count(F.lit(1))).first()[0]
     assert kept == len(odd_rows) - 2  # one of the two long texts goes, and the one that differs in case only
     assert corpus_pipeline.repeated_passages(spark, docs, "").count() == len(odd_rows)
+
+
+def test_scores_do_not_depend_on_the_words_that_tasks_hold(docs, make, odd_rows, monkeypatch):
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
+        ranks = f.read()
+    some = docs.where("doc_id < 200").unionByName(make(odd_rows).select(docs.columns))
+    got = []
+    for head in (1 << 18, 300):
+        monkeypatch.setattr(language_model, "HEAD", head)
+        model, counts = language_model.learn(some, training_row(1), ranks, public_tokenizers.PATTERN, sample=20)
+        assert len(model.head) <= head
+        got.append(sorted((str(r["doc_id"]), r["n_tokens"], r["n_known"], r["score"]) for r in language_model.score(some, model, counts).collect()))
+    for a, b in zip(*got, strict=True):
+        assert a[:3] == b[:3] and a[3] == pytest.approx(b[3], rel=1e-6)
