@@ -2,8 +2,9 @@
 
 A text's probability is that of its ids' classes, times that of every word
 given the classes of its ids.  The first factor is a one-layer causal
-self-attention model trained in numpy on a bounded sample; it reads windows
-of 32 ids that overlap by 16 and scores every id once.  The second comes
+self-attention model trained in numpy on all learning documents, in rounds of
+weight averaging over the partitions; it reads windows of 32 ids that overlap
+by 16 and scores every id once.  The second comes
 from all training words with their counts over the corpus, smoothed towards
 P(id | class, class before it in the word).
 """
@@ -26,6 +27,8 @@ START, LONE = UNITS + CLASSES, CLASSES  # the unit before a text's first id; the
 HEAD = 1 << 18  # commonest words that every task holds; the others are joined, with the same scores
 END_WORD = b" "  # no word: words hold no space
 CHUNK = 4 << 20
+COMMON = 128  # ids that count as neighbours of their own
+ROUNDS = (0.003, 0.001)  # learning rate of each round; a learning document is in one round
 
 
 class Subwords:
@@ -105,7 +108,7 @@ def backward(w, units, before, target, mask, z, kept):
     dz *= (mask / max(1, mask.sum()))[:, :, None]
     flat = lambda a: a.reshape(-1, a.shape[-1])
     g = {"o": flat(h).T @ flat(dz), "x": flat(t).T @ flat(dz), "g": np.zeros_like(w["g"])}
-    np.add.at(g["g"], before.ravel(), flat(dz))
+    g["g"] += (before.ravel() == np.arange(CLASSES + 1)[:, None]).astype(dz.dtype) @ flat(dz)
     dh = dz @ w["o"].T
     dt = dz @ w["x"].T
     dv = s.transpose(0, 2, 1) @ dh
@@ -117,25 +120,45 @@ def backward(w, units, before, target, mask, z, kept):
     g["q"], g["k"], g["v"] = flat(t).T @ flat(dq), flat(x).T @ flat(dk), flat(x).T @ flat(dv)
     dx = dk @ w["k"].T + dv @ w["v"].T
     dx[:, STEP:] += dt + dq @ w["q"].T
-    g["e"] = np.zeros_like(w["e"])
-    np.add.at(g["e"], units.ravel(), flat(dx))
+    g["e"] = np.stack([np.bincount(units.ravel(), x, len(w["e"])) for x in np.ascontiguousarray(flat(dx).T)], 1)
     return g
 
 
+class Adam:
+    def __init__(self, w):
+        self.w, self.step = w, 0
+        self.m, self.u = ({k: np.zeros_like(a) for k, a in w.items()} for _ in range(2))
+
+    def move(self, units, before, target, mask, alone, rate: float) -> None:
+        self.step += 1
+        z, kept = forward(self.w, units, before, alone)
+        g = backward(self.w, units, before, target, mask, z, kept)
+        for k, m in self.m.items():
+            m[...] = 0.9 * m + 0.1 * g[k]
+            self.u[k] = 0.99 * self.u[k] + 0.01 * g[k] ** 2
+            change = (m / (1 - 0.9 ** self.step)) / (np.sqrt(self.u[k] / (1 - 0.99 ** self.step)) + 1e-8)
+            self.w[k] = (self.w[k] - rate * change).astype(np.float32)
+
+
 def train(units, before, target, mask, alone, steps: int = 500, size: int = 256, rate: float = 0.01, seed: int = 5):
-    """Adam over random groups of windows."""
-    r, w = np.random.default_rng(seed), new_weights()
-    m, u = ({k: np.zeros_like(a) for k, a in w.items()} for _ in range(2))
+    """Starting weights: Adam over random groups of windows."""
+    r, adam = np.random.default_rng(seed), Adam(new_weights())
     for step in range(1, steps + 1):
         take = r.integers(0, len(units), min(size, len(units)))
-        z, kept = forward(w, units[take], before[take], alone[take])
-        g = backward(w, units[take], before[take], target[take], mask[take], z, kept)
-        now = rate * min(1.0, step / 30) * (1 - step / (steps + 1))
-        for k in w:
-            m[k] = 0.9 * m[k] + 0.1 * g[k]
-            u[k] = 0.99 * u[k] + 0.01 * g[k] ** 2
-            w[k] = (w[k] - now * (m[k] / (1 - 0.9 ** step)) / (np.sqrt(u[k] / (1 - 0.99 ** step)) + 1e-8)).astype(np.float32)
-    return w
+        adam.move(units[take], before[take], target[take], mask[take], alone[take], rate * min(1.0, step / 30) * (1 - step / (steps + 1)))
+    return adam.w
+
+
+def train_further(w, texts, unit_of, class_of, end: int, rate: float, size: int = 256, seed: int = 7) -> tuple[dict, int]:
+    """(weights after Adam over every window of ``texts`` once, number of windows); texts: (ids, lengths) of some documents each."""
+    r, adam, seen = np.random.default_rng(seed), Adam({k: a.copy() for k, a in w.items()}), 0
+    for tokens, lengths in texts:
+        units, before, target, mask, alone = windows(tokens, lengths, unit_of, class_of, end)
+        order = r.permutation(len(units))
+        for take in np.array_split(order, -(-len(order) // size)):
+            adam.move(units[take], before[take], class_of[target[take]], mask[take], alone[take], rate * min(1.0, (adam.step + 1) / 30))
+        seen += len(units)
+    return adam.w, seen
 
 
 def windows(tokens: np.ndarray, lengths: np.ndarray, unit_of: np.ndarray, class_of: np.ndarray, end: int):
@@ -166,23 +189,27 @@ def windows(tokens: np.ndarray, lengths: np.ndarray, unit_of: np.ndarray, class_
     return units, before.reshape(-1, STEP), target.reshape(-1, STEP), mask.reshape(-1, STEP), alone
 
 
-def id_classes(tokens: np.ndarray, opens: np.ndarray, size: int, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
+def places(n: np.ndarray) -> np.ndarray:
+    """Number of every id among the commonest ones, else the number after theirs."""
+    top = np.argsort(-n, kind="stable")[:COMMON]
+    place = np.full(len(n), COMMON)
+    place[top] = np.arange(len(top))
+    return place
+
+
+def id_classes(n: np.ndarray, slot: np.ndarray, times: np.ndarray, opens: np.ndarray, size: int, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
     """(class of every id, unit of every id): ids that stand between the same neighbours share a class.
 
-    k-means over counts of the 128 commonest ids before and after; ids that
-    the sample lacks get one of two classes, by whether they open a word.
-    The last class is the end's alone."""
-    n = np.bincount(tokens, minlength=size + 1)
-    top = np.argsort(-n, kind="stable")[:128]
-    place = np.full(size + 1, 128)
-    place[top] = np.arange(128)
+    n: count of every id; slot, times: counts of (id, side and place of its
+    neighbour).  k-means over the places of the commonest ids before and
+    after; ids that the learning documents lack get one of two classes, by
+    whether they open a word.  The last class is the end's alone."""
     seen = np.flatnonzero(n)
     row = np.full(size + 1, -1)
     row[seen] = np.arange(len(seen))
-    c = np.zeros((len(seen), 258), np.float32)
-    np.add.at(c, (row[tokens[1:]], place[tokens[:-1]]), 1)
-    np.add.at(c, (row[tokens[:-1]], 129 + place[tokens[1:]]), 1)
-    c = np.sqrt(c)
+    c = np.zeros((len(seen), 2 * (COMMON + 1)), np.float32)
+    c[row[slot // c.shape[1]], slot % c.shape[1]] = times
+    np.sqrt(c, out=c)
     c /= np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-6)
     r = np.random.default_rng(seed)
     class_of = np.where(opens, CLASSES - 3, CLASSES - 2)
@@ -261,6 +288,18 @@ def word_counts(docs: DataFrame, learning: Column, text_col: str) -> DataFrame:
     return counted.groupBy("h", "word").agg(F.sum("n").alias("n"))
 
 
+def token_lists(batches, most: int = 65_536):
+    """(ids, lengths) of some documents at a time, of about ``most`` ids together."""
+    for b in batches:
+        column = b.column(b.schema.get_field_index("tokens"))
+        cut, values = column.offsets.to_numpy().astype(np.int64), column.values.to_numpy()
+        lo = 0
+        while lo < len(cut) - 1:
+            hi = max(lo + 1, int(np.searchsorted(cut, cut[lo] + most, "right")) - 1)
+            yield values[cut[lo]:cut[hi]], np.diff(cut[lo:hi + 1])
+            lo = hi
+
+
 class Model:
     """Everything that scoring needs.  What the tasks hold is bounded by the vocabulary and by HEAD; ``totals``,
     the counts of all class sequences, is a table and stays behind when the model goes to a task."""
@@ -274,39 +313,87 @@ class Model:
 
 def learn(docs: DataFrame, learning: Column, ranks: bytes, pattern: str, id_col: str = "doc_id", text_col: str = "text",
           sample: int = 1500) -> tuple[Model, DataFrame]:
-    """(model, word counts).  Counts cover every learning document; the attention weights are trained on the
-    ``sample`` learning documents of the smallest id hashes, in one task."""
+    """(model, word counts).  Counts, classes and attention weights come from every learning document.  Training starts
+    on the ``sample`` documents of the smallest id hashes, in one task; then each round deals its documents to
+    the tasks as they lie and averages their weights by windows, so weights depend a little on the partitions."""
     counts = save(word_counts(docs, learning, text_col), "lm-counts")
     size = Subwords(ranks, pattern).size
+
+    def id_counts(batches):
+        sub, total = Subwords(ranks, pattern), np.zeros(size, np.int64)
+        for b in batches:
+            words, n = raw(b, "word"), np.array(ids(b, "n"), np.int64)
+            keep = [i for i, x in enumerate(words) if x != END_WORD]
+            tokens, sizes = sub.many([words[i] for i in keep])
+            np.add.at(total, tokens, np.repeat(n[keep], sizes))
+        some = np.flatnonzero(total)
+        yield pa.record_batch([pa.array(some), pa.array(total[some])], ["id", "n"])
+    found = counts.select("word", "n").mapInArrow(id_counts, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
+    n = np.zeros(size + 1, np.int64)
+    n[found.column("id").to_numpy()] = found.column("n").to_numpy()
+
+    def encode(batches):
+        sub, memory = Subwords(ranks, pattern), {}
+        for b in pieces(batches, text_col, limit=CHUNK, rows=20_000):
+            found = [(t or b"").lower().split() for t in raw(b, text_col)]
+            new = list({x for words in found for x in words if x not in memory})
+            tokens, sizes = sub.many(new)
+            ends = np.cumsum(sizes)
+            memory.update(zip(new, [tokens[e - s:e] for s, e in zip(sizes.tolist(), ends.tolist())]))
+            parts = [np.concatenate([*map(memory.__getitem__, words), np.zeros(0, np.int32)]) for words in found]
+            cut = np.cumsum([0, *map(len, parts)]).astype(np.int32)
+            yield pa.record_batch([pa.array(ids(b, "id"), pa.int64()), pa.array(ids(b, "round"), pa.int32()),
+                                   pa.ListArray.from_arrays(pa.array(cut), pa.array(np.concatenate([*parts, np.zeros(0, np.int32)])))],
+                                  ["id", "round", "tokens"])
+            if len(memory) > 200_000:
+                memory.clear()
+    rounds = F.pmod(F.xxhash64(id_col), F.lit(len(ROUNDS))).cast("int")
+    tokens = save(docs.where(learning).select(F.col(id_col).alias("id"), rounds.alias("round"), text_col).mapInArrow(
+        encode, "id long, round int, tokens array<int>"), "lm-ids")
+    place, wide = places(n), 2 * (COMMON + 1)
+
+    def neighbours(batches):
+        total = np.zeros(size * wide, np.int32)
+        for t, lengths in token_lists(batches):
+            inside = np.ones(len(t), bool)
+            inside[np.cumsum(lengths[:-1])[np.cumsum(lengths[:-1]) < len(t)]] = False  # nothing stands before a text's first id
+            at = np.flatnonzero(inside[1:]) + 1
+            np.add.at(total, t[at].astype(np.int64) * wide + place[t[at - 1]], 1)
+            np.add.at(total, t[at - 1].astype(np.int64) * wide + COMMON + 1 + place[t[at]], 1)
+        some = np.flatnonzero(total)
+        for k in range(0, len(some), 100_000):
+            part = some[k:k + 100_000]
+            yield pa.record_batch([pa.array(part.astype(np.int32)), pa.array(total[part])], ["slot", "n"])
+    # One row at most for each id and place, however large the corpus is.
+    near = tokens.select("tokens").mapInArrow(neighbours, "slot int, n int").groupBy("slot").agg(F.sum("n").cast("float").alias("n")).toArrow()
+    class_of, unit_of = id_classes(n, near.column("slot").to_numpy(), near.column("n").to_numpy(), Subwords(ranks, pattern).opens, size)
     chosen = docs.where(learning).select(F.col(id_col).alias("id")).orderBy(F.xxhash64("id"), "id").limit(sample).distinct()
-    texts = docs.where(learning).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id")
 
     def fit(frame: pd.DataFrame) -> pd.DataFrame:
-        sub = Subwords(ranks, pattern)
-        frame = frame.sort_values(["id", "text"])
-        tokens, lengths = [], []
-        for t in frame["text"]:
-            words = (t or "").encode().lower().split()
-            lengths.append(0)
-            for k in range(0, len(words), 100_000):
-                tokens.append(sub.many(words[k:k + 100_000])[0])
-                lengths[-1] += len(tokens[-1])
-        tokens = np.concatenate([*tokens, np.zeros(0, np.int32)])
-        class_of, unit_of = id_classes(tokens, sub.opens, sub.size) if len(tokens) > 1 else id_classes(np.zeros(2, np.int32), sub.opens, sub.size)
-        units, before, target, mask, alone = windows(tokens, np.array(lengths), unit_of, class_of, sub.size)
+        frame = frame.assign(key=[np.asarray(t, np.int32).tobytes() for t in frame["tokens"]]).sort_values(["id", "key"])
+        lengths = np.array([len(t) for t in frame["tokens"]], np.int64)
+        flat = np.concatenate([*frame["tokens"], np.zeros(0, np.int32)]).astype(np.int32)
+        units, before, target, mask, alone = windows(flat, lengths, unit_of, class_of, size)
         w = train(units, before, class_of[target], mask, alone)
-        return pd.DataFrame({"name": [*w, "class_of", "unit_of"],
-                             "value": [np.ascontiguousarray(a).tobytes() for a in [*w.values(), class_of, unit_of]]})
-    rows = texts.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(fit, "name string, value binary").collect()
+        return pd.DataFrame({"name": list(w), "value": [np.ascontiguousarray(a).tobytes() for a in w.values()]})
+    rows = tokens.join(F.broadcast(chosen), "id").select("id", "tokens", F.lit(0).alias("all")).groupBy("all").applyInPandas(
+        fit, "name string, value binary").collect()
     got = {r["name"]: r["value"] for r in rows}
     w = new_weights()
     if got:
         w = {k: np.frombuffer(got[k], np.float32).reshape(a.shape).copy() for k, a in w.items()}
-        class_of, unit_of = (np.frombuffer(got[k], np.int32) for k in ("class_of", "unit_of"))
-    else:
-        class_of = np.full(size + 1, CLASSES - 2, np.int32)
-        class_of[size] = CLASSES - 1
-        unit_of = UNITS + class_of
+    for k, rate in enumerate(ROUNDS):
+        def further(batches, w=w, rate=rate):
+            new, seen = train_further(w, token_lists(batches), unit_of, class_of, size, rate)
+            if seen:
+                flat = np.concatenate([a.ravel() for a in new.values()]).astype(np.float64) * seen
+                yield pa.record_batch([pa.array(np.arange(len(flat))), pa.array(flat), pa.array(np.full(len(flat), seen))], ["slot", "value", "seen"])
+        mean = tokens.where(F.col("round") == k).select("tokens").mapInArrow(further, "slot long, value double, seen long").groupBy("slot").agg(
+            (F.sum("value") / F.sum("seen")).alias("value")).orderBy("slot").toArrow().column("value").to_numpy()
+        if len(mean):
+            cuts = np.cumsum([a.size for a in w.values()])[:-1]
+            w = {name: part.reshape(a.shape).astype(np.float32) for (name, a), part in zip(w.items(), np.split(mean, cuts))}
+    discard(tokens)
 
     def transitions(batches):
         sub = Subwords(ranks, pattern)

@@ -179,3 +179,17 @@ def test_scores_do_not_depend_on_the_words_that_tasks_hold(docs, make, odd_rows,
         got.append(sorted((str(r["doc_id"]), r["n_tokens"], r["n_known"], r["score"]) for r in language_model.score(some, model, counts).collect()))
     for a, b in zip(*got, strict=True):
         assert a[:3] == b[:3] and a[3] == pytest.approx(b[3], rel=1e-6)
+
+
+def test_every_learning_document_trains_the_model(docs, make):
+    """Ids that stand only outside the starting sample get classes by their neighbours, and their texts move the weights."""
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
+        ranks = f.read()
+    base = [(r["doc_id"], r["text"], "en") for r in docs.where("doc_id < 150").collect()]
+    order = [r[0] for r in make(base).where(training_row(1)).orderBy(F.xxhash64("doc_id"), "doc_id").select("doc_id").collect()]
+    late = set(order[20:])
+    other = [(i, f"zebra quantum {t} zebra quantum" if i in late else t, lang) for i, t, lang in base]
+    (one, _), (two, _) = (language_model.learn(make(rows), training_row(1), ranks, public_tokenizers.PATTERN, sample=20) for rows in (base, other))
+    new = language_model.Subwords(ranks, public_tokenizers.PATTERN).many([b"zebra", b"quantum"])[0]
+    assert all(two.class_of[i] < language_model.CLASSES - 3 for i in new) and any(one.class_of[i] != two.class_of[i] for i in new)
+    assert not np.allclose(one.w["d"], two.w["d"])
