@@ -40,7 +40,8 @@ def coerce_timestamp(df: DataFrame, c: str) -> Column:
     if isinstance(dt, T.DateType):
         return F.col(c).cast("timestamp_ntz")
     s = F.col(c).cast("string")
-    parsed = F.coalesce(F.try_to_timestamp(s, F.lit("yyyy-MM-dd HH:mm:ss")), try_parse_date(s).cast("timestamp"))
+    iso = F.when(s.rlike(r"^\s*\d{4}-\d"), s.try_cast("timestamp"))  # a time alone would get today's date
+    parsed = F.coalesce(F.try_to_timestamp(s, F.lit("yyyy-MM-dd HH:mm:ss")), try_parse_date(s).cast("timestamp"), iso)
     return parsed.cast("timestamp_ntz")
 
 

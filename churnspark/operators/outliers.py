@@ -9,6 +9,7 @@ long ``(feature, value)`` table.
 from __future__ import annotations
 
 import logging
+import math
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator
@@ -88,7 +89,9 @@ def outlier_counts(df: DataFrame, thresholds: dict[str, tuple[float, float]]) ->
 
 
 class ReplaceOutliers(Estimator, DefaultParamsReadable, DefaultParamsWritable):
-    """O2: fit thresholds on every numeric column of the training frame, cap on transform."""
+    """O2: fit thresholds on every numeric column of the training frame, cap on transform.
+
+    A column whose bounds are equal up to rounding (a flag with few ones) stays as it is (O4): capping would make it constant."""
 
     skewThreshold = Param(Params._dummy(), "skewThreshold", "", TypeConverters.toFloat)
     exclude = Param(Params._dummy(), "exclude", "columns never capped (O4)", TypeConverters.toListString)
@@ -103,7 +106,7 @@ class ReplaceOutliers(Estimator, DefaultParamsReadable, DefaultParamsWritable):
         ex = set(self.getOrDefault(self.exclude))
         cols = [f.name for f in df.schema.fields if (is_numeric(f.dataType)) and f.name not in ex]
         th = thresholds_dict(df, cols, self.getOrDefault(self.skewThreshold))
-        return ReplaceOutliersModel(state={c: list(v) for c, v in th.items()})
+        return ReplaceOutliersModel(state={c: [lo, hi] for c, (lo, hi) in th.items() if lo is None or not math.isclose(lo, hi, rel_tol=1e-12)})
 
 
 class ReplaceOutliersModel(JsonStateModel):

@@ -93,3 +93,19 @@ def test_bayesian_ridge_recovers_line():
     y = 3 * X[:, 0] - 2 * X[:, 1] + 1 + rng.normal(scale=0.01, size=500)
     coef, icpt = bayesian_ridge(len(y), X.sum(0), y.sum(), X.T @ X, X.T @ y, y @ y)
     assert np.allclose(coef, [3, -2], atol=1e-2) and abs(icpt - 1) < 1e-2
+
+
+def test_columns_with_equal_bounds_are_not_capped(spark):
+    df = spark.createDataFrame([(1 if i % 10 == 0 else 0, float(i % 7), 7.0) for i in range(200)] + [(0, 900.0, 7.0)], "flag int, x double, same double")
+    m = O.ReplaceOutliers().fit(df)
+    out = m.transform(df)
+    assert out.agg(F.sum("flag")).first()[0] == 20 and out.agg(F.max("x")).first()[0] < 900
+    assert set(m.fitted) == {"x"}
+
+
+def test_timestamps_in_iso_layouts(spark):
+    vals = ["2016-01-05T10:00:00", "2016-01-05 10:00:00.25", "2016-01-05T10:00:00.250", "2016-01-05 10:00", "2016-01-05", "2016-13-05T10:00:00", "T10:00:00", "10:00", None]
+    df = spark.createDataFrame([(v,) for v in vals], "s string")
+    got = [r[0] for r in df.select(D.coerce_timestamp(df, "s")).collect()]
+    ten, part = dt.datetime(2016, 1, 5, 10), dt.datetime(2016, 1, 5, 10, 0, 0, 250_000)
+    assert got == [ten, part, part, ten, dt.datetime(2016, 1, 5), None, None, None, None]
