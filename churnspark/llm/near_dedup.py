@@ -28,7 +28,7 @@ from .components import components
 
 REGISTERS, MANTISSA, VALUE_BITS = 256, 10, 56
 BANDS, ROWS = 40, 5  # 200 of the registers: a pair of similarity 0.8 shares no band once in 7 million
-MARGIN = 4.0  # standard deviations that an estimate may lie below the threshold
+MARGIN = 6.0  # standard deviations that an estimate may lie below the threshold: once in a billion for a pair that reaches it
 BLOCK = 1_500_000  # shingles of a block of a band group, 12 MB
 A, B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 

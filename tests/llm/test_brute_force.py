@@ -242,3 +242,12 @@ def test_a_hot_edited_copy_beside_an_exact_one(spark, make):
     items = spark.createDataFrame([(7, " ".join(words))], "item_id long, text string")
     got = {r["doc_id"]: r["score"] for r in decontaminate.contaminated(docs, items).collect()}
     assert got == {0: 1.0, **{1 + i: 19 / 30 for i in range(1000)}}
+
+
+def test_estimates_five_deviations_low_are_still_compared():
+    import numpy as np
+    n = np.array([3000, 3000, 3000])
+    c = near_dedup.chance_matches(n, n)
+    deviation = np.sqrt(0.8 * 0.2 / near_dedup.REGISTERS)
+    equal = (0.8 - np.array([3, 5, 7]) * deviation) * (1 - c) + c
+    assert near_dedup.hopeful(equal, n, n, 0.8).tolist() == [True, True, False]
