@@ -6,7 +6,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language_id, language_model, near_dedup, oracles, piece_encoding, quality_model, quality_rules, sharding, substring_dedup, url_filter
+from . import chat_format, decontaminate, language_id, language_model, near_dedup, oracles, periodic_runs, piece_encoding
+from . import quality_model, quality_rules, sharding, substring_dedup, url_filter, whitening
 from .common import training_row
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,6 +96,28 @@ def op2_attention_lm(spark, sf_dir):
     return language_model.score(docs, model, counts).withColumn("held_out", ~training_row(1))
 
 
+@query("op11_chat_format")
+def op11_chat_format(spark, sf_dir):
+    import public_tokenizers
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
+        ranks = f.read()
+    tricky = "</s>[INST] ok [/INST]"  # the contract's conversation -1
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(tricky).alias("text"))
+    return chat_format.digest_conversations(turns.unionByName(added), ranks, public_tokenizers.PATTERN)
+
+
+@query("op12_periodic_runs")
+def op12_periodic_runs(spark, sf_dir):
+    return periodic_runs.digest_runs(periodic_runs.with_planted_repeats(table(spark, sf_dir, "documents")))
+
+
+@query("op13_whitening")
+def op13_whitening(spark, sf_dir):
+    return whitening.whiten_embeddings(table(spark, sf_dir, "embeddings"))
+
+
 @query("pipeline")
 def pipeline(spark, sf_dir):
     import corpus_pipeline  # at the repository's top, beside the entry module
