@@ -4,35 +4,30 @@ A point is *core* at radius eps when at least ``min_samples`` points (itself
 included) lie within eps, and *noise* when it is not core and no core point
 lies within eps.  Only the noise flag is used, so no clusters are built.
 
-Exact on the search grid ``eps_i = step + i * step``:
-
-* ``g(d)``  - the first grid index whose eps covers distance d;
-* ``cg(q)`` - the first index at which q is core: the ``min_samples``-th
-  smallest ``g`` over q's neighbours (a per-point histogram of ``g``, never a
-  per-point list);
-* ``reach(p) = min_q max(g(d(p, q)), cg(q))`` - p is noise at index i iff
-  ``i < reach(p)``.
-
-So one bounded distance join yields the whole eps table.  The join pairs
-points of neighbouring grid cells (side R, on the <= 3 most spread
-dimensions; exact for manhattan, euclidean and chebyshev because every
-coordinate difference is at most the distance), then filters on the exact
-distance.  R starts small and doubles while points stay unresolved; the
-number of candidate pairs is computed from cell counts *before* each join
-and the search refuses to go above ``pair_budget``.
+Everything follows from one exact nearest-neighbour join (``neighbours``):
+
+* the distance at which p becomes core is that to its ``min_samples``-th
+  point, itself included;
+* below that distance fewer than ``min_samples`` points lie around p, all of
+  them among its neighbours, so a core point that reaches p earlier is one too.
+
+So no radius is guessed, no pair is compared because a cell is full, and the
+cost does not depend on how dense the densest region is.  On the search grid
+``eps_i = step + i * step``, with ``g(d)`` the first index that covers d and
+``cg(q)`` that of q's core distance, ``reach(p) = min(cg(p), min_q max(g(d(p,
+q)), cg(q)))`` over p's neighbours q, and p is noise at index i iff i < reach(p).
 """
 from __future__ import annotations
 
-import itertools
 import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnspark.operators.encode import dummies
+from churnspark.operators.neighbours import Distance, nearest_neighbours
 from churnspark.operators.prune import drop_empty_columns_then_rows
-
-DEFAULT_PAIR_BUDGET = 5_000_000_000
+from churnspark.session import drop_scratch, scratch_table
 
 
 def prepare_points(df: DataFrame, key: str) -> tuple[DataFrame, list[str]]:
@@ -60,51 +55,6 @@ def compress(points: DataFrame, names: list[str]) -> DataFrame:
     return points.groupBy(*names).agg(F.min("__id").alias("__id"), F.count(F.lit(1)).alias("__w"))
 
 
-def _distance(names: list[str], metric: str, a: str = "a_", b: str = "b_") -> Column:
-    diffs = [F.abs(F.col(f"{a}{n}") - F.col(f"{b}{n}")) for n in names]
-    if metric == "manhattan":
-        return sum(diffs[1:], diffs[0])
-    if metric == "euclidean":
-        return F.sqrt(sum((d * d for d in diffs[1:]), diffs[0] * diffs[0]))
-    if metric == "chebyshev":
-        return F.greatest(*diffs) if len(diffs) > 1 else diffs[0]
-    raise ValueError(f"unsupported metric {metric}")
-
-
-def _cell_dims(points: DataFrame, names: list[str], k: int = 3) -> list[str]:
-    if len(names) <= k:
-        return names
-    row = points.agg(*[F.stddev_pop(n).alias(n) for n in names]).first()
-    return sorted(names, key=lambda n: -(row[n] or 0.0))[:k]
-
-
-def pairs_within(points: DataFrame, names: list[str], radius: float, metric: str = "manhattan",
-                 pair_budget: int = DEFAULT_PAIR_BUDGET, left: DataFrame | None = None) -> DataFrame:
-    """All ordered pairs (self included) with distance <= radius: ``(p, q, d)``.
-
-    ``left`` restricts the first member of the pairs to a subset of the points."""
-    dims = _cell_dims(points, names)
-    cell = [F.floor(F.col(n) / F.lit(radius)).cast("long").alias(f"c{i}") for i, n in enumerate(dims)]
-    pts = points.select("__id", *names, *cell)
-    lpts = pts if left is None else left.select("__id", *names, *cell)
-    offsets = list(itertools.product((-1, 0, 1), repeat=len(dims)))
-    shifted = F.explode(F.array(*[F.struct(*[(F.col(f"c{i}") + o[i]).alias(f"c{i}") for i in range(len(dims))])
-                                  for o in offsets])).alias("nb")
-    counts = pts.groupBy(*[f"c{i}" for i in range(len(dims))]).agg(F.count(F.lit(1)).alias("n"))
-    lcounts = lpts.groupBy(*[f"c{i}" for i in range(len(dims))]).agg(F.count(F.lit(1)).alias("n"))
-    nb_cells = lcounts.select(shifted, "n").select("nb.*", F.col("n").alias("n_a"))
-    budget = nb_cells.join(counts, [f"c{i}" for i in range(len(dims))]).agg(F.sum(F.col("n_a") * F.col("n"))).first()[0] or 0
-    if budget > pair_budget:
-        raise ValueError(f"distance join at radius {radius} would compare {budget} pairs (budget {pair_budget})")
-    a = lpts.select(F.col("__id").alias("p"), *[F.col(n).alias(f"a_{n}") for n in names], shifted).select(
-        "p", *[f"a_{n}" for n in names], "nb.*")
-    wq = F.col("__w") if "__w" in points.columns else F.lit(1).cast("long")
-    b = points.select(F.col("__id").alias("q"), *[F.col(n).alias(f"b_{n}") for n in names], wq.alias("wq"),
-                      *[F.floor(F.col(n) / F.lit(radius)).cast("long").alias(f"c{i}") for i, n in enumerate(dims)])
-    j = a.join(b, [f"c{i}" for i in range(len(dims))]).withColumn("d", _distance(names, metric))
-    return j.where(F.col("d") <= F.lit(radius)).select("p", "q", "d", "wq")
-
-
 def _grid_index(d: Column, step: float) -> Column:
     """First i >= 0 with d <= step + i * step (same float arithmetic as the grid)."""
     i0 = F.greatest(F.ceil(d / F.lit(step)) - 1, F.lit(0)).cast("long")
@@ -113,59 +63,58 @@ def _grid_index(d: Column, step: float) -> Column:
     return (F.when(d > eps_i, i0 + 1).when((i0 > 0) & (d <= eps_prev), i0 - 1).otherwise(i0))
 
 
-def reach_indices(points: DataFrame, names: list[str], radius: float, step: float, min_samples: int,
-                  metric: str, pair_budget: int) -> DataFrame:
-    """``(__id, reach)``: reach index per point, exact when its eps is <= radius (else NULL)."""
-    pr = pairs_within(points, names, radius, metric, pair_budget).withColumn("g", _grid_index(F.col("d"), step))
-    # neighbours of q counted with their copies: pairs are symmetric, so weight by the p side
-    wp = points.select(F.col("__id").alias("p"), F.col("__w").alias("wp"))
-    hist = pr.join(wp, "p").groupBy("q", "g").agg(F.sum("wp").alias("n"))
-    w = Window.partitionBy("q").orderBy("g").rowsBetween(Window.unboundedPreceding, 0)
-    core = (hist.withColumn("cum", F.sum("n").over(w)).where(F.col("cum") >= min_samples)
-                .groupBy("q").agg(F.min("g").alias("cg")))
-    reach = (pr.join(core, "q").groupBy("p")
-               .agg(F.min(F.greatest(F.col("g"), F.col("cg"))).alias("reach")))
-    max_index = _grid_index(F.lit(radius), step)
-    reach = reach.where(F.col("reach") <= max_index)  # beyond the radius the value is not certain
-    return points.select("__id", "__w").join(reach.withColumnRenamed("p", "__id"), "__id", "left")
-
-
-def search_eps(df: DataFrame, key: str, distance_metric: str = "manhattan", min_samples: int = 5,
-               eps_step: float = 0.01, desired_percentage_outliers: float = 0.02, max_eps: float = 5.0,
-               pair_budget: int = DEFAULT_PAIR_BUDGET, start_radius: float | None = None):
-    """``(table, best_eps)``; table ``eps, percentage_outliers(%), diff`` up to the first eps without noise."""
-    if df.isEmpty():
-        raise ValueError("Input DataFrame is empty.")
-    points, names = prepare_points(df, key)
-    if not names or points.isEmpty():
-        raise ValueError("DataFrame became empty after encoding.")
-    from churnspark.session import cut_lineage
-    n = points.count()
-    points = cut_lineage(compress(points, names))
-    last = len([1 for _ in _arange(eps_step, max_eps)]) - 1
-    radius = start_radius or min(max_eps, eps_step * 8)
-    while True:
-        reach = reach_indices(points, names, radius, eps_step, min_samples, distance_metric, pair_budget)
-        hist = {r["reach"]: r["n"] for r in reach.groupBy("reach").agg(F.sum("__w").alias("n")).collect()}
-        unresolved = hist.get(None, 0)
-        rmax = min(_index_of(radius, eps_step), last)
-        noise_at_r = unresolved + sum(v for k, v in hist.items() if k is not None and k > rmax)
-        if noise_at_r == 0 or radius >= max_eps:
-            break
-        radius = min(radius * 2, max_eps)
-    table = []
+def core_distances(points: DataFrame, near: DataFrame, min_samples: int) -> DataFrame:
+    """``(__id, core)``: distance to the ``min_samples``-th point, itself and copies included; NULL with fewer points."""
+    if min_samples <= 1:
+        return points.select("__id", F.lit(0.0).alias("core"))
+    own = points.select(F.col("__id").alias("p"), F.lit(0).alias("rank"), F.lit(0.0).alias("d"), F.col("__w").alias("wq"))
+    so_far = F.sum("wq").over(Window.partitionBy("p").orderBy("rank"))  # at most min_samples rows a point
+    return (own.unionByName(near.select("p", "rank", "d", "wq")).withColumn("cum", so_far)
+               .groupBy(F.col("p").alias("__id")).agg(F.min(F.when(F.col("cum") >= min_samples, F.col("d"))).alias("core")))
+
+
+def _neighbourhoods(df: DataFrame, key: str, metric: str | Distance, min_samples: int, p: float):
+    """Rows as points, distinct weighted points, their neighbours, feature names."""
+    rows, names = prepare_points(df, key)
+    if not names:
+        return rows, None, None, names
+    points = scratch_table(compress(rows, names), "density-points")
+    return rows, points, nearest_neighbours(points, names, max(min_samples - 1, 1), metric, p), names
+
+
+def search_eps(df: DataFrame, key: str, distance_metric: str | Distance = "manhattan", min_samples: int = 5,
+               eps_step: float = 0.01, desired_percentage_outliers: float = 0.02, max_eps: float = 5.0, p: float = 2.0):
+    """``(table, best_eps)``; table ``eps, percentage_outliers(%), diff`` up to the first eps without noise.
+
+    ``distance_metric``: any name or callable of ``neighbours.metric_of`` (``p``: the order of ``minkowski``)."""
+    rows, points, near, names = _neighbourhoods(df, key, distance_metric, min_samples, p)
+    if points is None:
+        raise ValueError("no feature is left once columns and rows with missing values are dropped")
+    core = core_distances(points, near, min_samples).withColumn("cg", _grid_index(F.col("core"), eps_step))
+    core = scratch_table(core, "density-core")
+    by_neighbour = (near.withColumn("g", _grid_index(F.col("d"), eps_step))
+                        .join(core.select(F.col("__id").alias("q"), "cg"), "q")
+                        .groupBy(F.col("p").alias("__id")).agg(F.min(F.greatest("g", "cg")).alias("by")))
+    by_neighbour = by_neighbour.where(F.col("by").isNotNull())
+    reach = core.join(by_neighbour, "__id", "left").select("__id", F.least("cg", "by").alias("reach"))
     eps_values = list(_arange(eps_step, max_eps))
+    beyond = F.when(F.col("reach") < len(eps_values), F.col("reach"))  # one count per grid index, and one for all beyond
+    hist = {r["reach"]: r["n"] for r in points.select("__id", "__w").join(reach, "__id").groupBy(beyond.alias("reach"))
+            .agg(F.sum("__w").alias("n")).collect()}
+    drop_scratch(core, points)
+    n = sum(hist.values())
+    if not n:
+        raise ValueError("no row is left once columns and rows with missing values are dropped")
+    table = []
+    noise = n
     for i, eps in enumerate(eps_values):
-        if i > rmax:
-            break
-        noise = unresolved + sum(v for k, v in hist.items() if k is not None and k > i)
+        noise -= hist.get(i, 0)
         pct = round(100 * noise / n, 2)
         table.append((float(eps), float(pct), float(abs(pct - 100 * desired_percentage_outliers))))
         if noise == 0:
             break
     best = min(range(len(table)), key=lambda j: table[j][2])
-    spark = df.sparkSession
-    out = spark.createDataFrame(table, "eps double, `percentage_outliers(%)` double, diff double")
+    out = df.sparkSession.createDataFrame(table, "eps double, `percentage_outliers(%)` double, diff double")
     return out, round(table[best][0], 4)
 
 
@@ -175,32 +124,19 @@ def _arange(step: float, stop: float):
         yield step + i * step
 
 
-def _index_of(radius: float, step: float) -> int:
-    i = max(math.ceil(radius / step) - 1, 0)
-    if radius > step + i * step:
-        i += 1
-    elif i > 0 and radius <= step + (i - 1) * step:
-        i -= 1
-    return i
-
-
-def noise_points(df: DataFrame, key: str, eps: float, distance_metric: str = "manhattan", min_samples: int = 5,
-                 pair_budget: int = DEFAULT_PAIR_BUDGET) -> DataFrame:
+def noise_points(df: DataFrame, key: str, eps: float, distance_metric: str | Distance = "manhattan", min_samples: int = 5,
+                 p: float = 2.0) -> DataFrame:
     """Keys of the rows DBSCAN labels noise at ``eps`` (rows with missing values are not clustered)."""
-    from churnspark.session import cut_lineage
-    rows, names = prepare_points(df, key)
-    points = cut_lineage(compress(rows, names))   # read by the budget, the join and the core counts
-    pr = pairs_within(points, names, eps, distance_metric, pair_budget)
-    wp = points.select(F.col("__id").alias("p"), F.col("__w").alias("wp"))
-    core = (pr.join(wp, "p").groupBy("q").agg(F.sum("wp").alias("n"))
-              .where(F.col("n") >= min_samples).select("q"))
-    reached = pr.join(core, "q").select(F.col("p").alias("__id")).distinct()
-    noise_vectors = points.join(reached, "__id", "left_anti").select(*names)
+    rows, points, near, names = _neighbourhoods(df, key, distance_metric, min_samples, p)
+    if points is None:
+        return rows.select(F.col("__id").alias(key))
+    core = core_distances(points, near, min_samples).where(F.col("core") <= eps).select("__id")
+    reached = near.where(F.col("d") <= eps).join(core.withColumnRenamed("__id", "q"), "q").select(F.col("p").alias("__id"))
+    noise_vectors = points.join(core.unionByName(reached), "__id", "left_anti").select(*names)
     return rows.join(noise_vectors, names, "left_semi").select(F.col("__id").alias(key))
 
 
-def clean_outliers_dbscan(df: DataFrame, key: str, eps: float, distance_metric: str = "manhattan",
-                          min_samples: int = 5, pair_budget: int = DEFAULT_PAIR_BUDGET) -> DataFrame:
+def clean_outliers_dbscan(df: DataFrame, key: str, eps: float, distance_metric: str | Distance = "manhattan",
+                          min_samples: int = 5, p: float = 2.0) -> DataFrame:
     """Drop the noise rows; rows with missing values are kept (they were never clustered)."""
-    noise = noise_points(df, key, eps, distance_metric, min_samples, pair_budget)
-    return df.join(noise, key, "left_anti")
+    return df.join(noise_points(df, key, eps, distance_metric, min_samples, p), key, "left_anti")

@@ -13,7 +13,9 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from churnspark.operators.neighbours import nearest_neighbours
 from churnspark.operators.order import with_position
+from churnspark.session import scratch_table
 
 MAX_CLASSES = 10_000
 
@@ -109,39 +111,6 @@ def stratified_kfold(df: DataFrame, label: str, key, n_splits: int = 5, out_col:
     return pos.withColumn(out_col, fold.cast("int")).drop("__pos")
 
 
-def nearest_neighbours(points: DataFrame, names: list[str], k: int = 5, metric: str = "euclidean",
-                       start_radius: float | None = None) -> DataFrame:
-    """The k nearest other points of every point: ``(p, rank, q, d)``, ties by key.
-
-    Radius per point: start small and double only for the points that still
-    have fewer than k neighbours, so each point's candidate set stays near
-    its own k-neighbourhood (bounded distance joins, no all-pairs)."""
-    from churnspark.operators.density import pairs_within
-    from churnspark.session import cut_lineage
-    spread = points.agg(*[(F.max(n) - F.min(n)).alias(n) for n in names]).first()
-    diam = sum(abs(spread[n] or 0.0) for n in names) or 1.0
-    n = points.count()
-    radius = start_radius or diam / max(n, 1) ** (1.0 / max(len(names), 1))
-    todo = points
-    found = []
-    while True:  # ends at a radius that holds all points, at the latest
-        pr = pairs_within(points, names, radius, metric, left=todo).where(F.col("p") != F.col("q"))
-        w = Window.partitionBy("p").orderBy("d", "q")
-        top = cut_lineage(pr.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k))
-        done = top.groupBy("p").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= k).select("p")
-        found.append(top.join(done, "p"))
-        todo = todo.join(done.withColumnRenamed("p", "__id"), "__id", "left_anti")
-        if todo.isEmpty() or radius > 2 * diam:
-            if not todo.isEmpty():      # fewer than k other points exist: keep what there is
-                found.append(top.join(todo.select(F.col("__id").alias("p")), "p"))
-            break
-        radius *= 2
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionByName(f)
-    return out
-
-
 def _rank_table(comp: DataFrame, names: list[str], k: int) -> DataFrame:
     """``(p, rank, n_f...)``: features of the rank-th nearest other row (1..k) of any copy of p.
 
@@ -177,8 +146,8 @@ def smote(df: DataFrame, label: str, key: str, features: list[str], k: int = 5,
     minor = df.where(F.col(label) == F.lit(minority))
     names = [f"f{i}" for i in range(len(features))]
     pts = minor.select(F.col(key).alias("__id"), *[F.col(f).cast("double").alias(n) for f, n in zip(features, names)])
-    comp = compress(pts, names)
-    table = _rank_table(comp, names, k)
+    comp = scratch_table(compress(pts, names), "smote-points")
+    table = scratch_table(_rank_table(comp, names, k), "smote-neighbours")
     avail = table.groupBy("p").agg(F.max("rank").alias("__kp"))
     m = counts[minority]
     rows = pts.join(comp.select(*names, F.col("__id").alias("p")), names)   # each row -> its distinct point

@@ -1054,6 +1054,52 @@ def q_dbscan_clean(spark, sf_dir):
     return DB.clean_outliers_dbscan(s, "s_suppkey", 0.05, "manhattan", 5)
 
 
+# One dense cell and one far outlier: cubed balances, nine in ten of them shrunk a thousandfold, one customer far off.
+DENSE_SQL = """dense AS (SELECT c_custkey AS k, CASE WHEN c_custkey = 1 THEN CAST(1e9 AS DOUBLE)
+    WHEN c_custkey % 10 = 0 THEN c_acctbal * c_acctbal / 1000 ELSE c_acctbal * c_acctbal / 1000000 END AS x,
+    CAST(c_nationkey AS DOUBLE) / 1000 AS y FROM customer)"""
+
+
+def dense_points(spark, sf_dir):
+    bal = F.col("c_acctbal")
+    return table(spark, sf_dir, "customer").select(
+        "c_custkey", F.when(F.col("c_custkey") == 1, F.lit(1e9)).when(F.col("c_custkey") % 10 == 0, bal * bal / 1000)
+        .otherwise(bal * bal / 1000000).alias("x"), (F.col("c_nationkey").cast("double") / 1000).alias("y"))
+
+
+@query("dbscan_dense_cell", f"""WITH {DENSE_SQL},
+lim AS (SELECT min(x) AS a, max(x) - min(x) AS b, min(y) AS c, max(y) - min(y) AS e FROM dense),
+pts AS (SELECT k, (x - a) / b AS f0, (y - c) / e AS f1 FROM dense, lim),
+pr AS (SELECT a.k AS p, b.k AS q FROM pts a, pts b WHERE abs(a.f0 - b.f0) + abs(a.f1 - b.f1) <= CAST(0.01 AS DOUBLE)),
+core AS (SELECT q FROM pr GROUP BY q HAVING count(*) >= 5)
+SELECT c_custkey FROM customer WHERE c_custkey IN (SELECT p FROM pr JOIN core USING (q))""")
+def q_dbscan_dense_cell(spark, sf_dir):
+    """O11 on points of which nearly all share one cell of side eps."""
+    return DB.clean_outliers_dbscan(dense_points(spark, sf_dir), "c_custkey", 0.01, "manhattan", 5).select("c_custkey")
+
+
+@query("dbscan_canberra", f"""WITH {DB_POINTS_CTE.split("pr AS")[0].rstrip().rstrip(",")},
+pr AS (SELECT a.k AS p, b.k AS q, CASE WHEN a.f0 + b.f0 > 0 THEN abs(a.f0 - b.f0) / (a.f0 + b.f0) ELSE 0 END
+    + CASE WHEN a.f1 + b.f1 > 0 THEN abs(a.f1 - b.f1) / (a.f1 + b.f1) ELSE 0 END AS d FROM s a, s b),
+w AS (SELECT * FROM pr WHERE d <= 0.05),
+core AS (SELECT q FROM w GROUP BY q HAVING count(*) >= 5)
+SELECT s_suppkey, s_acctbal, s_nationkey FROM supplier WHERE s_suppkey IN (SELECT p FROM w JOIN core USING (q))""")
+def q_dbscan_canberra(spark, sf_dir):
+    """O11 with a metric that has no coordinates: the search goes by pivot distances."""
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal", "s_nationkey")
+    return DB.clean_outliers_dbscan(s, "s_suppkey", 0.05, "canberra", 5)
+
+
+@query("nearest_neighbours", f"""WITH {DENSE_SQL},
+pr AS (SELECT a.k AS p, b.k AS q, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS d FROM dense a, dense b WHERE a.k <> b.k)
+SELECT p, rank, round(d, 6) AS d FROM (SELECT p, d, row_number() OVER (PARTITION BY p ORDER BY d, q) AS rank FROM pr) WHERE rank <= 5""")
+def q_nearest_neighbours(spark, sf_dir):
+    """The distances to the five nearest others of every customer, densities thousands of times apart."""
+    from churnspark.operators.neighbours import nearest_neighbours
+    pts = dense_points(spark, sf_dir).withColumnRenamed("c_custkey", "__id")
+    return round_doubles(nearest_neighbours(pts, ["x", "y"], 5, "euclidean").select("p", F.col("rank").cast("bigint").alias("rank"), "d"), 6)
+
+
 # ---------------------------------------------------------------- imputation
 
 

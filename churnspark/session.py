@@ -1,6 +1,7 @@
 """Session helpers: local session for tests/bench, checkpoint folder, lineage cuts."""
 from __future__ import annotations
 
+import atexit
 import os
 import uuid
 
@@ -57,3 +58,41 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint location for written tables."""
     base = ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+_SCRATCH: dict[str, SparkSession] = {}
+
+
+def scratch_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet to the shared checkpoint folder and read it back, pruned by column.
+
+    The table lasts until ``drop_scratch`` or the end of the program."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.__dict__["scratch"] = path
+    _SCRATCH[path] = spark
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def drop_scratch(*tables: DataFrame) -> None:
+    """Delete tables of ``scratch_table`` that nothing reads any more."""
+    for t in tables:
+        path = t.__dict__.get("scratch")
+        if path and _SCRATCH.pop(path, None):
+            _delete(t.sparkSession, path)
+
+
+@atexit.register
+def _drop_all() -> None:
+    for path, spark in list(_SCRATCH.items()):
+        try:
+            _delete(spark, path)
+        except Exception:  # noqa: BLE001 - the session has ended; the folder is the cluster's to clean
+            break
