@@ -31,17 +31,45 @@ def save(df: DataFrame, name: str) -> DataFrame:
     df.sparkSession.sparkContext._jvm.System.gc()
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.__dict__["scratch"] = path
+    _OPEN[path] = df.sparkSession
     return out
 
 
+#: Tables written and not yet deleted.
+_OPEN: dict[str, SparkSession] = {}
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete tables made by ``save`` that nothing reads any more."""
     for t in tables:
         path = t.__dict__.get("scratch")
-        if path:
-            jvm = t.sparkSession._jvm
-            where = jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
+        if path and _OPEN.pop(path, None):
+            _delete(t.sparkSession, path)
+
+
+def open_tables() -> list[str]:
+    """Paths of the tables that ``save`` has written and nobody has deleted."""
+    return list(_OPEN)
+
+
+def discard_since(mark: list[str], *keep: DataFrame) -> None:
+    """Delete the tables written since ``open_tables()`` gave ``mark``, but for ``keep``."""
+    kept = {*mark, *(t.__dict__.get("scratch") for t in keep)}
+    for path in [p for p in _OPEN if p not in kept]:
+        _delete(_OPEN.pop(path), path)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def is_empty(df: DataFrame) -> bool:

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, discard, ids, pieces, raw, save
+from .common import WordHashes, discard, discard_since, ids, open_tables, pieces, raw, save
 from .components import components
 
 REGISTERS, MANTISSA, VALUE_BITS = 256, 10, 56
@@ -285,6 +285,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8, id_col:
     rows that repeat an id are one document.  Rows without an id keep a null
     component and are not linked.  Empty input: no rows.
     """
+    mark = open_tables()
     every = save(sketches(docs, k, id_col, text_col), "near-sketches")
     classed = every.where("n > 0 and id is not null")
     heads = save(classed.groupBy("print").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("copies")), "near-classes")
@@ -325,7 +326,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8, id_col:
     links = links.unionByName(more)
 
     found = save(components(links), "near-components")
-    discard(grouped, more)
+    discard_since(mark, every, heads, found)
     head = heads.where("copies > 1").select("print", "head")
     placed = every.select("id", "n", "print").join(head, "print", "left").withColumn("head", F.coalesce("head", "id"))
     placed = placed.join(found.withColumnRenamed("id", "head"), "head", "left")

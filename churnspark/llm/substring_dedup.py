@@ -5,8 +5,11 @@ hash of each window is an edge of the graph; links join an edge to the next
 one in a document.  Edges that occur in one document only are dropped,
 nonbranching paths are compacted by joins (pointer doubling), and an
 occurrence of a path in a document is one row: path, diagonal, begin, end.
-Back at those source coordinates the 50-word windows are compared exactly;
-a window that also starts in a document of smaller id is removed.
+Back at those source coordinates the 50-word windows are compared, each by 96
+bits of two hashes over its words' 64-bit hashes; a window that also starts in
+a document of smaller id is removed.  Rows are told apart by id and text, so an
+id may come with several texts: each keeps its own passages, and the id alone
+decides which document is the earlier one.
 """
 from __future__ import annotations
 
@@ -18,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WordHashes, discard, ids, pieces, raw, save
+from .common import WordHashes, discard, discard_since, free_name, ids, open_tables, pieces, raw, save
 
 WINDOW, EDGE = 50, 16
 REACH = WINDOW - EDGE + 1
@@ -76,15 +79,20 @@ def edges_of(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     return e[at], at, first, last + WINDOW
 
 
+def row_key(text_col: str):
+    """128 bits of a text; with the id it names a row."""
+    return F.unhex(F.md5(F.col(text_col).cast("binary")))
+
+
 def scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, n_words, sha (of all words), print, and the edges: key, pos, lo, hi.
+    """id, row, n_words, sha (of all words), print (of all words), and the edges: key, pos, lo, hi.
 
     [lo, hi): words whose windows have this edge."""
     def run(batches):
         memory = WordHashes()
-        for b in pieces(batches, text_col):
+        for b in pieces(batches):
             out = []
-            for t in raw(b, text_col):
+            for t in raw(b):
                 words = (t or b"").split()
                 whole = b" ".join(words)
                 row = [len(words), hashlib.sha256(whole).hexdigest(), xxhash.xxh3_128_digest(whole), [], [], [], []]
@@ -95,11 +103,16 @@ def scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 out.append(row)
                 memory.trim()
             c = list(zip(*out))
-            yield pa.record_batch([pa.array(ids(b, id_col), pa.int64()), pa.array(c[0], pa.int64()), pa.array(c[1]), pa.array(c[2], pa.binary()),
+            yield pa.record_batch([pa.array(ids(b, "id"), pa.int64()), b.column(b.schema.get_field_index("row")), pa.array(c[0], pa.int64()),
+                                   pa.array(c[1]), pa.array(c[2], pa.binary()),
                                    pa.array(c[3], pa.list_(pa.int64())), *[pa.array(x, pa.list_(pa.int32())) for x in c[4:]]],
-                                  ["id", "n_words", "sha", "print", "key", "pos", "lo", "hi"])
-    return docs.select(id_col, text_col).mapInArrow(
-        run, "id long, n_words long, sha string, print binary, key array<long>, pos array<int>, lo array<int>, hi array<int>")
+                                  ["id", "row", "n_words", "sha", "print", "key", "pos", "lo", "hi"])
+    return keyed(docs, id_col, text_col).mapInArrow(
+        run, "id long, row binary, n_words long, sha string, print binary, key array<long>, pos array<int>, lo array<int>, hi array<int>")
+
+
+def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), row_key(text_col).alias("row"))
 
 
 def compact(links: DataFrame, edges: DataFrame) -> DataFrame:
@@ -135,32 +148,34 @@ def compact(links: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def repeats(docs: DataFrame, id_col: str, text_col: str):
-    """(every document's scan row, texts of documents with candidate passages, (id, starts) of windows to remove, copies)."""
+    """(every document's scan row, texts with candidate passages, (id, row, starts) of windows to remove, (id, row) of copies)."""
+    mark = open_tables()
     every = save(scan(docs, id_col, text_col), "substring-scan")
     long = every.where(f"n_words >= {WINDOW} and id is not null")
     first = long.groupBy("print").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
-    copies = save(long.select("id", "print").join(first, "print").where("id > first").select("id").distinct(), "substring-copies")
+    copies = save(long.select("id", "row", "print").join(first, "print").where("id > first").select("id", "row").distinct(), "substring-copies")
     # Whole copies lose everything; their windows also stand in the first one, so they add no edges.
-    single = long.select("id", F.explode(F.arrays_zip("key", "pos", "lo", "hi")).alias("e")).select("id", "e.*")
-    single = single.join(copies, "id", "left_anti")
+    single = long.select("id", "row", F.explode(F.arrays_zip("key", "pos", "lo", "hi")).alias("e")).select("id", "row", "e.*")
+    single = single.join(copies, ["id", "row"], "left_anti")
     shared = save(single.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x < y").select("key"), "substring-edges")
     found = save(single.join(shared, "key"), "substring-places")
-    following = Window.partitionBy("id").orderBy("pos")
-    links = found.select("key", F.lead("key").over(following).alias("next"),
-                         (F.lead("pos").over(following) - F.col("pos")).alias("gap")).where("next is not null").distinct()
-    paths = compact(save(links, "substring-links"), shared)
-    spans = (found.join(paths, "key").groupBy("id", "head", (F.col("pos") - F.col("offset")).alias("diagonal"))
+    following = Window.partitionBy("id", "row").orderBy("pos")
+    links = save(found.select("key", F.lead("key").over(following).alias("next"),
+                              (F.lead("pos").over(following) - F.col("pos")).alias("gap")).where("next is not null").distinct(), "substring-links")
+    paths = compact(links, shared)
+    spans = (found.join(paths, "key").groupBy("id", "row", "head", (F.col("pos") - F.col("offset")).alias("diagonal"))
              .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-             .groupBy("id").agg(F.collect_list(F.struct("lo", "hi")).alias("spans")))  # a document's spans: fewer than its words
+             .groupBy("id", "row").agg(F.collect_list(F.struct("lo", "hi")).alias("spans")))  # a document's spans: fewer than its words
     spans = save(spans, "substring-spans")
-    discard(shared, found, paths)
-    texts = save(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(spans, "id"), "substring-texts")
+    discard(shared, found, links, paths)
+    # A number for each text, written with it: shorter than its key in the many rows of its windows.
+    texts = save(keyed(docs, id_col, text_col).join(spans, ["id", "row"]).withColumn("number", F.monotonically_increasing_id()), "substring-texts")
     discard(spans)
 
     def windows(batches):
         memory = WordHashes()
         for b in pieces(batches):
-            for i, t, s in zip(ids(b, "id"), raw(b), ids(b, "spans")):
+            for i, number, t, s in zip(ids(b, "id"), ids(b, "number"), raw(b), ids(b, "spans")):
                 h = np.fromiter(map(memory.__getitem__, t.split()), np.uint64)
                 inside = np.zeros(len(h) + 1, np.int64)
                 end = -1
@@ -174,13 +189,16 @@ def repeats(docs: DataFrame, id_col: str, text_col: str):
                 a, c = runs(h, WINDOW, M1)[at], runs(h, WINDOW, M2)[at]
                 memory.trim()
                 yield pa.record_batch([pa.array(a.astype(np.int64)), pa.array((c >> np.uint64(32)).astype(np.uint32).view(np.int32)),
-                                       pa.array(np.full(len(at), i, np.int64)), pa.array(at.astype(np.int32))], ["h", "g", "id", "at"])
-    exact = save(texts.mapInArrow(windows, "h long, g int, id long, at int"), "substring-windows")
+                                       pa.array(np.full(len(at), i, np.int64)), pa.array(np.full(len(at), number, np.int64)),
+                                       pa.array(at.astype(np.int32))], ["h", "g", "id", "number", "at"])
+    exact = save(texts.mapInArrow(windows, "h long, g int, id long, number long, at int"), "substring-windows")
     # Written first, so that the join below reads two plain exchanges and a hot window's rows can be split.
     least = save(exact.groupBy("h", "g").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
                  .select("h", "g", "first"), "substring-least")
-    remove = save(exact.join(least, ["h", "g"]).where("id > first").groupBy("id").agg(F.collect_set("at").alias("starts")), "substring-starts")
-    discard(exact, least)
+    starts = exact.join(least, ["h", "g"]).where("id > first").groupBy("number").agg(F.collect_set("at").alias("starts"))
+    remove = save(starts.join(texts.select("number", "id", "row"), "number").select("id", "row", "starts").dropDuplicates(["id", "row"]),
+                  "substring-starts")
+    discard_since(mark, every, texts, remove, copies)
     return every, texts, remove, copies
 
 
@@ -210,14 +228,14 @@ def digest_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                 kept = b" ".join([w for w, g in zip(words, gone.tolist()) if not g])
                 out.append((int(gone.sum()), hashlib.sha256(kept).hexdigest()))
             c = list(zip(*out))
-            yield pa.record_batch([b.column(b.schema.get_field_index("id")), b.column(b.schema.get_field_index("print")),
-                                   pa.array(c[0], pa.int64()), pa.array(c[1])], ["id", "print", "removed", "kept"])
-    prints = every.select("id", "print").join(remove, "id")
-    changed = texts.join(prints, "id").select("id", "text", "print", "starts").mapInArrow(
-        run, "id long, print binary, removed long, kept string").dropDuplicates(["id", "print"])
-    whole = copies.withColumn("copy", F.lit(True))
+            yield pa.record_batch([b.column(b.schema.get_field_index("id")), b.column(b.schema.get_field_index("row")),
+                                   pa.array(c[0], pa.int64()), pa.array(c[1])], ["id", "row", "removed", "kept"])
+    changed = save(texts.select("id", "row", "text").join(remove, ["id", "row"]).mapInArrow(
+        run, "id long, row binary, removed long, kept string").dropDuplicates(["id", "row"]), "substring-kept")
+    discard(texts, remove)
     n = F.col("n_words")
-    out = every.select("id", "n_words", "sha", "print").join(whole, "id", "left").join(changed.drop("print"), "id", "left")
+    out = (every.select("id", "row", "n_words", "sha").join(copies.withColumn("copy", F.lit(True)), ["id", "row"], "left")
+           .join(changed, ["id", "row"], "left"))
     gone = F.when(F.col("copy"), n).otherwise(F.coalesce("removed", F.lit(0)))
     return out.select(F.col("id").alias(id_col), "n_words", gone.cast("long").alias("n_removed"),
                       F.when(F.col("copy"), F.lit(EMPTY_SHA)).otherwise(F.coalesce("kept", "sha")).alias("kept_sha256"))
@@ -230,9 +248,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     texts that lose nothing stay as they are, null texts stay null.
     ``size_col``, if the table has it, becomes the new text's length."""
     every, texts, remove, copies = repeats(docs, id_col, text_col)
-    marks = remove.select(F.col("id").alias("_id"), F.col("starts").alias("_starts")).unionByName(
-        copies.select(F.col("id").alias("_id"), F.array(F.lit(-1)).alias("_starts")))
-    joined = docs.join(marks, docs[id_col] == F.col("_id"), "left").drop("_id")
+    discard(every, texts)
+    key, row, starts_col = (free_name(docs, n) for n in ("marked id", "marked row", "marked starts"))
+    marks = remove.unionByName(copies.withColumn("starts", F.array(F.lit(-1)))).select(
+        F.col("id").alias(key), F.col("row").alias(row), F.col("starts").alias(starts_col))
+    joined = docs.join(marks, (F.col(id_col) == F.col(key)) & (row_key(text_col) == F.col(row)), "left").drop(key, row)
     columns = docs.columns
 
     def cut(text: bytes, starts: list[int]) -> bytes:
@@ -257,14 +277,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def run(batches):
         for b in pieces(batches, text_col):
-            new = [t if t is None or s is None else cut(t, s) for t, s in zip(raw(b, text_col), ids(b, "_starts"))]
+            new = [t if t is None or s is None else cut(t, s) for t, s in zip(raw(b, text_col), ids(b, starts_col))]
             new = [None if t is None else t.decode() for t in new]
             out = b.select(columns)
             out = out.set_column(out.schema.get_field_index(text_col), text_col, pa.array(new, pa.string()))
             if size_col in columns:
                 at = out.schema.get_field_index(size_col)
                 old = out.column(at).to_pylist()
-                sizes = [o if s is None or t is None else len(t) for o, t, s in zip(old, new, ids(b, "_starts"))]
+                sizes = [o if s is None or t is None else len(t) for o, t, s in zip(old, new, ids(b, starts_col))]
                 out = out.set_column(at, size_col, pa.array(sizes, out.schema.field(at).type))
             yield out
     return joined.mapInArrow(run, docs.schema)

@@ -251,3 +251,41 @@ def test_estimates_five_deviations_low_are_still_compared():
     deviation = np.sqrt(0.8 * 0.2 / near_dedup.REGISTERS)
     equal = (0.8 - np.array([3, 5, 7]) * deviation) * (1 - c) + c
     assert near_dedup.hopeful(equal, n, n, 0.8).tolist() == [True, True, False]
+
+
+def windows_removed(data):
+    """op4's contract by brute force: (id, text) rows -> sorted (id, n_words, n_removed, kept text)."""
+    starts = {}
+    for i, t in data:
+        w = (t or "").encode().split()
+        for x in range(len(w) - 49):
+            starts.setdefault(tuple(w[x:x + 50]), []).append(i)
+    out = []
+    for i, t in data:
+        w = (t or "").encode().split()
+        gone = set()
+        for x in range(len(w) - 49):
+            if i is not None and min(v for v in starts[tuple(w[x:x + 50])] if v is not None) < i:
+                gone.update(range(x, x + 50))
+        out.append((i, len(w), len(gone), b" ".join(v for x, v in enumerate(w) if x not in gone)))
+    return sorted(out, key=repr)
+
+
+def test_repeated_ids_with_different_texts(spark, make):
+    p = " ".join(f"p{i}" for i in range(60))
+    q = " ".join(f"q{i}" for i in range(55))
+    data = [(1, p), (2, p + " x"), (2, "h " + p + " y"), (2, "h " + p + " y"), (3, q), (3, q + " " + p), (4, q), (None, p), (None, q + " z")]
+    docs = make([(i, t, "en") for i, t in data])
+    got = sorted(((r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in substring_dedup.digest_documents(docs).collect()), key=repr)
+    want = [(i, n, g, hashlib.sha256(k).hexdigest()) for i, n, g, k in windows_removed(data)]
+    assert got == sorted(want, key=repr)
+    cut = sorted(((r["doc_id"], (r["text"] or "").split()) for r in substring_dedup.remove_repeats(docs).collect()), key=repr)
+    assert cut == sorted(((i, k.decode().split()) for i, _, _, k in windows_removed(data)), key=repr)
+
+
+def test_columns_named_like_the_marks(spark, make):
+    p = " ".join(f"p{i}" for i in range(60))
+    docs = make([(1, p, "en"), (2, "h " + p, "en")]).selectExpr("*", "1 as _id", "2 as `marked id`", "3 as starts", "4 as `row`", "5 as number")
+    out = substring_dedup.remove_repeats(docs)
+    assert out.columns == docs.columns
+    assert {r["doc_id"]: r["text"] for r in out.collect()} == {1: p, 2: "h"}
