@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnspark.llm import decontaminate, near_dedup, piece_encoding, quality_model, substring_dedup
-from churnspark.llm.common import save, training_row
+from churnspark.llm.common import discard, discard_since, free_name, open_tables, save, training_row
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,8 +30,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One document of each group: the one of the smallest id.  Shingles of five words, similarity 0.8.
 
     Texts without a word belong to no group and stay."""
-    gone = near_dedup.near_duplicates(docs, k=5, threshold=0.8).where("not kept").select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("gone"), "left_anti").select(docs.columns)
+    name = free_name(docs, "gone")
+    gone = near_dedup.near_duplicates(docs, k=5, threshold=0.8).where("not kept").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col(name), "left_anti").select(docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,7 +65,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages in their order; each one's tables, its input too, are deleted once its result is written."""
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = save(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        mark = open_tables()
+        result = save(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        discard_since(mark, result)
+        discard(docs)
+        docs = result
     return docs
