@@ -97,6 +97,21 @@ def one_hot(df: DataFrame, columns: list[str], cats: dict[str, list[str]] | None
     return df.select(*keep, *[e.alias(n) for n, e in new.items()])
 
 
+def more_than_two_values(df: DataFrame, columns: list[str], dt: dict) -> list[str]:
+    """Numeric columns with at least three distinct values: some value lies between the least and the greatest.
+
+    Two aggregates of constants; no value is shuffled or counted."""
+    x = {c: as_double(F.col(f"`{c}`"), dt[c]) for c in columns}
+    if not columns:
+        return []
+    ends = df.agg(*[f(x[c]).alias(f"{t}{i}") for i, c in enumerate(columns) for f, t in ((F.min, "a"), (F.max, "b"))]).first()
+    wide = [(i, c) for i, c in enumerate(columns) if ends[f"a{i}"] is not None and ends[f"a{i}"] < ends[f"b{i}"]]
+    if not wide:
+        return []
+    inside = df.agg(*[F.max((x[c] > F.lit(ends[f"a{i}"])) & (x[c] < F.lit(ends[f"b{i}"]))).alias(f"i{i}") for i, c in wide]).first()
+    return [c for i, c in wide if inside[f"i{i}"]]
+
+
 class ScaleEncode(Estimator, DefaultParamsReadable, DefaultParamsWritable):
     """Standard-scale numeric columns with more than two distinct values,
     one-hot encode string columns; fit on train, reuse anywhere."""
@@ -111,12 +126,10 @@ class ScaleEncode(Estimator, DefaultParamsReadable, DefaultParamsWritable):
         self._set(**self._input_kwargs)
 
     def _fit(self, df):
-        from churnspark.operators.profile import distinct_counts
         dt = dict((f.name, f.dataType) for f in df.schema.fields)
         ex = set(self.getOrDefault(self.exclude))
         numeric = [c for c in df.columns if (is_numeric(dt[c]) or is_boolean(dt[c])) and c not in ex]
-        uniq = {r["feature"]: r["unique"] for r in distinct_counts(df, numeric).collect()} if numeric else {}
-        scaled = [c for c in numeric if uniq.get(c, 0) > 2]
+        scaled = more_than_two_values(df, numeric, dt)
         cat_cols = [c for c in df.columns if isinstance(dt[c], T.StringType) and c not in ex]
         fit = _standard_fit(df, scaled, dt)
         cats = categories(df, cat_cols, self.getOrDefault(self.maxCategories))

@@ -3,13 +3,17 @@
 * ``tree_nodes``: the ensemble's node table (the model's own parquet data),
   read back as a DataFrame — split feature, threshold, gain, cover.
 * ``tree_shap``: path-dependent Tree SHAP values per row, on the margin
-  scale (the sum of values plus the base value equals the margin).  Rows are
-  processed by ``mapInPandas`` in Arrow batches; the trees are broadcast
+  scale (the sum of values plus the base value equals the margin).  Every
+  leaf is a small game of its own whose values depend on a row only through
+  the set of satisfied splits, so they are tabled by that set and batches of
+  rows are scored by lookups in ``mapInPandas``; the trees are broadcast
   (their size is bounded by the model: trees x nodes, checked).  Output is
   long ``(id, feature, shap)``.
 """
 from __future__ import annotations
 
+from math import factorial
+
 import numpy as np
 import pandas as pd
 from pyspark.ml.functions import vector_to_array
@@ -19,6 +23,8 @@ from pyspark.sql import functions as F
 from churnspark.session import scratch_path
 
 MAX_NODES = 2_000_000
+#: Features of a path up to which all sets are tabled; beyond, the sets that occur in a batch are computed.
+TABLED = 8
 
 
 def tree_nodes(model) -> DataFrame:
@@ -68,100 +74,103 @@ def _expected(tree) -> float:
     return rec(0)
 
 
-def _shap_tree(x, tree, phi):
-    w, left, right, feat, thr, val, cov = tree
-    depth_cap = 64
-    pd_ = np.zeros(depth_cap, dtype=np.int64)
-    pz = np.zeros(depth_cap)
-    po = np.zeros(depth_cap)
-    pw = np.zeros(depth_cap)
-
-    def extend(state, ud, zf, of, fi):
-        d, z, o, ww = state
-        d[ud], z[ud], o[ud] = fi, zf, of
-        ww[ud] = 1.0 if ud == 0 else 0.0
-        for i in range(ud - 1, -1, -1):
-            ww[i + 1] += of * ww[i] * (i + 1) / (ud + 1)
-            ww[i] = zf * ww[i] * (ud - i) / (ud + 1)
-
-    def unwind(state, ud, k):
-        d, z, o, ww = state
-        of, zf = o[k], z[k]
-        nxt = ww[ud]
-        for i in range(ud - 1, -1, -1):
-            if of != 0:
-                tmp = ww[i]
-                ww[i] = nxt * (ud + 1) / ((i + 1) * of)
-                nxt = tmp - ww[i] * zf * (ud - i) / (ud + 1)
-            else:
-                ww[i] = ww[i] * (ud + 1) / (zf * (ud - i))
-        for i in range(k, ud):
-            d[i], z[i], o[i] = d[i + 1], z[i + 1], o[i + 1]
-
-    def unwound_sum(state, ud, k):
-        d, z, o, ww = state
-        of, zf = o[k], z[k]
-        nxt = ww[ud]
-        total = 0.0
-        for i in range(ud - 1, -1, -1):
-            if of != 0:
-                tmp = nxt * (ud + 1) / ((i + 1) * of)
-                total += tmp
-                nxt = ww[i] - tmp * zf * (ud - i) / (ud + 1)
-            else:
-                total += (ww[i] / zf) / ((ud - i) / (ud + 1))
-        return total
+class Leaf:
+    """One leaf as a game of the features on its path: the leaf's value is paid where all of them are satisfied.
 
-    def rec(j, ud, parent, zf, of, fi):
-        state = tuple(a.copy() for a in parent)
-        extend(state, ud, zf, of, fi)
-        d, z, o, ww = state
-        if left[j] < 0:
-            for i in range(1, ud + 1):
-                phi[d[i]] += w * unwound_sum(state, ud, i) * (o[i] - z[i]) * val[j]
+    A feature is satisfied where x lies in (low, high] of its splits on the
+    path; absent, it is satisfied with the share of training cover that the
+    path keeps at its splits.  A feature's Shapley value depends on the row only
+    through which features are satisfied, so it is tabled by that set."""
+
+    def __init__(self, path: list[tuple[int, float, bool, float]], payment: float):
+        self.features = list(dict.fromkeys(f for f, *_ in path))
+        m = len(self.features)
+        self.low, self.high, self.share = np.full(m, -np.inf), np.full(m, np.inf), np.ones(m)
+        for f, threshold, left, share in path:
+            k = self.features.index(f)
+            self.share[k] *= share
+            if left:
+                self.high[k] = min(self.high[k], threshold)
+            else:
+                self.low[k] = max(self.low[k], threshold)
+        self.payment = payment
+        self.table = self.values(np.arange(1 << m)[:, None] >> np.arange(m) & 1) if m <= TABLED else None
+
+    def satisfied(self, x: np.ndarray) -> np.ndarray:
+        """One column per feature.  A NaN fails every ``<=``: it goes right, as in the model."""
+        out = np.ones((len(x), len(self.features)), bool)
+        for k, f in enumerate(self.features):
+            if self.high[k] < np.inf:
+                out[:, k] &= x[:, f] <= self.high[k]
+            if self.low[k] > -np.inf:
+                out[:, k] &= ~(x[:, f] <= self.low[k])
+        return out
+
+    def values(self, on: np.ndarray) -> np.ndarray:
+        """Shapley values of the features for rows of satisfied flags.
+
+        Over the others, the coefficient of y^k in prod(share_j + on_j y) sums the payments of all coalitions of k."""
+        m = len(self.features)
+        weight = np.array([factorial(k) * factorial(m - 1 - k) / factorial(m) for k in range(m)])
+        out = np.empty((len(on), m))
+        for i in range(m):
+            coalition = np.zeros((len(on), m))
+            coalition[:, 0] = 1.0
+            for j in range(m):
+                if j != i:
+                    coalition[:, 1:] = coalition[:, 1:] * self.share[j] + coalition[:, :-1] * on[:, j, None]
+                    coalition[:, 0] *= self.share[j]
+            out[:, i] = self.payment * (on[:, i] - self.share[i]) * (coalition @ weight)
+        return out
+
+    def add(self, x: np.ndarray, phi: np.ndarray) -> None:
+        m = len(self.features)
+        if not m:
             return
-        f = feat[j]
-        xv = x[f]
-        go_left = xv <= thr[j]  # NaN goes right, as the model does
-        hot, cold = (left[j], right[j]) if go_left else (right[j], left[j])
-        iz, io = 1.0, 1.0
-        k = -1
-        for i in range(1, ud + 1):
-            if d[i] == f:
-                k = i
-                break
-        if k >= 0:
-            iz, io = z[k], o[k]
-            unwind(state, ud, k)
-            ud -= 1
-        rec(hot, ud + 1, state, cov[hot] / cov[j] * iz, io, f)
-        rec(cold, ud + 1, state, cov[cold] / cov[j] * iz, 0.0, f)
-
-    rec(0, 0, (pd_, pz, po, pw), 1.0, 1.0, -1)
+        on = self.satisfied(x)
+        if self.table is not None:
+            phi[:, self.features] += self.table[on @ (1 << np.arange(m))]
+        else:  # a deep path: only the sets that occur
+            kinds, which = np.unique(np.packbits(on, axis=1), axis=0, return_inverse=True)
+            phi[:, self.features] += self.values(np.unpackbits(kinds, axis=1, count=m))[which.ravel()]
+
+
+def leaves(tree) -> list[Leaf]:
+    weight, left, right, feat, thr, val, cov = tree
+    out, open_nodes = [], [(0, [])]
+    while open_nodes:
+        j, path = open_nodes.pop()
+        if left[j] < 0:
+            out.append(Leaf(path, weight * val[j]))
+            continue
+        for child, goes_left in ((left[j], True), (right[j], False)):
+            open_nodes.append((child, [*path, (int(feat[j]), float(thr[j]), goes_left, float(cov[child] / cov[j]))]))
+    return out
 
 
 def tree_shap(model, df: DataFrame, id_col: str, feature_names: list[str], features_col: str = "features") -> DataFrame:
-    """Long ``(id, feature, shap)`` plus one ``__base__`` row per id (the expected margin)."""
+    """Long ``(id, feature, shap)`` plus one ``__base__`` row per id (the expected margin).
+
+    Each leaf's values are tabled once per task; a batch of rows is then scored leaf by leaf by table lookups."""
     spark = df.sparkSession
     trees = _pack(model)
     base = float(sum(t[0] * _expected(t) for t in trees))
-    bc = spark.sparkContext.broadcast(trees)
-    names = list(feature_names)
+    bc = spark.sparkContext.broadcast(trees)  # at most MAX_NODES nodes
+    names = np.array([*feature_names, "__base__"], object)
+    width = len(names)
     rows = df.select(F.col(id_col).cast("string").alias("id"), vector_to_array(F.col(features_col)).alias("x"))
 
     def run(batches):
-        tr = bc.value
+        paid = [leaf for t in bc.value for leaf in leaves(t)]
         for pdf in batches:
-            out_id, out_f, out_v = [], [], []
-            for rid, x in zip(pdf["id"], pdf["x"]):
-                x = np.asarray(x, dtype=np.float64)
-                phi = np.zeros(len(names) + 1)
-                for t in tr:
-                    _shap_tree(x, t, phi)
-                out_id += [rid] * (len(names) + 1)
-                out_f += names + ["__base__"]
-                out_v += list(phi[:len(names)]) + [base]
-            yield pd.DataFrame({"id": out_id, "feature": out_f, "shap": out_v})
+            if not len(pdf):
+                continue
+            x = np.stack(pdf["x"].to_numpy()).astype(np.float64)
+            phi = np.zeros((len(x), width))
+            for leaf in paid:
+                leaf.add(x, phi)
+            phi[:, -1] = base
+            yield pd.DataFrame({"id": np.repeat(pdf["id"].to_numpy(), width), "feature": np.tile(names, len(x)), "shap": phi.ravel()})
 
     return rows.mapInPandas(run, "id string, feature string, shap double")
 

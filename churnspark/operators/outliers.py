@@ -3,8 +3,7 @@
 Threshold rule per numeric column: if ``-t < skew < t`` (adjusted skew,
 ``t`` = ``skew_threshold``) the bounds are ``mean -/+ 3 std``; otherwise
 Tukey's ``Q1 - 1.5 IQR`` and ``Q3 + 1.5 IQR``.  Moments for all columns come
-from one aggregate and the quartiles from one exact-quantile job over the
-long ``(feature, value)`` table.
+from one aggregate, the quartiles from radix selection (``selection``).
 """
 from __future__ import annotations
 
@@ -19,33 +18,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnspark.functions.exprs import adj_skew, as_double, is_boolean, is_numeric
-from churnspark.operators.quantiles import exact_quantiles
+from churnspark.operators.selection import column_quantiles
 from churnspark.operators.stage import JsonStateModel
 
 log = logging.getLogger(__name__)
 
 
-def _long_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
-    dt = dict((f.name, f.dataType) for f in df.schema.fields)
-    parts = [F.struct(F.lit(c).alias("feature"), as_double(F.col(f"`{c}`"), dt[c]).alias("x")) for c in columns]
-    return df.select(F.explode(F.array(*parts)).alias("s")).select("s.*").where(F.col("x").isNotNull())
-
-
 def outlier_thresholds(df: DataFrame, columns: list[str], skew_threshold: float = 1.0, exact: bool = True) -> DataFrame:
     """O1 for many columns: ``(feature, skew, mean, std, q_1, q_3, rule, min_thresh, max_thresh)``.
 
-    ``exact=False`` takes the quartiles from a bounded-memory sketch."""
-    long = _long_numeric(df, columns)
-    mom = long.groupBy("feature").agg(adj_skew("x").alias("skew"), F.avg("x").alias("mean"),
-                                      F.stddev_samp("x").alias("std"))
+    One aggregate for the moments, a few passes of radix selection for the
+    quartiles; ``exact=False`` takes these from a bounded-memory sketch."""
+    dt = dict((f.name, f.dataType) for f in df.schema.fields)
+    x = {c: as_double(F.col(f"`{c}`"), dt[c]) for c in columns}
+    sketch = [] if exact else [F.percentile_approx(x[c], [0.25, 0.75], 10_000).alias(f"q{i}") for i, c in enumerate(columns)]
+    row = df.agg(F.count(F.lit(1)).alias("rows"), *sketch, *[f(x[c]).alias(f"{t}{i}") for i, c in enumerate(columns) for f, t in (
+        (F.count, "n"), (F.min, "a"), (F.max, "b"), (adj_skew, "s"), (F.avg, "m"), (F.stddev_samp, "d"))]).first()
     if exact:
-        qs = exact_quantiles(long, ["feature"], "x", [0.25, 0.75], max_keys=len(columns))
+        quartiles = column_quantiles(df, x, [0.25, 0.75], {c: (row[f"n{i}"], row[f"a{i}"], row[f"b{i}"]) for i, c in enumerate(columns)})
     else:
-        from churnspark.operators.quantiles import approx_quantiles
-        qs = approx_quantiles(long, ["feature"], "x", [0.25, 0.75])
-    qw = qs.groupBy("feature").agg(F.max(F.when(F.col("q") == 0.25, F.col("quantile"))).alias("q_1"),
-                                   F.max(F.when(F.col("q") == 0.75, F.col("quantile"))).alias("q_3"))
-    t = mom.join(qw, "feature", "left")
+        quartiles = {c: dict(zip((0.25, 0.75), row[f"q{i}"] or (None, None))) for i, c in enumerate(columns)}
+    rows = [(c, row[f"s{i}"], row[f"m{i}"], row[f"d{i}"], quartiles[c][0.25], quartiles[c][0.75])
+            for i, c in enumerate(columns) if row[f"n{i}"]]
+    t = df.sparkSession.createDataFrame(rows, "feature string, skew double, mean double, std double, q_1 double, q_3 double")
     normal = (F.col("skew") > -skew_threshold) & (F.col("skew") < skew_threshold)
     iqr = F.col("q_3") - F.col("q_1")
     return t.select("feature", "skew", "mean", "std", "q_1", "q_3",
@@ -124,9 +119,9 @@ def eligible_features(df: DataFrame, features: list[str]) -> list[str]:
     cand = [c for c in features if c in dt and (is_numeric(dt[c]) or is_boolean(dt[c]))]
     for c in features:
         if c not in dt:
-            log.info("The %s was not in the dataframe.", c)
+            log.info("no column %s: skipped", c)
         elif c not in cand:
-            log.info("The feature %s is not numeric and was therefore ignored", c)
+            log.info("column %s holds no numbers: skipped", c)
     if not cand:
         return []
     aggs = []
@@ -160,7 +155,7 @@ def clean_outliers(df: DataFrame, features_list: list[str] | None = None, outlie
     if features_list is None:
         features_list = list(df.columns)
     if outlier_treatment not in ("remove", "replace", "impute", None):
-        log.info("The outlier_treatment %s is not valid. No treatment will be applied.", outlier_treatment)
+        log.info("unknown treatment %s: outliers stay", outlier_treatment)
         outlier_treatment = None
     feats = [c for c in eligible_features(df, features_list)
              if not (c == output_column and outlier_treatment == "impute")]
@@ -168,10 +163,9 @@ def clean_outliers(df: DataFrame, features_list: list[str] | None = None, outlie
         return df
     if outlier_treatment == "remove" and sequential:
         for c in feats:
-            (lo, hi), = thresholds_dict(df, [c], skew_threshold).values()
-            cnt = df.agg(F.count_if((F.col(f"`{c}`") > hi) | (F.col(f"`{c}`") < lo)).alias("n")).first()["n"]
-            if cnt > 0:
-                df = df.where((F.col(f"`{c}`") >= lo) & (F.col(f"`{c}`") <= hi))
+            for lo, hi in thresholds_dict(df, [c], skew_threshold).values():
+                if lo is not None and hi is not None:
+                    df = df.where((F.col(f"`{c}`") >= lo) & (F.col(f"`{c}`") <= hi))
         return df
     th = thresholds_dict(df, feats, skew_threshold)
     if outlier_treatment == "remove":

@@ -2,15 +2,13 @@
 category counts, contingency tables and their shares, group summaries.
 
 Design: one wide aggregate gives every per-column moment in a single scan;
-distinct counts, modes and exact quantiles come from one long
-``(feature, value)`` value-count table (a hash aggregate with map-side
-combine) instead of one ``count_distinct`` per column (which would expand
-the data once per column).
+exact quartiles come from radix selection (``selection``), without a shuffle
+of values; distinct counts and modes come from one long ``(feature, value)``
+value-count table (a hash aggregate with map-side combine) instead of one
+``count_distinct`` per column (which would expand the data once per column).
 """
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,7 +16,8 @@ from pyspark.sql import types as T
 from churnspark.functions.exprs import (adj_kurt, adj_skew, as_double, is_boolean, is_numeric,
                                         null_nan, rnd)
 from churnspark.operators.quantiles import exact_quantiles
-from churnspark.session import cut_lineage
+from churnspark.operators.selection import column_quantiles
+from churnspark.session import scratch_table
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
@@ -40,7 +39,7 @@ def _fields(df: DataFrame, columns=None):
 def null_counts(df: DataFrame, columns=None) -> DataFrame:
     """``(feature, missing)`` for each column; NaN counts as missing."""
     fields = _fields(df, columns)
-    row = df.agg(*[F.count_if(null_nan(F.col(f.name), f.dataType).isNull()).alias(f.name) for f in fields])
+    row = df.agg(*[F.count_if(null_nan(F.col(f"`{f.name}`"), f.dataType).isNull()).alias(f.name) for f in fields])
     return _to_long(row, [f.name for f in fields], "missing", "bigint")
 
 
@@ -56,12 +55,12 @@ def long_values(df: DataFrame, fields) -> DataFrame:
     parts = []
     for f in fields:
         if is_numeric(f.dataType) or is_boolean(f.dataType):
-            parts.append(F.struct(F.lit(f.name).alias("feature"), as_double(F.col(f.name), f.dataType).alias("vnum"),
+            parts.append(F.struct(F.lit(f.name).alias("feature"), as_double(F.col(f"`{f.name}`"), f.dataType).alias("vnum"),
                                   F.lit(None).cast("string").alias("vstr"),
                                   (F.col(f"`{f.name}`") if isinstance(f.dataType, _INTEGRAL) else F.lit(None)).cast("bigint").alias("vint")))
         else:
             parts.append(F.struct(F.lit(f.name).alias("feature"), F.lit(None).cast("double").alias("vnum"),
-                                  F.col(f.name).cast("string").alias("vstr"), F.lit(None).cast("bigint").alias("vint")))
+                                  F.col(f"`{f.name}`").cast("string").alias("vstr"), F.lit(None).cast("bigint").alias("vint")))
     return (df.select(F.explode(F.array(*parts)).alias("s")).select("s.*")
               .where(F.col("vnum").isNotNull() | F.col("vstr").isNotNull()))
 
@@ -74,7 +73,7 @@ def distinct_counts(df: DataFrame, columns=None, approx: bool = False) -> DataFr
     """``(feature, unique)``, missing excluded."""
     fields = _fields(df, columns)
     if approx:
-        row = df.agg(*[F.approx_count_distinct(null_nan(F.col(f.name), f.dataType)).alias(f.name) for f in fields])
+        row = df.agg(*[F.approx_count_distinct(null_nan(F.col(f"`{f.name}`"), f.dataType)).alias(f.name) for f in fields])
         return _to_long(row, [f.name for f in fields], "unique", "bigint")
     vc = value_count_table(df, fields)
     got = vc.groupBy("feature").agg(F.count(F.lit(1)).alias("unique"))
@@ -109,48 +108,36 @@ def univariate_profile(df: DataFrame, round_to: int = 3, columns=None, sort_by_s
     numeric = [f for f in fields if is_numeric(f.dataType) or is_boolean(f.dataType)]
     aggs = []
     for i, f in enumerate(fields):
-        c = null_nan(F.col(f.name), f.dataType)
+        c = null_nan(F.col(f"`{f.name}`"), f.dataType)
         aggs += [F.count(c).alias(f"n{i}"), F.count_if(c.isNull()).alias(f"m{i}")]
     for i, f in enumerate(fields):
         if f in numeric:
-            x = as_double(F.col(f.name), f.dataType)
+            x = as_double(F.col(f"`{f.name}`"), f.dataType)
             aggs += [F.min(x).alias(f"mn{i}"), F.max(x).alias(f"mx{i}"), F.avg(x).alias(f"av{i}"),
                      F.stddev_samp(x).alias(f"sd{i}"), adj_skew(x).alias(f"sk{i}"), adj_kurt(x).alias(f"ku{i}")]
-    wide = df.agg(*aggs)
+    wide = df.agg(F.count(F.lit(1)).alias("rows"), *aggs).first()  # one row, a few numbers a column
+    number = {f.name: as_double(F.col(f"`{f.name}`"), f.dataType) for f in numeric}
+    if exact:
+        known = {f.name: (wide[f"n{i}"], wide[f"mn{i}"], wide[f"mx{i}"]) for i, f in enumerate(fields) if f in numeric}
+        quartiles = column_quantiles(df, number, [0.25, 0.5, 0.75], known)
+    else:
+        sketch = df.agg(F.count(F.lit(1)), *[F.percentile_approx(x, [0.25, 0.5, 0.75], 10_000) for x in number.values()]).first()
+        quartiles = {c: dict(zip((0.25, 0.5, 0.75), q or (None,) * 3)) for c, q in zip(number, sketch[1:])}
     rows = []
     for i, f in enumerate(fields):
-        num = f in numeric
-        dnull = F.lit(None).cast("double")
-        rows.append(F.struct(
-            F.lit(f.name).alias("feature"), F.lit(pandas_dtype(f.dataType)).alias("type"),
-            F.col(f"n{i}").alias("count"), F.col(f"m{i}").alias("missing"),
-            (rnd(F.col(f"mn{i}"), round_to) if num else dnull).alias("min_value"),
-            (F.col(f"mx{i}") if num else dnull).alias("max_value"),
-            (rnd(F.col(f"av{i}"), round_to) if num else dnull).alias("mean"),
-            (rnd(F.col(f"sd{i}"), round_to) if num else dnull).alias("std"),
-            (rnd(F.col(f"sk{i}"), round_to) if num else dnull).alias("skew"),
-            (rnd(F.col(f"ku{i}"), round_to) if num else dnull).alias("kurtosis")))
-    stats = wide.select(F.explode(F.array(*rows)).alias("s")).select("s.*")
-
-    # unique counts, modes and quantiles all read the value counts: aggregate the input once
-    vc = cut_lineage(value_count_table(df, fields))
+        row = [f.name, pandas_dtype(f.dataType), wide[f"n{i}"], wide[f"m{i}"]]
+        if f in numeric:
+            row += [wide[f"mn{i}"], *(quartiles[f.name][q] for q in (0.25, 0.5, 0.75)), *(wide[f"{s}{i}"] for s in ("mx", "av", "sd", "sk", "ku"))]
+        rows.append(tuple(row) if f in numeric else (*row, *[None] * 9))
+    stats = df.sparkSession.createDataFrame(rows, "feature string, type string, count bigint, missing bigint, min_value double, q_1 double, "
+                                            "median double, q_3 double, max_value double, mean double, std double, skew double, kurtosis double")
+    stats = stats.withColumns({c: rnd(F.col(c), round_to) for c in ("min_value", "mean", "std", "skew", "kurtosis")})
+
+    # Unique counts and modes need the values themselves: counted once, before the shuffle and after it.
+    vc = scratch_table(value_count_table(df, fields), "profile-values")
     uniq = vc.groupBy("feature").agg(F.count(F.lit(1)).alias("unique"))
     modes = _modes(vc, fields)
     out = stats.join(uniq, "feature", "left").join(modes, "feature", "left")
-    if numeric:
-        numeric_names = [f.name for f in numeric]
-        nvc = vc.where(F.col("feature").isin(numeric_names)).select("feature", F.col("vnum").alias("v"), "__cnt")
-        if exact:
-            qs = exact_quantiles(nvc, ["feature"], "v", [0.25, 0.5, 0.75], counts=nvc, max_keys=len(numeric_names))
-        else:
-            from churnspark.operators.quantiles import approx_quantiles
-            qs = approx_quantiles(long_values(df, numeric).select("feature", F.col("vnum").alias("v")), ["feature"],
-                                  "v", [0.25, 0.5, 0.75])
-        qw = qs.groupBy("feature").agg(*[F.max(F.when(F.col("q") == q, F.col("quantile"))).alias(n)
-                                         for q, n in ((0.25, "q_1"), (0.5, "median"), (0.75, "q_3"))])
-        out = out.join(qw, "feature", "left")
-    else:
-        out = out.withColumns({n: F.lit(None).cast("double") for n in ("q_1", "median", "q_3")})
     out = out.select("feature", "type", "count", "missing", F.coalesce("unique", F.lit(0)).cast("bigint").alias("unique"),
                      "mode", "min_value", "q_1", "median", "q_3", "max_value", "mean", "std", "skew", "kurtosis")
     if sort_by_skew:
@@ -164,12 +151,12 @@ def auto_bins(df: DataFrame, feature: str) -> int:
     """numpy's ``bins="auto"``: the larger of the Sturges and Freedman-Diaconis bin counts."""
     import math
     x = as_double(F.col(feature), dict((f.name, f.dataType) for f in df.schema.fields)[feature])
-    vals = df.select(F.lit("f").alias("k"), x.alias("x")).where(F.col("x").isNotNull())
+    vals = df.select(x.alias("x")).where(F.col("x").isNotNull())
     st = vals.agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).first()
     n, lo, hi = st["n"], st["lo"], st["hi"]
     if not n or hi == lo:
         return 1
-    q = {r["q"]: r["quantile"] for r in exact_quantiles(vals, ["k"], "x", [0.25, 0.75], max_keys=1).collect()}
+    q = column_quantiles(vals, {"x": F.col("x")}, [0.25, 0.75], {"x": (n, lo, hi)})["x"]
     sturges = math.ceil(math.log2(n)) + 1
     iqr = q[0.75] - q[0.25]
     fd = math.ceil((hi - lo) / (2.0 * iqr * n ** (-1.0 / 3.0))) if iqr > 0 else 0
@@ -209,7 +196,7 @@ def category_counts(df: DataFrame, feature: str) -> DataFrame:
 def group_summary(df: DataFrame, numerical: str, categorical: str, plot_type: str = "bar") -> DataFrame:
     """Per category mean, std, count and quartiles of a numeric column."""
     if plot_type not in ("bar", "violin"):
-        raise ValueError("Invalid plot_type. Choose 'bar' or 'violin'.")
+        raise ValueError(f"plot_type is bar or violin, not {plot_type!r}")
     dt = dict((f.name, f.dataType) for f in df.schema.fields)[numerical]
     base = df.select(F.col(categorical).alias("category"), as_double(F.col(numerical), dt).alias("x")).where(
         F.col("category").isNotNull() & F.col("x").isNotNull())
@@ -232,20 +219,10 @@ def contingency(df: DataFrame, a: str, b: str) -> DataFrame:
 def contingency_shares(df: DataFrame, a: str, b: str, axis_sum=None) -> DataFrame:
     """A10: count and percent of the grand total (None), column total (0) or row total (1)."""
     if axis_sum not in (None, 0, 1):
-        raise ValueError("axis_sum must be one of: None, 0, or 1.")
+        raise ValueError(f"axis_sum is None, 0 or 1, not {axis_sum!r}")
     t = contingency(df, a, b)
     if axis_sum is None:
         total = t.agg(F.sum("count")).scalar()  # grand total as a scalar subquery
     else:
         total = F.sum("count").over(Window.partitionBy(b if axis_sum == 0 else a))
     return t.withColumn("percent", F.col("count") / total * 100)
-
-
-def missing_report(df: DataFrame) -> DataFrame:
-    """Missing count and share per column (A7 with the share the wrangling rule uses)."""
-    n = df.count()
-    return null_counts(df).withColumn("share", F.col("missing") / F.lit(max(n, 1)))
-
-
-def union_all(frames):
-    return reduce(lambda a, b: a.unionByName(b), frames)

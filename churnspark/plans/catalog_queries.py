@@ -1,6 +1,7 @@
 """Query bodies for the catalog (see ``catalog.py``)."""
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
 from churnspark.operators.series import series_features
@@ -310,6 +311,13 @@ def q_drop_missing_rows(spark, sf_dir):
     return PR.DropMissing(axis=0).transform(events_with_nulls(spark, sf_dir))
 
 
+@query("missing_rows", f"""WITH {EV_NULLS_CTE} SELECT count(*) AS rows, count_if(event_type IS NULL OR value IS NULL) AS dropped,
+count_if(event_type IS NOT NULL AND value IS NOT NULL) AS kept FROM en""")
+def q_missing_rows(spark, sf_dir):
+    """P5: how many rows ``drop_missing`` drops."""
+    return PR.missing_rows(events_with_nulls(spark, sf_dir))
+
+
 @query("drop_missing_cols", f"WITH {EV_NULLS_CTE} SELECT event_id, user_id FROM en")
 def q_drop_missing_cols(spark, sf_dir):
     return PR.drop_missing(events_with_nulls(spark, sf_dir), axis=1)
@@ -946,6 +954,64 @@ def q_tree_shap(spark, sf_dir):
     return X.tree_shap(model, val, "doc_id", names)
 
 
+@query("shap_summary")
+def q_shap_summary(spark, sf_dir):
+    """Mean absolute SHAP per feature, the data behind the summary plot."""
+    model, names, val = _doc_model(spark, sf_dir)
+    return X.shap_summary(X.tree_shap(model, val, "doc_id", names))
+
+
+@query("shap_additivity", """SELECT 0 AS n_bad, (SELECT count(*) FROM labels JOIN documents USING (doc_id)) > 0 AS some""")
+def q_shap_additivity(spark, sf_dir):
+    """Rows whose SHAP values and base do not add up to the model's margin."""
+    model, names, val = _doc_model(spark, sf_dir)
+    total = X.tree_shap(model, val, "doc_id", names).groupBy("id").agg(F.sum("shap").alias("total"))
+    margins = X.margin(model, val).select(F.col("doc_id").cast("string").alias("id"), "margin")
+    off = F.abs(F.col("total") - F.col("margin")) > 1e-9
+    return margins.join(total, "id", "left").agg(F.count_if(F.coalesce(off, F.lit(True))).alias("n_bad"), (F.count(F.lit(1)) > 0).alias("some"))
+
+
+@query("pipeline_signature", """SELECT * FROM (VALUES ('same', 'accepted'), ('missing', 'refused'), ('retyped', 'refused'), ('extra', 'refused'),
+('label', 'accepted')) t(frame, verdict) WHERE EXISTS (SELECT 1 FROM customer)""")
+def q_pipeline_signature(spark, sf_dir):
+    """S6 + S8: a saved and reloaded pipeline takes frames of its signature and refuses others."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
+    path = scratch_path(spark, "signed")
+    IO.save_pipeline(Pipeline(stages=[ScaleEncode(exclude=["c_custkey"])]).fit(c), path, example=c, allowed=["churn"])
+    frames = {"same": c, "missing": c.drop("c_acctbal"), "retyped": c.withColumn("c_acctbal", F.col("c_acctbal").cast("string")),
+              "extra": c.withColumn("more", F.lit(1)), "label": c.withColumn("churn", F.lit(1))}
+
+    def verdict(frame):
+        try:
+            IO.load_pipeline(path).transform(frame)
+            return "accepted"
+        except IO.SignatureError:
+            return "refused"
+    return spark.createDataFrame([(k, verdict(f)) for k, f in frames.items()], "frame string, verdict string")
+
+
+@query("scored_customers_saved", "SELECT count(*) AS n, 0 AS n_bad FROM customer")
+def q_scored_customers_saved(spark, sf_dir):
+    """Rows that a pipeline transforms otherwise after it was saved and loaded."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
+    model = Pipeline(stages=[O.ReplaceOutliers(exclude=["c_custkey"]), ScaleEncode(exclude=["c_custkey"])]).fit(c)
+    path = scratch_path(spark, "saved")
+    IO.save_pipeline(model, path)
+    one, two = model.transform(c), IO.load_pipeline(path).transform(c)
+    rows = c.select(F.lit(0).alias("bad")).unionByName(one.exceptAll(two).select(F.lit(1).alias("bad")))
+    return rows.agg(F.count_if(F.col("bad") == 0).alias("n"), F.count_if(F.col("bad") == 1).alias("n_bad"))
+
+
+@query("run_record", """SELECT 'metric' AS kind, 'rows' AS key, CAST(count(*) AS VARCHAR) AS value FROM customer
+UNION ALL SELECT 'param', 'depth', '5' FROM (SELECT 1) WHERE EXISTS (SELECT 1 FROM customer)""")
+def q_run_record(spark, sf_dir):
+    """Parameters and metrics of a run, appended and read back."""
+    root = scratch_path(spark, "runs")
+    n = table(spark, sf_dir, "customer").count()
+    IO.log_run(spark, root, "other", {"depth": 9}, {"rows": -1})
+    return IO.log_run(spark, root, "this", {"depth": 5}, {"rows": n}).select("kind", "key", "value")
+
+
 @query("model_comparison", f"""WITH {SCORED_CTE.replace('sc AS', 'sa AS')},
 {SCORED_CTE.replace('sc AS', 'sb AS').replace('(d.n_chars % 1000) / 1000.0', '(l.doc_id % 997) / 997.0')},
 m AS (

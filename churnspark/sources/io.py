@@ -11,15 +11,19 @@
   every custom stage is ``DefaultParamsWritable``.
 * ``log_run`` (S7): long rows ``(run_name, kind, key, value, ts)`` appended to
   a parquet table.
-* ``check_signature`` (S8): compare a frame's schema with a stored one.
+* ``Signature`` (S8): a stage that holds a schema and refuses frames that
+  differ; ``save_pipeline`` puts one before and one behind the model.
 """
 from __future__ import annotations
 
 import datetime as _dt
 import json
 
+from pyspark import keyword_only
 from pyspark.errors import AnalysisException
-from pyspark.ml import PipelineModel
+from pyspark.ml import PipelineModel, Transformer
+from pyspark.ml.param.shared import Param, Params, TypeConverters
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -91,14 +95,62 @@ def load_logged_dataset(spark: SparkSession, root: str, name: str, fallback: str
     return load_table(spark, f"{root.rstrip('/')}/datasets/{name}", fallback, schema)
 
 
-def save_pipeline(model: PipelineModel, path: str) -> None:
-    """S6."""
-    model.write().overwrite().save(path)
+class SignatureError(ValueError):
+    """A frame that differs from the signature of a saved pipeline."""
 
 
-def load_pipeline(path: str) -> PipelineModel:
-    """S6."""
-    return PipelineModel.load(path)
+def signature_faults(df: DataFrame, schema_json: str) -> list[str]:
+    """What of ``df`` differs from the stored schema, in words: missing, retyped and extra columns."""
+    expected = {f.name: f.dataType for f in T.StructType.fromJson(json.loads(schema_json)).fields}
+    got = {f.name: f.dataType for f in df.schema.fields}
+    faults = [f"missing: {c}" for c in expected if c not in got]
+    faults += [f"retyped: {c} is {got[c].simpleString()}, not {t.simpleString()}" for c, t in expected.items() if c in got and got[c] != t]
+    return faults + [f"extra: {c}" for c in got if c not in expected]
+
+
+class Signature(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """S8 as a stage: passes frames of its schema through and refuses all others, before any job runs.
+
+    ``allowed``: extra columns that may be there (labels, for instance)."""
+
+    schemaJson = Param(Params._dummy(), "schemaJson", "the schema that frames must have", TypeConverters.toString)
+    place = Param(Params._dummy(), "place", "named in errors: input or output", TypeConverters.toString)
+    allowed = Param(Params._dummy(), "allowed", "extra columns that are let through", TypeConverters.toListString)
+
+    @keyword_only
+    def __init__(self, schemaJson=None, place="input", allowed=None):
+        super().__init__()
+        self._setDefault(schemaJson=T.StructType([]).json(), place="input", allowed=[])
+        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
+
+    def _transform(self, df):
+        allowed = set(self.getOrDefault(self.allowed))
+        faults = [f for f in signature_faults(df, self.getOrDefault(self.schemaJson)) if f.removeprefix("extra: ") not in allowed]
+        if faults:
+            raise SignatureError(f"{self.getOrDefault(self.place)} differs from the pipeline's signature: {'; '.join(faults)}")
+        return df
+
+
+def signed_pipeline(model: PipelineModel, example: DataFrame, allowed: list[str] | None = None) -> PipelineModel:
+    """``model`` between a check of its input (the schema of ``example``) and one of its output.  No data is read."""
+    first = Signature(schemaJson=example.schema.json(), place="input", allowed=allowed or [])
+    last = Signature(schemaJson=model.transform(example).schema.json(), place="output", allowed=allowed or [])
+    return PipelineModel([first, *model.stages, last])
+
+
+def save_pipeline(model: PipelineModel, path: str, example: DataFrame | None = None, allowed: list[str] | None = None) -> None:
+    """S6; with an ``example`` frame the model is saved with its signature."""
+    (signed_pipeline(model, example, allowed) if example is not None else model).write().overwrite().save(path)
+
+
+def load_pipeline(path: str, like: DataFrame | None = None) -> PipelineModel:
+    """S6; ``like``: a frame that the loaded model must accept, checked against its signature at once."""
+    model = PipelineModel.load(path)
+    if like is not None:
+        for stage in model.stages:
+            if isinstance(stage, Signature) and stage.getOrDefault(stage.place) == "input":
+                stage.transform(like)
+    return model
 
 
 def log_run(spark: SparkSession, root: str, run_name: str, params: dict | None = None,
@@ -112,7 +164,13 @@ def log_run(spark: SparkSession, root: str, run_name: str, params: dict | None =
 
 
 def check_signature(df: DataFrame, schema_json: str) -> bool:
-    """Same field names and types as the stored signature."""
-    expected = T.StructType.fromJson(json.loads(schema_json))
-    got = {f.name: f.dataType for f in df.schema.fields}
-    return all(f.name in got and got[f.name] == f.dataType for f in expected.fields)
+    """The same field names and types as the stored signature, and no others."""
+    return not signature_faults(df, schema_json)
+
+
+def stored_digest_matches(spark: SparkSession, root: str, name: str) -> bool:
+    """The stored dataset still has the digest of its latest manifest row."""
+    rows = spark.read.parquet(f"{root.rstrip('/')}/manifest").where(F.col("name") == name)
+    latest = rows.orderBy(F.desc("logged_at")).first()
+    stored = load_logged_dataset(spark, root, name)
+    return latest is not None and stored.agg(digest_expr(stored).alias("d")).first()["d"] == latest["digest"]
