@@ -1,23 +1,35 @@
-"""Benchmark decontamination: seeds of word pairs, then Smith-Waterman alignment of words.
+"""Benchmark decontamination: rare word pairs join passages to test items, then Smith-Waterman alignment of words.
 
 Seeds are pairs of words at most two places apart.  Every alignment that
-reaches the threshold holds a certain number of them within a bounded passage
-(see ``Items``); passages with that many are aligned with the item, and the
-alignment's score tells copies, also edited ones, from chance.
+reaches the threshold holds at least ``need`` of its item's seeds, so it holds
+one of any choice of all but ``need - 1`` of them: the index keeps the rarest
+ones, by their number in the corpus, and leaves the common ones out, without
+losing a passage.
+
+1. The items' seeds are a table; a bitmap of fixed size marks their hashes.
+2. One pass over the documents writes the seeds whose bit is set, with their
+   places, and these are counted.
+3. The rarest seeds of each item are joined to the places.  A hit bounds the
+   passage that can hold it; only texts with hits are read again, and cut.
+4. Passages join their items, are sifted by the number of seeds they hold, and
+   aligned; the alignment's score tells copies, also edited ones, from chance.
+
+Neither items nor hits ever meet on the driver: only the bitmap does.
 """
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WordHashes, ids, pieces, raw
+from .common import WordHashes, discard_since, free_name, ids, open_tables, pieces, raw, save
 
 PUNCTUATION = b".,;:!?\"'()[]{}"
 MATCH, MISMATCH, GAP = 2, -1, -1
 STEP = np.uint64(0x9E3779B97F4A7C15)
-MOST = 2_000_000  # (position, item) hits that are held at a time
+#: The bitmap's bits: 4 MB, whatever the number of items.  A larger benchmark sets more of them; the join stays exact.
+BITMAP = 1 << 25
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -31,12 +43,6 @@ def seeds(h: np.ndarray, gap: int) -> np.ndarray:
     return out ^ (out >> np.uint64(31))
 
 
-def flat(hs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word hashes of all documents, document of each, first place of each document and the end)."""
-    sizes = np.array([len(h) for h in hs], np.int64)
-    return np.concatenate([*hs, np.zeros(0, np.uint64)]), np.repeat(np.arange(len(hs)), sizes), np.concatenate([[0], np.cumsum(sizes)])
-
-
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
     """Best local alignment score, and where it ends in the passage (Smith-Waterman, linear gaps).
 
@@ -56,8 +62,11 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
-class Items:
-    """The test items of one slice: words, seeds and how many seeds an accepted passage holds at least.
+MATCHES = "id long, row binary, item long, score double, first_word long, end_word long"
+
+
+def shape(size: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(need, reach, single) of items of ``size`` words.
 
     Let an alignment of ``n`` words score ``least = threshold * 2n`` with ``m``
     matches.  Its edits cost one each, so the m - 1 gaps between following
@@ -65,167 +74,206 @@ class Items:
     gaps hold one edit or none: there the two matched words stand one or two
     places apart in the item as well as in the passage.  Such word pairs are
     the seeds; each starts at its own word of the item and of the passage.
-    Items that one matched word already lets pass have their words as seeds."""
+    Items that one matched word already lets pass have their words as seeds.
+    reach: words that an accepted alignment spans at most."""
+    least = np.maximum(1, np.ceil(threshold * MATCH * size - 1e-9).astype(np.int64))
+    return np.maximum(1, (least + 1) // 2 - 1), size + np.maximum(0, MATCH * size - least), least <= MATCH
+
+
+def gaps_of(single: bool) -> tuple[int, ...]:
+    return (0,) if single else (1, 2)
+
 
-    def __init__(self, rows: list[tuple[int, bytes]], threshold: float):
+def all_seeds(h: np.ndarray, gaps=(0, 1, 2)) -> tuple[np.ndarray, np.ndarray]:
+    """(seeds, place of each one's first word)."""
+    found = [seeds(h, g) for g in gaps]
+    return np.concatenate(found), np.concatenate([np.arange(len(f)) for f in found])
+
+
+def row_key(id_col: str, text_col: str):
+    """128 bits of an id and its text; null ids have a name of their own."""
+    return F.unhex(F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit(" "), F.col(text_col)).cast("binary")))
+
+
+def item_table(items: DataFrame, threshold: float, item_id: str, text_col: str) -> DataFrame:
+    """item, words (their hashes), need, reach, single, seeds, key: a number for each distinct item and words.  Items without words are left out."""
+    def run(batches):
         memory = WordHashes()
-        rows = [(i, words) for i, words in ((i, words_of(t)) for i, t in rows) if words]
-        self.ids = [i for i, _ in rows]
-        self.words = [np.fromiter(map(memory.__getitem__, words), np.uint64) for _, words in rows]
-        self.size = np.array([len(w) for w in self.words], np.int64)
-        least = np.maximum(1, np.ceil(threshold * MATCH * self.size - 1e-9).astype(np.int64))
-        self.need = np.maximum(1, (least + 1) // 2 - 1)
-        self.drift = np.maximum(0, MATCH * self.size - least)  # gaps of an accepted alignment, at most
-        single = least <= MATCH
-        self.gaps = [g for g, some in ((0, single.any()), (1, (~single).any()), (2, (~single).any())) if some]
-        parts = []  # (seed, item, its first word in the item)
-        for k, w in enumerate(self.words):
-            for gap in (0,) if single[k] else (1, 2):
-                found = seeds(w, gap)
-                parts.append((found, np.full(len(found), k), np.arange(len(found))))
-        self.seed, self.item, self.start = (np.concatenate([p[c] for p in parts] or [np.zeros(0, kind)])
-                                            for c, kind in enumerate((np.uint64, np.int64, np.int64)))
-
-    def ready(self) -> None:
-        """The seeds as a sorted table, each with its distinct items."""
-        order = np.lexsort((self.item, self.seed))
-        seed, item = self.seed[order], self.item[order]
-        new = np.concatenate([[True], (seed[1:] != seed[:-1]) | (item[1:] != item[:-1])])[:len(seed)]
-        self.known, first = np.unique(seed[new], return_index=True)
-        self.owner, self.first = item[new], np.append(first, int(new.sum()))
-        self.bits = np.uint64((1 << max(16, (16 * len(self.known)).bit_length())) - 1)
-        self.maybe = np.zeros(int(self.bits) + 1, bool)
-        self.maybe[(self.known & self.bits).astype(np.int64)] = True
-
-    def hits(self, h: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(position, number of the seed) of every known seed in the word hashes of documents, one after another."""
-        at, slot = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for gap in self.gaps:
-            found = seeds(h, gap)
-            p = np.flatnonzero(self.maybe[(found & self.bits).astype(np.int64)])
-            p = p[doc[p] == doc[p + gap]]
-            near = np.minimum(np.searchsorted(self.known, found[p]), len(self.known) - 1)
-            same = self.known[near] == found[p]
-            at.append(p[same])
-            slot.append(near[same])
-        return np.concatenate(at), np.concatenate(slot)
-
-    def passages(self, h: np.ndarray, doc: np.ndarray):
-        """(item, position) of every hit from which on an accepted passage may hold all its seeds, in order."""
-        at, slot = self.hits(h, doc)
-        load = np.cumsum(np.bincount(self.owner, np.repeat(np.bincount(slot, minlength=len(self.known)), np.diff(self.first)), len(self.ids)))
-        total = int(load[-1]) if len(load) else 0
-        cuts = np.unique([0, *(np.searchsorted(load, np.arange(MOST, total, MOST)) + 1).tolist(), len(self.ids)])
-        for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()) if total else ():  # items in parts of bounded numbers of hits
-            mine = (self.owner >= lo) & (self.owner < hi)
-            owner, first = self.owner[mine], np.concatenate([[0], np.cumsum(mine)])[self.first]
-            n = (first[1:] - first[:-1])[slot]
-            inside = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-            key = np.unique(owner[np.repeat(first[slot], n) + inside] * len(h) + np.repeat(at, n))
-            item, place = key // len(h), key % len(h)
-            i = np.arange(len(key))
-            last = i + self.need[item] - 1
-            i, last = i[last < len(key)], last[last < len(key)]
-            good = (item[i] == item[last]) & (doc[place[i]] == doc[place[last]])
-            good &= place[last] - place[i] <= (self.size + self.drift)[item[i]]
-            yield from zip(item[i[good]].tolist(), place[i[good]].tolist())
-
-    def matches(self, hs: list[np.ndarray], threshold: float) -> list[tuple[int, int, float, int, int]]:
-        """(document, item, score, first word, end word) of the best passage of each item that reaches the threshold."""
-        h, doc, first = flat(hs)
-        best: dict[tuple[int, int], tuple[float, int, int]] = {}
-
-        def look(k, d, lo, hi):
-            score, end = align(self.words[k], h[lo:hi])
-            score /= MATCH * len(self.words[k])
-            if score >= threshold and score > best.get((d, k), (0.0, 0, 0))[0]:
-                best[d, k] = (score, lo, lo + end)
-        held = None
-        for k, p in self.passages(h, doc):
-            d, reach = int(doc[p]), int(self.size[k] + self.drift[k])
-            lo, hi = max(int(first[d]), p - reach), min(int(first[d + 1]), p + reach)
-            if held and held[:2] == (k, d) and lo <= held[3]:  # overlapping passages are one
-                held = (k, d, held[2], hi)
-                continue
-            if held:
-                look(*held)
-            held = (k, d, lo, hi)
+        for b in pieces(batches, "text"):
+            hs = [np.fromiter(map(memory.__getitem__, words_of(t)), np.uint64) for t in raw(b)]
+            need, reach, single = shape(np.array([len(h) for h in hs], np.int64), threshold)
+            found = [all_seeds(h, gaps_of(one))[0].view(np.int64) for h, one in zip(hs, single)]
+            yield pa.record_batch([pa.array(ids(b, "item"), pa.int64()), pa.array([h.tobytes() for h in hs], pa.binary()),
+                                   pa.array(need), pa.array(reach), pa.array(single), pa.array(found, pa.list_(pa.int64()))],
+                                  ["item", "words", "need", "reach", "single", "seeds"])
+            memory.trim()
+    table = items.select(F.col(item_id).cast("long").alias("item"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(
+        run, "item long, words binary, need long, reach long, single boolean, seeds array<long>").where(F.length("words") > 0)
+    return table.groupBy("item", "words").agg(*[F.first(c).alias(c) for c in ("need", "reach", "single", "seeds")]).withColumn(
+        "key", F.monotonically_increasing_id())
+
+
+def bitmap(seeds_of: DataFrame) -> np.ndarray:
+    """One bit for each hash of ``seed``, as BITMAP / 64 words: all that the driver sees of the items."""
+    spot = F.pmod("seed", F.lit(BITMAP))
+    rows = seeds_of.select(F.shiftright(spot, 6).alias("word"), F.expr("shiftleft(1L, cast(pmod(seed, 64) as int))").alias("bit")).groupBy("word").agg(
+        F.bit_or("bit").alias("bits")).toArrow()
+    words = np.zeros(BITMAP // 64, np.int64)
+    words[rows.column("word").to_numpy()] = rows.column("bits").to_numpy()
+    return words.view(np.uint64)
+
+
+def marked(bits: np.ndarray, found: np.ndarray) -> np.ndarray:
+    spot = found & np.uint64(BITMAP - 1)
+    return bits[(spot >> np.uint64(6)).astype(np.int64)] >> (spot & np.uint64(63)) & np.uint64(1) == 1
+
+
+def seed_places(docs: DataFrame, bits: np.ndarray, gaps: tuple[int, ...], id_col: str, text_col: str) -> DataFrame:
+    """row, seed, place of every marked seed of every document."""
+    def run(batches):
+        memory = WordHashes()
+        for b in pieces(batches, "text"):
+            for row, t in zip(ids(b, "row"), raw(b)):
+                h = np.fromiter(map(memory.__getitem__, words_of(t)), np.uint64)
+                found, place = all_seeds(h, gaps)
+                hit = np.flatnonzero(marked(bits, found))
+                if len(hit):
+                    yield pa.record_batch([pa.array([row] * len(hit), pa.binary()), pa.array(found[hit].view(np.int64)),
+                                           pa.array(place[hit].astype(np.int32))], ["row", "seed", "place"])
+            memory.trim()
+    return keyed(docs, id_col, text_col).where("text is not null").select("text", "row").mapInArrow(
+        joined(run), "row binary, seed long, place int")
+
+
+def joined(run, rows: int = 65_536):
+    """Batches of ``run``, gathered to about ``rows`` rows."""
+    def gathered(batches):
+        held, n = [], 0
+        for b in run(batches):
+            held.append(b)
+            n += b.num_rows
+            if n >= rows:
+                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+                held, n = [], 0
         if held:
-            look(*held)
-        out = []
-        for (d, k), (score, lo, end) in best.items():
-            _, back = align(self.words[k][::-1], h[lo:end][::-1])
-            out.append((d, k, score, end - back - int(first[d]), end - int(first[d])))
-        return out
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+    return gathered
+
 
+def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), row_key(id_col, text_col).alias("row"))
 
-def slices(items: DataFrame, item_id: str, text_col: str, most_bytes: int) -> list[DataFrame]:
-    """The items in parts of about ``most_bytes`` of text each; one part goes to the tasks at a time."""
-    clean = items.where(F.length(F.trim(F.coalesce(F.col(text_col), F.lit("")))) > 0).select(
-        F.col(item_id).alias("item"), F.col(text_col).alias("words")).distinct()
-    total = clean.agg(F.sum(F.octet_length("words") + 16).alias("n")).first()["n"] or 0
-    parts = -(-total // most_bytes)
-    return [clean.where(F.pmod(F.xxhash64("item", "words"), F.lit(parts)) == k) for k in range(parts)]
 
+def rarest(items: DataFrame, places: DataFrame) -> DataFrame:
+    """(seed, key, reach): the seeds that an accepted passage cannot all miss, those with the fewest places in the corpus."""
+    each = items.select("key", "need", "reach", F.posexplode("seeds").alias("at", "seed"))
+    counted = places.groupBy("seed").agg(F.count(F.lit(1)).alias("n"))
+    order = Window.partitionBy("key").orderBy(F.coalesce("n", F.lit(0)), "seed", "at")  # the seeds of one item
+    ranked = each.join(counted, "seed", "left").withColumn("rank", F.row_number().over(order)).withColumn("all", F.count(F.lit(1)).over(Window.partitionBy("key")))
+    return ranked.where("n is not null and rank <= all - need + 1").select("seed", "key", "reach").distinct()
 
-def prepared(part: DataFrame, threshold: float) -> Items:
-    """The items with all their seeds."""
-    found = Items(sorted((r["item"], r["words"].encode()) for r in part.collect()), threshold)
-    found.ready()
-    return found
 
+def cut_passages(docs: DataFrame, hits: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id, row, key, first, words: the stretches of texts around their hits, overlapping ones as one."""
+    spans = hits.groupBy("row", "key").agg(F.max("reach").alias("reach"), F.sort_array(F.collect_set("place")).alias("places"))
+    spans = save(spans.groupBy("row").agg(F.collect_list(F.struct("key", "reach", "places")).alias("spans")), "leak-spans")  # a text's own hits
+    texts = keyed(docs, id_col, text_col).join(spans, "row")
 
-def hashes(b: pa.RecordBatch, text_col: str, memory: WordHashes) -> list[np.ndarray]:
-    out = [np.fromiter(map(memory.__getitem__, words_of(t)), np.uint64) for t in raw(b, text_col)]
-    memory.trim()
+    def run(batches):
+        memory = WordHashes()
+        for b in pieces(batches, "text"):
+            for i, row, t, found in zip(ids(b, "id"), ids(b, "row"), raw(b), ids(b, "spans")):
+                h = np.fromiter(map(memory.__getitem__, words_of(t)), np.uint64)
+                out = []
+                for s in found:
+                    lo = hi = None
+                    for p in s["places"]:
+                        if hi is not None and p - s["reach"] <= hi:
+                            hi = min(len(h), p + s["reach"])
+                            continue
+                        if hi is not None:
+                            out.append((s["key"], lo, hi))
+                        lo, hi = max(0, p - s["reach"]), min(len(h), p + s["reach"])
+                    out.append((s["key"], lo, hi))
+                yield pa.record_batch([pa.array([i] * len(out), pa.int64()), pa.array([row] * len(out), pa.binary()),
+                                       pa.array([k for k, _, _ in out], pa.int64()), pa.array([lo for _, lo, _ in out], pa.int64()),
+                                       pa.array([h[lo:hi].tobytes() for _, lo, hi in out], pa.binary())], ["id", "row", "key", "first", "passage"])
+            memory.trim()
+    return texts.select("id", "row", "text", "spans").mapInArrow(joined(run, 4096), "id long, row binary, key long, first long, passage binary")
+
+
+def enough_seeds(item: np.ndarray, passage: np.ndarray, need: int, reach: int, single: bool) -> bool:
+    """Some stretch of ``reach`` words of the passage holds ``need`` starts of the item's seeds."""
+    own, _ = all_seeds(item, gaps_of(single))
+    found, place = all_seeds(passage, gaps_of(single))
+    starts = np.unique(place[np.isin(found, own)])
+    last = np.arange(need - 1, len(starts))
+    return bool(len(last)) and bool((starts[last] - starts[last - need + 1] <= reach).any())
+
+
+def scored(passages: DataFrame, items: DataFrame, threshold: float) -> DataFrame:
+    """id, row, item, score, first_word, end_word of the passages that reach the threshold."""
+    def run(batches):
+        for b in batches:
+            out = []
+            for i, row, item, words, need, reach, single, first, passage in zip(*(b.column(c).to_pylist() for c in range(9))):
+                h, p = np.frombuffer(words, np.uint64), np.frombuffer(passage, np.uint64)
+                if not enough_seeds(h, p, need, reach, single):
+                    continue
+                score, end = align(h, p)
+                if score / (MATCH * len(h)) >= threshold:
+                    _, back = align(h[::-1], p[:end][::-1])
+                    out.append((i, row, item, score / (MATCH * len(h)), first + end - back, first + end))
+            if out:
+                yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out), (pa.int64(), pa.binary(), pa.int64(), pa.float64(), pa.int64(), pa.int64()))],
+                                      ["id", "row", "item", "score", "first_word", "end_word"])
+    both = passages.join(items.select("key", "item", "words", "need", "reach", "single"), "key").select(
+        "id", "row", "item", "words", "need", "reach", "single", "first", "passage")
+    return both.mapInArrow(run, MATCHES)
+
+
+def matches(docs: DataFrame, items: DataFrame, threshold: float, id_col: str, text_col: str, item_id: str, item_text: str) -> DataFrame:
+    """id, row, item, score, first_word, end_word: the best passage of each item in each distinct text, a written table."""
+    mark = open_tables()
+    table = save(item_table(items, threshold, item_id, item_text), "leak-items")
+    every = table.select(F.explode("seeds").alias("seed"))
+    kinds = table.agg(F.max("single"), F.max(~F.col("single"))).first()
+    if kinds[0] is None:  # no items
+        discard_since(mark)
+        return docs.sparkSession.createDataFrame([], MATCHES)
+    gaps = tuple(g for g, some in ((0, kinds[0]), (1, kinds[1]), (2, kinds[1])) if some)
+    places = save(seed_places(docs, bitmap(every), gaps, id_col, text_col), "leak-places")
+    hits = places.join(save(rarest(table, places), "leak-seeds"), "seed").select("row", "key", "reach", "place")
+    passages = save(cut_passages(docs, hits, id_col, text_col), "leak-passages")
+    best = F.max_by(F.struct("score", "first_word", "end_word"), F.struct("score", -F.col("end_word")))
+    found = scored(passages, table, threshold).groupBy("row", "item").agg(F.first("id").alias("id"), best.alias("best")).select(
+        "id", "row", "item", "best.*")
+    out = save(found, "leak-matches")
+    discard_since(mark, out)
     return out
 
 
 def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.5, id_col: str = "doc_id",
-                 text_col: str = "text", item_id: str = "item_id", item_text: str = "text",
-                 most_bytes: int = 4 << 20) -> DataFrame:
+                 text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """One row per (document, item) whose best passage scores at least ``threshold``.
 
     Columns: id, item_id, score (alignment score over that of a full copy),
     first_word, end_word (the passage, counted in words of the document
-    without punctuation marks).  The rows are those of a Smith-Waterman alignment of
-    every item with every document: at 0.5, one word of an item of two is
-    enough.  Null or empty texts and items match nothing;
-    repeated documents give a row each, repeated items are taken once.  The
-    items are sent to the tasks in parts of bounded size, with one pass over the documents for each part; documents are never shuffled.  Without items there are no rows.
-    """
-    schema = "id long, item long, score double, first_word long, end_word long"
-    parts = []
-    for part in slices(items, item_id, item_text, most_bytes):
-        found = prepared(part, threshold)
-
-        def run(batches, found=found):
-            memory = WordHashes()
-            for b in pieces(batches, text_col):
-                own = ids(b, id_col)
-                out = [(own[d], found.ids[k], s, x, y) for d, k, s, x, y in found.matches(hashes(b, text_col, memory), threshold)]
-                if out:
-                    yield pa.record_batch([pa.array(c) for c in zip(*out)], ["id", "item", "score", "first_word", "end_word"])
-        parts.append(docs.select(id_col, text_col).mapInArrow(run, schema))
-    if not parts:
-        parts = [docs.sparkSession.createDataFrame([], schema)]
-    out = parts[0]
-    for other in parts[1:]:
-        out = out.unionByName(other)
-    return out.withColumnsRenamed({"id": id_col, "item": item_id})
-
-
-def without_contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.5, text_col: str = "text",
-                         item_id: str = "item_id", item_text: str = "text", most_bytes: int = 4 << 20) -> DataFrame:
-    """The documents that hold no passage of any item, all columns as they are; one task decides on its own rows."""
-    for part in slices(items, item_id, item_text, most_bytes):
-        found = prepared(part, threshold)
-
-        def run(batches, found=found):
-            memory = WordHashes()
-            for b in pieces(batches, text_col):
-                gone = {m[0] for m in found.matches(hashes(b, text_col, memory), threshold)}
-                clean = [d not in gone for d in range(b.num_rows)]
-                yield b.filter(pa.array(clean, pa.bool_()))
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+    without punctuation marks; ties: the one that ends first).  The rows are
+    those of a Smith-Waterman alignment of every item with every document: at
+    0.5, one word of an item of two is enough.  Null or empty texts and items
+    match nothing; repeated documents give a row each, repeated items are taken
+    once.  Without items or documents there are no rows."""
+    found = matches(docs, items, threshold, id_col, text_col, item_id, item_text)
+    own = keyed(docs, id_col, text_col).select("row").join(found.select("row").distinct(), "row", "left_semi")
+    rows = found.join(own.groupBy("row").agg(F.count(F.lit(1)).alias("times")), "row").withColumn(
+        "copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))))
+    return rows.select(F.col("id").alias(id_col), F.col("item").alias(item_id), "score", "first_word", "end_word")
+
+
+def without_contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text",
+                         item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """The documents that hold no passage of any item, all columns as they are.  Null texts stay."""
+    name = free_name(docs, "leaked row")
+    found = matches(docs, items, threshold, id_col, text_col, item_id, item_text).select(F.col("row").alias(name)).distinct()
+    return docs.join(found, row_key(id_col, text_col) == F.col(name), "left_anti")

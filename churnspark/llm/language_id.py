@@ -20,7 +20,6 @@ from .common import ids, pieces, raw
 
 #: ASCII: A-Z lower-cased, all that is no letter becomes a space; other bytes stay.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
-LETTER = re.compile(r"[^\W\d_]")
 #: Documents whose dense vectors a task holds at a time.
 ROWS = 128
 
@@ -52,7 +51,8 @@ def vectors(texts: list[bytes], idf: np.ndarray) -> np.ndarray:
 
 
 def has_letter(text: bytes | None) -> bool:
-    return bool(text) and (re.search(rb"[A-Za-z]", text) is not None or LETTER.search(text.decode()) is not None)
+    """True with a character of the Unicode category L (``str.isalpha``; digits, fractions and Roman numerals are of category N)."""
+    return bool(text) and (re.search(rb"[A-Za-z]", text) is not None or any(map(str.isalpha, set(text.decode()))))
 
 
 def cluster(v: np.ndarray, k: int, rounds: int = 8) -> tuple[np.ndarray, np.ndarray]:

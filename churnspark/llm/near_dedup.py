@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import WordHashes, discard, discard_since, ids, open_tables, pieces, raw, save
@@ -29,6 +29,10 @@ from .components import components
 REGISTERS, MANTISSA, VALUE_BITS = 256, 10, 56
 BANDS, ROWS = 40, 5  # 200 of the registers: a pair of similarity 0.8 shares no band once in 7 million
 MARGIN = 6.0  # standard deviations that an estimate may lie below the threshold: once in a billion for a pair that reaches it
+#: What a member's registers weigh, in shingles.
+SKETCH = REGISTERS * 2 // 8
+#: Sets up to this size meet by their rarest shingles: their sketches say little.
+SHORT = 128
 BLOCK = 1_500_000  # shingles of a block of a band group, 12 MB
 A, B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -276,13 +280,50 @@ def block_links(rows: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
             yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*done)], ["a", "b"])
 
 
+def may_differ(percent: int):
+    """True where a set of ``n`` members can reach the threshold with a set other than itself: at best with one member more."""
+    return 100 * F.col("n") >= percent * (F.col("n") + 1)
+
+
+def rare_groups(sets: DataFrame, percent: int) -> DataFrame:
+    """Band groups (band 0) of sets that share one of their rarest shingles, where they are not all connected.
+
+    Two sets at the threshold share at least ``ceil(t n)`` of either one's n
+    shingles, so among its ``n - ceil(t n) + 1`` rarest is one that is among the
+    other's rarest too: no pair is lost, however common the rest is."""
+    def shingles(batches):
+        for b in batches:
+            found = [np.frombuffer(x, np.int64) for x in raw(b, "shingles")]
+            n = [len(x) for x in found]
+            at = pa.array(np.repeat(np.arange(len(n)), n))
+            yield pa.record_batch([b.column(b.schema.get_field_index(c)).take(at) for c in ("id", "component", "n")]
+                                  + [pa.array(np.concatenate([*found, np.zeros(0, np.int64)]))], ["id", "component", "n", "key"])
+    each = save(sets.select("id", "component", "n", "shingles").mapInArrow(shingles, "id long, component long, n long, key long"), "near-shingles")
+    counted = each.groupBy("key").agg(F.count(F.lit(1)).alias("times"))
+    order = Window.partitionBy("id").orderBy("times", "key")  # the shingles of one short set
+    first = F.col("n") - F.ceil(F.col("n") * F.lit(percent) / 100) + 1
+    ranked = each.join(counted.where("times > 1"), "key", "left").withColumn("times", F.coalesce("times", F.lit(1)))
+    chosen = ranked.withColumn("rank", F.row_number().over(order)).where((F.col("rank") <= first) & (F.col("times") > 1))
+    chosen = save(chosen.select("id", "component", "n", "key"), "near-prefixes")
+    mixed = chosen.groupBy("key").agg(F.sum(F.col("n") + SKETCH).alias("mass"), F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
+    return chosen.join(mixed.select("key", "mass"), "key").select(
+        F.lit(0).alias("band"), "key", "id", "component", "mass", F.ceil(F.col("mass") / BLOCK).cast("int").alias("blocks")).withColumn(
+        "side", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+
+
+def in_parts(side: DataFrame) -> DataFrame:
+    """Every member once for each other part of its group: band, key, id, component, side, i, j."""
+    return side.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "band", "key", "id", "component", "side", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"))
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, n_shingles, component_id (least id reachable over links), kept (id is the component's).
 
     Links: similarity of the shingle sets of at least ``threshold``,
     confirmed on whole sets.  Null, empty and blank texts have no shingles
     and link with nothing.  Equal texts are one class whatever their number;
-    rows that repeat an id are one document.  Rows without an id keep a null
+    rows that repeat an id are one document (with different texts: any one of them decides).  Rows without an id keep a null
     component and are not linked.  Empty input: no rows.
     """
     mark = open_tables()
@@ -292,7 +333,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8, id_col:
     sig = classed.select("id", "n", "registers", "bands").join(heads.select(F.col("head").alias("id")), "id", "left_semi")
     banded = sig.select("id", "n", F.posexplode("bands").alias("band", "key"))
     groups = save(banded.groupBy("band", "key").agg(
-        F.min("id").alias("least"), F.count(F.lit(1)).alias("size"), F.sum("n").alias("mass")).where("size > 1"), "near-groups")
+        F.min("id").alias("least"), F.count(F.lit(1)).alias("size"), F.sum(F.col("n") + SKETCH).alias("mass")).where("size > 1"), "near-groups")
     members = save(banded.join(groups, ["band", "key"]), "near-members")
     stars = members.where("id > least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
     grouped = save(sig.select("id", "n", "registers").join(members.select("id").distinct(), "id", "left_semi"), "near-grouped")
@@ -309,9 +350,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8, id_col:
     side = save(tagged.join(mixed_groups, ["band", "key"]).withColumn("blocks", F.ceil(F.col("mass") / BLOCK).cast("int")).withColumn(
         "side", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")), "near-mixed")
     discard(tagged)
-    spread = side.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "band", "key", "id", "component", "side", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"))
     percent = round(100 * threshold)
+    sized = side.join(grouped.select("id", "n"), "id")
+    # Pairs of long sets meet in their band groups, all others in groups of a rare shingle.
+    few = sized.where((F.col("n") * percent <= 100 * SHORT) & may_differ(percent)).select("id", "component", "n").distinct()
+    few_texts = texts.join(few.select("id"), "id", "left_semi")
+    rare = save(rare_groups(with_sets(few_texts, k).join(few, "id"), percent), "near-rare")
+    spread = in_parts(sized.where(F.col("n") > SHORT).drop("n")).unionByName(in_parts(rare))
 
     def in_blocks(rows: DataFrame) -> DataFrame:
         return rows.repartition("band", "key", "i", "j").sortWithinPartitions("band", "key", "i", "j", "id")
@@ -331,5 +376,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8, id_col:
     placed = every.select("id", "n", "print").join(head, "print", "left").withColumn("head", F.coalesce("head", "id"))
     placed = placed.join(found.withColumnRenamed("id", "head"), "head", "left")
     component = F.coalesce("component", "head")
-    return placed.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
-                         F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
+    result = save(placed.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
+                                F.coalesce(F.col("id") == component, F.lit(True)).alias("kept")), "near-result")
+    discard_since(mark, result)
+    return result

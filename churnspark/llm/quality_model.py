@@ -14,11 +14,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, ids, pieces, raw
+from .common import WordHashes, free_name, ids, pieces, raw
 
 #: Bytes that are ASCII signs, digits, capitals (for structure statistics).
 SIGNS, DIGITS, CAPITALS = b"!#$%&*+/<=>?@\\^_`{|}~", b"0123456789", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 N_STATISTICS = 12
+META = "given length"
 
 
 def statistics(text: bytes, words: list[bytes], n_chars: float | None) -> list[float]:
@@ -147,7 +148,7 @@ def predict(docs: DataFrame, model: Machine | None, threshold: float = 0.3, id_c
         for b, s in run(batches):
             yield pa.record_batch([pa.array(ids(b, id_col), pa.int64()), pa.array(s), pa.array((s >= threshold).astype(np.int32))],
                                   ["id", "score", "predicted"])
-    out = docs.select(id_col, text_col, with_meta(docs, meta_col).alias("meta")).mapInArrow(rows, "id long, score double, predicted int")
+    out = docs.select(id_col, text_col, with_meta(docs, meta_col).alias(META)).mapInArrow(rows, "id long, score double, predicted int")
     return out.withColumnRenamed("id", id_col)
 
 
@@ -157,7 +158,7 @@ def scorer(model: Machine | None, text_col: str):
     def run(batches):
         memory = WordHashes()
         for b in pieces(batches, text_col, limit=1 << 19, rows=2000):
-            meta = b.column(b.schema.get_field_index("meta")).to_pylist()
+            meta = b.column(b.num_columns - 1).to_pylist()  # the callers put it last
             if model is None:
                 yield b, np.full(b.num_rows, 0.5)
                 continue
@@ -175,4 +176,4 @@ def keep_good(docs: DataFrame, model: Machine | None, threshold: float = 0.3, te
     def rows(batches):
         for b, s in run(batches):
             yield b.select(columns).filter(pa.array(s >= threshold))
-    return docs.withColumn("meta", with_meta(docs, meta_col)).mapInArrow(rows, docs.schema)
+    return docs.select("*", with_meta(docs, meta_col).alias(free_name(docs, META))).mapInArrow(rows, docs.schema)

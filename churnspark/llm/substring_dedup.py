@@ -217,6 +217,7 @@ def digest_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     document of smaller id, judged on the input.  Null and empty texts have
     no words; texts under 50 words keep all.  Rows that repeat an id do not
     remove each other's words.  Empty input: no rows."""
+    mark = open_tables()
     every, texts, remove, copies = repeats(docs, id_col, text_col)
 
     def run(batches):
@@ -237,8 +238,10 @@ def digest_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     out = (every.select("id", "row", "n_words", "sha").join(copies.withColumn("copy", F.lit(True)), ["id", "row"], "left")
            .join(changed, ["id", "row"], "left"))
     gone = F.when(F.col("copy"), n).otherwise(F.coalesce("removed", F.lit(0)))
-    return out.select(F.col("id").alias(id_col), "n_words", gone.cast("long").alias("n_removed"),
-                      F.when(F.col("copy"), F.lit(EMPTY_SHA)).otherwise(F.coalesce("kept", "sha")).alias("kept_sha256"))
+    result = save(out.select(F.col("id").alias(id_col), "n_words", gone.cast("long").alias("n_removed"),
+                             F.when(F.col("copy"), F.lit(EMPTY_SHA)).otherwise(F.coalesce("kept", "sha")).alias("kept_sha256")), "substring-result")
+    discard_since(mark, result)
+    return result
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size_col: str | None = "n_chars") -> DataFrame:

@@ -188,7 +188,7 @@ def test_decontamination(spark, make, odd_rows):
     words = items.first()["text"].split()
     edited = " ".join("changed" if k % 6 == 3 else w for k, w in enumerate(words))
     data = [*odd_rows, (50, f"before it {edited} and after", "en"), (51, " ".join(words[::-1]), "en")]
-    hits = decontaminate.contaminated(make(data), items, most_bytes=2000).collect()
+    hits = decontaminate.contaminated(make(data), items).collect()
     assert {r["doc_id"] for r in hits} == {50} and hits[0]["first_word"] <= 4
     clean = decontaminate.without_contaminated(make(data), items)
     assert clean.columns == make(data).columns and clean.count() == len(data) - 1
@@ -289,3 +289,27 @@ def test_columns_named_like_the_marks(spark, make):
     out = substring_dedup.remove_repeats(docs)
     assert out.columns == docs.columns
     assert {r["doc_id"]: r["text"] for r in out.collect()} == {1: p, 2: "h"}
+
+
+def test_short_texts_with_one_shingle_in_common(spark, make):
+    """Thousands of lines that share a shingle and nothing else: no pair of them is compared, and none is linked."""
+    import time
+    data = [(i, f"terms of use{i}", "en") for i in range(20_000)] + [(30_000 + i, f"a b c d e f g h i j k{i % 7}", "en") for i in range(50)]
+    t = time.time()
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(make(data), k=2).collect()}
+    assert time.time() - t < 300
+    assert all(got[i] == i for i in range(20_000))
+    want = jaccard_components([(i, x) for i, x, _ in data[20_000:]], 2)
+    assert {i: c for i, c in got.items() if i >= 30_000} == {i: c for i, (_, c) in want.items()}
+
+
+def test_short_and_long_sets_around_the_limit(spark, make):
+    """Pairs of sets of 100 to 200 shingles, below and above the size at which rare shingles take over."""
+    data = []
+    for g in range(6):
+        base = [f"g{g}w{i}" for i in range(120 + 10 * g)]
+        for j in range(12):
+            data.append((100 * g + j, " ".join(w if (i * 5 + j * 11) % (20 + 3 * j) else f"x{g}_{j}_{i}" for i, w in enumerate(base[:len(base) - 3 * j])), "en"))
+    want = jaccard_components([(i, t) for i, t, _ in data], 2)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_dedup.near_duplicates(make(data), k=2).collect()}
+    assert got == want

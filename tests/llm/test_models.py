@@ -193,3 +193,84 @@ def test_every_learning_document_trains_the_model(docs, make):
     new = language_model.Subwords(ranks, public_tokenizers.PATTERN).many([b"zebra", b"quantum"])[0]
     assert all(two.class_of[i] < language_model.CLASSES - 3 for i in new) and any(one.class_of[i] != two.class_of[i] for i in new)
     assert not np.allclose(one.w["d"], two.w["d"])
+
+
+def test_signs_that_are_no_letters(make, docs):
+    model = language_id.learn(docs, training_row(0))
+    rows = [(1, "½ ² Ⅷ ① 12 ٣ _", "en"), (2, "½ ª", "en"), (3, "12 ж", "en"), (4, "中", "en"), (None, "a null id", None)]
+    got = {r["doc_id"]: r["lang_pred"] for r in language_id.predict(make(rows), model).collect()}
+    assert got[1] == "und" and all(got[i] in model.langs for i in (2, 3, 4, None))
+    assert language_id.learn(make([(None, "some words", "xx")]), training_row(0)).langs in ([], ["xx"])
+
+
+def plain_grams(text, dims):
+    """Hashed counts of runs of 1 to 3 bytes of the folded text, one run at a time."""
+    low = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in text)
+    while b"  " in low:
+        low = low.replace(b"  ", b" ")
+    low += b"    "
+    total = collections.Counter()
+    for at in range(len(low) - 2):
+        a, b, c = low[at:at + 3]
+        for code in (a, a * 257 + b + 1000, (a * 257 + b) * 257 + c + 70000):
+            mixed = code * 2654435761 % (1 << 32)
+            mixed ^= mixed >> 15
+            total[mixed % dims] += 1
+    return total
+
+
+def test_languages_against_a_plain_scorer(docs, make, odd_rows):
+    model = language_id.learn(docs, training_row(0))
+    some = docs.where("doc_id < 60").select("doc_id", "text").collect()
+    rows = [(r["doc_id"], r["text"]) for r in some if len(r["text"] or "") < 3000] + [(i, t) for i, t, _ in odd_rows if i in (4, 5, 6)]
+    got = {(r["doc_id"], r["lang_pred"], round(r["score"], 4), r["rejected"])
+           for r in language_id.predict(make([(i, t, "en") for i, t in rows]), model).collect()}
+    want = set()
+    for i, t in rows:
+        grams = plain_grams((t or "").encode(), len(model.idf))
+        v = {s: math.log1p(n) * float(model.idf[s]) for s, n in grams.items()}
+        size = math.sqrt(sum(x * x for x in v.values()))
+        cos = [sum(x * float(centre[s]) for s, x in v.items()) / size for centre in model.matrix]
+        j = max(range(len(cos)), key=cos.__getitem__)
+        want.add((i, model.langs[j], round(min(1.0, max(0.0, cos[j])), 4), cos[j] < 0.8 * model.least[j]))
+    close = lambda rows: sorted((i, lang, round(s, 3), far) for i, lang, s, far in rows)
+    assert close(got) == close(want)
+
+
+def test_quality_against_a_plain_scorer(spark, docs, make, odd_rows):
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    model = quality_model.learn(docs, labels, training_row(0))
+    rows = [(r["doc_id"], r["text"], r["n_chars"]) for r in docs.where("doc_id < 80").collect()]
+    got = {r["doc_id"]: (r["score"], r["predicted"]) for r in quality_model.predict(docs.where("doc_id < 80"), model).collect()}
+    slots = len(model.w) - quality_model.N_STATISTICS
+    for i, text, n_chars in rows:
+        x = dict(enumerate(quality_model.statistics(text.encode(), text.encode().split(), n_chars)))
+        counts = collections.Counter()
+        for word in text.encode().lower().split():
+            word = word.rstrip(b".,;:")
+            if word:
+                counts[quality_model.WordHashes()[word] % slots] += 1
+        size = math.sqrt(sum(math.log1p(n) ** 2 for n in counts.values()))
+        x.update({quality_model.N_STATISTICS + s: math.log1p(n) / size for s, n in counts.items()})
+        keys = sorted(x)
+        total = model.w0 + sum(float(model.w[k]) * x[k] for k in keys)
+        v = np.array([model.v[k] for k in keys], float) * np.array([x[k] for k in keys])[:, None]
+        total += sum(float(v[a] @ v[a + 1:].sum(axis=0)) for a in range(len(keys) - 1))  # every pair once
+        score = 1 / (1 + math.exp(-max(-30.0, min(30.0, total))))
+        assert got[i][0] == pytest.approx(score, abs=1e-4) and got[i][1] == int(got[i][0] >= 0.3)
+    clash = make(odd_rows).selectExpr("*", "'kept' as meta", "'too' as `given length`")
+    out = quality_model.keep_good(clash, None)
+    assert out.columns == clash.columns and {(r["meta"], r["given length"]) for r in out.collect()} == {("kept", "too")}
+    assert quality_model.predict(docs.limit(0), model).collect() == [] and quality_model.keep_good(docs.limit(0), model).collect() == []
+
+
+def test_shards_against_plain_prefix_sums(spark, docs):
+    from churnspark.llm import sharding
+    for table, n in ((docs, 8), (docs.where("doc_id < 37"), 5)):
+        sizes = sorted((r["doc_id"], len((r["text"] or "").encode()) + 1) for r in table.select("doc_id", "text").collect())
+        total, before, want, first = sum(s for _, s in sizes), 0, {}, {}
+        for row, (i, s) in enumerate(sizes):
+            shard = min(n - 1, (2 * before + s) * n // (2 * total))
+            want[i] = (shard, row - first.setdefault(shard, row))
+            before += s
+        assert {r["doc_id"]: (r["shard"], r["slot"]) for r in sharding.shard_by_bytes(table, n).collect()} == want
