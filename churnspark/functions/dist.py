@@ -2,9 +2,9 @@
 
 Statistics come out of Spark aggregates with one row per feature; the tail
 probability is a small per-row helper applied as an Arrow-batched pandas UDF
-(``*_udf``) so results stay lazy DataFrames.  The special functions are the
-standard continued-fraction / series forms (regularised incomplete beta and
-gamma) found in any numerical-methods text.
+(``*_udf``) so results stay lazy DataFrames.  The regularised incomplete beta
+and gamma functions are continued fractions, evaluated from a tail that is
+moved out until it no longer matters, and a series.
 """
 from __future__ import annotations
 
@@ -15,41 +15,23 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_EPS = 3e-16
-_FPMIN = 1e-300
-
-
-def _betacf(a: float, b: float, x: float) -> float:
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c, d = 1.0, 1.0 - qab * x / qap
-    if abs(d) < _FPMIN:
-        d = _FPMIN
-    d = 1.0 / d
-    h = d
-    for m in range(1, 10000):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        if abs(d) < _FPMIN:
-            d = _FPMIN
-        c = 1.0 + aa / c
-        if abs(c) < _FPMIN:
-            c = _FPMIN
-        d = 1.0 / d
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        if abs(d) < _FPMIN:
-            d = _FPMIN
-        c = 1.0 + aa / c
-        if abs(c) < _FPMIN:
-            c = _FPMIN
-        d = 1.0 / d
-        delta = d * c
-        h *= delta
-        if abs(delta - 1.0) < _EPS:
+#: Terms tried at most; the fractions below need far fewer unless the parameters are huge.
+MOST_TERMS = 1 << 18
+
+
+def _fraction(numerator, denominator) -> float:
+    """denominator(0) + numerator(1) / (denominator(1) + numerator(2) / (...)), from its tail upwards.
+
+    The tail is cut off at twice as many terms until the value stays the same."""
+    terms, before = 32, math.nan
+    while terms <= MOST_TERMS:
+        value = denominator(terms)
+        for j in range(terms, 0, -1):
+            value = denominator(j - 1) + numerator(j) / (value or 1e-300)
+        if abs(value - before) <= 1e-15 * abs(value):
             break
-    return h
+        terms, before = 2 * terms, value
+    return value
 
 
 def betainc(a: float, b: float, x: float) -> float:
@@ -58,46 +40,36 @@ def betainc(a: float, b: float, x: float) -> float:
         return 0.0
     if x >= 1.0:
         return 1.0
-    lbt = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
-    bt = math.exp(lbt)
-    if x < (a + 1.0) / (a + b + 2.0):
-        return bt * _betacf(a, b, x) / a
-    return 1.0 - bt * _betacf(b, a, 1.0 - x) / b
+    if x * (a + b + 2.0) >= a + 1.0:  # the fraction converges fast below the mean only
+        return 1.0 - betainc(b, a, 1.0 - x) if (1.0 - x) * (a + b + 2.0) < b + 1.0 else 1.0 - _beta_part(b, a, 1.0 - x)
+    return _beta_part(a, b, x)
+
+
+def _beta_part(a: float, b: float, x: float) -> float:
+    """x^a (1 - x)^b / (a B(a, b)) over the fraction 1 + c1 / (1 + c2 / (1 + ...))."""
+    def c(j: int) -> float:
+        m = j // 2
+        if j % 2:
+            return -(a + m) * (a + b + m) * x / ((a + j - 1) * (a + j))
+        return m * (b - m) * x / ((a + j - 1) * (a + j))
+    scale = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
+    return math.exp(scale) / (a * _fraction(c, lambda j: 1.0))
 
 
 def gammaincc(a: float, x: float) -> float:
     """Regularised upper incomplete gamma Q(a, x)."""
     if x <= 0.0:
         return 1.0
-    gln = math.lgamma(a)
-    if x < a + 1.0:
-        ap, s, d = a, 1.0 / a, 1.0 / a
-        for _ in range(100000):
-            ap += 1.0
-            d *= x / ap
-            s += d
-            if abs(d) < abs(s) * _EPS:
-                break
-        return max(0.0, 1.0 - s * math.exp(-x + a * math.log(x) - gln))
-    b = x + 1.0 - a
-    c = 1.0 / _FPMIN
-    d = 1.0 / b
-    h = d
-    for i in range(1, 100000):
-        an = -i * (i - a)
-        b += 2.0
-        d = an * d + b
-        if abs(d) < _FPMIN:
-            d = _FPMIN
-        c = b + an / c
-        if abs(c) < _FPMIN:
-            c = _FPMIN
-        d = 1.0 / d
-        delta = d * c
-        h *= delta
-        if abs(delta - 1.0) < _EPS:
-            break
-    return math.exp(-x + a * math.log(x) - gln) * h
+    scale = math.exp(a * math.log(x) - x - math.lgamma(a))
+    if x < a + 1.0:  # the lower part as the series of x^n / (a (a + 1) ... (a + n))
+        term = total = 1.0 / a
+        n = 0
+        while term > 1e-17 * total:
+            n += 1
+            term *= x / (a + n)
+            total += term
+        return max(0.0, 1.0 - scale * total)
+    return scale / _fraction(lambda j: -j * (j - a), lambda j: x + 1.0 - a + 2 * j)
 
 
 def t_two_sided(t: float, df: float) -> float:
@@ -150,8 +122,3 @@ def f_pvalue_udf(f: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
 @F.pandas_udf(T.DoubleType())
 def chi2_pvalue_udf(x: pd.Series, df: pd.Series) -> pd.Series:
     return _vec(chi2_upper, x, df)
-
-
-@F.pandas_udf(T.DoubleType())
-def norm_pvalue_udf(z: pd.Series) -> pd.Series:
-    return _vec(norm_two_sided, z)

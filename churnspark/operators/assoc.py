@@ -15,14 +15,16 @@ by ``functions.dist`` (one row per feature, Arrow-batched).
 """
 from __future__ import annotations
 
-from functools import reduce
+import math
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from churnspark.functions import dist
 from churnspark.functions.dist import chi2_pvalue_udf, f_pvalue_udf, t_pvalue_udf
 from churnspark.functions.exprs import adj_skew, as_double, is_boolean, is_numeric
 from churnspark.operators.order import with_cumsum
+from churnspark.session import drop_scratch, scratch_table
 
 
 def _dtypes(df):
@@ -242,7 +244,7 @@ def regression_summary(df: DataFrame, x: str, y: str, round_to: int = 3, with_ke
     dt = _dtypes(df)
     for c in (x, y):
         if not (is_numeric(dt[c]) or is_boolean(dt[c])):
-            raise TypeError("Both columns must be numeric.")
+            raise TypeError(f"{c} holds no numbers: a regression needs two numeric columns")
     p = _pair(df, x, y)
     lin = p.agg(F.regr_slope("y", "x").alias("slope"), F.regr_intercept("y", "x").alias("intercept"),
                 F.corr("x", "y").alias("pearson_r"), F.count(F.lit(1)).alias("n"),
@@ -266,7 +268,7 @@ def bar_summary(df: DataFrame, numeric: str, category: str, alpha: float = 0.05,
     g = group_moments(df, numeric, category).where(F.col("n") >= 2)
     k = g.count()  # number of valid groups (one row per category)
     if k < 2:
-        raise ValueError("It is necessary to have at least two valid groups in the categorical feature.")
+        raise ValueError(f"{category} has fewer than two groups of two rows or more: nothing to compare")
     if k == 2:
         return summary, ttest_from_groups(g, equal_var=False), None
     return summary, anova_from_groups(g), pairwise_welch(df, numeric, category, alpha)
@@ -280,66 +282,179 @@ def heatmap_summary(df: DataFrame, a: str, b: str, axis_sum=None):
 
 # ------------------------------------------------------------------ V13 full table
 
+STATISTICS = ["skew", "pearson_pvalue", "r", "y = mx + b", "spearman", "spearman_pvalue", "kendalltau",
+              "kendalltau_pvalue", "chi2", "chi2_pvalue", "ttest", "ttest_pvalue", "F", "F_pvalue"]
+
+
+def _group_cells(df: DataFrame, target: str, numeric: dict[str, bool]) -> DataFrame:
+    """``(feature, g, o, n, mean, var)`` of every feature that is not numeric like the target, from one grouped pass.
+
+    g: the category whose groups are compared; o: the target's category where
+    both are categorical (then n is the contingency table), else null; mean and
+    var: of the numeric side in the group."""
+    text = lambda c: F.col(f"`{c}`").cast("string")
+    nothing, none = F.lit(None).cast("double"), F.lit(None).cast("string")
+    parts = []
+    for c, is_number in numeric.items():
+        if c == target or (is_number and numeric[target]):
+            continue
+        g = text(target) if is_number else text(c)
+        o = none if is_number or numeric[target] else text(target)
+        x = _num(df, c) if is_number else _num(df, target) if numeric[target] else nothing
+        parts.append(F.struct(F.lit(c).alias("feature"), g.alias("g"), o.alias("o"), x.alias("x"),
+                              (g.isNotNull() & (x.isNotNull() | o.isNotNull())).alias("pair")))
+    return (df.select(F.explode(F.array(*parts)).alias("s")).select("s.*").where("pair").groupBy("feature", "g", "o")
+              .agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("mean"), F.var_samp("x").alias("var")))
+
+
+def _group_summaries(cells: DataFrame) -> dict[str, dict]:
+    """Per feature, from the groups alone: counts, the first and last (valid) group, the sums of squares."""
+    groups = cells.where("o is null")
+    one = F.struct("n", "mean", "var")
+    valid = F.col("n") >= 2
+    sums = groups.groupBy("feature").agg(
+        F.sum("n").alias("N"), F.count(F.lit(1)).alias("k"), F.count_if(valid).alias("k_valid"),
+        (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("grand"),
+        F.sum(F.coalesce((F.col("n") - 1) * F.col("var"), F.lit(0.0))).alias("ssw"),
+        F.min_by(one, "g").alias("first"), F.max_by(one, "g").alias("last"),
+        F.min_by(F.when(valid, one), F.when(valid, F.col("g"))).alias("first_valid"),
+        F.max_by(F.when(valid, one), F.when(valid, F.col("g"))).alias("last_valid"))
+    out = {r["feature"]: r.asDict() for r in sums.collect()}  # one row per column
+    if out:
+        grand = F.broadcast(cells.sparkSession.createDataFrame([(f, r["grand"]) for f, r in out.items()], "feature string, grand double"))
+        away = F.col("n") * (F.col("mean") - F.col("grand")) ** 2
+        for r in groups.join(grand, "feature").groupBy("feature").agg(F.sum(away).alias("ssb")).collect():
+            out[r["feature"]]["ssb"] = r["ssb"]
+    return out
+
+
+def _contingency_summaries(cells: DataFrame) -> dict[str, dict]:
+    """Per feature: N, rows R, columns C, q = sum(o^2 / (row * column)) and the sums of 1 / margin."""
+    table = cells.where("o is not null").select("feature", "g", "o", F.col("n").cast("double").alias("n"))
+    row = table.groupBy("feature", "g").agg(F.sum("n").alias("r"))
+    column = table.join(row, ["feature", "g"]).groupBy("feature", "o").agg(F.sum(F.col("n") * F.col("n") / F.col("r")).alias("s"),
+                                                                            F.sum("n").alias("c"))
+    by_column = column.groupBy("feature").agg(F.sum("c").alias("N"), F.count(F.lit(1)).alias("C"), F.sum(F.col("s") / F.col("c")).alias("q"),
+                                              F.sum(1 / F.col("c")).alias("by_c"))
+    by_row = row.groupBy("feature").agg(F.count(F.lit(1)).alias("R"), F.sum(1 / F.col("r")).alias("by_r"))
+    return {r["feature"]: r.asDict() for r in by_column.join(by_row, "feature").collect()}  # one row per column
+
+
+def chi2_of(t: dict) -> tuple[float, float]:
+    """Chi-squared and its degrees of freedom from a contingency summary.
+
+    In a 2x2 table all four cells are off by the same d, and the statistic is
+    d^2 N by_r by_c; Yates's correction takes up to 1/2 off d."""
+    stat, dof = t["q"] * t["N"] - t["N"], (t["R"] - 1) * (t["C"] - 1)
+    if t["R"] == t["C"] == 2:
+        unit = t["N"] * t["by_r"] * t["by_c"]
+        d = math.sqrt(max(stat, 0.0) / unit)
+        stat = (d - min(0.5, d)) ** 2 * unit
+    return stat, float(dof)
+
+
+def pooled_t(a, b) -> tuple[float, float]:
+    """t and degrees of freedom of two groups ``(n, mean, var)``."""
+    dof = a["n"] + b["n"] - 2
+    if dof <= 0:
+        return math.nan, float(dof)
+    pooled = ((a["n"] - 1) * (a["var"] or 0.0) + (b["n"] - 1) * (b["var"] or 0.0)) / dof
+    spread = math.sqrt(pooled * (1 / a["n"] + 1 / b["n"]))
+    diff = a["mean"] - b["mean"]
+    return (diff / spread if spread else math.copysign(math.inf, diff) if diff else math.nan), float(dof)
+
+
+def f_of(g: dict) -> tuple[float, float, float]:
+    """F and its degrees of freedom over all groups of a summary."""
+    between, within = g["k"] - 1, g["N"] - g["k"]
+    if between <= 0 or within <= 0:
+        return math.nan, float(between), float(within)
+    left, right = g["ssb"] / between, g["ssw"] / within
+    return (left / right if right else math.inf if left else math.nan), float(between), float(within)
+
+
+def _compared(is_number: bool, target_number: bool, n: int, u: int, groups: dict | None, table: dict | None) -> dict[str, float]:
+    """The statistics of one feature that is not numeric like the target, by the reference's order of rules."""
+    if n < 2 or u == 1:
+        return {}
+    if table is not None:
+        stat, dof = chi2_of(table)
+        return {"chi2": stat, "chi2_pvalue": dist.chi2_upper(stat, dof)}
+    two, k = None, groups["k"]
+    if k == 2:
+        two = groups["first"], groups["last"]
+    elif k == n or groups["k_valid"] < 2:
+        return {}
+    elif groups["k_valid"] == 2:
+        two = groups["first_valid"], groups["last_valid"]
+    out = {} if target_number and k == 2 else {"skew": None}  # None: filled in by the caller
+    if two:
+        t, dof = pooled_t(*two)
+        return {**out, "ttest": t, "ttest_pvalue": dist.t_two_sided(t, dof)}
+    f, between, within = f_of(groups)
+    return {**out, "F": f, "F_pvalue": dist.f_upper(f, between, within)}
+
+
 def bivariate_table(df: DataFrame, target: str, round_to: int = 3, with_kendall: bool = True) -> DataFrame:
     """One row per feature with the statistic family chosen by the types.
 
     Columns: ``feature, missing (%), type, unique_values, skew, pearson_pvalue,
     r, y = mx + b, spearman, spearman_pvalue, kendalltau, kendalltau_pvalue,
-    chi2, chi2_pvalue, ttest, ttest_pvalue, F, F_pvalue``.  The dispatch is
-    decided from the schema plus one aggregate of distinct counts; each
-    family is computed with the batched operators above.
+    chi2, chi2_pvalue, ttest, ttest_pvalue, F, F_pvalue``.  The number of jobs
+    does not depend on the number of features: one grouped pass makes the
+    group moments and contingency tables of all of them, one counts distinct
+    numbers, one aggregate gives counts and skews; numeric pairs share theirs.
     """
     from churnspark.operators.profile import pandas_dtype
-    from churnspark.session import cut_lineage
-    df = cut_lineage(df)  # many small jobs follow: read the input once from the checkpoint
     dt = _dtypes(df)
+    numeric = {c: is_numeric(dt[c]) or is_boolean(dt[c]) for c in df.columns}
     feats = [c for c in df.columns if c != target]
-    tnum = is_numeric(dt[target]) or is_boolean(dt[target])
-    tcol = _num(df, target) if tnum else F.col(f"`{target}`").cast("string")
-    parts = []
-    for c in feats:
-        fnum = is_numeric(dt[c]) or is_boolean(dt[c])
-        fc = (_num(df, c) if fnum else F.col(f"`{c}`")).cast("string")
-        parts.append(F.struct(F.lit(c).alias("f"), fc.alias("v")))
-    long = (df.select(tcol.cast("string").alias("t"), F.explode(F.array(*parts)).alias("s"))
-              .select("t", "s.f", "s.v").where(F.col("t").isNotNull() & F.col("v").isNotNull()))
-    # distinct (feature, value, target) triples -> per feature: pairs, distinct values, distinct targets
-    tri = long.groupBy("f", "v", "t").agg(F.count(F.lit(1)).alias("c"))
-    fv = tri.groupBy("f", "v").agg(F.sum("c").alias("c"))
-    ft = tri.groupBy("f", "t").agg(F.lit(1).alias("one"))
-    stats = {r["f"]: r for r in fv.groupBy("f").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("u")).collect()}
-    tstats = {r["f"]: r["tu"] for r in ft.groupBy("f").agg(F.count(F.lit(1)).alias("tu")).collect()}
-    rows = df.count()
-    meta = {}
-    for i, c in enumerate(feats):
-        st = stats.get(c)
-        meta[f"n{i}"], meta[f"u{i}"] = (st["n"], st["u"]) if st else (0, 0)
-        meta[f"tu{i}"] = tstats.get(c, 0)
-    results = []
     spark = df.sparkSession
+    side = {c: _num(df, c) if numeric[c] else F.col(f"`{c}`").cast("string") for c in df.columns}
+    paired = {c: side[c].isNotNull() & side[target].isNotNull() for c in feats}
+    aggs = [F.count(F.lit(1)).alias("rows")]
+    for i, c in enumerate(feats):
+        aggs.append(F.count_if(paired[c]).alias(f"n{i}"))
+        if numeric[c] != numeric[target]:
+            aggs.append(adj_skew(F.when(paired[c], side[c] if numeric[c] else side[target])).alias(f"s{i}"))
+    counts = df.agg(*aggs).first()
+    numbers = [c for c in feats if numeric[c]]
+    unique = {}
+    if numbers:  # exact, as it is a column of the result
+        values = F.explode(F.array(*[F.struct(F.lit(c).alias("f"), F.when(paired[c], side[c]).alias("v")) for c in numbers]))
+        per = df.select(values.alias("s")).select("s.*").where("v is not null").groupBy("f", "v").agg(F.lit(1).alias("one"))
+        unique = {r["f"]: r["u"] for r in per.groupBy("f").agg(F.count(F.lit(1)).alias("u")).collect()}
+    groups, tables = {}, {}
+    if any(not (numeric[c] and numeric[target]) for c in feats):
+        cells = scratch_table(_group_cells(df, target, numeric), "bivariate-cells")
+        groups, tables = _group_summaries(cells), _contingency_summaries(cells)
+        drop_scratch(cells)
+    rows, both = [], []
     for i, c in enumerate(feats):
-        fnum = is_numeric(dt[c]) or is_boolean(dt[c])
-        n, u, tu = meta[f"n{i}"], meta[f"u{i}"], meta[f"tu{i}"]
-        base = {"feature": c, "missing": round((rows - n) / rows * 100, round_to) if rows else None,
-                "type": pandas_dtype(dt[c]), "unique_values": int(u)}
-        kind = None
-        if n >= 2 and u != 1:
-            if fnum and tnum:
-                kind = "numeric"
-            elif not fnum and not tnum:
-                kind = "chi2"
-            elif fnum and tu == 2:
-                kind = ("ttest", c, target, False)
-            elif tnum and u == 2:
-                kind = ("ttest", target, c, True)
-            elif (not fnum and u == n) or (not tnum and tu == n):
-                kind = None
-            elif fnum:
-                kind = ("anova", c, target)
-            else:
-                kind = ("anova", target, c)
-        results.append((base, kind))
-    return _assemble_bivariate(spark, df, target, results, round_to, with_kendall)
+        n = counts[f"n{i}"]
+        u = unique.get(c, 0) if numeric[c] else tables[c]["R"] if c in tables else groups[c]["k"] if c in groups else 0
+        found: dict = {}
+        if numeric[c] and numeric[target]:
+            if n >= 2 and u != 1:
+                both.append(c)
+        elif c in groups or c in tables:
+            found = _compared(numeric[c], numeric[target], n, u, groups.get(c), tables.get(c))
+            if "skew" in found:
+                found["skew"] = counts[f"s{i}"]
+        missing = (counts["rows"] - n) / counts["rows"] * 100 if counts["rows"] else None
+        rows.append((c, missing, pandas_dtype(dt[c]), int(u), *[found.get(s) for s in STATISTICS]))
+    kinds = ", ".join(f"`{s}` {'string' if s == 'y = mx + b' else 'double'}" for s in STATISTICS)
+    out = spark.createDataFrame(rows, f"feature string, missing double, type string, unique_values bigint, {kinds}")
+    rounded = [s for s in ("missing", *STATISTICS) if s != "y = mx + b"]
+    out = out.withColumns({s: F.round(F.when(~F.isnan(s), F.col(s)), round_to) for s in rounded})
+    if both:
+        block = _numeric_block(df, target, both, round_to, with_kendall)
+        own = block.columns[1:]
+        block = block.select("feature", *[F.col(f"`{s}`").alias(f"of {s}") for s in own])
+        out = out.join(block, "feature", "left").select(
+            "feature", "missing", "type", "unique_values",
+            *[F.coalesce(F.col(f"`of {s}`"), F.col(f"`{s}`")).alias(s) if s in own else F.col(f"`{s}`") for s in STATISTICS])
+    return out
 
 
 def _numeric_block(df, target, feats, round_to, with_kendall):
@@ -361,57 +476,3 @@ def _numeric_block(df, target, feats, round_to, with_kendall):
                       F.concat(F.lit("y = "), r("slope").cast("string"), F.lit("x + "), r("intercept").cast("string")).alias("y = mx + b"),
                       r("spearman").alias("spearman"), r("spearman_pvalue").alias("spearman_pvalue"),
                       r("kendalltau").alias("kendalltau"), r("kendalltau_pvalue").alias("kendalltau_pvalue"))
-
-
-def _assemble_bivariate(spark, df, target, results, round_to, with_kendall):
-    stat_cols = ["skew", "pearson_pvalue", "r", "y = mx + b", "spearman", "spearman_pvalue", "kendalltau",
-                 "kendalltau_pvalue", "chi2", "chi2_pvalue", "ttest", "ttest_pvalue", "F", "F_pvalue"]
-    frames = []
-    numeric = [(base, kind) for base, kind in results if kind == "numeric"]
-    if numeric:
-        meta = spark.createDataFrame([(b["feature"], b["missing"], b["type"], b["unique_values"]) for b, _ in numeric],
-                                     "feature string, missing double, type string, unique_values bigint")
-        block = _numeric_block(df, target, [b["feature"] for b, _ in numeric], round_to, with_kendall)
-        nulls = {k: F.lit(None).cast("double") for k in ("chi2", "chi2_pvalue", "ttest", "ttest_pvalue", "F", "F_pvalue")}
-        frames.append(meta.join(block, "feature").withColumns(nulls)
-                          .select("feature", "missing", "type", "unique_values", *stat_cols))
-    for base, kind in results:
-        if kind == "numeric":
-            continue
-        c = base["feature"]
-        lit_base = [F.lit(base["feature"]).alias("feature"), F.lit(base["missing"]).cast("double").alias("missing"),
-                    F.lit(base["type"]).alias("type"), F.lit(base["unique_values"]).cast("bigint").alias("unique_values")]
-        vals = {k: F.lit(None).cast("string" if k == "y = mx + b" else "double") for k in stat_cols}
-        src = None
-        if kind == "chi2":
-            src = chi2_test(df, c, target)
-            vals.update({"chi2": F.round("chi2", round_to), "chi2_pvalue": F.round("chi2_pvalue", round_to)})
-        elif isinstance(kind, tuple) and kind[0] == "ttest":
-            _, num, cat, flip = kind
-            src = ttest(df, num, cat)
-            if not flip:
-                sk = _pair(df, num, cat, True, False).agg(adj_skew("x")).scalar()
-                vals["skew"] = F.round(sk, round_to)
-            vals.update({"ttest": F.round("ttest", round_to), "ttest_pvalue": F.round("ttest_pvalue", round_to)})
-        elif isinstance(kind, tuple) and kind[0] == "anova":
-            _, num, cat = kind
-            src = _anova_dispatch(df, num, cat, round_to, vals)
-        frame = (src if src is not None else spark.range(1)).select(*lit_base, *[v.alias(k) for k, v in vals.items()])
-        frames.append(frame)
-    return reduce(lambda a, b: a.unionByName(b), frames)
-
-
-def _anova_dispatch(df, num, cat, round_to, vals):
-    """V7: <2 valid groups -> empty; exactly 2 valid -> pooled t on them; else F over all groups."""
-    g = group_moments(df, num, cat)
-    valid = g.where(F.col("n") >= 2)
-    k_valid = valid.count()  # one row per category
-    sk = _pair(df, num, cat, True, False).agg(adj_skew("x")).scalar()
-    if k_valid < 2:
-        return None
-    vals["skew"] = F.round(sk, round_to)
-    if k_valid == 2:
-        vals.update({"ttest": F.round("ttest", round_to), "ttest_pvalue": F.round("ttest_pvalue", round_to)})
-        return ttest_from_groups(valid)
-    vals.update({"F": F.round("F", round_to), "F_pvalue": F.round("F_pvalue", round_to)})
-    return anova_from_groups(g)

@@ -1,23 +1,32 @@
 """Stratified split, aligned split, random under-sampling, stratified k-fold (M1-M3, M5).
 
 Row choice is deterministic: inside each class, rows are ordered by
-``xxhash64(key, seed)`` (then the key) and taken by position.  Positions
-come from ``order.with_position`` (range-partitioned; a class holding most
-rows is spread over many tasks).  Per-class counts are decided on the
-driver from the class sizes (one number per class).
+``xxhash64(key, seed)`` (k-fold: by the key) and taken by position.  A
+position is never computed: the order's value at each wanted rank comes from
+radix selection (``selection``), and comparing a row's own order with it is a
+column expression, so no row is moved or written.  Only where equal orders
+straddle a cut (repeated keys), where a key is no whole number, or where there
+are more classes than ``WIDE`` columns can carry, positions are counted
+(``order.with_position``), with the same rows as result.  Per-class counts are
+decided on the driver from the class sizes (one number per class).
 """
 from __future__ import annotations
 
 import math
+from itertools import accumulate
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from churnspark.operators.neighbours import nearest_neighbours
 from churnspark.operators.order import with_position
+from churnspark.operators.selection import counts_and_bounds, select_ranks
 from churnspark.session import scratch_table
 
 MAX_CLASSES = 10_000
+#: Classes up to which each has a column of its own in the selection passes.
+WIDE = 64
 
 
 def class_counts(df: DataFrame, label: str) -> dict:
@@ -27,9 +36,42 @@ def class_counts(df: DataFrame, label: str) -> dict:
     return {r[label]: r["n"] for r in rows}
 
 
+def _hash(key: list[str], seed: int) -> Column:
+    return F.xxhash64(*[F.col(f"`{k}`") for k in key], F.lit(seed))
+
+
 def _hash_position(df: DataFrame, label: str, key: list[str], seed: int, n_classes: int) -> DataFrame:
-    h = F.xxhash64(*[F.col(k) for k in key], F.lit(seed))
-    return with_position(df.withColumn("__h", h), [label], ["__h", *key], pos_col="__pos", max_keys=n_classes)
+    return with_position(df.withColumn("__h", _hash(key, seed)), [label], ["__h", *key], pos_col="__pos", max_keys=n_classes)
+
+
+def class_cuts(df: DataFrame, label: str, order: Column, counts: dict, ranks: dict) -> dict[tuple, int] | None:
+    """(class, rank) -> the order of the class's row at that 0-based rank, for a long ``order``.
+
+    A rank equal to the class's size has no row and no entry.  None if rows of
+    equal order lie on both sides of a rank, or with more than ``WIDE`` classes."""
+    if len(counts) > WIDE:
+        return None
+    classes = list(counts)
+    columns = {str(i): F.when(F.col(f"`{label}`").eqNullSafe(F.lit(k)), order) for i, k in enumerate(classes)}
+    wanted = {str(i): sorted({r for r in ranks.get(k, []) if 0 < r < counts[k]}) for i, k in enumerate(classes)}
+    columns = {c: e for c, e in columns.items() if wanted[c]}
+    known = counts_and_bounds(df, columns)
+    if any(known[c][0] != counts[classes[int(c)]] for c in columns):
+        return None  # null orders
+    found = select_ranks(df, columns, {c: wanted[c] for c in columns}, known)
+    if any(place.below != r for (_, r), place in found.items()):
+        return None
+    return {(classes[int(c)], r): place.value for (c, r), place in found.items()}
+
+
+def _before(label: str, order: Column, counts: dict, cuts: dict, ranks: dict) -> Column:
+    """True for the first ``ranks[class]`` rows of each class."""
+    out = F.lit(False)
+    for k, r in ranks.items():
+        if r > 0:
+            mine = F.col(f"`{label}`").eqNullSafe(F.lit(k))
+            out = out | (mine if r >= counts[k] else mine & (order < F.lit(cuts[k, r])))
+    return out
 
 
 def approximate_mode(counts: dict, n_draws: int) -> dict:
@@ -53,6 +95,10 @@ def split_labels(df: DataFrame, label: str, key: list[str] | str, test_size: flo
     n = sum(counts.values())
     n_test = math.ceil(test_size * n)
     per = approximate_mode(counts, n_test)
+    cuts = class_cuts(df, label, _hash(key, seed), counts, {k: [t] for k, t in per.items()})
+    if cuts is not None:
+        test = _before(label, _hash(key, seed), counts, cuts, per)
+        return df.withColumn(out_col, F.when(test, F.lit("test")).otherwise(F.lit("train")))
     pos = _hash_position(df, label, key, seed, len(counts))
     cond = None
     for k, t in per.items():
@@ -78,6 +124,9 @@ def under_sample(df: DataFrame, label: str, key, seed: int = 42) -> DataFrame:
     key = [key] if isinstance(key, str) else list(key)
     counts = class_counts(df, label)
     m = min(counts.values())
+    cuts = class_cuts(df, label, _hash(key, seed), counts, {k: [m] for k in counts})
+    if cuts is not None:
+        return df.where(_before(label, _hash(key, seed), counts, cuts, {k: m for k in counts}))
     return _hash_position(df, label, key, seed, len(counts)).where(F.col("__pos") < m).drop("__h", "__pos")
 
 
@@ -97,6 +146,16 @@ def stratified_kfold(df: DataFrame, label: str, key, n_splits: int = 5, out_col:
     key = [key] if isinstance(key, str) else list(key)
     counts = class_counts(df, label)
     alloc = kfold_allocation(counts, n_splits)
+    whole = len(key) == 1 and isinstance(df.schema[key[0]].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+    if whole:
+        order = F.col(f"`{key[0]}`").cast("long")
+        ends = {k: list(accumulate(sizes))[:-1] for k, sizes in alloc.items()}
+        cuts = class_cuts(df, label, order, counts, ends)
+        if cuts is not None:
+            fold = F.lit(n_splits - 1)
+            for i in reversed(range(n_splits - 1)):
+                fold = F.when(_before(label, order, counts, cuts, {k: e[i] for k, e in ends.items()}), F.lit(i)).otherwise(fold)
+            return df.withColumn(out_col, fold.cast("int"))
     pos = with_position(df, [label], key, pos_col="__pos", max_keys=len(counts))
     fold = None
     for k, sizes in alloc.items():

@@ -1,6 +1,7 @@
 """Exact order statistics of many columns by radix selection: no value is ever shuffled or sorted.
 
-A double's bits, with the sign turned, order as the doubles do.  Each pass cuts
+A double's bits, with the sign turned, order as the doubles do; so do those of
+64-bit whole numbers.  Each pass cuts
 the range of bit patterns that may still hold a wanted rank into ``SLICES``
 equal slices and counts, per column and slice, how many values fall in, with
 their least and greatest.  The slice that holds the rank is the next range,
@@ -12,6 +13,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -24,18 +26,30 @@ _SIGN = np.uint64(1 << 63)
 
 
 def ordered_bits(x: np.ndarray) -> np.ndarray:
-    """Unsigned whole numbers in the order of the doubles (-0.0 as 0.0)."""
+    """Unsigned whole numbers in the order of the doubles (-0.0 as 0.0) or of the signed whole numbers."""
+    if x.dtype.kind == "i":
+        return x.astype(np.int64).view(np.uint64) ^ _SIGN
     bits = (x + 0.0).view(np.uint64)
     return np.where(bits & _SIGN, ~bits, bits | _SIGN)
 
 
-def from_bits(key: int) -> float:
+def from_bits(key: int, integral: bool = False) -> float | int:
+    if integral:
+        return key - (1 << 63)
     bits = key & ~(1 << 63) if key >> 63 else ~key & (1 << 64) - 1
     return float(np.array([bits], np.uint64).view(np.float64)[0])
 
 
-def _key(x: float) -> int:
-    return int(ordered_bits(np.array([x], np.float64))[0])
+def _key(x: float | int) -> int:
+    return int(ordered_bits(np.array([x], np.int64 if isinstance(x, int) else np.float64))[0])
+
+
+@dataclass(frozen=True)
+class Place:
+    """A rank's value, the number of values below it and of values equal to it."""
+    value: float | int
+    below: int
+    equal: int
 
 
 def counts_and_bounds(df: DataFrame, columns: dict[str, Column]) -> dict[str, tuple[int, float | None, float | None]]:
@@ -80,16 +94,16 @@ def _pass(df: DataFrame, columns: list[Column], ranges: list[tuple[int, int, int
 
 
 def select_ranks(df: DataFrame, columns: dict[str, Column], ranks: dict[str, list[int]],
-                 known: dict[str, tuple[int, float | None, float | None]]) -> dict[tuple[str, int], float]:
-    """(column, 0-based rank) -> value.  ``columns``: double expressions; ``known``: ``counts_and_bounds``."""
-    done: dict[tuple[str, int], float] = {}
+                 known: dict[str, tuple[int, float | None, float | None]]) -> dict[tuple[str, int], Place]:
+    """(column, 0-based rank) -> its place.  ``columns``: double or long expressions; ``known``: ``counts_and_bounds``."""
+    done: dict[tuple[str, int], Place] = {}
     # (column, least key, greatest key, values below) -> ranks still to find in that range
     open_ranges: dict[tuple[str, int, int, int], list[int]] = {}
     for c, wanted in ranges_of(ranks, known):
         _, least, greatest = known[c]
         lo, hi = _key(least), _key(greatest)
         if lo == hi:
-            done.update({(c, r): least + 0.0 for r in wanted})
+            done.update({(c, r): Place(from_bits(lo, isinstance(least, int)), 0, known[c][0]) for r in wanted})
         else:
             open_ranges[c, lo, hi, 0] = wanted
     while open_ranges:
@@ -104,7 +118,7 @@ def select_ranks(df: DataFrame, columns: dict[str, Column], ranks: dict[str, lis
                 for _, (n, low, high) in slices:
                     if rank < before + n:
                         if low == high:
-                            done[c, rank] = from_bits(low)
+                            done[c, rank] = Place(from_bits(low, isinstance(known[c][1], int)), before, n)
                         else:
                             further.setdefault((c, low, high, before), []).append(rank)
                         break
@@ -132,6 +146,6 @@ def column_quantiles(df: DataFrame, columns: dict[str, Column], qs: list[float],
     out: dict[str, dict[float, float | None]] = {c: {q: None for q in qs} for c in columns}
     for c, p in places.items():
         for q, h in p.items():
-            low, high = values[c, math.floor(h)], values[c, math.ceil(h)]
+            low, high = values[c, math.floor(h)].value, values[c, math.ceil(h)].value
             out[c][q] = low + (h - math.floor(h)) * (high - low)
     return out

@@ -664,6 +664,26 @@ def q_bivariate_table(spark, sf_dir):
     return V.bivariate_table(customer_table(spark, sf_dir).drop("c_custkey"), "churn")
 
 
+@query("bivariate_statistics", """
+WITH o AS (SELECT o_orderkey, o_totalprice, CASE WHEN o_orderkey % 9 > 0 THEN o_orderstatus END AS o_orderstatus, o_orderpriority AS p FROM orders),
+long AS (SELECT 'o_totalprice' AS feature, o_totalprice AS x, p FROM o UNION ALL SELECT 'o_orderkey', CAST(o_orderkey AS DOUBLE), p FROM o),
+g AS (SELECT feature, p, count(*) AS n, avg(x) AS m, var_samp(x) AS v FROM long GROUP BY 1, 2),
+gm AS (SELECT feature, avg(x) AS gm, skewness(x) AS sk, count(DISTINCT x) AS u FROM long GROUP BY 1),
+f AS (SELECT feature, u, sk, (sum(n * (m - gm) * (m - gm)) / (count(*) - 1)) / (sum((n - 1) * v) / (sum(n) - count(*))) AS f
+      FROM g JOIN gm USING (feature) GROUP BY feature, u, sk),
+c AS (SELECT o_orderstatus AS s, p, CAST(count(*) AS DOUBLE) AS n FROM o WHERE o_orderstatus IS NOT NULL GROUP BY 1, 2),
+e AS (SELECT n, sum(n) OVER (PARTITION BY s) AS r, sum(n) OVER (PARTITION BY p) AS k, sum(n) OVER () AS t FROM c)
+SELECT feature, CAST(0 AS DOUBLE) AS missing, u AS unique_values, round(sk, 3) AS skew, CAST(NULL AS DOUBLE) AS chi2, round(f, 3) AS f FROM f
+UNION ALL SELECT 'o_orderstatus', (SELECT round(100.0 * count_if(o_orderstatus IS NULL) / count(*), 3) FROM o), (SELECT count(DISTINCT s) FROM c),
+NULL, (SELECT round(sum(n * n / (r * k)) * max(t) - max(t), 3) FROM e), NULL""")
+def q_bivariate_statistics(spark, sf_dir):
+    """V13's chi-squared and ANOVA families against a categorical target, all features from one grouped pass."""
+    status = F.when(F.col("o_orderkey") % 9 > 0, F.col("o_orderstatus"))
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", status.alias("o_orderstatus"), "o_orderpriority")
+    out = V.bivariate_table(o, "o_orderpriority")
+    return round_doubles(out.select("feature", "missing", "unique_values", "skew", "chi2", F.col("F").alias("f")), 3)
+
+
 @query("regression_summary")
 def q_regression_summary(spark, sf_dir):
     return V.regression_summary(table(spark, sf_dir, "supplier"), "s_acctbal", "s_nationkey")
@@ -948,6 +968,27 @@ def q_select_features(spark, sf_dir):
     return spark.createDataFrame([(f,) for f in kept], "feature string")
 
 
+@query("scored_predictions", """SELECT 0 AS n_bad, CAST(ceil(0.2 * count(*)) AS BIGINT) AS n FROM labels JOIN documents USING (doc_id)""")
+def q_scored_predictions(spark, sf_dir):
+    """L2, L4: test rows whose score is no probability or whose prediction is not score > 0.5."""
+    train, val, _ = _weighted_split(spark, sf_dir)
+    model = ML.logistic("quality", weight_sum=train.agg(F.sum("weight")).first()[0]).fit(train)
+    out = ML.predict(model, val)
+    wrong = ~F.col("score").between(0, 1) | (F.col("prediction") != (F.col("score") > 0.5).cast("double"))
+    return out.agg(F.count_if(F.coalesce(wrong, F.lit(True))).alias("n_bad"), F.count(F.lit(1)).alias("n"))
+
+
+@query("importance_invariants", """SELECT 0 AS n_bad, TRUE AS all_counted FROM labels HAVING count(*) > 0""")
+def q_importance_invariants(spark, sf_dir):
+    """Features kept below the median number of splits or dropped from there on; every split is counted."""
+    model, names, _ = _doc_model(spark, sf_dir)
+    imp = cut_lineage(ML.tree_importance(model, names))
+    kept = ML.select_by_importance(imp)
+    bad = (F.col("split_importance") >= F.lit(imp.agg(F.median("split_importance")).first()[0])) != F.col("feature").isin(kept)
+    splits = X.tree_nodes(model).where("leftChild >= 0").count()
+    return imp.agg(F.count_if(bad).alias("n_bad"), (F.sum("split_importance") == splits).alias("all_counted"))
+
+
 @query("tree_shap")
 def q_tree_shap(spark, sf_dir):
     model, names, val = _doc_model(spark, sf_dir)
@@ -1078,6 +1119,66 @@ def q_batch_inference(spark, sf_dir):
     return out
 
 
+@query("scenario_scores", """
+WITH b AS (SELECT c_custkey, c_custkey % 2 AS churn, (c_custkey % 97) / 97.0 AS p FROM customer WHERE c_custkey % 3 > 0),
+d AS (SELECT c_custkey, c_custkey % 2 AS churn, (c_custkey % 89) / 89.0 AS p FROM customer WHERE c_custkey % 5 > 0)
+SELECT c_custkey, CAST(coalesce(b.churn, d.churn) AS INTEGER) AS churn, round(b.p, 6) AS prob_churned, round(d.p, 6) AS prob_churned_discount
+FROM b FULL JOIN d USING (c_custkey)""")
+def q_scenario_scores(spark, sf_dir):
+    """Base and scenario scores of partly different clients side by side."""
+    c, key = table(spark, sf_dir, "customer"), F.col("c_custkey")
+    scored = lambda skip, m: c.where(key % skip > 0).select(
+        "c_custkey", (key % 2).cast("int").alias("churn"), ((key % m) / F.lit(float(m))).alias("prob_churned"))
+    return round_doubles(SC.compare_scores(scored(3, 97), scored(5, 89)), 6)
+
+
+@query("aligned_rows", """SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_custkey IN (
+SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')""")
+def q_aligned_rows(spark, sf_dir):
+    """Series rows that follow their entity into a split."""
+    ids = table(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("o_custkey"))
+    return M.aligned_split(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice"), ids, "o_custkey")
+
+
+@query("kfold_rows", """
+WITH c AS (SELECT quality, count(*) AS n FROM labels GROUP BY 1),
+s AS (SELECT quality, coalesce(sum(n) OVER (ORDER BY quality ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS a,
+             sum(n) OVER (ORDER BY quality) AS b FROM c),
+f AS (SELECT quality, i, sum(floor((b - 1 - i) / 5.0) - floor((a - 1 - i) / 5.0)) OVER (PARTITION BY quality ORDER BY i) AS upto
+      FROM s, range(5) t(i)),
+r AS (SELECT doc_id, quality, row_number() OVER (PARTITION BY quality ORDER BY doc_id) - 1 AS pos FROM labels)
+SELECT doc_id, r.quality, CAST(min(i) AS INTEGER) AS fold FROM r JOIN f ON r.quality = f.quality AND pos < upto GROUP BY 1, 2""")
+def q_kfold_rows(spark, sf_dir):
+    """M5: the fold of every labelled document."""
+    return M.stratified_kfold(table(spark, sf_dir, "labels").select("doc_id", "quality"), "quality", "doc_id", 5).select("doc_id", "quality", "fold")
+
+
+@query("split_sizes", """
+WITH c AS (SELECT quality, count(*) AS n FROM labels GROUP BY 1), m AS (SELECT min(n) AS m FROM c)
+SELECT 'split' AS what, CAST(ceil(0.2 * sum(n)) AS BIGINT) AS n, 0 AS n_bad FROM c
+UNION ALL SELECT 'under', CAST(m * (SELECT count(*) FROM c) AS BIGINT), 0 FROM m""")
+def q_split_sizes(spark, sf_dir):
+    """M1, M3: rows taken, and rows taken that are no label row or taken twice."""
+    lab = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    parts = {"split": M.stratified_split(lab, "quality", "doc_id", 0.2, 42)[1], "under": M.under_sample(lab, "quality", "doc_id", 7)}
+    out = None
+    for what, part in parts.items():
+        one = part.groupBy("doc_id", "quality").agg(F.count(F.lit(1)).alias("k")).join(
+            lab.withColumn("known", F.lit(True)), ["doc_id", "quality"], "left").agg(
+            F.lit(what).alias("what"), F.sum("k").alias("n"), F.count_if((F.col("k") > 1) | F.col("known").isNull()).alias("n_bad"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("log_choice", """SELECT event_id, round(ln(value + CASE WHEN lo < 0 THEN abs(lo) + 1 ELSE 0 END + 1e-7), 6) AS value_log
+FROM events, (SELECT min(value) AS lo FROM events)""")
+def q_log_choice(spark, sf_dir):
+    """K8: the expression of a chosen logarithm."""
+    ev = table(spark, sf_dir, "events").select("event_id", "value")
+    lo = ev.agg(F.min("value")).first()[0]
+    return round_doubles(ev.select("event_id", K.transform_expr(ev, "value", "log", True, lo, None).alias("value_log")), 6)
+
+
 # ---------------------------------------------------------------- density outliers
 from churnspark.operators import density as DB  # noqa: E402
 
@@ -1186,6 +1287,30 @@ def q_iterative_impute(spark, sf_dir):
     return iterative_impute(c, targets=["c_acctbal"], predictors=["c_nationkey", "c_acctbal", "c_mktsegment"])
 
 
+@query("impute_invariants", """SELECT count(*) AS n, 0 AS n_changed, 0 AS n_missing FROM customer""")
+def q_impute_invariants(spark, sf_dir):
+    """Observed balances that the imputer changed, and balances that it left missing."""
+    from churnspark.operators.impute import iterative_impute
+    c = customer_with_nulls(spark, sf_dir).select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
+    out = iterative_impute(c, targets=["c_acctbal"], predictors=["c_nationkey", "c_acctbal", "c_mktsegment"])
+    both = out.select("c_custkey", F.col("c_acctbal").alias("new")).join(c.select("c_custkey", "c_acctbal"), "c_custkey")
+    return both.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("c_acctbal") != F.col("new")).alias("n_changed"),
+                    F.count_if(F.col("new").isNull() | F.isnan("new")).alias("n_missing"))
+
+
+@query("smote_invariants", """
+WITH d AS (SELECT quality, n_chars FROM labels JOIN documents USING (doc_id)), c AS (SELECT quality, count(*) AS n FROM d GROUP BY 1)
+SELECT quality, (SELECT max(n) FROM c) AS n, 0 AS n_outside FROM c""")
+def q_smote_invariants(spark, sf_dir):
+    """M4: class sizes after oversampling, and new rows outside the box of their class's own."""
+    out = q_smote(spark, sf_dir)
+    box = out.where("doc_id is not null").groupBy(F.col("quality").alias("of")).agg(
+        *[f(c).alias(f"{t}_{c}") for c in ("n_chars", "n_words") for f, t in ((F.min, "lo"), (F.max, "hi"))])
+    far = [~F.col(c).between(F.col(f"lo_{c}") - 1e-9, F.col(f"hi_{c}") + 1e-9) for c in ("n_chars", "n_words")]
+    return out.join(box, F.col("quality") == F.col("of")).groupBy("quality").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(far[0] | far[1]).alias("n_outside"))
+
+
 @query("smote")
 def q_smote(spark, sf_dir):
     """Minority documents (by quality) oversampled in (n_chars, doc length in words) space."""

@@ -62,9 +62,13 @@ def score(fitted: Fitted, client: DataFrame, prices: DataFrame) -> DataFrame:
 
 
 def scenario_comparison(fitted: Fitted, discount: float = 0.15) -> DataFrame:
-    """Per validation client: churn, base and discounted probability of churn (J5, full outer)."""
+    """Per validation client: churn, base and discounted probability of churn."""
     base = score(fitted, fitted.client, fitted.prices)
-    disc = score(fitted, fitted.client, discount_prices(fitted.prices, dm.PRICE_COLUMNS, discount))
+    return compare_scores(base, score(fitted, fitted.client, discount_prices(fitted.prices, dm.PRICE_COLUMNS, discount)))
+
+
+def compare_scores(base: DataFrame, disc: DataFrame) -> DataFrame:
+    """Base and scenario probabilities side by side, full outer on the client."""
     return (base.select(dm.ID, LABEL, "prob_churned")
                 .join(disc.select(dm.ID, F.col(LABEL).alias("__l"), F.col("prob_churned").alias("prob_churned_discount")),
                       dm.ID, "full")
