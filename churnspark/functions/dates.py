@@ -28,7 +28,7 @@ def parse_and_format(c, standard_format: str = "%Y-%m-%d", return_type: str = "s
     if return_type == "datetime":
         return d.cast("timestamp")
     if return_type != "string":
-        log.warning("%s is not a valid return type; string is used", return_type)
+        log.warning("return_type %r is unknown: dates come back as text", return_type)
     return F.date_format(d, python_to_spark_date_format(standard_format))
 
 
@@ -40,8 +40,10 @@ def coerce_timestamp(df: DataFrame, c: str) -> Column:
     if isinstance(dt, T.DateType):
         return F.col(c).cast("timestamp_ntz")
     s = F.col(c).cast("string")
-    iso = F.when(s.rlike(r"^\s*\d{4}-\d"), s.try_cast("timestamp"))  # a time alone would get today's date
-    parsed = F.coalesce(F.try_to_timestamp(s, F.lit("yyyy-MM-dd HH:mm:ss")), try_parse_date(s).cast("timestamp"), iso)
+    dashed = F.regexp_replace(s, r"^(\s*\d{4})/(\d{1,2})/(\d{1,2})", "$1-$2-$3")
+    iso = F.when(dashed.rlike(r"^\s*\d{4}-\d"), dashed.try_cast("timestamp"))  # a time alone would get today's date
+    slashed = F.try_to_timestamp(F.trim(s), F.lit("M/d/yyyy H:mm[:ss]"))
+    parsed = F.coalesce(F.try_to_timestamp(s, F.lit("yyyy-MM-dd HH:mm:ss")), try_parse_date(s).cast("timestamp"), iso, slashed)
     return parsed.cast("timestamp_ntz")
 
 
@@ -60,7 +62,7 @@ def resolve_reference_date(reference_date: str | None) -> _dt.datetime:
             return _dt.datetime.strptime(reference_date, fmt)
         except ValueError:
             continue
-    log.warning("Unrecognized reference_date format. Using current date.")
+    log.warning("reference date %r has none of the accepted layouts: today is taken", reference_date)
     return _dt.datetime.combine(_dt.date.today(), _dt.time())
 
 
@@ -132,7 +134,7 @@ def date_columns(df: DataFrame, features: list[str], calculate_difference: bool
     present = [f for f in features if f in df.columns]
     for f in features:
         if f not in df.columns:
-            log.warning("Feature '%s' not in DataFrame", f)
+            log.warning("no column %s: skipped", f)
     if not present:
         return df
     parsed = {f: coerce_timestamp(df, f) for f in present}

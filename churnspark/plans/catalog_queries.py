@@ -289,6 +289,14 @@ def q_date_parts(spark, sf_dir):
                       "o_orderdate_weekday", "`actual_date - o_orderdate in days`")
 
 
+@query("date_interval", """SELECT o_orderkey, date_diff('day', o_orderdate, TIMESTAMP '2002-01-01') AS days FROM orders""")
+def q_date_interval(spark, sf_dir):
+    """The difference to the reference date as an interval, read back in days."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    out = D.date_columns(o, ["o_orderdate"], calculate_difference=True, reference_date="2002-01-01")
+    return out.select("o_orderkey", F.expr("extract(day from `actual_date - o_orderdate`)").cast("bigint").alias("days"))
+
+
 # ---------------------------------------------------------------- pruning
 from churnspark.operators import prune as PR  # noqa: E402
 
@@ -645,6 +653,20 @@ def q_anova_valid(spark, sf_dir):
     return round_doubles(a.select("F", "df_between", "df_within"), 6)
 
 
+@query("anova_one_row_group", """
+WITH s AS (SELECT CASE WHEN c_custkey = 1 THEN 'ALONE' ELSE c_mktsegment END AS c, c_acctbal AS x FROM customer),
+v AS (SELECT c, x FROM s WHERE c IN (SELECT c FROM s GROUP BY c HAVING count(*) >= 2)),
+g AS (SELECT c, count(*) AS n, avg(x) AS m, var_samp(x) AS v FROM v GROUP BY c), t AS (SELECT avg(x) AS m FROM v)
+SELECT round((sum(n * (g.m - t.m) * (g.m - t.m)) / (count(*) - 1)) / (sum((n - 1) * v) / (sum(n) - count(*))), 6) AS f,
+       CAST(count(*) - 1 AS DOUBLE) AS df_between, CAST(sum(n) - count(*) AS DOUBLE) AS df_within FROM g, t""")
+def q_anova_one_row_group(spark, sf_dir):
+    """V8 where one group holds a single row, which has no part in F."""
+    segment = F.when(F.col("c_custkey") == 1, F.lit("ALONE")).otherwise(F.col("c_mktsegment"))
+    c = table(spark, sf_dir, "customer").select("c_acctbal", segment.alias("segment"))
+    a = V.anova(c, "c_acctbal", "segment", valid_only=True)
+    return round_doubles(a.select(F.col("F").alias("f"), "df_between", "df_within"), 6)
+
+
 @query("pairwise_welch", """
 WITH g AS (SELECT c_mktsegment AS c, count(*) AS n, avg(c_acctbal) AS m, var_samp(c_acctbal) AS v
            FROM customer WHERE c_mktsegment IS NOT NULL AND c_acctbal IS NOT NULL GROUP BY 1 HAVING count(*) >= 2)

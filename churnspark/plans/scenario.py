@@ -18,7 +18,7 @@ from churnspark.operators.models import boosted_trees, class_weights, predict, r
 from churnspark.operators.sampling import aligned_split, class_counts, split_labels
 from churnspark.plans import domain as dm
 from churnspark.plans.preprocess import discount_prices, full_estimator, merge_inputs
-from churnspark.session import cut_lineage
+from churnspark.session import cut_lineage, scratch_table
 
 LABEL = "churn"
 
@@ -33,8 +33,8 @@ class Fitted:
     labels: DataFrame
 
 
-def merged_with_labels(client, prices, labels) -> DataFrame:
-    m = merge_inputs(client, prices, dm.ID, dm.DATE_COLUMNS, dm.PRICE_COLUMNS, date_column="price_date",
+def merged_with_labels(client, prices, labels, price_columns: list[str] | None = None) -> DataFrame:
+    m = merge_inputs(client, prices, dm.ID, dm.DATE_COLUMNS, price_columns or dm.PRICE_COLUMNS, date_column="price_date",
                      tiebreak=["price_seq"])
     return m.join(labels, dm.ID, "inner")
 
@@ -62,9 +62,27 @@ def score(fitted: Fitted, client: DataFrame, prices: DataFrame) -> DataFrame:
 
 
 def scenario_comparison(fitted: Fitted, discount: float = 0.15) -> DataFrame:
-    """Per validation client: churn, base and discounted probability of churn."""
-    base = score(fitted, fitted.client, fitted.prices)
-    return compare_scores(base, score(fitted, fitted.client, discount_prices(fitted.prices, dm.PRICE_COLUMNS, discount)))
+    """Per validation client: churn, base and discounted probability of churn.
+
+    The discounted prices go through the series features as further columns
+    of the same aggregation, so clients and prices are read once for both scores."""
+    scenario = {c: f"{c}_scenario" for c in dm.PRICE_COLUMNS}
+    ids = fitted.validation_ids
+    both = fitted.prices.withColumns({s: F.col(c) for c, s in scenario.items()})
+    both = discount_prices(both, list(scenario.values()), discount)
+    m = scratch_table(merged_with_labels(aligned_split(fitted.client, ids, dm.ID), aligned_split(both, ids, dm.ID), fitted.labels,
+                                         [*dm.PRICE_COLUMNS, *scenario.values()]), "scenario-rows")
+    base_columns = [c for c in m.columns if not any(s in c for s in scenario.values())]
+
+    def of_scenario(name: str) -> str:
+        for c, s in scenario.items():
+            if name.replace(c, s) in m.columns and c in name:
+                return name.replace(c, s)
+        return name
+
+    def scored(columns):
+        return predict(fitted.model, m.select(*columns)).select(dm.ID, LABEL, F.col("score").alias("prob_churned"), "prediction")
+    return compare_scores(scored(base_columns), scored([F.col(of_scenario(c)).alias(c) for c in base_columns]))
 
 
 def compare_scores(base: DataFrame, disc: DataFrame) -> DataFrame:

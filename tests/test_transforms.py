@@ -109,3 +109,11 @@ def test_timestamps_in_iso_layouts(spark):
     got = [r[0] for r in df.select(D.coerce_timestamp(df, "s")).collect()]
     ten, part = dt.datetime(2016, 1, 5, 10), dt.datetime(2016, 1, 5, 10, 0, 0, 250_000)
     assert got == [ten, part, part, ten, dt.datetime(2016, 1, 5), None, None, None, None]
+
+
+def test_timestamps_with_slashes(spark):
+    vals = ["2016/01/05 10:00", "2016/1/5", "2016/01/05 10:00:00.5", "1/5/2016 10:00", "01/05/2016 10:00:30", "13/45/2016 10:00", "2016/13/05 10:00", "5/2016"]
+    df = spark.createDataFrame([(v,) for v in vals], "s string")
+    got = [r[0] for r in df.select(D.coerce_timestamp(df, "s")).collect()]
+    ten = dt.datetime(2016, 1, 5, 10)
+    assert got == [ten, dt.datetime(2016, 1, 5), ten.replace(microsecond=500_000), ten, ten.replace(second=30), None, None, None]
