@@ -1,17 +1,17 @@
 """Benchmark decontamination: rare word pairs join passages to test items, then Smith-Waterman alignment of words.
 
 Seeds are pairs of words at most two places apart.  Every alignment that
-reaches the threshold holds at least ``need`` of its item's seeds, so it holds
-one of any choice of all but ``need - 1`` of them: the index keeps the rarest
-ones, by their number in the corpus, and leaves the common ones out, without
-losing a passage.
+reaches the threshold holds at least ``need`` of its item's seeds.  The index
+leaves the ``common`` most frequent seeds of an item out, by their number in the
+corpus, two thirds of those that a passage could miss; so a passage holds at
+least ``need - common`` of the rare ones that it keeps, and none is lost.
 
 1. The items' seeds are a table; a bitmap of fixed size marks their hashes.
 2. One pass over the documents writes the seeds whose bit is set, with their
    places, and these are counted.
-3. The rarest seeds of each item are joined to the places.  A hit bounds the
-   passage that can hold it; only texts with hits are read again, and cut.
-4. Passages join their items, are sifted by the number of seeds they hold, and
+3. The rare seeds of each item are joined to the places.  Enough hits close
+   together mark a passage; only texts with such passages are read again, and cut.
+4. Passages join their items, are sifted by the number of all seeds they hold, and
    aligned; the alignment's score tells copies, also edited ones, from chance.
 
 Neither items nor hits ever meet on the driver: only the bitmap does.
@@ -165,17 +165,24 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def rarest(items: DataFrame, places: DataFrame) -> DataFrame:
-    """(seed, key, reach): the seeds that an accepted passage cannot all miss, those with the fewest places in the corpus."""
+    """(seed, key, reach, hits): each item's seeds without its most frequent ones in the corpus, and how many of these an accepted passage holds at least."""
     each = items.select("key", "need", "reach", F.posexplode("seeds").alias("at", "seed"))
     counted = places.groupBy("seed").agg(F.count(F.lit(1)).alias("n"))
     order = Window.partitionBy("key").orderBy(F.coalesce("n", F.lit(0)), "seed", "at")  # the seeds of one item
+    common = F.floor((F.col("need") - 1) * 2 / 3)
     ranked = each.join(counted, "seed", "left").withColumn("rank", F.row_number().over(order)).withColumn("all", F.count(F.lit(1)).over(Window.partitionBy("key")))
-    return ranked.where("n is not null and rank <= all - need + 1").select("seed", "key", "reach").distinct()
+    kept = ranked.where(F.col("n").isNotNull() & (F.col("rank") <= F.col("all") - common))
+    return kept.select("seed", "key", "reach", (F.col("need") - common).cast("int").alias("hits")).distinct()
 
 
 def cut_passages(docs: DataFrame, hits: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """id, row, key, first, words: the stretches of texts around their hits, overlapping ones as one."""
-    spans = hits.groupBy("row", "key").agg(F.max("reach").alias("reach"), F.sort_array(F.collect_set("place")).alias("places"))
+    met = hits.groupBy("row", "key").agg(F.first("reach").alias("reach"), F.first("hits").alias("hits"),
+                                         F.sort_array(F.collect_set("place")).alias("at")).where(F.size("at") >= F.col("hits"))
+    # The hits from which on enough others follow within the reach; an accepted passage lies around one of them.
+    close = F.transform(F.sequence(F.lit(0), F.size("at") - F.col("hits")), lambda i: F.when(
+        F.get("at", i + F.col("hits") - 1) - F.get("at", i) <= F.col("reach"), F.get("at", i)))
+    spans = met.select("row", "key", "reach", F.array_compact(close).alias("places")).where(F.size("places") > 0)
     spans = save(spans.groupBy("row").agg(F.collect_list(F.struct("key", "reach", "places")).alias("spans")), "leak-spans")  # a text's own hits
     texts = keyed(docs, id_col, text_col).join(spans, "row")
 
@@ -243,7 +250,7 @@ def matches(docs: DataFrame, items: DataFrame, threshold: float, id_col: str, te
         return docs.sparkSession.createDataFrame([], MATCHES)
     gaps = tuple(g for g, some in ((0, kinds[0]), (1, kinds[1]), (2, kinds[1])) if some)
     places = save(seed_places(docs, bitmap(every), gaps, id_col, text_col), "leak-places")
-    hits = places.join(save(rarest(table, places), "leak-seeds"), "seed").select("row", "key", "reach", "place")
+    hits = places.join(save(rarest(table, places), "leak-seeds"), "seed").select("row", "key", "reach", "hits", "place")
     passages = save(cut_passages(docs, hits, id_col, text_col), "leak-passages")
     best = F.max_by(F.struct("score", "first_word", "end_word"), F.struct("score", -F.col("end_word")))
     found = scored(passages, table, threshold).groupBy("row", "item").agg(F.first("id").alias("id"), best.alias("best")).select(
