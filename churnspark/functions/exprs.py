@@ -25,20 +25,6 @@ def is_boolean(dtype: T.DataType) -> bool:
     return isinstance(dtype, T.BooleanType)
 
 
-def numeric_columns(df: DataFrame, exclude=()) -> list[str]:
-    """Numeric columns from the schema (no data pass); booleans count as numeric like pandas."""
-    return [f.name for f in df.schema.fields
-            if (is_numeric(f.dataType) or is_boolean(f.dataType)) and f.name not in exclude]
-
-
-def string_columns(df: DataFrame, exclude=()) -> list[str]:
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name not in exclude]
-
-
-def dtype_name(dtype: T.DataType) -> str:
-    return dtype.simpleString()
-
-
 def null_nan(c, dtype: T.DataType | None = None) -> Column:
     """Missing is one thing: turn floating NaN into NULL."""
     c = col_(c)
@@ -73,18 +59,6 @@ def adj_kurt(c) -> Column:
             .otherwise((n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * F.kurtosis(c) + 6)))
 
 
-def adj_skew_from_moments(n: Column, s1: Column, s2: Column, s3: Column) -> Column:
-    """Adjusted skew from raw power sums (used where many candidate transforms
-    are evaluated in one aggregate).  Central moments via the usual identities."""
-    mean = s1 / n
-    m2 = s2 / n - mean * mean
-    m3 = s3 / n - 3 * mean * s2 / n + 2 * mean * mean * mean
-    g1 = m3 / F.pow(m2, 1.5)
-    return (F.when(n < 3, F.lit(None).cast("double"))
-            .when(m2 <= 0, F.lit(0.0))
-            .otherwise(F.sqrt(n * (n - 1)) / (n - 2) * g1))
-
-
 def rnd(c, digits: int = 6) -> Column:
     """Half-up rounding that is stable at exact ties: a tiny offset (1e-4 of the last
     kept digit) moves decimal ties off the grid so float noise cannot flip them."""

@@ -135,12 +135,6 @@ def low_information_columns(df: DataFrame, columns=None, proportion_nan_thresh:
     return [c for c in cols if verdict[c]]
 
 
-def basic_wrangling(df: DataFrame, columns=None, proportion_nan_thresh: float = 0.95,
-                    proportion_unique_thresh: float = 0.95) -> DataFrame:
-    """P8 as a function: decide on this frame and drop."""
-    return df.drop(*low_information_columns(df, columns, proportion_nan_thresh, proportion_unique_thresh))
-
-
 class LowInformationPruner(Estimator, DefaultParamsReadable, DefaultParamsWritable):
     """P8 as an Estimator: decide on the training frame, drop the same columns anywhere."""
 

@@ -53,12 +53,3 @@ def exact_quantiles(long_df: DataFrame, keys: list[str], value: str, qs: list[fl
     g = hits.groupBy(*keys, "q").agg(F.first("__h").alias("__h"), F.first("__lo").alias("__lo"),
                                      F.max("__xlo").alias("__xlo"), F.max("__xhi").alias("__xhi"))
     return g.select(*keys, "q", (F.col("__xlo") + (F.col("__h") - F.col("__lo")) * (F.col("__xhi") - F.col("__xlo"))).alias("quantile"))
-
-
-def approx_quantiles(long_df: DataFrame, keys: list[str], value: str, qs: list[float],
-                     accuracy: int = 10_000) -> DataFrame:
-    """Approximate quantiles (bounded-memory sketch per key, one aggregate), same output shape."""
-    g = long_df.where(F.col(value).isNotNull()).groupBy(*keys).agg(
-        F.percentile_approx(value, [float(q) for q in qs], accuracy).alias("__qv"))
-    return g.select(*keys, F.posexplode("__qv").alias("__i", "quantile")).select(
-        *keys, F.element_at(F.array(*[F.lit(float(q)) for q in qs]), F.col("__i") + 1).alias("q"), "quantile")
