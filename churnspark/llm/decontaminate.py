@@ -184,7 +184,7 @@ def cut_passages(docs: DataFrame, hits: DataFrame, id_col: str, text_col: str) -
         F.get("at", i + F.col("hits") - 1) - F.get("at", i) <= F.col("reach"), F.get("at", i)))
     spans = met.select("row", "key", "reach", F.array_compact(close).alias("places")).where(F.size("places") > 0)
     spans = save(spans.groupBy("row").agg(F.collect_list(F.struct("key", "reach", "places")).alias("spans")), "leak-spans")  # a text's own hits
-    texts = keyed(docs, id_col, text_col).join(spans, "row")
+    texts = keyed(docs, id_col, text_col).join(spans.hint("merge"), "row")  # one plan at every size: texts are shuffled this once
 
     def run(batches):
         memory = WordHashes()
