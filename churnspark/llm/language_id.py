@@ -30,7 +30,10 @@ def counts(texts: list[bytes], dims: int) -> np.ndarray:
     out = np.zeros(len(texts) * dims, np.float32)
     a = np.frombuffer(b"".join([*folded, b"  "]), np.uint8).astype(np.uint32)
     row = np.repeat(np.arange(len(texts)), [len(t) for t in folded])
-    one, second, third = a[:-2], a[1:-1], a[2:]
+    ends = np.cumsum([len(t) for t in folded])
+    own = np.ones(len(row), bool)  # runs begin at a text's own bytes, so none reaches into the next text
+    own[ends - 1] = own[ends - 2] = False
+    row, one, second, third = row[own], a[:-2][own], a[1:-1][own], a[2:][own]
     two = one * np.uint32(257) + second + np.uint32(1000)
     three = (one * np.uint32(257) + second) * np.uint32(257) + third + np.uint32(70000)
     base = row * dims
