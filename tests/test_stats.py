@@ -159,3 +159,32 @@ def test_bivariate_table_rows(spark):
     e = obs.sum(1, keepdims=True) * obs.sum(0, keepdims=True) / obs.sum()
     d = np.abs(obs - e)
     assert abs(cc["c"]["chi2"] - round((((d - np.minimum(0.5, d)) ** 2) / e).sum(), 3)) <= 1e-3
+
+
+def test_kendall_blocks_count_every_pair_once(spark, monkeypatch):
+    """Many blocks on both sides, hot values, ties and weights: the same sum as all pairs; no row for each bit of a rank."""
+    from churnspark.operators import kendall
+    rng = np.random.default_rng(11)
+    n = 900
+    x = np.where(rng.random(n) < 0.3, 7.0, rng.integers(0, 200, n)).astype(float)
+    y = np.where(rng.random(n) < 0.2, -3.0, np.round(rng.normal(size=n) + x / 100, 2))
+    y[:2] = math.inf, -math.inf
+    rows = [(float(a), float(b)) for a, b in zip(x, y)]
+    brute = _brute_s(x, y)
+    assert kendall.pair_signs(x, y, np.ones(n, np.int64)) == brute
+    monkeypatch.setattr(kendall, "BLOCK", 40)  # the cells of the blocks are cut into blocks again
+    df = spark.createDataFrame(rows, "x double, y double")
+    assert kendall.kendall_s_and_ties(df, "x", "y")["s"] == brute
+    assert kendall.kendall_s_and_ties(df, "y", "x")["s"] == brute
+    heavy = kendall.kendall_s_and_ties(df.withColumn("again", F.explode(F.sequence(F.lit(1), F.lit(3)))), "x", "y")
+    assert heavy["n"] == 3 * n and heavy["s"] == 9 * brute
+    assert {r["feature"]: r["n"] for r in kendall.kendall_many(df.withColumn("one", F.lit(1.0)), "y", ["x", "one"]).collect()} == {"x": n, "one": n}
+
+
+def test_bivariate_query_reads_a_written_customer_table(spark, sf001, monkeypatch):
+    """The customers' features are made once, not once for every job."""
+    from churnspark.plans import catalog_queries
+    given = []
+    monkeypatch.setattr(catalog_queries.V, "bivariate_table", lambda df, target: given.append(df) or df)
+    catalog_queries.q_bivariate_table(spark, sf001)
+    assert "Exchange" not in given[0]._jdf.queryExecution().executedPlan().toString()
