@@ -20,6 +20,19 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Text that one step of a Python task holds as words at a time.
 CHUNK_BYTES = 1 << 20
 
+#: Bytes of a batch on its way between Spark and a Python task; either side holds some batches of every running task.
+BATCH_BYTES = 4 << 20
+MAX_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From now on batches of this session end at ``BATCH_BYTES`` (or less, if the session says so); rows are never cut.
+
+    Spark's own bound is a number of rows, which for long texts is many times that."""
+    held = spark.conf.get(MAX_BATCH, None)
+    if not held or spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(held) > BATCH_BYTES:
+        spark.conf.set(MAX_BATCH, str(BATCH_BYTES))
+
 
 def save(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back.
@@ -94,6 +107,7 @@ def pieces(batches: Iterable[pa.RecordBatch], text: str = "text", limit: int = C
             held += n
         if start < len(sizes):
             yield b.slice(start)
+    pa.default_memory_pool().release_unused()  # the worker lives on and may wait beside others
 
 
 def raw(b: pa.RecordBatch, name: str = "text") -> list[bytes | None]:
@@ -112,6 +126,6 @@ class WordHashes(dict):
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
 
-    def trim(self, most: int = 300_000) -> None:
+    def trim(self, most: int = 100_000) -> None:
         if len(self) > most:
             self.clear()

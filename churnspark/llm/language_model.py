@@ -19,14 +19,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, ids, pieces, raw, save
+from .common import discard, ids, pieces, raw, save, small_batches
 
 STEP, WIDTH = 16, 32  # ids scored by a window, ids it reads
 CLASSES, UNITS, DIM = 48, 1024, 16
 START, LONE = UNITS + CLASSES, CLASSES  # the unit before a text's first id; the "class" before a word's first id
 HEAD = 1 << 18  # commonest words that every task holds; the others are joined, with the same scores
 END_WORD = b" "  # no word: words hold no space
-CHUNK = 4 << 20
+CHUNK = 2 << 20
+WORDS = 60_000  # words whose ids a task remembers, a few hundred bytes each
 COMMON = 128  # ids that count as neighbours of their own
 ROUNDS = (0.003, 0.001)  # learning rate of each round; a learning document is in one round
 
@@ -316,6 +317,7 @@ def learn(docs: DataFrame, learning: Column, ranks: bytes, pattern: str, id_col:
     """(model, word counts).  Counts, classes and attention weights come from every learning document.  Training starts
     on the ``sample`` documents of the smallest id hashes, in one task; then each round deals its documents to
     the tasks as they lie and averages their weights by windows, so weights depend a little on the partitions."""
+    small_batches(docs.sparkSession)
     counts = save(word_counts(docs, learning, text_col), "lm-counts")
     size = Subwords(ranks, pattern).size
 
@@ -345,7 +347,7 @@ def learn(docs: DataFrame, learning: Column, ranks: bytes, pattern: str, id_col:
             yield pa.record_batch([pa.array(ids(b, "id"), pa.int64()), pa.array(ids(b, "round"), pa.int32()),
                                    pa.ListArray.from_arrays(pa.array(cut), pa.array(np.concatenate([*parts, np.zeros(0, np.int32)])))],
                                   ["id", "round", "tokens"])
-            if len(memory) > 200_000:
+            if len(memory) > WORDS:
                 memory.clear()
     rounds = F.pmod(F.xxhash64(id_col), F.lit(len(ROUNDS))).cast("int")
     tokens = save(docs.where(learning).select(F.col(id_col).alias("id"), rounds.alias("round"), text_col).mapInArrow(
@@ -405,7 +407,7 @@ def learn(docs: DataFrame, learning: Column, ranks: bytes, pattern: str, id_col:
             if len(tokens):
                 before = np.concatenate([[LONE], class_of[tokens[:-1]]])
                 before[np.cumsum(sizes) - sizes] = LONE
-                total += np.bincount(before * sub.size + tokens, np.repeat(n[keep], sizes), len(total)).astype(np.int64)
+                np.add.at(total, before * sub.size + tokens, np.repeat(n[keep], sizes))
         some = np.flatnonzero(total)
         yield pa.record_batch([pa.array(some), pa.array(total[some])], ["slot", "n"])
     # One row at most for each class and id, however large the corpus is.
@@ -513,7 +515,7 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, id_col: str = "doc_i
                 met = model.sequences[k] == sequence
                 kinds, seen = np.where(met, model.kinds[k], -1).astype(np.int64), np.where(met, model.seen[k], -1).astype(np.int64)
             here = np.where(known, model.given[at], 0.0) if len(words) and len(model.head) else np.zeros(len(words))
-            if len(memory) > 200_000:
+            if len(memory) > WORDS:
                 memory.clear()
             where, n_ids = spread(own_sizes, flat)
             length = np.bincount(owner, n_ids, n_docs).astype(np.int64)
@@ -530,6 +532,7 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, id_col: str = "doc_i
                                    lists(h[word].astype(np.int64), pa.int64()), lists(times, pa.int64()), lists(smooth[word], pa.float64()),
                                    lists(sequence[word].view(np.int64), pa.int64()), lists(seen[word], pa.int64()), lists(kinds[word], pa.int64())],
                                   ["row", "id", "n_tokens", "n_known", "common", "score", "h", "times", "smooth", "sequence", "seen", "kinds"])
+    small_batches(docs.sparkSession)
     rows = docs.select(F.monotonically_increasing_id().alias("row"), id_col, text_col)
     scored = save(rows.mapInArrow(run, "row long, id long, n_tokens long, n_known long, common double, score double, "
                                        "h array<long>, times array<long>, smooth array<double>, sequence array<long>, seen array<long>, "

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, free_name, ids, pieces, raw
+from .common import WordHashes, free_name, ids, pieces, raw, small_batches
 
 #: Bytes that are ASCII signs, digits, capitals (for structure statistics).
 SIGNS, DIGITS, CAPITALS = b"!#$%&*+/<=>?@\\^_`{|}~", b"0123456789", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -104,6 +104,7 @@ def learn(docs: DataFrame, labels: DataFrame, learning: Column, label_col: str =
     The bound keeps the fit in one task; its ids (at most ``sample``) are
     broadcast, so documents are not shuffled.  A document with several labels
     counts with the smallest.  None without both labels to learn from."""
+    small_batches(docs.sparkSession)
     chosen = (labels.where(learning & F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
               .groupBy(F.col(id_col).alias("id")).agg(F.min(label_col).cast("double").alias("label"))
               .orderBy(F.xxhash64("id"), "id").limit(sample))
@@ -142,6 +143,7 @@ def predict(docs: DataFrame, model: Machine | None, threshold: float = 0.3, id_c
     Empty and null texts are scored by their statistics.  Without a model
     every score is 0.5.  One pass, no shuffle; labels, language, source and
     id do not enter the score."""
+    small_batches(docs.sparkSession)
     run = scorer(model, text_col)
 
     def rows(batches):
@@ -171,6 +173,7 @@ def scorer(model: Machine | None, text_col: str):
 def keep_good(docs: DataFrame, model: Machine | None, threshold: float = 0.3, text_col: str = "text",
               meta_col: str | None = "n_chars") -> DataFrame:
     """The documents that score at least ``threshold``, all columns as they are."""
+    small_batches(docs.sparkSession)
     run, columns = scorer(model, text_col), docs.columns
 
     def rows(batches):
