@@ -683,7 +683,9 @@ def q_pairwise_welch(spark, sf_dir):
 def q_bivariate_table(spark, sf_dir):
     """V13 over customer with a churn-style binary target (negative balance) and the order features."""
     from churnspark.plans.domain import customer_table
-    return V.bivariate_table(customer_table(spark, sf_dir).drop("c_custkey"), "churn")
+    from churnspark.session import cut_lineage
+    customers = cut_lineage(customer_table(spark, sf_dir).drop("c_custkey"))  # read by every job of the table
+    return V.bivariate_table(customers, "churn")
 
 
 @query("bivariate_statistics", """
