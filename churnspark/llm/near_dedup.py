@@ -20,10 +20,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, discard, discard_since, ids, open_tables, pieces, raw, save
+from .common import WordHashes, discard, discard_since, ids, open_tables, pieces, raw, save, small_batches
 from .components import components
 
 REGISTERS, MANTISSA, VALUE_BITS = 256, 10, 56
@@ -33,6 +33,8 @@ MARGIN = 6.0  # standard deviations that an estimate may lie below the threshold
 SKETCH = REGISTERS * 2 // 8
 #: Sets up to this size meet by their rarest shingles: their sketches say little.
 SHORT = 128
+#: Their shingles are counted in so many slots (2 to this power), by their upper bits.
+SLOT_BITS = 18
 BLOCK = 1_500_000  # shingles of a block of a band group, 12 MB
 A, B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -285,26 +287,46 @@ def may_differ(percent: int):
     return 100 * F.col("n") >= percent * (F.col("n") + 1)
 
 
+def slots_of(shingles: np.ndarray) -> np.ndarray:
+    """The slot in which a shingle is counted."""
+    return (shingles >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+
+def slot_counts(sets: DataFrame) -> np.ndarray:
+    """How often the shingles of each slot occur in ``sets``; one row for each slot at most reaches the driver."""
+    def run(batches):
+        total = np.zeros(1 << SLOT_BITS, np.int64)
+        for b in batches:
+            np.add.at(total, slots_of(np.frombuffer(b"".join(raw(b, "shingles")), np.uint64)), 1)
+        some = np.flatnonzero(total)
+        yield pa.record_batch([pa.array(some), pa.array(total[some])], ["slot", "n"])
+    found = sets.select("shingles").mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    total = np.zeros(1 << SLOT_BITS, np.int64)
+    total[found.column("slot").to_numpy()] = found.column("n").to_numpy()
+    return total
+
+
 def rare_groups(sets: DataFrame, percent: int) -> DataFrame:
     """Band groups (band 0) of sets that share one of their rarest shingles, where they are not all connected.
 
     Two sets at the threshold share at least ``ceil(t n)`` of either one's n
-    shingles, so among its ``n - ceil(t n) + 1`` rarest is one that is among the
-    other's rarest too: no pair is lost, however common the rest is."""
-    def shingles(batches):
+    shingles, so among its ``n - ceil(t n) + 1`` first in any order that holds
+    for all sets is one that is among the other's first too: no pair is lost,
+    however common the rest is.  The order: by the count of a shingle's slot,
+    so that rare shingles come first, then by the shingle.  Each set picks its
+    own; the others are never made rows."""
+    times = slot_counts(sets)
+
+    def prefixes(batches):
         for b in batches:
-            found = [np.frombuffer(x, np.int64) for x in raw(b, "shingles")]
-            n = [len(x) for x in found]
-            at = pa.array(np.repeat(np.arange(len(n)), n))
+            first = []
+            for x in raw(b, "shingles"):
+                s = np.frombuffer(x, np.uint64)  # sorted: a stable order by count is by shingle too
+                first.append(s[np.argsort(times[slots_of(s)], kind="stable")[:len(s) - -(-len(s) * percent // 100) + 1]])
+            at = pa.array(np.repeat(np.arange(len(first)), [len(s) for s in first]))
             yield pa.record_batch([b.column(b.schema.get_field_index(c)).take(at) for c in ("id", "component", "n")]
-                                  + [pa.array(np.concatenate([*found, np.zeros(0, np.int64)]))], ["id", "component", "n", "key"])
-    each = save(sets.select("id", "component", "n", "shingles").mapInArrow(shingles, "id long, component long, n long, key long"), "near-shingles")
-    counted = each.groupBy("key").agg(F.count(F.lit(1)).alias("times"))
-    order = Window.partitionBy("id").orderBy("times", "key")  # the shingles of one short set
-    first = F.col("n") - F.ceil(F.col("n") * F.lit(percent) / 100) + 1
-    ranked = each.join(counted.where("times > 1"), "key", "left").withColumn("times", F.coalesce("times", F.lit(1)))
-    chosen = ranked.withColumn("rank", F.row_number().over(order)).where((F.col("rank") <= first) & (F.col("times") > 1))
-    chosen = save(chosen.select("id", "component", "n", "key"), "near-prefixes")
+                                  + [pa.array(np.concatenate([*first, np.zeros(0, np.uint64)]).view(np.int64))], ["id", "component", "n", "key"])
+    chosen = save(sets.select("id", "component", "n", "shingles").mapInArrow(prefixes, "id long, component long, n long, key long"), "near-prefixes")
     mixed = chosen.groupBy("key").agg(F.sum(F.col("n") + SKETCH).alias("mass"), F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
     return chosen.join(mixed.select("key", "mass"), "key").select(
         F.lit(0).alias("band"), "key", "id", "component", "mass", F.ceil(F.col("mass") / BLOCK).cast("int").alias("blocks")).withColumn(
@@ -327,6 +349,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8, id_col:
     component and are not linked.  Empty input: no rows.
     """
     mark = open_tables()
+    small_batches(docs.sparkSession)
     every = save(sketches(docs, k, id_col, text_col), "near-sketches")
     classed = every.where("n > 0 and id is not null")
     heads = save(classed.groupBy("print").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("copies")), "near-classes")
@@ -342,7 +365,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8, id_col:
 
     # Second pass: groups whose members are not all connected yet.
     labels = save(components(links), "near-labels")
-    tagged = members.where("size > 2").select("band", "key", "id", "mass").join(labels, "id", "left").withColumn(
+    tagged = members.where("size > 2").select("band", "key", "id", "n", "mass").join(labels, "id", "left").withColumn(
         "component", F.coalesce("component", "id"))
     tagged = save(tagged, "near-tagged")
     discard(members, groups, labels)
@@ -351,12 +374,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8, id_col:
         "side", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")), "near-mixed")
     discard(tagged)
     percent = round(100 * threshold)
-    sized = side.join(grouped.select("id", "n"), "id")
     # Pairs of long sets meet in their band groups, all others in groups of a rare shingle.
-    few = sized.where((F.col("n") * percent <= 100 * SHORT) & may_differ(percent)).select("id", "component", "n").distinct()
+    few = side.where((F.col("n") * percent <= 100 * SHORT) & may_differ(percent)).select("id", "component", "n").distinct()
     few_texts = texts.join(few.select("id"), "id", "left_semi")
-    rare = save(rare_groups(with_sets(few_texts, k).join(few, "id"), percent), "near-rare")
-    spread = in_parts(sized.where(F.col("n") > SHORT).drop("n")).unionByName(in_parts(rare))
+    few_sets = save(with_sets(few_texts, k).join(few, "id"), "near-few")
+    rare = save(rare_groups(few_sets, percent), "near-rare")
+    discard(few_sets)
+    spread = in_parts(side.where(F.col("n") > SHORT).drop("n")).unionByName(in_parts(rare))
 
     def in_blocks(rows: DataFrame) -> DataFrame:
         return rows.repartition("band", "key", "i", "j").sortWithinPartitions("band", "key", "i", "j", "id")
