@@ -7,11 +7,13 @@ a collision-corrected Jaccard estimate drops the hopeless ones, whole sets
 confirm the rest.
 
 Copies are never expanded into all pairs.  Equal sets are one class.  Every
-band group first links its members to its least one; then only groups that
-still hold several components compare members of different components, in
-blocks of bounded size: first by their sketches alone, then, for members that
-may have a link, by whole sets, returning no more links than join the block's
-components.
+band group first links its members to its least one.  Groups of the same least
+member, at most one in each band, then are one, in which a member stands once;
+only those that still hold several components compare members of different
+components, in blocks of bounded size: first by their sketches alone, then, for
+members that may have a link, by whole sets, returning no more links than join
+the block's components.  A large group's main component is only laid beside
+the rest, not beside itself.
 """
 from __future__ import annotations
 
@@ -187,12 +189,11 @@ def with_sets(texts: DataFrame, k: int) -> DataFrame:
     return texts.mapInArrow(run, "id long, shingles binary")
 
 
-def linked_in_block(held: list[tuple], i: int, j: int, band: int, percent: int) -> list[tuple[int, int]]:
-    """Links between members of different components in blocks i and j of one band group.
+def linked_in_block(held: list[tuple], i: int, j: int, percent: int) -> list[tuple[int, int]]:
+    """Links between members of different components in blocks i and j of one group.
 
-    Estimates first, then whole sets.  A pair counts in the first band that
-    it shares; once a link joins two components they count as one here, so
-    at most one link fewer than members is returned."""
+    Estimates first, then whole sets.  Once a link joins two components they
+    count as one here, so at most one link fewer than members is returned."""
     side = np.array([r[0] for r in held])
     own, comp, n = (np.array([r[c] for r in held], np.int64) for c in (1, 2, 3))
     x = registers_of([r[4] for r in held])
@@ -208,8 +209,6 @@ def linked_in_block(held: list[tuple], i: int, j: int, band: int, percent: int)
             continue
         same = x[q] == x[p]
         ok = hopeful(same.mean(1), np.full(len(q), n[p]), n[q], percent / 100)
-        if band:
-            ok &= ~same[:, :band * ROWS].reshape(len(q), band, ROWS).all(2).any(1)
         q = q[ok]
         if not len(q):
             continue
@@ -224,7 +223,7 @@ def linked_in_block(held: list[tuple], i: int, j: int, band: int, percent: int)
     return out
 
 
-def hopeful_in_block(held: list[tuple], i: int, j: int, band: int, percent: int) -> list[int]:
+def hopeful_in_block(held: list[tuple], i: int, j: int, percent: int) -> list[int]:
     """Places of the members that some member of another component and of the other side may be near to, by their sketches."""
     side = np.array([r[0] for r in held])
     comp, n = (np.array([r[c] for r in held], np.int64) for c in (2, 3))
@@ -238,8 +237,6 @@ def hopeful_in_block(held: list[tuple], i: int, j: int, band: int, percent: int)
             continue
         same = x[q] == x[p]
         ok = hopeful(same.mean(1), np.full(len(q), n[p]), n[q], percent / 100)
-        if band:
-            ok &= ~same[:, :band * ROWS].reshape(len(q), band, ROWS).all(2).any(1)
         if ok.any():
             found[p] = True
             found[q[ok]] = True
@@ -265,7 +262,7 @@ def blocks_of(rows: Iterator[pa.RecordBatch], payload: list[str], by_size: str)
 def block_hopes(rows: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """The rows of ``blocks_of`` that may have a link in their block; no more than come in."""
     for at, held in blocks_of(rows, ["side", "id", "component", "n", "registers"], "registers"):
-        found = hopeful_in_block(held, at[2], at[3], at[0], percent)
+        found = hopeful_in_block(held, at[2], at[3], percent)
         if found:
             out = [(*at, *held[p][:3]) for p in found]
             yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), HOPES.values())], list(HOPES))
@@ -277,7 +274,7 @@ HOPES = {"band": pa.int32(), "key": pa.int64(), "i": pa.int32(), "j": pa.int32()
 def block_links(rows: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """The links of each block, at most one fewer than its members."""
     for at, held in blocks_of(rows, ["side", "id", "component", "n", "registers", "shingles"], "shingles"):
-        done = linked_in_block(held, at[2], at[3], at[0], percent)
+        done = linked_in_block(held, at[2], at[3], percent)
         if done:
             yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*done)], ["a", "b"])
 
@@ -307,7 +304,7 @@ def slot_counts(sets: DataFrame) -> np.ndarray:
 
 
 def rare_groups(sets: DataFrame, percent: int) -> DataFrame:
-    """Band groups (band 0) of sets that share one of their rarest shingles, where they are not all connected.
+    """Groups (band 1; key: the least id) of sets that share one of their rarest shingles, where they are not all connected.
 
     Two sets at the threshold share at least ``ceil(t n)`` of either one's n
     shingles, so among its ``n - ceil(t n) + 1`` first in any order that holds
@@ -327,14 +324,33 @@ def rare_groups(sets: DataFrame, percent: int) -> DataFrame:
             yield pa.record_batch([b.column(b.schema.get_field_index(c)).take(at) for c in ("id", "component", "n")]
                                   + [pa.array(np.concatenate([*first, np.zeros(0, np.uint64)]).view(np.int64))], ["id", "component", "n", "key"])
     chosen = save(sets.select("id", "component", "n", "shingles").mapInArrow(prefixes, "id long, component long, n long, key long"), "near-prefixes")
-    mixed = chosen.groupBy("key").agg(F.sum(F.col("n") + SKETCH).alias("mass"), F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
-    return chosen.join(mixed.select("key", "mass"), "key").select(
-        F.lit(0).alias("band"), "key", "id", "component", "mass", F.ceil(F.col("mass") / BLOCK).cast("int").alias("blocks")).withColumn(
-        "side", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    mixed = chosen.groupBy("key").agg(F.min("id").alias("least"), F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
+    together = chosen.join(mixed.select("key", "least"), "key").select(F.col("least").alias("key"), "id", "component", "n").distinct()
+    return with_sides(together.withColumn("band", F.lit(1)))
+
+
+def with_sides(rows: DataFrame) -> DataFrame:
+    """Members (band, key, id, component, n) of groups of several components: band, key, id, component, mass (of the group),
+    blocks (it is laid beside the first so many parts), side (its own part).
+
+    A group that fits is one part.  In a larger one the heaviest component has parts of its own, after those of the
+    others, which it meets; while the others fit into one part, the rows laid out grow as the group does."""
+    group = ["band", "key"]
+    masses = rows.groupBy(*group, "component").agg(F.sum(F.col("n") + SKETCH).alias("mass")).groupBy(*group).agg(
+        F.sum("mass").alias("mass"), F.max("mass").alias("most"), F.max_by("component", "mass").alias("main"),
+        F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
+    large = F.col("mass") > BLOCK
+    parts = masses.select(*group, "mass", F.when(large, F.col("main")).alias("main"),
+                          F.when(large, F.ceil((F.col("mass") - F.col("most")) / BLOCK)).otherwise(1).alias("rest"),
+                          F.when(large, F.ceil(F.col("most") / BLOCK)).otherwise(0).alias("own"))
+    in_main = F.coalesce(F.col("component") == F.col("main"), F.lit(False))
+    side = F.when(in_main, F.col("rest") + F.pmod(F.xxhash64("id"), F.greatest("own", F.lit(1)))).otherwise(F.pmod(F.xxhash64("id"), F.col("rest")))
+    blocks = F.when(in_main, F.col("rest")).otherwise(F.col("rest") + F.col("own"))
+    return rows.join(parts, group).select(*group, "id", "component", "mass", blocks.cast("int").alias("blocks"), side.cast("int").alias("side"))
 
 
 def in_parts(side: DataFrame) -> DataFrame:
-    """Every member once for each other part of its group: band, key, id, component, side, i, j."""
+    """Every member once for each part that it is laid beside: band, key, id, component, side, i, j."""
     return side.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "band", "key", "id", "component", "side", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"))
 
@@ -353,25 +369,28 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8, id_col:
     every = save(sketches(docs, k, id_col, text_col), "near-sketches")
     classed = every.where("n > 0 and id is not null")
     heads = save(classed.groupBy("print").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("copies")), "near-classes")
-    sig = classed.select("id", "n", "registers", "bands").join(heads.select(F.col("head").alias("id")), "id", "left_semi")
-    banded = sig.select("id", "n", F.posexplode("bands").alias("band", "key"))
-    groups = save(banded.groupBy("band", "key").agg(
-        F.min("id").alias("least"), F.count(F.lit(1)).alias("size"), F.sum(F.col("n") + SKETCH).alias("mass")).where("size > 1"), "near-groups")
-    members = save(banded.join(groups, ["band", "key"]), "near-members")
-    stars = members.where("id > least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
+    # Neither the classes nor the groups have a size bound, so they are never broadcast: one plan at every size.
+    sig = classed.select("id", "n", "registers", "bands").hint("merge").join(heads.select(F.col("head").alias("id")), "id", "left_semi")
+    banded = sig.select("id", "n", F.explode("bands").alias("key"))
+    groups = save(banded.groupBy("key").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("size")).where("size > 1"), "near-groups")
+    members = save(banded.hint("merge").join(groups, "key"), "near-members")
+    discard(groups)
     grouped = save(sig.select("id", "n", "registers").join(members.select("id").distinct(), "id", "left_semi"), "near-grouped")
+    sizes = save(every.select("id", "n", "print"), "near-sizes")  # all that is read of the other sketches from now on
+    discard(every)
+    stars = members.where("id > least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
     texts = save(texts_of(docs, grouped.select("id"), id_col, text_col), "near-texts")  # whole texts are shuffled this once
+
     links = confirmed(save(estimated(stars, grouped, threshold), "near-pairs"), texts, k, threshold)
 
     # Second pass: groups whose members are not all connected yet.
     labels = save(components(links), "near-labels")
-    tagged = members.where("size > 2").select("band", "key", "id", "n", "mass").join(labels, "id", "left").withColumn(
-        "component", F.coalesce("component", "id"))
+    tagged = members.where("size > 2").select(F.lit(0).alias("band"), F.col("least").alias("key"), "id", "n").distinct().join(
+        labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
     tagged = save(tagged, "near-tagged")
-    discard(members, groups, labels)
-    mixed_groups = tagged.groupBy("band", "key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("band", "key")
-    side = save(tagged.join(mixed_groups, ["band", "key"]).withColumn("blocks", F.ceil(F.col("mass") / BLOCK).cast("int")).withColumn(
-        "side", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")), "near-mixed")
+    discard(members, labels)
+    mixed_groups = tagged.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("key")
+    side = save(tagged.join(mixed_groups, "key"), "near-mixed")
     discard(tagged)
     percent = round(100 * threshold)
     # Pairs of long sets meet in their band groups, all others in groups of a rare shingle.
@@ -380,7 +399,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8, id_col:
     few_sets = save(with_sets(few_texts, k).join(few, "id"), "near-few")
     rare = save(rare_groups(few_sets, percent), "near-rare")
     discard(few_sets)
-    spread = in_parts(side.where(F.col("n") > SHORT).drop("n")).unionByName(in_parts(rare))
+    spread = in_parts(with_sides(side.where(F.col("n") > SHORT))).unionByName(in_parts(rare))
 
     def in_blocks(rows: DataFrame) -> DataFrame:
         return rows.repartition("band", "key", "i", "j").sortWithinPartitions("band", "key", "i", "j", "id")
@@ -395,9 +414,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8, id_col:
     links = links.unionByName(more)
 
     found = save(components(links), "near-components")
-    discard_since(mark, every, heads, found)
+    discard_since(mark, sizes, heads, found)
     head = heads.where("copies > 1").select("print", "head")
-    placed = every.select("id", "n", "print").join(head, "print", "left").withColumn("head", F.coalesce("head", "id"))
+    placed = sizes.join(head, "print", "left").withColumn("head", F.coalesce("head", "id"))
     placed = placed.join(found.withColumnRenamed("id", "head"), "head", "left")
     component = F.coalesce("component", "head")
     result = save(placed.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),

@@ -62,3 +62,49 @@ def test_short_sets_are_never_expanded_into_rows_of_all_shingles(spark, monkeypa
     assert near and near <= met
     assert sum(written.values()) <= sum(len(s) - -(-len(s) * 80 // 100) + 1 for s in sets.values())
     assert got.schema.names == ["band", "key", "id", "component", "mass", "blocks", "side"]
+
+
+def test_members_of_a_group_are_laid_out_once_however_many_bands_they_share(spark, monkeypatch):
+    """Near copies of one text, many too far from each other for a link: rows follow the members, not members times bands."""
+    base = [f"w{i}" for i in range(300)]
+    data = [(0, " ".join(base))]
+    for i in range(1, 41):
+        data.append((i, " ".join(f"x{i}_{j}" if j % 12 == i % 12 else w for j, w in enumerate(base))))
+    written = {}
+    save = near_dedup.save
+
+    def seen(df, name):
+        out = save(df, name)
+        written[name] = out.count()
+        return out
+    monkeypatch.setattr(near_dedup, "save", seen)
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(docs, k=2).collect()}
+    sets = {i: {tuple(w[j:j + 2]) for j in range(len(w) - 1)} for i, t in data for w in [t.split()]}
+    want = {i: i for i in sets}
+    for _ in sets:
+        for a in sets:
+            for b in sets:
+                if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                    want[a] = want[b] = min(want[a], want[b])
+    assert got == want
+    assert written["near-members"] > 2 * len(data)  # they share many bands
+    assert written["near-mixed"] <= 5 * len(data) and written["near-hopes"] <= 5 * len(data)
+
+
+def test_the_main_component_of_a_large_group_is_laid_beside_the_rest_alone(spark, monkeypatch):
+    """Every pair of different components meets in a part; the rows grow as the group does while the rest is one part."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 2000)
+    for n in (200, 400):
+        rows = [(0, 1, i, 5 if i >= 12 else i % 4, 36) for i in range(n)]
+        got = near_dedup.in_parts(near_dedup.with_sides(spark.createDataFrame(rows, "band int, key long, id long, component long, n long"))).collect()
+        parts = {}
+        for r in got:
+            parts.setdefault((r["i"], r["j"]), {})[r["id"]] = r["side"]
+        met = {frozenset((a, b)) for (i, j), held in parts.items() for a, x in held.items() for b, y in held.items() if a != b and (x, y) == (i, j)}
+        component = {r[2]: r[3] for r in rows}
+        assert {frozenset((a, b)) for a in component for b in component if component[a] != component[b]} <= met
+        assert len(got) <= n + 12 * (2 + n * 100 // 2000)
+    one = near_dedup.with_sides(spark.createDataFrame([(0, 1, i, i, 10) for i in range(5)] + [(0, 2, i, 7, 10) for i in range(5)],
+                                                      "band int, key long, id long, component long, n long")).collect()
+    assert sorted((r["key"], r["blocks"], r["side"]) for r in one) == [(1, 1, 0)] * 5  # it fits; a group of one component is left out
