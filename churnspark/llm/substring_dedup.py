@@ -148,17 +148,22 @@ def compact(links: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def repeats(docs: DataFrame, id_col: str, text_col: str):
-    """(every document's scan row, texts with candidate passages, (id, row, starts) of windows to remove, (id, row) of copies)."""
+    """(id, row, n_words, sha of every document, texts with candidate passages, (id, row, starts) of windows to remove, (id, row) of copies).
+
+    Nothing here has a size bound, so the large sides are never joined by broadcast: one plan at every size."""
     mark = open_tables()
     every = save(scan(docs, id_col, text_col), "substring-scan")
     long = every.where(f"n_words >= {WINDOW} and id is not null")
     first = long.groupBy("print").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
     copies = save(long.select("id", "row", "print").join(first, "print").where("id > first").select("id", "row").distinct(), "substring-copies")
     # Whole copies lose everything; their windows also stand in the first one, so they add no edges.
-    single = long.select("id", "row", F.explode(F.arrays_zip("key", "pos", "lo", "hi")).alias("e")).select("id", "row", "e.*")
-    single = single.join(copies, ["id", "row"], "left_anti")
+    first_ones = save(long.select("id", "row", "key", "pos", "lo", "hi").hint("merge").join(copies, ["id", "row"], "left_anti"), "substring-first")
+    sizes = save(every.select("id", "row", "n_words", "sha"), "substring-sizes")  # all that is read of the scan from now on
+    discard(every)
+    single = first_ones.select("id", "row", F.explode(F.arrays_zip("key", "pos", "lo", "hi")).alias("e")).select("id", "row", "e.*")
     shared = save(single.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x < y").select("key"), "substring-edges")
-    found = save(single.join(shared, "key"), "substring-places")
+    found = save(single.hint("merge").join(shared, "key"), "substring-places")
+    discard(first_ones)
     following = Window.partitionBy("id", "row").orderBy("pos")
     links = save(found.select("key", F.lead("key").over(following).alias("next"),
                               (F.lead("pos").over(following) - F.col("pos")).alias("gap")).where("next is not null").distinct(), "substring-links")
@@ -169,7 +174,7 @@ def repeats(docs: DataFrame, id_col: str, text_col: str):
     spans = save(spans, "substring-spans")
     discard(shared, found, links, paths)
     # A number for each text, written with it: shorter than its key in the many rows of its windows.
-    texts = save(keyed(docs, id_col, text_col).join(spans, ["id", "row"]).withColumn("number", F.monotonically_increasing_id()), "substring-texts")
+    texts = save(keyed(docs, id_col, text_col).hint("merge").join(spans, ["id", "row"]).withColumn("number", F.monotonically_increasing_id()), "substring-texts")
     discard(spans)
 
     def windows(batches):
@@ -198,8 +203,8 @@ def repeats(docs: DataFrame, id_col: str, text_col: str):
     starts = exact.join(least, ["h", "g"]).where("id > first").groupBy("number").agg(F.collect_set("at").alias("starts"))
     remove = save(starts.join(texts.select("number", "id", "row"), "number").select("id", "row", "starts").dropDuplicates(["id", "row"]),
                   "substring-starts")
-    discard_since(mark, every, texts, remove, copies)
-    return every, texts, remove, copies
+    discard_since(mark, sizes, texts, remove, copies)
+    return sizes, texts, remove, copies
 
 
 def removed_mask(n: int, starts: list[int]) -> np.ndarray:
@@ -255,7 +260,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     key, row, starts_col = (free_name(docs, n) for n in ("marked id", "marked row", "marked starts"))
     marks = remove.unionByName(copies.withColumn("starts", F.array(F.lit(-1)))).select(
         F.col("id").alias(key), F.col("row").alias(row), F.col("starts").alias(starts_col))
-    joined = docs.join(marks, (F.col(id_col) == F.col(key)) & (row_key(text_col) == F.col(row)), "left").drop(key, row)
+    joined = docs.hint("merge").join(marks, (F.col(id_col) == F.col(key)) & (row_key(text_col) == F.col(row)), "left").drop(key, row)
     columns = docs.columns
 
     def cut(text: bytes, starts: list[int]) -> bytes:

@@ -32,7 +32,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Texts without a word belong to no group and stay."""
     name = free_name(docs, "gone")
     gone = near_dedup.near_duplicates(docs, k=5, threshold=0.8).where("not kept").select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col(name), "left_anti").select(docs.columns)
+    return docs.hint("merge").join(gone, F.col("doc_id") == F.col(name), "left_anti").select(docs.columns)  # one plan at every size
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 import numpy as np
 import pyarrow as pa
 
-from churnspark.llm import common, language_model, near_dedup, quality_model
+from churnspark.llm import common, language_model, near_dedup, quality_model, substring_dedup
 
 
 def test_batches_of_long_texts_are_bounded_by_bytes(spark):
@@ -108,3 +108,24 @@ def test_the_main_component_of_a_large_group_is_laid_beside_the_rest_alone(spark
     one = near_dedup.with_sides(spark.createDataFrame([(0, 1, i, i, 10) for i in range(5)] + [(0, 2, i, 7, 10) for i in range(5)],
                                                       "band int, key long, id long, component long, n long")).collect()
     assert sorted((r["key"], r["blocks"], r["side"]) for r in one) == [(1, 1, 0)] * 5  # it fits; a group of one component is left out
+
+
+def test_wide_tables_go_before_whole_texts_are_shuffled_and_small_inputs_have_the_plan_of_large_ones(spark, monkeypatch):
+    import corpus_pipeline
+    held = {}
+    for module in (near_dedup, substring_dedup):
+        def seen(df, name, save=module.save):
+            out = save(df, name)
+            held.setdefault(name, [p.rpartition("/")[2].rpartition("-")[0] for p in common.open_tables()])
+            return out
+        monkeypatch.setattr(module, "save", seen)
+    passage = " ".join(f"p{i}" for i in range(70))
+    docs = spark.createDataFrame([(i, f"a{i // 2} b{i // 2} {passage} c{i // 2}") for i in range(8)], "doc_id long, text string")
+    for stage, join in ((corpus_pipeline.near_duplicates, "LeftAnti"), (corpus_pipeline.repeated_passages, "LeftOuter")):
+        out = stage(spark, docs, "")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and join in plan and "BroadcastHashJoin" not in plan
+        docs = out
+    assert [r["doc_id"] for r in docs.orderBy("doc_id").collect()] == [0]
+    assert "near-sketches" not in held["near-texts"] and "near-members" in held["near-texts"]
+    assert not {"substring-scan", "substring-first"} & set(held["substring-texts"])
