@@ -76,52 +76,89 @@ PLACE = np.arange(WIDTH)[None, :] <= STEP + np.arange(STEP)[:, None]
 DISTANCE = np.clip(STEP + np.arange(STEP)[:, None] - np.arange(WIDTH)[None, :], 0, WIDTH - 1)
 
 
-def forward(w, units: np.ndarray, before: np.ndarray, alone: np.ndarray):
-    """Log probabilities of the next class at the scored places.
+SAFE = 60  # exponents whose exponentials single precision holds, sums of them too
+
+
+def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``a @ b`` for a matrix ``b``, as one product of matrices instead of one for each window."""
+    return (a.reshape(-1, a.shape[-1]) @ b).reshape(*a.shape[:-1], b.shape[1])
+
+
+def exponentials(a: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | float]:
+    """(exp(a - top) in place, their sums over the last axis, top): top is 0 unless an exponential could over- or underflow."""
+    top = 0.0
+    if max(a.max(initial=0), -a.min(initial=0)) > SAFE:
+        top = a.max(2, keepdims=True)
+        a -= top
+    np.exp(a, out=a)
+    return a, product(a, np.ones((a.shape[-1], 1), a.dtype)), top
+
+
+def logits(w, units: np.ndarray, before: np.ndarray, alone: np.ndarray):
+    """(logits of the next class at the scored places, what the gradient needs).
 
     units: (n, 32) input units; before: (n, 16) class of the scored places'
     inputs; alone: windows without anything before their scored half."""
-    x = w["e"][units]
+    x = w["e"].take(units, 0)
     t = x[:, STEP:]
-    q, k, v = t @ w["q"], x @ w["k"], x @ w["v"]
+    q, kv = product(t, w["q"] * np.float32(DIM ** -0.5)), product(x, np.concatenate([w["k"], w["v"]], 1))
+    k, v = kv[:, :, :DIM], kv[:, :, DIM:]
     s = q @ k.transpose(0, 2, 1)
-    s *= np.float32(DIM ** -0.5)
-    s += np.where(PLACE, w["d"][DISTANCE], np.float32(-1e9))
+    s += w["d"][DISTANCE]
+    s, _, _ = exponentials(s)
+    s *= PLACE
     if alone.any():
+        s[alone, :, :STEP] = 0
+    total = product(s, np.ones((WIDTH, 1), s.dtype))
+    if total.min(initial=1) < 1e-20:  # what a place reads is lost beside what it must not read
+        s = q @ k.transpose(0, 2, 1) + np.where(PLACE, w["d"][DISTANCE], np.float32(-1e9))
         s[alone, :, :STEP] = -1e9
-    s -= s.max(2, keepdims=True)
-    np.exp(s, out=s)
-    s /= s.sum(2, keepdims=True)
-    h = s @ v
-    z = h @ w["o"]
-    z += t @ w["x"]
-    z += w["g"][before]
-    z -= z.max(2, keepdims=True)
-    z -= np.log(np.exp(z).sum(2, keepdims=True))
-    return z, (x, t, q, k, v, s, h)
+        s, total, _ = exponentials(s)
+    ht = np.concatenate([s @ v / total, t], 2)
+    z = product(ht, np.concatenate([w["o"], w["x"]]))
+    z += w["g"].take(before, 0)
+    return z, (x, t, q, k, v, s, total, ht)
+
+
+def forward(w, units: np.ndarray, before: np.ndarray, alone: np.ndarray):
+    """Log probabilities of the next class at the scored places."""
+    z, kept = logits(w, units, before, alone)
+    _, total, top = exponentials(z.copy())
+    return z - (np.log(total) + top), kept
 
 
 def backward(w, units, before, target, mask, z, kept):
-    x, t, q, k, v, s, h = kept
-    dz = np.exp(z)
-    n, rows = len(z), np.arange(len(z))[:, None]
+    """Gradients from the log probabilities of ``forward``."""
+    return gradients(w, units, before, target, mask, np.exp(z), kept)
+
+
+def gradients(w, units, before, target, mask, p, kept):
+    """Gradients; p: probabilities of the next classes, overwritten with the gradient of their logits."""
+    x, t, q, k, v, s, total, ht = kept
+    s /= total
+    dz = p
+    rows = np.arange(len(dz))[:, None]
     dz[rows, np.arange(STEP)[None, :], target] -= 1
     dz *= (mask / max(1, mask.sum()))[:, :, None]
     flat = lambda a: a.reshape(-1, a.shape[-1])
-    g = {"o": flat(h).T @ flat(dz), "x": flat(t).T @ flat(dz), "g": np.zeros_like(w["g"])}
-    g["g"] += (before.ravel() == np.arange(CLASSES + 1)[:, None]).astype(dz.dtype) @ flat(dz)
-    dh = dz @ w["o"].T
-    dt = dz @ w["x"].T
-    dv = s.transpose(0, 2, 1) @ dh
-    da = dh @ v.transpose(0, 2, 1)
-    ds = s * (da - (da * s).sum(2, keepdims=True))
+    ox = flat(ht).T @ flat(dz)
+    g = {"o": ox[:DIM], "x": ox[DIM:]}
+    g["g"] = (before.ravel() == np.arange(CLASSES + 1)[:, None]).astype(dz.dtype) @ flat(dz)
+    dht = product(dz, np.ascontiguousarray(np.concatenate([w["o"], w["x"]]).T))
+    dh, dt = np.ascontiguousarray(dht[:, :, :DIM]), dht[:, :, DIM:]
+    ds = dh @ v.transpose(0, 2, 1)
+    ds -= product(dh * ht[:, :, :DIM], np.ones((DIM, 1), dh.dtype))
+    ds *= s
     g["d"] = np.bincount(DISTANCE.ravel(), (ds.sum(0) * PLACE).ravel(), WIDTH).astype(np.float32)
-    ds *= np.float32(DIM ** -0.5)
-    dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-    g["q"], g["k"], g["v"] = flat(t).T @ flat(dq), flat(x).T @ flat(dk), flat(x).T @ flat(dv)
-    dx = dk @ w["k"].T + dv @ w["v"].T
-    dx[:, STEP:] += dt + dq @ w["q"].T
-    g["e"] = np.stack([np.bincount(units.ravel(), x, len(w["e"])) for x in np.ascontiguousarray(flat(dx).T)], 1)
+    dkv = np.concatenate([ds.transpose(0, 2, 1) @ q, s.transpose(0, 2, 1) @ dh], 2)  # q holds the scale already
+    dq = ds @ k
+    dq *= np.float32(DIM ** -0.5)
+    of_kv = flat(x).T @ flat(dkv)
+    g["q"], g["k"], g["v"] = flat(t).T @ flat(dq), of_kv[:, :DIM], of_kv[:, DIM:]
+    dx = product(dkv, np.ascontiguousarray(np.concatenate([w["k"], w["v"]], 1).T))
+    dt += product(dq, np.ascontiguousarray(w["q"].T))
+    dx[:, STEP:] += dt
+    g["e"] = np.stack([np.bincount(units.ravel(), a, len(w["e"])) for a in np.ascontiguousarray(flat(dx).T)], 1)
     return g
 
 
@@ -132,8 +169,10 @@ class Adam:
 
     def move(self, units, before, target, mask, alone, rate: float) -> None:
         self.step += 1
-        z, kept = forward(self.w, units, before, alone)
-        g = backward(self.w, units, before, target, mask, z, kept)
+        z, kept = logits(self.w, units, before, alone)
+        p, total, _ = exponentials(z)
+        p /= total
+        g = gradients(self.w, units, before, target, mask, p, kept)
         for k, m in self.m.items():
             m[...] = 0.9 * m + 0.1 * g[k]
             self.u[k] = 0.99 * self.u[k] + 0.01 * g[k] ** 2
@@ -241,8 +280,10 @@ def score_classes(w, tokens, lengths, unit_of, class_of, end, group: int = 512)
     value = np.zeros(mask.shape, np.float32)
     for g in range(0, len(units), group):
         part = slice(g, g + group)
-        z, _ = forward(w, units[part], before[part], alone[part])
-        value[part] = z[np.arange(len(z))[:, None], spot, wanted[part]]
+        z, _ = logits(w, units[part], before[part], alone[part])
+        chosen = z[np.arange(len(z))[:, None], spot, wanted[part]]
+        _, total, top = exponentials(z)
+        value[part] = chosen - (np.log(total) + top)[:, :, 0]
     value *= mask
     steps = (lengths + STEP) // STEP
     return np.add.reduceat(value.sum(1, dtype=np.float64), np.concatenate([[0], np.cumsum(steps)[:-1]]))

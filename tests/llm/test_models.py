@@ -281,3 +281,27 @@ def test_shards_against_plain_prefix_sums(spark, docs):
             want[i] = (shard, row - first.setdefault(shard, row))
             before += s
         assert {r["doc_id"]: (r["shard"], r["slot"]) for r in sharding.shard_by_bytes(table, n).collect()} == want
+
+
+def test_windows_go_through_single_products_and_extreme_weights_stay_finite():
+    """Scores and gradients do not take a product for each window; large logits neither overflow nor lose what a place reads."""
+    r = np.random.default_rng(4)
+    units, before = r.integers(0, language_model.START + 1, (64, 32)), r.integers(0, language_model.CLASSES, (64, 16))
+    alone = np.arange(64) % 9 == 0
+    for scale in (1, 30):
+        w = {k: a * np.float32(scale) for k, a in language_model.new_weights().items()}
+        z, _ = language_model.forward(w, units, before, alone)
+        x = w["e"].astype(np.float64)[units]
+        t = x[:, language_model.STEP:]
+        s = (t @ w["q"]) @ (x @ w["k"]).transpose(0, 2, 1) / 4 + np.where(language_model.PLACE, w["d"][language_model.DISTANCE], -1e9)
+        s[alone, :, :language_model.STEP] = -1e9
+        s = np.exp(s - s.max(2, keepdims=True))
+        want = (s / s.sum(2, keepdims=True)) @ (x @ w["v"]) @ w["o"] + t @ w["x"] + w["g"][before]
+        want -= want.max(2, keepdims=True)
+        want -= np.log(np.exp(want).sum(2, keepdims=True))
+        assert np.isfinite(z).all()
+        assert np.allclose(z, want, rtol=1e-2 if scale > 1 else 1e-4, atol=1e-4 * scale ** 3)
+    a = r.normal(0, 1, (64, 16, 48)).astype(np.float32)
+    p, total, top = language_model.exponentials(a.copy())
+    assert top == 0 and np.allclose(p / total, np.exp(a) / np.exp(a).sum(2, keepdims=True), rtol=1e-5)
+    assert np.array_equal(language_model.product(a, np.eye(48, dtype=np.float32)), a)
