@@ -15,6 +15,7 @@ import base64
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,7 +28,7 @@ START, LONE = UNITS + CLASSES, CLASSES  # the unit before a text's first id; the
 HEAD = 1 << 18  # commonest words that every task holds; the others are joined, with the same scores
 END_WORD = b" "  # no word: words hold no space
 CHUNK = 2 << 20
-WORDS = 60_000  # words whose ids a task remembers, a few hundred bytes each
+WORDS = 2000  # words that the tokenizer gets as one text
 COMMON = 128  # ids that count as neighbours of their own
 ROUNDS = (0.003, 0.001)  # learning rate of each round; a learning document is in one round
 
@@ -44,11 +45,44 @@ class Subwords:
         self.opens = np.array([i in space for i in range(self.size + 1)])
 
     def many(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(all ids, number of ids of each word)."""
+        """(all ids, number of ids of each word).
+
+        Words without white space of any script are encoded as one text: no id reaches over a space and only
+        the ids that open a word begin with one."""
         encode = self.encoding._core_bpe.encode_ordinary
-        found = [encode(" " + w.decode()) for w in words]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        return np.fromiter((i for f in found for i in f), np.int32, int(sizes.sum())), sizes
+        tokens, sizes = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        for k in range(0, len(words), WORDS):
+            some = words[k:k + WORDS]
+            text = (b" " + b" ".join(some)).decode()
+            parts = text.split()
+            if len(parts) == len(some) and sum(map(len, parts)) + len(some) == len(text):
+                tokens.append(np.array(encode(text), np.int32))
+                sizes.append(np.diff(np.flatnonzero(self.opens[tokens[-1]]), append=len(tokens[-1])))
+            else:
+                found = [encode(" " + w.decode()) for w in some]
+                sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
+                tokens.append(np.fromiter((i for f in found for i in f), np.int32, int(sizes[-1].sum())))
+        return np.concatenate(tokens), np.concatenate(sizes)
+
+
+def split_words(b: pa.RecordBatch, text_col: str) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """(distinct lower-cased words of a batch, the place there of every word of its texts, number of words of each text).
+
+    Null texts have no words.  Arrow's ASCII white space is the contracts'."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(b.column(b.schema.get_field_index(text_col)), "")))
+    flat = lists.flatten()
+    real = pc.greater(pc.binary_length(flat), 0)  # white space at a text's ends leaves empty words
+    owner = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy())
+    lengths = np.bincount(owner[real.to_numpy(zero_copy_only=False)], minlength=len(lists))
+    found = flat.filter(real).dictionary_encode()
+    return found.dictionary.cast(pa.binary()).to_pylist(), found.indices.to_numpy().astype(np.int64), lengths
+
+
+def steady_memory() -> None:
+    """From now on the C library keeps some MB that are freed, as it does once a block of 8 MB was.
+
+    Else every step of a model gives its arrays back to the system and has them cleared page by page again."""
+    np.empty(8 << 20, np.uint8)
 
 
 def spread(sizes: np.ndarray, pick: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -191,6 +225,7 @@ def train(units, before, target, mask, alone, steps: int = 500, size: int = 256,
 
 def train_further(w, texts, unit_of, class_of, end: int, rate: float, size: int = 256, seed: int = 7) -> tuple[dict, int]:
     """(weights after Adam over every window of ``texts`` once, number of windows); texts: (ids, lengths) of some documents each."""
+    steady_memory()
     r, adam, seen = np.random.default_rng(seed), Adam({k: a.copy() for k, a in w.items()}), 0
     for tokens, lengths in texts:
         units, before, target, mask, alone = windows(tokens, lengths, unit_of, class_of, end)
@@ -317,10 +352,9 @@ def word_counts(docs: DataFrame, learning: Column, text_col: str) -> DataFrame:
             return pa.record_batch([pa.array(np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)).astype(np.int64)),
                                     pa.array(words, pa.binary()), pa.array(list(total.values()), pa.int64())], ["h", "word", "n"])
         for b in pieces(batches, text_col):
-            for t in raw(b, text_col):
-                for word in (t or b"").lower().split():
-                    total[word] = total.get(word, 0) + 1
-                total[END_WORD] = total.get(END_WORD, 0) + 1
+            words, flat, lengths = split_words(b, text_col)
+            for word, n in zip([*words, END_WORD], [*np.bincount(flat, minlength=len(words)).tolist(), len(lengths)]):
+                total[word] = total.get(word, 0) + n
             if len(total) > 400_000:
                 yield flush()
                 total.clear()
@@ -376,20 +410,14 @@ def learn(docs: DataFrame, learning: Column, ranks: bytes, pattern: str, id_col:
     n[found.column("id").to_numpy()] = found.column("n").to_numpy()
 
     def encode(batches):
-        sub, memory = Subwords(ranks, pattern), {}
+        sub = Subwords(ranks, pattern)
         for b in pieces(batches, text_col, limit=CHUNK, rows=20_000):
-            found = [(t or b"").lower().split() for t in raw(b, text_col)]
-            new = list({x for words in found for x in words if x not in memory})
-            tokens, sizes = sub.many(new)
-            ends = np.cumsum(sizes)
-            memory.update(zip(new, [tokens[e - s:e] for s, e in zip(sizes.tolist(), ends.tolist())]))
-            parts = [np.concatenate([*map(memory.__getitem__, words), np.zeros(0, np.int32)]) for words in found]
-            cut = np.cumsum([0, *map(len, parts)]).astype(np.int32)
+            words, flat, lengths = split_words(b, text_col)
+            pool, sizes = sub.many(words)
+            where, n_ids = spread(sizes, flat)
+            cut = np.concatenate([[0], np.cumsum(n_ids)])[np.concatenate([[0], np.cumsum(lengths)])]
             yield pa.record_batch([pa.array(ids(b, "id"), pa.int64()), pa.array(ids(b, "round"), pa.int32()),
-                                   pa.ListArray.from_arrays(pa.array(cut), pa.array(np.concatenate([*parts, np.zeros(0, np.int32)])))],
-                                  ["id", "round", "tokens"])
-            if len(memory) > WORDS:
-                memory.clear()
+                                   pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(pool[where]))], ["id", "round", "tokens"])
     rounds = F.pmod(F.xxhash64(id_col), F.lit(len(ROUNDS))).cast("int")
     tokens = save(docs.where(learning).select(F.col(id_col).alias("id"), rounds.alias("round"), text_col).mapInArrow(
         encode, "id long, round int, tokens array<int>"), "lm-ids")
@@ -515,19 +543,12 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, id_col: str = "doc_i
     """
     def run(batches):
         sub = Subwords(model.ranks, model.pattern)
-        memory: dict[bytes, tuple] = {}
+        steady_memory()
         head_log = np.log10(model.head_n + 0.5)
         end_n = model.head_n[np.searchsorted(model.head, np.uint64(xxhash.xxh3_64_intdigest(END_WORD)))] if model.distinct else 0
         for b in pieces(batches, text_col, limit=CHUNK, rows=20_000):
-            index: dict[bytes, int] = {}
-            place, lengths = [], []
-            for t in raw(b, text_col):
-                found = (t or b"").lower().split()
-                place.append(np.fromiter([index.setdefault(x, len(index)) for x in found], np.int64, len(found)))
-                lengths.append(len(found))
-            words, n_docs = list(index), len(lengths)
-            lengths = np.array(lengths)
-            flat = np.concatenate([*place, np.zeros(0, np.int64)])
+            words, flat, lengths = split_words(b, text_col)
+            n_docs = len(lengths)
             # base: words in the head are looked up here
             h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
             at = np.minimum(np.searchsorted(model.head, h), max(0, len(model.head) - 1))
@@ -542,13 +563,7 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, id_col: str = "doc_i
             cut = np.searchsorted(doc, np.arange(n_docs + 1)).astype(np.int32)
             lists = lambda a, kind: pa.ListArray.from_arrays(pa.array(cut), pa.array(a, kind))
             # model: subwords of each distinct word once, then spread over the texts
-            new = [x for x in words if x not in memory]
-            tokens, sizes = sub.many(new)
-            ends = np.cumsum(sizes)
-            memory.update(zip(new, [tokens[e - s:e] for s, e in zip(sizes.tolist(), ends.tolist())]))
-            each = [memory[x] for x in words]
-            own_sizes = np.fromiter(map(len, each), np.int64, len(each))
-            pool = np.concatenate([*each, np.zeros(0, np.int32)])
+            pool, own_sizes = sub.many(words)
             smooth, sequence = by_word(pool, own_sizes, model.inner, model.class_of)
             kinds, seen = np.full(len(words), -1, np.int64), np.full(len(words), -1, np.int64)  # -1: to be joined
             if len(model.sequences) and len(words):
@@ -556,8 +571,6 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, id_col: str = "doc_i
                 met = model.sequences[k] == sequence
                 kinds, seen = np.where(met, model.kinds[k], -1).astype(np.int64), np.where(met, model.seen[k], -1).astype(np.int64)
             here = np.where(known, model.given[at], 0.0) if len(words) and len(model.head) else np.zeros(len(words))
-            if len(memory) > WORDS:
-                memory.clear()
             where, n_ids = spread(own_sizes, flat)
             length = np.bincount(owner, n_ids, n_docs).astype(np.int64)
             logs = np.bincount(owner, here[flat], n_docs).astype(float)

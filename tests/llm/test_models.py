@@ -2,10 +2,14 @@
 import collections
 import hashlib
 import math
+import os
+import subprocess
+import sys
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -305,3 +309,58 @@ def test_windows_go_through_single_products_and_extreme_weights_stay_finite():
     p, total, top = language_model.exponentials(a.copy())
     assert top == 0 and np.allclose(p / total, np.exp(a) / np.exp(a).sum(2, keepdims=True), rtol=1e-5)
     assert np.array_equal(language_model.product(a, np.eye(48, dtype=np.float32)), a)
+
+
+def test_words_are_encoded_as_one_text_with_the_ids_of_single_words():
+    """One call of the tokenizer for many words (before: one for each), and the same ids where a word holds white space of other scripts."""
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
+        sub = language_model.Subwords(f.read(), public_tokenizers.PATTERN)
+    plain = ["don't", "'s", "a1b2", "x--y", "naïve", "日本語", "🙂", "\x00", "(a)b.", "'", "1" * 30, "[INST]"]
+    odd = ["a ", " b", "　", "\x85\x85c", "d e"]
+    encode, calls = sub.encoding._core_bpe.encode_ordinary, []
+
+    class Counted:
+        class _core_bpe:
+            @staticmethod
+            def encode_ordinary(text):
+                calls.append(text)
+                return encode(text)
+    sub.encoding = Counted
+    for words in (plain, plain * 500, odd + plain, plain * 500 + odd, plain[:1], []):
+        calls.clear()
+        ids, sizes = sub.many([w.encode() for w in words])
+        want = [encode(" " + w) for w in words]
+        assert ids.tolist() == [i for f in want for i in f] and sizes.tolist() == [len(f) for f in want]
+        if not set(odd) & set(words):
+            assert len(calls) <= -(-len(words) // language_model.WORDS)
+
+
+def test_batches_are_split_as_single_texts_are():
+    signs = "".join(map(chr, [*range(0x250), *range(0x1680, 0x1681), *range(0x2000, 0x2070), 0x3000, 0x1F642]))
+    texts = [None, "", " ", "A b\ta  a\n", "\x0b\x0cÀÉ İ K", signs, *(f" x{s}Y{s}" for s in signs)]
+    batch = pa.record_batch([pa.array(texts, pa.string())], ["text"])
+    for b in (batch, batch.slice(3, 5), batch.slice(0, 3), batch.slice(0, 0)):
+        words, flat, lengths = language_model.split_words(b, "text")
+        want = [(t or "").encode().lower().split() for t in b.column(0).to_pylist()]
+        assert [words[i] for i in flat] == [w for f in want for w in f] and lengths.tolist() == [len(f) for f in want]
+        assert len(set(words)) == len(words) == len({w for f in want for w in f})
+
+
+def test_training_keeps_the_memory_of_its_steps():
+    """Pages of a step's arrays are not given back and cleared anew for the next one (before: over 1,000 a step)."""
+    code = """
+import resource, numpy as np
+from churnspark.llm import language_model as m
+r = np.random.default_rng(1)
+text = lambda n: (r.integers(0, 90, n).astype(np.int32), np.array([n // 2, n - n // 2]))
+kind = (np.arange(101) % 47).astype(np.int32)
+faults = []
+def texts():
+    for _ in range(6):
+        faults.append(resource.getrusage(resource.RUSAGE_SELF).ru_minflt)
+        yield text(65536)
+m.train_further(m.new_weights(), texts(), kind, kind, 100, 0.001)
+print((faults[-1] - faults[2]) / 3 / 17)
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, env={**os.environ, "PYTHONPATH": os.pathsep.join(sys.path)})
+    assert float(out.stdout) < 300
