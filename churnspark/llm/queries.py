@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from . import chat_format, decontaminate, language_id, language_model, near_dedup, oracles, periodic_runs, piece_encoding
 from . import quality_model, quality_rules, sharding, substring_dedup, url_filter, whitening
-from .common import training_row
+from .common import discard, training_row
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = dict(oracles.ORACLE)
@@ -91,9 +91,11 @@ def op2_attention_lm(spark, sf_dir):
     import public_tokenizers
     with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
         ranks = f.read()
-    docs = table(spark, sf_dir, "documents")
+    docs = language_model.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
     model, counts = language_model.learn(docs, training_row(1), ranks, public_tokenizers.PATTERN)
-    return language_model.score(docs, model, counts).withColumn("held_out", ~training_row(1))
+    scores = language_model.score(docs, model, counts)
+    discard(docs)
+    return scores.withColumn("held_out", ~training_row(1))
 
 
 @query("op11_chat_format")

@@ -364,3 +364,58 @@ print((faults[-1] - faults[2]) / 3 / 17)
 """
     out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, env={**os.environ, "PYTHONPATH": os.pathsep.join(sys.path)})
     assert float(out.stdout) < 300
+
+
+def test_texts_are_split_and_tokenized_once(docs, make, odd_rows):
+    """Learning and scoring read one table of ids (before: each pass split and tokenized the texts), with the same results."""
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
+        ranks = f.read()
+    some = docs.where("doc_id < 150").unionByName(make([*odd_rows, (10, "a　b   c\x85 d", "en")]).select(docs.columns)).coalesce(1)
+    table = language_model.encode(some, ranks, public_tokenizers.PATTERN)
+    sub = language_model.Subwords(ranks, public_tokenizers.PATTERN)
+    want = collections.Counter()
+    for r in some.collect():
+        words = [sub.encoding.encode_ordinary(" " + w.decode()) for w in (r["text"] or "").encode().lower().split()]
+        want[r["doc_id"], tuple(map(tuple, words))] += 1
+    got = collections.Counter()
+    for r in table.collect():
+        ids = np.frombuffer(r["tokens"], language_model.id_type(sub.size))
+        starts = np.flatnonzero(np.unpackbits(np.frombuffer(r["starts"], np.uint8)))
+        assert len(r["starts"]) == -(-len(ids) // 8) and (starts < len(ids)).all()
+        got[r["doc_id"], tuple(tuple(w.tolist()) for w in np.split(ids, starts)[1:])] += 1
+    assert got == want
+    results = []
+    for frame in (some, table):
+        model, counts = language_model.learn(frame, training_row(1), ranks, public_tokenizers.PATTERN, sample=20)
+        rows = language_model.score(frame, model, counts).collect()
+        results.append((model, sorted((str(r["doc_id"]), r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"], r["score"]) for r in rows)))
+    assert (results[0][0].class_of == results[1][0].class_of).all()
+    for a, b in zip(results[0][1], results[1][1], strict=True):
+        assert a[:4] == b[:4] and a[4:] == pytest.approx(b[4:], rel=1e-3)
+
+
+def test_gradients_by_unit_are_those_of_the_places():
+    r = np.random.default_rng(6)
+    w = {k: a.astype(np.float64) for k, a in language_model.new_weights().items()}
+    kind_of = r.integers(0, 30, language_model.START + 1)  # some classes have no unit
+    units = r.integers(0, language_model.START + 1, (9, 32))
+    before, target, mask, alone = kind_of[units[:, 16:]], r.integers(0, 48, (9, 16)), (r.random((9, 16)) < 0.9) * 1.0, np.arange(9) % 4 == 0
+    z, kept = language_model.forward(w, units, before, alone)
+    want = language_model.backward(w, units, before, target, mask, z, kept)
+    of, sums = language_model.Projected(w, kind_of), language_model.Sums(w)
+    z, kept = language_model.logits(w, of, units, before, alone)
+    p, total, _ = language_model.softmax(of, z)
+    sums.add(w, units, before, target, mask / mask.sum(), p, total, kept)
+    got = sums.gradients(w, kind_of)
+    assert of.calm and got.keys() == want.keys() == w.keys()
+    for k in w:
+        assert np.allclose(got[k], want[k], atol=1e-9), k
+
+
+def test_word_hashes_tell_places_and_ids_apart():
+    words = [(a, b) for a in range(60) for b in range(60)] + [(a,) for a in range(3000)] + [(1, 2, a) for a in range(300)]
+    tokens, sizes = np.array([i for w in words * 2 for i in w], np.uint16), np.array([len(w) for w in words * 2])
+    h = language_model.word_hashes(tokens, np.cumsum(sizes) - sizes)
+    assert (h[:len(words)] == h[len(words):]).all() and len(np.unique(h)) == len(words)
+    values, at, which = language_model.distinct(h)
+    assert (values[which] == h).all() and (h[at] == values).all() and (np.diff(values.astype(object)) > 0).all()
